@@ -1,0 +1 @@
+"""Nothing is streamed: every job this library rebuilds is a scheduled batch run."""
