@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from herdloom import plans
-from herdloom.catalog.base import COUNTRY, END, MONITORED, START, attr_sql, query, strict_sql, week_sql
+from herdloom.catalog.base import END, MONITORED, START, attr_sql, query, strict_sql, week_sql
 from herdloom.operators import reports
 from herdloom.plans import dataflow
 
@@ -220,11 +220,11 @@ def weight_stats(t):
     f"""cows as (select u.name as region, d.label as breed, e.animal_id, avg({strict_sql("e.additional_attributes", False)}) as cow_mean
       from core_animal_event e join core_animal a on e.animal_id = a.id join country_units u on a.region_id = u.id
       join core_master_list d on a.main_breed = d.value and d.list_type_id = 8
-      where e.country_id = {COUNTRY} and e.event_type = 2 and year(e.event_date) >= 2016
+      where e.event_type = 2 and year(e.event_date) >= 2016
       group by e.animal_id, u.name, d.label)""",
 )
 def yield_by_breed_region(t):
-    return plans.yield_by_breed_region(t, COUNTRY)
+    return plans.yield_by_breed_region(t)
 
 
 @query(
@@ -233,10 +233,10 @@ def yield_by_breed_region(t):
     f"""
     select cast(year(f.reg_date) as integer) as "year", m.description as farm_type, count(f.id) as farms
     from core_farm f join core_master_list m on f.farm_type = m.value and m.list_type_id = 2
-    where f.country_id = {COUNTRY} and year(f.reg_date) >= 2016 group by 1, f.farm_type, m.description""",
+    where year(f.reg_date) >= 2016 group by 1, f.farm_type, m.description""",
 )
 def herds_by_year_type(t):
-    return plans.herds_by_year_type(t, COUNTRY)
+    return plans.herds_by_year_type(t)
 
 
 @query(
@@ -244,10 +244,10 @@ def herds_by_year_type(t):
     "core_animal country_units",
     f"""
     select u.name as region, count(a.id) as animals from core_animal a join country_units u on a.region_id = u.id
-    where a.country_id = {COUNTRY} and year(a.reg_date) >= 2016 group by u.name""",
+    where year(a.reg_date) >= 2016 group by u.name""",
 )
 def animals_by_region(t):
-    return plans.animals_by_region(t, COUNTRY)
+    return plans.animals_by_region(t)
 
 
 @query(
@@ -257,7 +257,7 @@ def animals_by_region(t):
     select u.name as region, b.name as technician, cast(year(e.event_date) as integer) as "year",
       {week_sql("e.event_date")} as "week", count(e.id) as inseminations
     from core_animal_event e join auth_users b on e.field_agent_id = b.id join country_units u on e.region_id = u.id
-    where e.event_type = 3 and e.country_id = {COUNTRY} and year(e.event_date) >= 2016 group by 1, 2, 3, 4""",
+    where e.event_type = 3 and year(e.event_date) >= 2016 group by 1, 2, 3, 4""",
 )
 def inseminations_by_week(t):
-    return plans.inseminations_by_week(t, COUNTRY)
+    return plans.inseminations_by_week(t)

@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Mapping
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from herdloom.catalog.bindings import bind, raw, with_views
+from herdloom.catalog.bindings import Tables, with_views
 
 # Parameters of the queries, the same on both sides.
-COUNTRY = 1
-COUNTRY_NAME = "américa"
+COUNTRY = 2
+COUNTRY_NAME = "Ásia"
 START, END = "2024-01-08", "2024-01-14"
 LONG_START, LONG_END = "2023-01-25", "2024-01-31"
 AS_OF = dt.date(2024, 1, 25)
@@ -21,32 +21,6 @@ STAMPED_AT = dt.datetime(2024, 1, 25, 6, 30, 0)
 VERSION = "v1"
 
 
-class Tables(Mapping):
-    """Herd tables of one scale, built on first use."""
-
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark = spark
-        self.sf_dir = sf_dir
-        self._bound: dict[str, DataFrame] | None = None
-
-    def _tables(self) -> dict[str, DataFrame]:
-        if self._bound is None:
-            self._bound = bind(self.spark, self.sf_dir)
-        return self._bound
-
-    def __getitem__(self, name: str) -> DataFrame:
-        return self._tables()[name]
-
-    def __iter__(self):
-        return iter(self._tables())
-
-    def __len__(self) -> int:
-        return len(self._tables())
-
-    def raw(self, name: str) -> DataFrame:
-        return raw(self.spark, self.sf_dir, name)
-
-
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 

@@ -332,7 +332,7 @@ def with_parents(t):
     "core_animal core_country",
     f"""
     select id, country_id from core_animal where country_id in
-      (select id from core_country where strip_accents(lower(rtrim(name))) = strip_accents(lower('{COUNTRY_NAME}')))""",
+      (select id from core_country where strip_accents(lower(rtrim(name))) = strip_accents(lower(rtrim('{COUNTRY_NAME}'))))""",
 )
 def country_semi(t):
     return lookups.in_country(t["core_animal"], t["core_country"], COUNTRY_NAME).select("id", "country_id")

@@ -1,12 +1,13 @@
 """The herd tables as views over the test tables.
 
-``VIEW_SQL`` gives each view for the SQL checks; :func:`bind` builds the same views as DataFrames.
+``VIEW_SQL`` gives each view for the SQL checks; :class:`Tables` builds the same views as DataFrames.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from collections.abc import Mapping
+
+from pyspark.sql import DataFrame, SparkSession
 
 from herdloom.sources import read_table
 
@@ -86,6 +87,63 @@ def _small(spark: SparkSession, name: str) -> DataFrame:
     return spark.sql(f"select {typed} from ({_small_sql(name)})")
 
 
+# Columns of the larger views, as SQL that reads the same in Spark and in DuckDB.
+FARM = """
+s_suppkey as id; concat('Farm ', s_name) as name; s_name as farmer_name; n_regionkey as country_id;
+s_nationkey as region_id; 1000 + s_suppkey as district_id; 1000 + s_suppkey * 2 as ward_id;
+case when s_suppkey % 3 = 0 then null else 1000 + s_suppkey * 3 end as village_id;
+1 + s_suppkey % 3 as farm_type; 1 + s_suppkey % 3 as gender_code; s_suppkey % 7 as org_id;
+case when s_suppkey % 4 = 1 then null else concat('Project ', cast(s_suppkey % 4 as string)) end as project;
+case when s_suppkey % 5 = 0 then null else s_suppkey % 7 end as field_agent_id; s_suppkey % 7 as created_by;
+date '2024-01-01' + cast(s_suppkey % 30 as int) as created_at;
+date '2014-01-01' + cast(s_suppkey * 97 % 3000 as int) as reg_date;
+case when s_suppkey % 4 = 0 then null else s_acctbal / 100 end as latitude; s_acctbal / 50 as longitude;
+concat('u', cast(s_suppkey as string)) as odk_form_uuid;
+concat('{"49":"', cast(s_suppkey % 20 as string), '"}') as additional_attributes"""
+
+ANIMAL = """
+c_custkey as id; farm_id; country_id; c_nationkey as region_id; 1000 + c_custkey % 40 as district_id;
+1000 + c_custkey % 60 as ward_id; case when c_custkey % 7 = 3 then null else 1000 + c_custkey % 80 end as village_id;
+concat('T', cast(c_custkey % 1400 as string)) as tag_id; concat('OT', cast(c_custkey as string)) as original_tag_id;
+case when c_custkey % 7 = 0 then null else 1 + c_custkey % 2 end as sex; 1 + c_custkey % 6 as animal_type;
+1 + c_custkey % 9 as main_breed;
+case when c_custkey % 11 = 0 then null else date '2020-01-01' + cast(c_custkey * 37 % 1500 as int) end as birthdate;
+case when c_custkey % 3 = 0 then null else c_custkey % 50 end as sire_id;
+concat('S', cast(c_custkey % 50 as string)) as sire_tag_id;
+25 + c_custkey % 60 as dam_id; concat('D', cast(c_custkey % 60 as string)) as dam_tag_id;
+case when c_custkey % 8 = 0 then null else date '2022-01-01' + cast(c_custkey * 13 % 900 as int) end as reg_date;
+date '2024-01-01' + cast(c_custkey % 30 as int) as created_at;
+case when c_custkey % 12 = 0 then null else c_custkey % 7 end as created_by;
+case when c_custkey % 6 = 0 then null else c_acctbal / 50 end as longitude; c_acctbal / 100 as latitude"""
+
+EVENT = """
+event_id as id; animal_id; country_id; region_id;
+case event_type when 'signup' then 1 when 'purchase' then 2 when 'click' then 3 when 'view' then 6 else 18 end as event_type;
+cast(ts as date) as event_date; cast(ts as date) as created_at;
+case when event_id % 9 = 0 then null else event_id % 7 end as field_agent_id; event_id % 7 as created_by;
+case event_type
+  when 'purchase' then concat('{"59":"', cast(cast(floor(value) as int) as string), '","61":',
+    case when event_id % 11 = 0 then 'null' else '"4.5"' end, case when event_id % 13 = 0 then '' else ',"68":"2"' end, '}')
+  when 'view' then case when event_id % 19 = 0 then '{"139":"3"}'
+    else concat('{"136":"', cast(cast(floor(value) as int) as string), '","137":',
+      case when event_id % 17 = 0 then 'null' else concat('"', cast(cast(floor(value / 2) as int) as string), '"') end, '}') end
+  else props end as additional_attributes"""
+
+FORM = """
+concat('u', cast(s_suppkey as string)) as form_uuid; concat('Ver 1.', cast(s_suppkey % 11 as string)) as form_version;
+case when s_suppkey % 3 = 0
+  then concat('{"farmer_general":[{"a":"x"},{"g/Farmer_GPSLocation":"', cast(s_suppkey as string), '.5 36.2 0 0"}]}')
+  else '{"other":1}' end as form_data"""
+
+
+def _columns(text: str) -> list[str]:
+    return [part.strip() for part in text.split(";")]
+
+
+def _list(text: str) -> str:
+    return text.replace(";", ",")
+
+
 VIEW_SQL: dict[str, str] = {
     "core_country": "select r_regionkey as id, r_name as name from region",
     "country_units": """
@@ -93,54 +151,12 @@ VIEW_SQL: dict[str, str] = {
         union all select 1000 + s_suppkey as id, s_name as name from supplier""",
     "core_organization": "select r_regionkey as id, concat('Org ', r_name) as name from region",
     **{name: _small_sql(name) for name in SMALL},
-    "core_farm": """
-        select s.s_suppkey as id, concat('Farm ', s.s_name) as name, s.s_name as farmer_name,
-          n.n_regionkey as country_id, s.s_nationkey as region_id, 1000 + s.s_suppkey as district_id,
-          1000 + s.s_suppkey * 2 as ward_id, case when s.s_suppkey % 3 = 0 then null else 1000 + s.s_suppkey * 3 end as village_id,
-          1 + s.s_suppkey % 3 as farm_type, 1 + s.s_suppkey % 3 as gender_code, s.s_suppkey % 7 as org_id,
-          case when s.s_suppkey % 4 = 1 then null else concat('Project ', cast(s.s_suppkey % 4 as string)) end as project,
-          case when s.s_suppkey % 5 = 0 then null else s.s_suppkey % 7 end as field_agent_id, s.s_suppkey % 7 as created_by,
-          date '2024-01-01' + cast(s.s_suppkey % 30 as int) as created_at,
-          date '2014-01-01' + cast(s.s_suppkey * 97 % 3000 as int) as reg_date,
-          case when s.s_suppkey % 4 = 0 then null else s.s_acctbal / 100 end as latitude, s.s_acctbal / 50 as longitude,
-          concat('u', cast(s.s_suppkey as string)) as odk_form_uuid,
-          concat('{"49":"', cast(s.s_suppkey % 20 as string), '"}') as additional_attributes
-        from supplier s join nation n on s.s_nationkey = n.n_nationkey""",
-    "core_animal": """
-        select c.c_custkey as id, c.c_custkey % 10 as farm_id, f.country_id, c.c_nationkey as region_id,
-          1000 + c.c_custkey % 40 as district_id, 1000 + c.c_custkey % 60 as ward_id,
-          case when c.c_custkey % 7 = 3 then null else 1000 + c.c_custkey % 80 end as village_id,
-          concat('T', cast(c.c_custkey % 1400 as string)) as tag_id, concat('OT', cast(c.c_custkey as string)) as original_tag_id,
-          case when c.c_custkey % 7 = 0 then null else 1 + c.c_custkey % 2 end as sex, 1 + c.c_custkey % 6 as animal_type,
-          1 + c.c_custkey % 9 as main_breed,
-          case when c.c_custkey % 11 = 0 then null else date '2020-01-01' + cast(c.c_custkey * 37 % 1500 as int) end as birthdate,
-          case when c.c_custkey % 3 = 0 then null else c.c_custkey % 50 end as sire_id,
-          concat('S', cast(c.c_custkey % 50 as string)) as sire_tag_id,
-          25 + c.c_custkey % 60 as dam_id, concat('D', cast(c.c_custkey % 60 as string)) as dam_tag_id,
-          case when c.c_custkey % 8 = 0 then null else date '2022-01-01' + cast(c.c_custkey * 13 % 900 as int) end as reg_date,
-          date '2024-01-01' + cast(c.c_custkey % 30 as int) as created_at,
-          case when c.c_custkey % 12 = 0 then null else c.c_custkey % 7 end as created_by,
-          case when c.c_custkey % 6 = 0 then null else c.c_acctbal / 50 end as longitude, c.c_acctbal / 100 as latitude
-        from customer c join core_farm f on c.c_custkey % 10 = f.id""",
-    "core_animal_event": """
-        select e.event_id as id, e.user_id as animal_id, a.country_id, a.region_id,
-          case e.event_type when 'signup' then 1 when 'purchase' then 2 when 'click' then 3 when 'view' then 6 else 18 end as event_type,
-          cast(e.ts as date) as event_date, cast(e.ts as date) as created_at,
-          case when e.event_id % 9 = 0 then null else e.event_id % 7 end as field_agent_id, e.event_id % 7 as created_by,
-          case e.event_type
-            when 'purchase' then concat('{"59":"', cast(cast(floor(e.value) as int) as string), '","61":',
-              case when e.event_id % 11 = 0 then 'null' else '"4.5"' end, case when e.event_id % 13 = 0 then '' else ',"68":"2"' end, '}')
-            when 'view' then case when e.event_id % 19 = 0 then '{"139":"3"}'
-              else concat('{"136":"', cast(cast(floor(e.value) as int) as string), '","137":',
-                case when e.event_id % 17 = 0 then 'null' else concat('"', cast(cast(floor(e.value / 2) as int) as string), '"') end, '}') end
-            else e.props end as additional_attributes
-        from events e join core_animal a on e.user_id = a.id""",
-    "core_odk_form": """
-        select concat('u', cast(s_suppkey as string)) as form_uuid, concat('Ver 1.', cast(s_suppkey % 11 as string)) as form_version,
-          case when s_suppkey % 3 = 0
-            then concat('{"farmer_general":[{"a":"x"},{"g/Farmer_GPSLocation":"', cast(s_suppkey as string), '.5 36.2 0 0"}]}')
-            else '{"other":1}' end as form_data
-        from supplier""",
+    "core_farm": f"select {_list(FARM)} from supplier join nation on s_nationkey = n_nationkey",
+    "core_animal": f"""select {_list(ANIMAL)} from (select *, c_custkey % 10 as farm_id from customer)
+        join (select id as farm_id, country_id from core_farm) using (farm_id)""",
+    "core_animal_event": f"""select {_list(EVENT)} from (select *, user_id as animal_id from events)
+        join (select id as animal_id, country_id, region_id from core_animal) using (animal_id)""",
+    "core_odk_form": f"select {_list(FORM)} from supplier",
 }
 
 # Views a view is made of.
@@ -153,155 +169,49 @@ def with_views(*names: str) -> str:
     return ",\n".join(f"{n} as ({sql})" for n, sql in VIEW_SQL.items() if n in wanted)
 
 
-def _unless(condition: Column, value: Column) -> Column:
-    return F.when(~condition, value)
-
-
-def _numbered(prefix: str, number: Column) -> Column:
-    return F.concat(F.lit(prefix), number.cast("string"))
-
-
-def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_table(spark, sf_dir, name, RAW[name])
-
-
-def _farms(supplier: DataFrame, nation: DataFrame) -> DataFrame:
-    key = F.col("s_suppkey")
-    return supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey")).select(
-        key.alias("id"),
-        F.concat(F.lit("Farm "), "s_name").alias("name"),
-        F.col("s_name").alias("farmer_name"),
-        F.col("n_regionkey").alias("country_id"),
-        F.col("s_nationkey").alias("region_id"),
-        (1000 + key).alias("district_id"),
-        (1000 + key * 2).alias("ward_id"),
-        _unless(key % 3 == 0, 1000 + key * 3).alias("village_id"),
-        (1 + key % 3).alias("farm_type"),
-        (1 + key % 3).alias("gender_code"),
-        (key % 7).alias("org_id"),
-        _unless(key % 4 == 1, _numbered("Project ", key % 4)).alias("project"),
-        _unless(key % 5 == 0, key % 7).alias("field_agent_id"),
-        (key % 7).alias("created_by"),
-        F.date_add(F.lit("2024-01-01").cast("date"), (key % 30).cast("int")).alias("created_at"),
-        F.date_add(F.lit("2014-01-01").cast("date"), (key * 97 % 3000).cast("int")).alias("reg_date"),
-        _unless(key % 4 == 0, F.col("s_acctbal") / 100).alias("latitude"),
-        (F.col("s_acctbal") / 50).alias("longitude"),
-        _numbered("u", key).alias("odk_form_uuid"),
-        F.concat(F.lit('{"49":"'), (key % 20).cast("string"), F.lit('"}')).alias("additional_attributes"),
-    )
-
-
-def _animals(customer: DataFrame, farms: DataFrame) -> DataFrame:
-    key = F.col("c_custkey")
-    lands = farms.select(F.col("id").alias("farm_id"), "country_id")
-    return (
-        customer.withColumn("farm_id", key % 10)
-        .join(lands, "farm_id")
-        .select(
-            key.alias("id"),
-            "farm_id",
-            "country_id",
-            F.col("c_nationkey").alias("region_id"),
-            (1000 + key % 40).alias("district_id"),
-            (1000 + key % 60).alias("ward_id"),
-            _unless(key % 7 == 3, 1000 + key % 80).alias("village_id"),
-            _numbered("T", key % 1400).alias("tag_id"),
-            _numbered("OT", key).alias("original_tag_id"),
-            _unless(key % 7 == 0, 1 + key % 2).alias("sex"),
-            (1 + key % 6).alias("animal_type"),
-            (1 + key % 9).alias("main_breed"),
-            _unless(
-                key % 11 == 0, F.date_add(F.lit("2020-01-01").cast("date"), (key * 37 % 1500).cast("int"))
-            ).alias("birthdate"),
-            _unless(key % 3 == 0, key % 50).alias("sire_id"),
-            _numbered("S", key % 50).alias("sire_tag_id"),
-            (25 + key % 60).alias("dam_id"),
-            _numbered("D", key % 60).alias("dam_tag_id"),
-            _unless(
-                key % 8 == 0, F.date_add(F.lit("2022-01-01").cast("date"), (key * 13 % 900).cast("int"))
-            ).alias("reg_date"),
-            F.date_add(F.lit("2024-01-01").cast("date"), (key % 30).cast("int")).alias("created_at"),
-            _unless(key % 12 == 0, key % 7).alias("created_by"),
-            _unless(key % 6 == 0, F.col("c_acctbal") / 50).alias("longitude"),
-            (F.col("c_acctbal") / 100).alias("latitude"),
-        )
-    )
-
-
-def _events(events: DataFrame, animals: DataFrame) -> DataFrame:
-    key, kind = F.col("event_id"), F.col("event_type")
-    whole = F.floor("value").cast("int").cast("string")
-    half = F.floor(F.col("value") / 2).cast("int").cast("string")
-    milk = F.concat(
-        F.lit('{"59":"'),
-        whole,
-        F.lit('","61":'),
-        F.when(key % 11 == 0, "null").otherwise('"4.5"'),
-        F.when(key % 13 == 0, "").otherwise(',"68":"2"'),
-        F.lit("}"),
-    )
-    weight = F.when(key % 19 == 0, '{"139":"3"}').otherwise(
-        F.concat(
-            F.lit('{"136":"'),
-            whole,
-            F.lit('","137":'),
-            F.when(key % 17 == 0, "null").otherwise(F.concat(F.lit('"'), half, F.lit('"'))),
-            F.lit("}"),
-        )
-    )
-    day = F.to_date("ts")
-    places = animals.select(F.col("id").alias("animal_id"), "country_id", "region_id")
-    return events.withColumnRenamed("user_id", "animal_id").join(places, "animal_id").select(
-        key.alias("id"),
-        "animal_id",
-        "country_id",
-        "region_id",
-        F.when(kind == "signup", 1)
-        .when(kind == "purchase", 2)
-        .when(kind == "click", 3)
-        .when(kind == "view", 6)
-        .otherwise(18)
-        .alias("event_type"),
-        day.alias("event_date"),
-        day.alias("created_at"),
-        _unless(key % 9 == 0, key % 7).alias("field_agent_id"),
-        (key % 7).alias("created_by"),
-        F.when(kind == "purchase", milk).when(kind == "view", weight).otherwise(F.col("props")).alias(
-            "additional_attributes"
-        ),
-    )
-
-
-def _forms(supplier: DataFrame) -> DataFrame:
-    key = F.col("s_suppkey")
-    located = F.concat(
-        F.lit('{"farmer_general":[{"a":"x"},{"g/Farmer_GPSLocation":"'), key.cast("string"), F.lit('.5 36.2 0 0"}]}')
-    )
-    return supplier.select(
-        _numbered("u", key).alias("form_uuid"),
-        _numbered("Ver 1.", key % 11).alias("form_version"),
-        F.when(key % 3 == 0, located).otherwise('{"other":1}').alias("form_data"),
-    )
-
-
-def bind(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The herd tables over the test tables in ``sf_dir``."""
-    region, nation, supplier, customer, events = (
-        raw(spark, sf_dir, t) for t in ("region", "nation", "supplier", "customer", "events")
-    )
-    farms = _farms(supplier, nation)
-    animals = _animals(customer, farms)
-    return {
-        "core_country": region.select(F.col("r_regionkey").alias("id"), F.col("r_name").alias("name")),
-        "country_units": nation.select(F.col("n_nationkey").cast("bigint").alias("id"), F.col("n_name").alias("name")).unionByName(
-            supplier.select((1000 + F.col("s_suppkey")).alias("id"), F.col("s_name").alias("name"))
-        ),
-        "core_organization": region.select(
-            F.col("r_regionkey").alias("id"), F.concat(F.lit("Org "), "r_name").alias("name")
-        ),
-        **{name: _small(spark, name) for name in SMALL},
-        "core_farm": farms,
-        "core_animal": animals,
-        "core_animal_event": _events(events, animals),
-        "core_odk_form": _forms(supplier),
-    }
+class Tables(Mapping):
+    """The herd tables over the test tables in ``sf_dir``, each built on first use."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark = spark
+        self.sf_dir = sf_dir
+        self._built: dict[str, DataFrame] = {}
+
+    def raw(self, name: str) -> DataFrame:
+        return read_table(self.spark, self.sf_dir, name, RAW[name])
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._build(name)
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(VIEW_SQL)
+
+    def __len__(self) -> int:
+        return len(VIEW_SQL)
+
+    def _build(self, name: str) -> DataFrame:
+        match name:
+            case "core_country":
+                return self.raw("region").selectExpr("r_regionkey as id", "r_name as name")
+            case "country_units":
+                nations = self.raw("nation").selectExpr("cast(n_nationkey as bigint) as id", "n_name as name")
+                return nations.union(self.raw("supplier").selectExpr("1000 + s_suppkey as id", "s_name as name"))
+            case "core_organization":
+                return self.raw("region").selectExpr("r_regionkey as id", "concat('Org ', r_name) as name")
+            case "core_farm":
+                nations = self.raw("nation").withColumnRenamed("n_nationkey", "s_nationkey")
+                return self.raw("supplier").join(nations, "s_nationkey").selectExpr(*_columns(FARM))
+            case "core_animal":
+                farms = self["core_farm"].selectExpr("id as farm_id", "country_id")
+                animals = self.raw("customer").selectExpr("*", "c_custkey % 10 as farm_id")
+                return animals.join(farms, "farm_id").selectExpr(*_columns(ANIMAL))
+            case "core_animal_event":
+                animals = self["core_animal"].selectExpr("id as animal_id", "country_id", "region_id")
+                events = self.raw("events").withColumnRenamed("user_id", "animal_id")
+                return events.join(animals, "animal_id").selectExpr(*_columns(EVENT))
+            case "core_odk_form":
+                return self.raw("supplier").selectExpr(*_columns(FORM))
+            case _:
+                return _small(self.spark, name)

@@ -86,34 +86,39 @@ def _lactation(t, country=None, keep_violations=False):
     return _rounded(lactation.lactation_extract(t, LONG_START, LONG_END, AS_OF, country, keep_violations))
 
 
-@query(
-    "lactation_extract",
-    LACTATION_VIEWS,
-    f"select {LACTATION_OUT}, lactation_id, comments, case when comments is null then 1 else 0 end as status from checked",
-    _lactation_sql(COUNTRY),
-)
-def lactation_extract(t):
-    return _lactation(t, COUNTRY)
+def _lactation_query(name: str, country: int | None):
+    @query(
+        name,
+        LACTATION_VIEWS,
+        f"select {LACTATION_OUT}, lactation_id, comments, case when comments is null then 1 else 0 end as status from checked",
+        _lactation_sql(country),
+    )
+    def build(t):
+        return _lactation(t, country)
+
+
+_lactation_query("lactation_extract", None)
+_lactation_query("lactation_extract_country", COUNTRY)
 
 
 @query(
     "split_valid",
     LACTATION_VIEWS,
     f"select {LACTATION_OUT}, lactation_id from checked where comments is null",
-    _lactation_sql(COUNTRY),
+    _lactation_sql(None),
 )
 def split_valid(t):
-    return split_valid_error(_lactation(t, COUNTRY))[0]
+    return split_valid_error(_lactation(t))[0]
 
 
 @query(
     "split_error",
     LACTATION_VIEWS,
     f"select {LACTATION_OUT}, lactation_id, comments from checked where comments is not null",
-    _lactation_sql(COUNTRY),
+    _lactation_sql(None),
 )
 def split_error(t):
-    return split_valid_error(_lactation(t, COUNTRY))[1]
+    return split_valid_error(_lactation(t))[1]
 
 
 @query(
@@ -221,14 +226,19 @@ lims as (select {bounds}, (select graduation_value from interface_graduation_set
 checked as (select *, {_text_sql(list(WEIGHT_CHECKS.values()))} as comments from staged, lims)"""
 
 
-@query(
-    "weight_extract",
-    WEIGHT_VIEWS,
-    f"select {WEIGHT_OUT}, weight_id, comments, case when comments is null then 1 else 0 end as status from checked",
-    _weight_sql(COUNTRY),
-)
-def weight_extract(t):
-    return _rounded(weight.weight_extract(t, LONG_START, LONG_END, AS_OF, COUNTRY))
+def _weight_query(name: str, country: int | None):
+    @query(
+        name,
+        WEIGHT_VIEWS,
+        f"select {WEIGHT_OUT}, weight_id, comments, case when comments is null then 1 else 0 end as status from checked",
+        _weight_sql(country),
+    )
+    def build(t):
+        return _rounded(weight.weight_extract(t, LONG_START, LONG_END, AS_OF, country))
+
+
+_weight_query("weight_extract", None)
+_weight_query("weight_extract_country", COUNTRY)
 
 
 @query(
@@ -327,16 +337,21 @@ checked as (select *, {warnings} as warning, {errors} as error from staged)"""
 PEDIGREE_OUT = ", ".join(pedigree.COLUMNS)
 
 
-@query(
-    "pedigree_extract",
-    PEDIGREE_VIEWS,
-    f"""
-    select {PEDIGREE_OUT}, warning, error, case when warning is null and error is null then 1 else 0 end as status
-    from checked""",
-    _pedigree_sql(COUNTRY_NAME),
-)
-def pedigree_extract(t):
-    return _rounded(pedigree.pedigree_extract(t, COUNTRY_NAME))
+def _pedigree_query(name: str, country_name: str | None):
+    @query(
+        name,
+        PEDIGREE_VIEWS,
+        f"""
+        select {PEDIGREE_OUT}, warning, error, case when warning is null and error is null then 1 else 0 end as status
+        from checked""",
+        _pedigree_sql(country_name),
+    )
+    def build(t):
+        return _rounded(pedigree.pedigree_extract(t, country_name))
+
+
+_pedigree_query("pedigree_extract", None)
+_pedigree_query("pedigree_extract_country", COUNTRY_NAME)
 
 
 @query(

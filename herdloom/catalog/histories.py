@@ -204,7 +204,8 @@ def first_per_group(t):
     return history.first_per_group(rows, keys, "order_id", ["event_id", "am", "midday", "pm", "total"])
 
 
-def _report_sql() -> str:
+def _report_sql(country: int | None) -> str:
+    only = "" if country is None else f"and f.country_id = {country}"
     milk = "event_type = 2"
     weight = "event_type = 6"
     texts = [(n, a, milk) for n, a in testday.MILK_TEXTS.items()] + [
@@ -218,22 +219,22 @@ def _report_sql() -> str:
     h as (select e.id, e.animal_id, e.event_date,
         e.event_date - lag(e.event_date) over (partition by e.animal_id order by e.event_date, e.id) as gap
       from core_animal a join core_farm f on a.farm_id = f.id join core_animal_event e on a.id = e.animal_id
-      where f.country_id = {COUNTRY} and e.event_type = 1),
+      where e.event_type = 1 {only}),
     kept as (select animal_id, event_date, cast(rank() over (partition by animal_id order by event_date) as integer) as parity
       from h where gap is null or gap >= {GAP}),
     lactations as (select distinct animal_id, event_date as calvdate, parity from kept),
     parsed as (select id, animal_id, event_type, country_id, event_date, {parsed}, {lenient_sql("additional_attributes")} as TotalMilk
       from core_animal_event),
-    milk as (select id as event_id, * from parsed where event_type = 2 and country_id = {COUNTRY}),
+    milk as (select id as event_id, * from parsed where event_type = 2),
     linked as (select m.*, l.calvdate, l.parity from milk m
       asof left join lactations l on m.animal_id = l.animal_id and m.event_date >= l.calvdate),
-    numbered as (select *, cast(row_number() over (partition by animal_id, parity order by event_date, event_id) as integer) as testdaynumber
+    numbered as (select *, cast(row_number() over (partition by animal_id, country_id, parity order by event_date, event_id) as integer) as testdaynumber
       from linked where calvdate is not null),
-    days as (select m.animal_id, m.event_date as milkdate, m.calvdate, min(m.event_id) as event_id, min(m.parity) as parity,
+    days as (select m.animal_id, m.country_id, m.event_date as milkdate, m.calvdate, min(m.event_id) as event_id, min(m.parity) as parity,
         min_by(m.testdaynumber, m.event_id) as testdaynumber, min_by(m.TotalMilk, m.event_id) as TotalMilk, {milk_firsts}
-      from numbered m group by m.animal_id, m.event_date, m.calvdate),
-    weights as (select w.animal_id, w.event_date, {weight_firsts} from parsed w
-      where w.event_type = 6 and w.country_id = {COUNTRY} group by w.animal_id, w.event_date),
+      from numbered m group by m.animal_id, m.country_id, m.event_date, m.calvdate),
+    weights as (select w.animal_id, w.country_id, w.event_date, {weight_firsts} from parsed w
+      where w.event_type = 6 group by w.animal_id, w.country_id, w.event_date),
     report as (
     select r.name as region, d.name as district, w.name as ward, v.name as village, a.farm_id as Farm_id,
       g.label as farmergender, {attr_sql("f.additional_attributes", "49")} as cattletotalowned, a.tag_id, a.reg_date,
@@ -242,8 +243,9 @@ def _report_sql() -> str:
       x.SCC, {weight_names}, x.parity, x.testdaynumber, round(f.latitude, 4) as latitude, round(f.longitude, 4) as longitude,
       a.original_tag_id, x.event_id, f.name as farmer_name, f.id as farm_key, f.project, a.birthdate, t.label as farmtype,
       '{STAMPED_AT:%Y-%m-%d %H:%M:%S}' as Extract_Datetime_UTC, '{VERSION}' as Version
-    from days x join core_animal a on x.animal_id = a.id and a.country_id = {COUNTRY} join core_farm f on a.farm_id = f.id
-    left join weights y on x.animal_id = y.animal_id and x.milkdate = y.event_date
+    from days x join core_animal a on x.animal_id = a.id and a.country_id = x.country_id
+    join core_farm f on a.farm_id = f.id and f.country_id = x.country_id {only}
+    left join weights y on x.animal_id = y.animal_id and x.country_id = y.country_id and x.milkdate = y.event_date
     left join country_units r on a.region_id = r.id left join country_units d on a.district_id = d.id
     left join country_units w on a.ward_id = w.id left join country_units v on a.village_id = v.id
     left join core_master_list g on f.gender_code = g.value and g.list_type_id = 3
@@ -251,13 +253,17 @@ def _report_sql() -> str:
     left join core_master_list b on a.main_breed = b.value and b.list_type_id = 8)"""
 
 
-@query(
-    "testday_report",
-    "core_animal_event core_animal core_farm country_units core_master_list",
-    "select * from report",
-    _report_sql(),
-)
-def testday_report(t):
-    df = testday.testday_report(t, COUNTRY, STAMPED_AT, VERSION, GAP)
-    rounded = {c: F.round(c, 4) for c in ("TotalMilk", "latitude", "longitude")}
-    return df.withColumns(rounded)
+def _report_query(name: str, country: int | None):
+    @query(
+        name,
+        "core_animal_event core_animal core_farm country_units core_master_list",
+        "select * from report",
+        _report_sql(country),
+    )
+    def build(t):
+        df = testday.testday_report(t, STAMPED_AT, VERSION, country, GAP)
+        return df.withColumns({c: F.round(c, 4) for c in ("TotalMilk", "latitude", "longitude")})
+
+
+_report_query("testday_report", None)
+_report_query("testday_report_country", COUNTRY)

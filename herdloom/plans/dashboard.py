@@ -1,4 +1,4 @@
-"""Dashboard tables: yields, herds, animals and inseminations of one country from a year on."""
+"""Dashboard tables: yields, herds, animals and inseminations, of one country or all, from a year on."""
 
 from __future__ import annotations
 
@@ -22,7 +22,11 @@ def _since(column: str, year: int) -> Column:
     return F.col(column) >= F.lit(dt.date(year, 1, 1))
 
 
-def yield_by_breed_region(tables: Mapping[str, DataFrame], country: int, first_year: int = FIRST_YEAR) -> DataFrame:
+def _of_country(df: DataFrame, country: int | None) -> DataFrame:
+    return df if country is None else df.filter(F.col("country_id") == country)
+
+
+def yield_by_breed_region(tables: Mapping[str, DataFrame], country: int | None = None, first_year: int = FIRST_YEAR) -> DataFrame:
     """Mean over cows of the mean milk total of a cow, per region and breed.
 
     Records are averaged per cow before cows meet their region and breed.
@@ -36,8 +40,8 @@ def yield_by_breed_region(tables: Mapping[str, DataFrame], country: int, first_y
     return df.groupBy("region", "breed").agg(F.round(F.avg("cow_mean"), 2).alias("average_milk"))
 
 
-def herds_by_year_type(tables: Mapping[str, DataFrame], country: int, first_year: int = FIRST_YEAR) -> DataFrame:
-    farms = tables["core_farm"].filter((F.col("country_id") == country) & _since("reg_date", first_year))
+def herds_by_year_type(tables: Mapping[str, DataFrame], country: int | None = None, first_year: int = FIRST_YEAR) -> DataFrame:
+    farms = _of_country(tables["core_farm"], country).filter(_since("reg_date", first_year))
     counted = farms.groupBy(F.year("reg_date").alias("year"), F.col("farm_type").alias("type_code")).agg(
         F.count("id").alias("farms")
     )
@@ -47,14 +51,14 @@ def herds_by_year_type(tables: Mapping[str, DataFrame], country: int, first_year
     return named.select("year", "farm_type", "farms").orderBy("year", "farm_type")
 
 
-def animals_by_region(tables: Mapping[str, DataFrame], country: int, first_year: int = FIRST_YEAR) -> DataFrame:
-    animals = tables["core_animal"].filter((F.col("country_id") == country) & _since("reg_date", first_year))
+def animals_by_region(tables: Mapping[str, DataFrame], country: int | None = None, first_year: int = FIRST_YEAR) -> DataFrame:
+    animals = _of_country(tables["core_animal"], country).filter(_since("reg_date", first_year))
     counted = animals.groupBy("region_id").agg(F.count("id").alias("animals"))
     named = with_name(counted, tables["country_units"], "region_id", "region", "inner")
     return named.groupBy("region").agg(F.sum("animals").alias("animals"))
 
 
-def inseminations_by_week(tables: Mapping[str, DataFrame], country: int, first_year: int = FIRST_YEAR) -> DataFrame:
+def inseminations_by_week(tables: Mapping[str, DataFrame], country: int | None = None, first_year: int = FIRST_YEAR) -> DataFrame:
     """Inseminations per region, technician, year and Sunday-first week."""
     served = events_of(tables["core_animal_event"], INSEMINATION, country).filter(_since("event_date", first_year))
     by_ids = served.groupBy(

@@ -56,21 +56,20 @@ WEIGHT_TEXTS = {
 }
 
 
-def milk_weight_days(events: DataFrame, country: int) -> DataFrame:
-    """One row per animal and day with milk: count, first event, first known milk and weight attributes.
+def milk_weight_days(events: DataFrame) -> DataFrame:
+    """One row per animal, country and day with milk: count, first event, first known milk and weight values.
 
     Milk and weights of a day meet in one grouping, which replaces their join.
     """
     rows = (
-        events.filter(F.col("event_type").isin(MILK, WEIGHT))
-        .filter((F.col("country_id") == country) & F.col("event_date").isNotNull())
-        .select("id", "animal_id", "event_type", F.col("event_date").alias("milkdate"),
+        events.filter(F.col("event_type").isin(MILK, WEIGHT) & F.col("event_date").isNotNull())
+        .select("id", "animal_id", "country_id", "event_type", F.col("event_date").alias("milkdate"),
                 attributes(F.col("additional_attributes")).alias("attrs"))
     )
     is_milk = F.col("event_type") == MILK
     attrs = F.col("attrs")
     texts = {name: attr_text(attrs, a) for name, a in (MILK_TEXTS | WEIGHT_TEXTS).items()}
-    rows = rows.select("id", "animal_id", "event_type", "milkdate",
+    rows = rows.select("id", "animal_id", "country_id", "event_type", "milkdate",
                        milk_total_lenient(attrs).alias("TotalMilk"),
                        *[c.alias(name) for name, c in texts.items()])
 
@@ -79,7 +78,7 @@ def milk_weight_days(events: DataFrame, country: int) -> DataFrame:
         return F.min_by(name, F.when(known, F.col("id"))).alias(name)
 
     return (
-        rows.groupBy("animal_id", "milkdate")
+        rows.groupBy("animal_id", "country_id", "milkdate")
         .agg(
             F.count_if(is_milk).alias("n"),
             F.min(F.when(is_milk, F.col("id"))).alias("event_id"),
@@ -92,27 +91,30 @@ def milk_weight_days(events: DataFrame, country: int) -> DataFrame:
 
 def testday_report(
     tables: Mapping[str, DataFrame],
-    country: int,
     extracted_at: dt.datetime,
     version: str,
+    country: int | None = None,
     min_gap: int = MIN_CALVING_GAP,
 ) -> DataFrame:
-    """One row per animal, milk day and calving.
+    """One row per animal, milk day and calving, for one country or for each country on its own.
 
     Calvings count by the country of the farm, milk and weights by that of the event, details by that of
-    the animal. The first two conditions on the animal hold or fail for all its events, so they are
-    applied once, to the days linked.
+    the animal; in the report of a country all three agree. Farm and animal hold or fail for all events
+    of an animal, so they are checked once, on the days linked.
     """
-    events = tables["core_animal_event"]
+    events, animals, farms = tables["core_animal_event"], tables["core_animal"], tables["core_farm"]
     lactations = parity_days(events_of(events, CALVING), min_gap).select(
         "animal_id", F.col("event_date").alias("calvdate"), "parity"
     )
-    days = milk_weight_days(events, country)
+    # Calvings are told apart by the farm, not by the country of the event: only these are filtered here.
+    if country is not None:
+        events, animals, farms = (df.filter(F.col("country_id") == country) for df in (events, animals, farms))
+    days = milk_weight_days(events)
     linked = asof_days(days, lactations, "animal_id", "milkdate", "calvdate").filter(
         F.col("closest_calvdate").isNotNull()
     )
     # Records of the day are numbered from the first one on; the report shows that first number.
-    before = Window.partitionBy("animal_id", "parity").orderBy("milkdate")
+    before = Window.partitionBy("animal_id", "country_id", "parity").orderBy("milkdate")
     before = before.rowsBetween(Window.unboundedPreceding, -1)
     linked = linked.withColumns(
         {
@@ -121,22 +123,24 @@ def testday_report(
         }
     )
 
-    animals = tables["core_animal"].filter(F.col("country_id") == country).select(
+    animals = animals.select(
         F.col("id").alias("animal_id"),
         F.col("farm_id").alias("Farm_id"),
+        "country_id",
         "region_id", "district_id", "ward_id", "village_id", "tag_id", "original_tag_id", "reg_date",
         F.col("main_breed").alias("breed_code"),
         "birthdate",
     )
-    farms = tables["core_farm"].filter(F.col("country_id") == country).select(
+    farms = farms.select(
         F.col("id").alias("Farm_id"),
+        "country_id",
         F.col("id").alias("farm_key"),
         F.col("name").alias("farmer_name"),
         "project", "latitude", "longitude", "gender_code",
         F.col("farm_type").alias("type_code"),
         attr_text(attributes(F.col("additional_attributes")), CATTLE_OWNED).alias("cattletotalowned"),
     )
-    df = linked.join(animals, "animal_id").join(farms, "Farm_id")
+    df = linked.join(animals, ["animal_id", "country_id"]).join(farms, ["Farm_id", "country_id"])
     df = with_places(df, tables["country_units"])
     codes = tables["core_master_list"]
     df = with_code(df, codes, "gender_code", SEXES, "farmergender")

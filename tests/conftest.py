@@ -1,0 +1,67 @@
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import types as T
+
+from herdloom.session import local_session
+from herdloom.sources import TABLES
+
+
+@pytest.fixture(scope="session")
+def spark():
+    session = local_session(8, partitions=4, app="herdloom-tests")
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+def _value(value, kind):
+    if isinstance(value, str) and isinstance(kind, T.DateType):
+        return dt.date.fromisoformat(value)
+    if isinstance(value, str) and isinstance(kind, T.TimestampNTZType):
+        return dt.datetime.fromisoformat(value)
+    return value
+
+
+@pytest.fixture(scope="session")
+def table(spark):
+    """Hand-made frame of a herd table (or of a DDL): rows are dicts, columns left out are NULL."""
+
+    def make(name: str, *rows: dict):
+        schema = T.StructType.fromDDL(TABLES.get(name, name))
+        known = {f.name for f in schema}
+        assert all(set(r) <= known for r in rows), rows
+        data = [tuple(_value(r.get(f.name), f.dataType) for f in schema) for r in rows]
+        return spark.createDataFrame(data, schema)
+
+    return make
+
+
+@pytest.fixture(scope="session")
+def codes(table):
+    return table(
+        "core_master_list",
+        {"list_type_id": 2, "value": 1, "label": "Small", "description": "Small holder"},
+        {"list_type_id": 3, "value": 1, "label": "Male"},
+        {"list_type_id": 3, "value": 2, "label": "Female"},
+        {"list_type_id": 8, "value": 1, "label": "Ayrshire"},
+        {"list_type_id": 62, "value": 1, "label": "Heifer"},
+        {"list_type_id": 62, "value": 2, "label": "Cow"},
+        {"list_type_id": 62, "value": 5, "label": "Bull"},
+        {"list_type_id": 62, "value": 6, "label": "Straw"},
+    )
+
+
+@pytest.fixture(scope="session")
+def limit_table(table):
+    return table(
+        "interface_limit_parameters",
+        {"id": 1, "category": "calving_interval", "min_value": 220.0, "max_value": 900.0},
+        {"id": 2, "category": "age_at_first_calving", "min_value": 18.0, "max_value": 48.0},
+        {"id": 5, "category": "g", "min_value": 100.0, "max_value": 250.0},
+        {"id": 6, "category": "w", "min_value": 100.0, "max_value": 700.0},
+        {"id": 7, "category": "w", "min_value": 10.0, "max_value": 150.0},
+        {"id": 8, "category": "g", "min_value": 50.0, "max_value": 120.0},
+    )
