@@ -6,6 +6,9 @@ from herdloom.functions.attributes import (
     first_gps,
     milk_total_lenient,
     milk_total_strict,
+    sum_known,
+    with_attr_texts,
+    with_attributes,
 )
 from herdloom.functions.dates import (
     day_label,
@@ -16,7 +19,7 @@ from herdloom.functions.dates import (
     period,
     sunday_week,
 )
-from herdloom.functions.text import capitalise, last_word, lenient_num, same_name
+from herdloom.functions.text import capitalise, last_word, lenient_num, same_name, strict_num
 
 __all__ = [
     "attr_text",
@@ -34,5 +37,9 @@ __all__ = [
     "months_apart",
     "period",
     "same_name",
+    "strict_num",
+    "sum_known",
     "sunday_week",
+    "with_attr_texts",
+    "with_attributes",
 ]

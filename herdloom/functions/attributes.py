@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from herdloom.functions.text import lenient_num
@@ -25,10 +25,31 @@ FORM_GPS_SUFFIX = "farmer_gpslocation"
 
 
 def attributes(c: Column) -> Column:
-    """Attribute bag as a map. Parse once into a column, then look up as many ids as needed."""
+    """Attribute bag as a map; NULL when the text is not a JSON object."""
     return F.from_json(c, "map<string,string>")
 
 
+def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a costly column that is computed once per row.
+
+    As a plain column the optimizer would copy its expression into every filter and aggregate made from
+    it. The output of ``explode`` over one element is never copied.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
+def with_attributes(df: DataFrame, name: str = "attrs", bag: str = "additional_attributes") -> DataFrame:
+    """Add the parsed attribute bag, parsed once per row however many lookups and filters follow."""
+    return _once(df, name, attributes(F.col(bag)))
+
+
+def with_attr_texts(df: DataFrame, attrs: str, **texts: str) -> DataFrame:
+    """Add the texts of several attributes (``column=attribute id``), looked up once per row."""
+    fields = [attr_text(F.col(attrs), attr_id).alias(name) for name, attr_id in texts.items()]
+    looked_up = _once(df, "_texts", F.struct(*fields))
+    return looked_up.withColumns({name: F.col("_texts")[name] for name in texts}).drop("_texts")
+
+
 def attr_text(attrs: Column, attr_id: str) -> Column:
     """Text of one attribute: a JSON null reads as the text ``null``, a missing key as NULL."""
     return F.when(F.map_contains_key(attrs, attr_id), F.coalesce(attrs[attr_id], F.lit("null")))
@@ -46,13 +67,18 @@ def milk_total_strict(attrs: Column, digits: int | None = 2) -> Column:
     return parts[0] + parts[1] + parts[2]
 
 
+def sum_known(*texts: Column) -> Column:
+    """Sum of the numbers texts start with; a missing one counts as 0."""
+    numbers = [F.coalesce(lenient_num(t), F.lit(0.0)) for t in texts]
+    total = numbers[0]
+    for number in numbers[1:]:
+        total = total + number
+    return total
+
+
 def milk_total_lenient(attrs: Column) -> Column:
     """Morning + midday + evening milk; a missing key counts as 0."""
-    parts = [
-        F.coalesce(lenient_num(attr_text(attrs, a)), F.lit(0.0))
-        for a in (MILK_MORNING, MILK_MIDDAY, MILK_EVENING)
-    ]
-    return parts[0] + parts[1] + parts[2]
+    return sum_known(*[attr_text(attrs, a) for a in (MILK_MORNING, MILK_MIDDAY, MILK_EVENING)])
 
 
 def first_gps(form: Column) -> Column:

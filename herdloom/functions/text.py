@@ -17,6 +17,11 @@ def lenient_num(c: Column) -> Column:
     return F.when(c.isNotNull(), F.coalesce(prefix.try_cast("double"), F.lit(0.0)))
 
 
+def strict_num(c: Column) -> Column:
+    """Number a text consists of, NULL for any other text (``try_cast`` would also read ``NaN`` or ``1d``)."""
+    return F.regexp_extract(c, NUMERIC_PREFIX + r"\s*$", 1).try_cast("double")
+
+
 def capitalise(c: Column) -> Column:
     """First letter upper, everything after it lower (unlike ``initcap``, which works per word)."""
     return F.concat(F.upper(F.substr(c, F.lit(1), F.lit(1))), F.lower(F.substr(c, F.lit(2))))

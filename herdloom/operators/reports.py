@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from herdloom.functions import attributes, capitalise, milk_total_strict
+from herdloom.functions import capitalise, milk_total_strict, with_attributes
 from herdloom.operators.filters import created_between, exclude
 from herdloom.operators.lookups import ANIMAL_TYPES, FARM_TYPES, with_code, with_name
 
@@ -25,7 +25,7 @@ REGISTRATIONS = ("Animal-Reg", "Farmer-Reg")
 def with_milk_total(events: DataFrame, digits: int | None = 2) -> DataFrame:
     """Strict milk total from the attribute bag, parsed once."""
     return (
-        events.withColumn("_attrs", attributes(F.col("additional_attributes")))
+        with_attributes(events, "_attrs")
         .withColumn("total_milk", milk_total_strict(F.col("_attrs"), digits))
         .drop("_attrs")
     )
@@ -128,52 +128,96 @@ def event_totals(activity: DataFrame) -> DataFrame:
     return activity.groupBy("event", "country").agg(F.sum("total").alias("total"))
 
 
-def exact_median(df: DataFrame, key: str, value: str, width: float = 1.0) -> DataFrame:
-    """Exact median per key, the mean of the two middle values where the count is even.
+def _value_counts(df: DataFrame, key: str, value: str, width: float) -> DataFrame:
+    """How often each value of a key occurs, with the range of ``width`` the value lies in."""
+    in_range = F.floor(F.col(value) / width).alias("_range")
+    return df.groupBy(key, F.col(value).alias("_value"), in_range).agg(F.count(F.lit(1)).alias("n"))
 
-    Equal values are counted together first. Positions are then summed up within ranges of ``width`` and
-    over the ranges of a key, so that no task holds all values of a key.
-    """
-    counts = df.filter(F.col(value).isNotNull()).groupBy(key, value).agg(F.count(F.lit(1)).alias("n"))
-    ranged = counts.withColumn("_range", F.floor(F.col(value) / width))
-    by_range = Window.partitionBy(key).orderBy("_range")
-    ranges = (
-        ranged.groupBy(key, "_range")
-        .agg(F.sum("n").alias("_in_range"))
-        .withColumn("_upto", F.sum("_in_range").over(by_range.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("_all", F.sum("_in_range").over(Window.partitionBy(key)))
-        .withColumn("_before", F.col("_upto") - F.col("_in_range"))
-        # Middle positions, counted from 1; only ranges that hold one of them go on.
-        .withColumn("_low", F.floor((F.col("_all") + 1) / 2))
-        .withColumn("_high", F.floor((F.col("_all") + 2) / 2))
-        .filter((F.col("_high") > F.col("_before")) & (F.col("_low") <= F.col("_upto")))
-        .select(key, "_range", "_before", "_low", "_high")
+
+def _range_sums(counts: DataFrame, key: str, width: float) -> DataFrame:
+    """Per range: count, mean, squared deviations, extremes; and over the ranges of a key: positions, mean."""
+    known = F.when(F.col("_value").isNotNull(), F.col("n")).otherwise(0)
+    offset = F.col("_value") - F.col("_range") * width
+    ranges = counts.groupBy(key, "_range").agg(
+        F.sum(known).alias("n"),
+        F.max("_value").alias("max"),
+        F.min("_value").alias("min"),
+        F.sum(F.col("n") * offset).alias("_s1"),
+        F.sum(F.col("n") * offset * offset).alias("_s2"),
+    )
+    in_order = Window.partitionBy(key).orderBy("_range").rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy(key)
+    return (
+        ranges.withColumns(
+            {
+                "_mean": F.when(F.col("n") > 0, F.col("_range") * width + F.col("_s1") / F.col("n")),
+                "_m2": F.when(F.col("n") > 0, F.col("_s2") - F.col("_s1") * F.col("_s1") / F.col("n")),
+            }
+        )
+        .withColumns(
+            {
+                "_upto": F.sum("n").over(in_order),
+                "_all": F.sum("n").over(whole),
+                "_total": F.sum(F.col("n") * F.col("_mean")).over(whole),
+            }
+        )
+        .withColumn("_avg", F.when(F.col("_all") > 0, F.col("_total") / F.col("_all")))
+    )
+
+
+def _medians(counts: DataFrame, ranges: DataFrame, key: str) -> DataFrame:
+    """Mean of the two middle values of each key; only the ranges that hold them are looked into."""
+    middle = (
+        ranges.withColumns(
+            {
+                "_before": F.col("_upto") - F.col("n"),
+                "_low": F.floor((F.col("_all") + 1) / 2),
+                "_high": F.floor((F.col("_all") + 2) / 2),
+            }
+        )
+        .filter((F.col("n") > 0) & (F.col("_high") > F.col("_before")) & (F.col("_low") <= F.col("_upto")))
+        .select(F.col(key).alias("_key"), F.col("_range").alias("_in"), "_before", "_low", "_high")
     )
-    inner = Window.partitionBy(key, "_range").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    # Null-safe, so that no filter is derived for the counts and their one shuffle serves both uses.
+    same = F.col(key).eqNullSafe(F.col("_key")) & F.col("_range").eqNullSafe(F.col("_in"))
+    within = Window.partitionBy("_key", "_in").orderBy("_value").rowsBetween(Window.unboundedPreceding, 0)
     placed = (
-        ranged.join(ranges, [key, "_range"])
-        .withColumn("_last", F.col("_before") + F.sum("n").over(inner))
+        counts.join(middle, same)
+        .withColumn("_last", F.col("_before") + F.sum("n").over(within))
         .withColumn("_first", F.col("_last") - F.col("n") + 1)
     )
 
     def at(position: str):
         here = F.col(position).between(F.col("_first"), F.col("_last"))
-        return F.max(F.when(here, F.col(value)))
+        return F.max(F.when(here, F.col("_value")))
+
+    return placed.groupBy("_key").agg(((at("_low") + at("_high")) / 2).alias("median"))
 
-    return placed.groupBy(key).agg(((at("_low") + at("_high")) / 2).alias("median"))
 
+def describe_by(df: DataFrame, key: str, value: str, width: float = 1.0) -> DataFrame:
+    """Count, maximum, minimum, exact median, mean and sample standard deviation of the numbers per key.
 
-def describe_by(df: DataFrame, key: str, value: str) -> DataFrame:
-    """Count, maximum, minimum, median, mean and sample standard deviation of the numbers per key."""
-    basic = df.groupBy(key).agg(
-        F.count(value).alias("count"),
-        F.max(value).alias("max"),
-        F.min(value).alias("min"),
-        F.avg(value).alias("avg"),
-        F.stddev_samp(value).alias("std"),
+    Equal values are counted together first, and everything else is made from those counts, so the rows
+    are read once. Positions and deviations are summed within ranges of ``width`` and then over the
+    ranges of a key: no task holds all values of a key.
+    """
+    counts = _value_counts(df.filter(F.col(key).isNotNull()), key, value, width)
+    ranges = _range_sums(counts, key, width)
+    shift = F.col("_mean") - F.col("_avg")
+    basic = ranges.groupBy(key).agg(
+        F.sum("n").alias("count"),
+        F.max("max").alias("max"),
+        F.min("min").alias("min"),
+        F.max("_avg").alias("avg"),
+        F.sum(F.col("_m2") + F.col("n") * shift * shift).alias("_dev"),
     )
-    return basic.join(exact_median(df, key, value), key, "left").select(
-        key, "count", "max", "min", "median", "avg", "std"
+    # Rounding may leave a tiny negative sum for equal values.
+    deviation = F.when(F.col("count") > 1, F.sqrt(F.greatest(F.col("_dev"), F.lit(0.0)) / (F.col("count") - 1)))
+    medians = _medians(counts, ranges, key).withColumnRenamed("_key", key)
+    return (
+        basic.join(medians, key, "left")
+        .withColumn("std", deviation)
+        .select(key, "count", "max", "min", "median", "avg", "std")
     )
 
 

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from herdloom.functions import first_gps
+from herdloom.functions import first_gps, strict_num
 
 
 def form_gps(forms: DataFrame) -> DataFrame:
@@ -28,8 +28,8 @@ def fill_gps(farms: DataFrame, forms: DataFrame, order: Sequence[str] = ("form_v
     """
     spots = form_gps(forms).withColumns(
         {
-            "_latitude": F.col("gps_latitude").try_cast("double"),
-            "_longitude": F.col("gps_longitude").try_cast("double"),
+            "_latitude": strict_num(F.col("gps_latitude")),
+            "_longitude": strict_num(F.col("gps_longitude")),
         }
     )
     one = (
@@ -69,15 +69,23 @@ def flag_inactive(
     )
 
 
+def _is_old(at: str, as_of: dt.date | Column, days: int) -> Column:
+    as_of = as_of if isinstance(as_of, Column) else F.lit(as_of)
+    return F.coalesce(F.col(at) < F.date_sub(as_of, days), F.lit(False))
+
+
 def retention_split(df: DataFrame, at: str, as_of: dt.date | Column, days: int = 20) -> tuple[DataFrame, DataFrame]:
     """Rows to keep and rows to archive: those more than ``days`` days old. A NULL time is kept."""
-    as_of = as_of if isinstance(as_of, Column) else F.lit(as_of)
-    old = F.col(at) < F.date_sub(as_of, days)
-    return df.filter(~F.coalesce(old, F.lit(False))), df.filter(old)
+    old = _is_old(at, as_of, days)
+    return df.filter(~old), df.filter(old)
+
+
+def retention_marked(df: DataFrame, at: str, as_of: dt.date | Column, days: int = 20) -> DataFrame:
+    """Every row with ``archived``, to write both parts in one pass, partitioned by it."""
+    return df.withColumn("archived", _is_old(at, as_of, days))
 
 
 def retention_counts(df: DataFrame, at: str, as_of: dt.date | Column, days: int = 20) -> DataFrame:
     """Dry run of :func:`retention_split`: how many rows would be kept and archived."""
-    as_of = as_of if isinstance(as_of, Column) else F.lit(as_of)
-    old = F.coalesce(F.col(at) < F.date_sub(as_of, days), F.lit(False))
+    old = _is_old(at, as_of, days)
     return df.agg(F.count_if(~old).alias("kept"), F.count_if(old).alias("archived"))

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from herdloom.functions import attr_text, attributes
+from herdloom.functions import attr_text, strict_num, with_attributes
 from herdloom.functions.attributes import BODY_WEIGHT
 from herdloom.operators.filters import created_between, events_of
 from herdloom.operators.lookups import with_name
@@ -35,7 +35,8 @@ def weight_rows(tables: Mapping[str, DataFrame], start, end) -> DataFrame:
     """Weights created by an agent in the period; a weight that is no number is NULL."""
     weights = events_of(tables["core_animal_event"], WEIGHT)
     weights = created_between(weights, start, end, known="field_agent_id")
-    text = attr_text(attributes(F.col("additional_attributes")), BODY_WEIGHT)
-    return with_name(weights, tables["core_country"], "country_id", "country", "inner").select(
-        "country", F.to_date("created_at").alias("weight_date"), text.try_cast("double").alias("total")
+    weights = weights.select("country_id", "created_at", "additional_attributes")
+    total = strict_num(attr_text(F.col("attrs"), BODY_WEIGHT))
+    return with_name(with_attributes(weights), tables["core_country"], "country_id", "country", "inner").select(
+        "country", F.to_date("created_at").alias("weight_date"), total.alias("total")
     )

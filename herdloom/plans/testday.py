@@ -8,7 +8,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from herdloom.functions import attr_text, attributes, milk_total_lenient
+from herdloom.functions import attr_text, attributes, sum_known, with_attr_texts, with_attributes
 from herdloom.functions.attributes import (
     BODY_LENGTH,
     BODY_SCORE,
@@ -61,17 +61,11 @@ def milk_weight_days(events: DataFrame) -> DataFrame:
 
     Milk and weights of a day meet in one grouping, which replaces their join.
     """
-    rows = (
-        events.filter(F.col("event_type").isin(MILK, WEIGHT) & F.col("event_date").isNotNull())
-        .select("id", "animal_id", "country_id", "event_type", F.col("event_date").alias("milkdate"),
-                attributes(F.col("additional_attributes")).alias("attrs"))
-    )
+    rows = with_attributes(events.filter(F.col("event_type").isin(MILK, WEIGHT) & F.col("event_date").isNotNull()))
+    rows = rows.withColumnRenamed("event_date", "milkdate")
+    rows = with_attr_texts(rows, "attrs", **MILK_TEXTS, **WEIGHT_TEXTS)
+    rows = rows.withColumn("TotalMilk", sum_known(F.col("MilkAM"), F.col("MilkMidDay"), F.col("MilkPM")))
     is_milk = F.col("event_type") == MILK
-    attrs = F.col("attrs")
-    texts = {name: attr_text(attrs, a) for name, a in (MILK_TEXTS | WEIGHT_TEXTS).items()}
-    rows = rows.select("id", "animal_id", "country_id", "event_type", "milkdate",
-                       milk_total_lenient(attrs).alias("TotalMilk"),
-                       *[c.alias(name) for name, c in texts.items()])
 
     def first_of(name: str, event_type: int):
         known = (F.col("event_type") == event_type) & F.col(name).isNotNull()

@@ -8,7 +8,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from herdloom.functions import attr_text, attributes, lenient_num, months_apart
+from herdloom.functions import lenient_num, months_apart, with_attr_texts, with_attributes
 from herdloom.functions.attributes import BODY_WEIGHT, HEART_GIRTH
 from herdloom.operators.filters import events_of
 from herdloom.operators.lookups import (
@@ -126,22 +126,10 @@ def weight_staged(
         F.col("animal_type").alias("type_code"),
         "birthdate", "longitude", "latitude",
     )
-    weighings = (
-        events_of(tables["core_animal_event"], WEIGHT, start=start, end=end)
-        .select(
-            "animal_id",
-            F.col("id").alias("weight_id"),
-            F.col("event_date").alias("weight_date"),
-            attributes(F.col("additional_attributes")).alias("attrs"),
-        )
-        .withColumns(
-            {
-                "heart_girth": attr_text(F.col("attrs"), HEART_GIRTH),
-                "body_weight": attr_text(F.col("attrs"), BODY_WEIGHT),
-            }
-        )
-        .drop("attrs")
+    weighings = with_attributes(events_of(tables["core_animal_event"], WEIGHT, start=start, end=end)).select(
+        "animal_id", F.col("id").alias("weight_id"), F.col("event_date").alias("weight_date"), "attrs"
     )
+    weighings = with_attr_texts(weighings, "attrs", heart_girth=HEART_GIRTH, body_weight=BODY_WEIGHT).drop("attrs")
     df = weighings.join(animals, "animal_id")
     df = with_name(df, tables["core_country"], "country_id", "country")
     df = with_places(df, tables["country_units"])

@@ -12,6 +12,9 @@ STAMP_TIME = "Extract_Datetime_UTC"
 STAMP_VERSION = "Version"
 STAMP_FORMAT = "%Y-%m-%d %H:%M:%S"
 
+# Texts are written as they are: blanks at either end stay, a quote within a text is doubled.
+CSV = {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
 
 def stage(df: DataFrame, path: str, run_id: str) -> None:
     """Add one run to a staging table.
@@ -54,11 +57,11 @@ def write_extract(df: DataFrame, path: str, *order: str) -> None:
     """Header CSV, gzip, sorted across the files when ``order`` is given."""
     if order:
         df = df.orderBy(*order)
-    df.write.mode("overwrite").option("header", True).option("compression", "gzip").csv(path)
+    df.write.mode("overwrite").options(**CSV).option("header", True).option("compression", "gzip").csv(path)
 
 
 def read_extract(spark: SparkSession, path: str, schema) -> DataFrame:
-    return spark.read.schema(schema).option("header", True).csv(path)
+    return spark.read.schema(schema).options(**CSV).option("header", True).csv(path)
 
 
 def stamp(df: DataFrame, extracted_at: dt.datetime, version: str) -> DataFrame:
@@ -78,5 +81,5 @@ def export_lists(lists: dict[str, DataFrame], path: str) -> dict[str, str]:
     where = {}
     for name, df in lists.items():
         where[name] = f"{path}/{name}"
-        df.write.mode("overwrite").csv(where[name])
+        df.write.mode("overwrite").options(**CSV).csv(where[name])
     return where

@@ -25,6 +25,11 @@ def test_lenient_num(spark, text, number):
     assert one(spark, H.lenient_num(F.col("c")), c=("string", text)) == number
 
 
+@pytest.mark.parametrize(("text", "number"), [(" 7.5 ", 7.5), ("12abc", None), ("", None), ("NaN", None), ("1d", None), (None, None)])
+def test_strict_num(spark, text, number):
+    assert one(spark, H.strict_num(F.col("c")), c=("string", text)) == number
+
+
 @pytest.mark.parametrize(
     ("bag", "text"),
     [

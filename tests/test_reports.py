@@ -90,14 +90,15 @@ def test_statistics(spark, width):
         "odd": [float(rng.randrange(5)) for _ in range(31)],
         "even": [-3.5, 1.0, 2.0, 90.0],
         "one": [7.25],
-        "same": [2.0] * 8,
+        "same": [2.1] * 8,
+        "far": [1e9 + x / 4 for x in range(40)],
     }
-    rows = [(k, v) for k, values in groups.items() for v in values] + [("odd", None), ("empty", None)]
+    rows = [(k, v) for k, values in groups.items() for v in values] + [("odd", None), ("empty", None), (None, 1.0)]
     rng.shuffle(rows)
     df = spark.createDataFrame(rows, "k string, v double")
-    medians = {r.k: r.median for r in reports.exact_median(df, "k", "v", width).collect()}
-    assert medians == {k: pytest.approx(statistics.median(v)) for k, v in groups.items()}
-    out = {r.k: r for r in reports.describe_by(df, "k", "v").collect()}
+    out = {r.k: r for r in reports.describe_by(df, "k", "v", width).collect()}
+    assert sorted(out) == sorted([*groups, "empty"])
+    assert {k: out[k].median for k in groups} == {k: pytest.approx(statistics.median(v)) for k, v in groups.items()}
     assert (out["empty"]["count"], out["empty"]["median"], out["empty"]["avg"]) == (0, None, None)
     for k, values in groups.items():
         r = out[k]
