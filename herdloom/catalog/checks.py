@@ -82,8 +82,8 @@ def _rounded(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.round(c, 4) for c in ("longitude", "latitude")})
 
 
-def _lactation(t, country=None, keep_violations=False):
-    return _rounded(lactation.lactation_extract(t, LONG_START, LONG_END, AS_OF, country, keep_violations))
+def _lactation(t, country=None):
+    return _rounded(lactation.lactation_extract(t, LONG_START, LONG_END, AS_OF, country))
 
 
 def _lactation_query(name: str, country: int | None):
@@ -383,11 +383,11 @@ for _name, _rules, _channel in (
 
 
 def _rates(t):
-    checked = _lactation(t, keep_violations=True).withColumns(
+    staged, all_rules = _lactation_rules(t)
+    staged = staged.withColumns(
         {"report_year": F.year("calving_date"), "report_week": sunday_week(F.col("calving_date"))}
     )
-    by = ["country_id", "country", "report_year", "report_week"]
-    return rules.error_rates(checked, list(LACTATION_CHECKS), by)
+    return rules.error_rates(staged, all_rules, ["country_id", "country", "report_year", "report_week"])
 
 
 RATES_SQL = (

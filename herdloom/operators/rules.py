@@ -24,37 +24,19 @@ class Rule:
     channel: str = "comments"
 
 
-def apply_rules(df: DataFrame, rules: Sequence[Rule], keep_violations: bool = False) -> DataFrame:
+def apply_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Add ``status`` (1 clean, 0 not) and one text column per channel, NULL where no rule fired.
 
-    Messages come in the order of the rules. A condition that is NULL does not fire. With
-    ``keep_violations`` the names of the rules that fired stay as an array.
+    Messages come in the order of the rules. A condition that is NULL does not fire.
     """
     channels = list(dict.fromkeys(r.channel for r in rules))
-    lists = {
-        f"_{channel}": F.array_compact(
-            F.array(*[F.when(r.fires, F.lit(r.message)) for r in rules if r.channel == channel])
-        )
-        for channel in channels
-    }
-    if keep_violations:
-        lists["violations"] = F.array_compact(F.array(*[F.when(r.fires, F.lit(r.name)) for r in rules]))
-    texts = {
-        channel: F.when(
-            F.size(f"_{channel}") > 0,
-            F.concat(F.lit(SEPARATOR), F.array_join(f"_{channel}", SEPARATOR)),
-        )
-        for channel in channels
-    }
-    clean = F.lit(True)
+    texts, clean = {}, F.lit(True)
     for channel in channels:
-        clean = clean & F.col(channel).isNull()
-    return (
-        df.withColumns(lists)
-        .withColumns(texts)
-        .withColumn("status", F.when(clean, 1).otherwise(0))
-        .drop(*[f"_{channel}" for channel in channels])
-    )
+        messages = [F.when(r.fires, F.lit(r.message)) for r in rules if r.channel == channel]
+        texts[channel] = F.concat_ws(SEPARATOR, *messages)  # passes over NULLs
+        clean = clean & (F.col(channel) == "")
+    leading = {c: F.when(F.col(c) != "", F.concat(F.lit(SEPARATOR), F.col(c))) for c in channels}
+    return df.withColumns(texts).withColumns({"status": F.when(clean, 1).otherwise(0), **leading})
 
 
 def outside(value: Column, low: Column, high: Column) -> Column:
@@ -100,18 +82,17 @@ def age_class(age_months: Column, calf_age: Column) -> Column:
     )
 
 
-def error_rates(checked: DataFrame, rules: Sequence[str], by: Sequence[str]) -> DataFrame:
+def error_rates(df: DataFrame, rules: Sequence[Rule], by: Sequence[str]) -> DataFrame:
     """Records, violations and violation rate in percent per group and rule, rules without any included.
 
-    ``checked`` carries the ``violations`` array. All rules are counted in one grouping and then turned
-    into rows; nothing is exploded before the shuffle.
+    All rules are counted in one grouping of the unchecked rows; only its few results become rows per rule.
     """
-    counts = [F.count_if(F.array_contains("violations", r)).alias(f"_{i}") for i, r in enumerate(rules)]
-    grouped = checked.groupBy(*by).agg(F.count(F.lit(1)).alias("total_records"), *counts)
+    counts = [F.count_if(r.fires).alias(f"_{i}") for i, r in enumerate(rules)]
+    grouped = df.groupBy(*by).agg(F.count(F.lit(1)).alias("total_records"), *counts)
     rows = F.explode(
         F.array(
             *[
-                F.struct(F.lit(r).alias("rule"), F.col(f"_{i}").alias("total_error_records"))
+                F.struct(F.lit(r.name).alias("rule"), F.col(f"_{i}").alias("total_error_records"))
                 for i, r in enumerate(rules)
             ]
         )

@@ -120,10 +120,8 @@ def lactation_extract(
     end: dt.date | str,
     as_of: dt.date,
     country: int | None = None,
-    keep_violations: bool = False,
 ) -> DataFrame:
     """Staged calvings with ``comments`` and ``status``."""
     staged = lactation_staged(tables, start, end, country)
     rules = lactation_rules(tables["interface_limit_parameters"], as_of)
-    checked = apply_rules(staged, rules, keep_violations).drop("animal_type_id", "copies")
-    return checked if keep_violations else checked.drop("country_id")
+    return apply_rules(staged, rules).drop("animal_type_id", "country_id", "copies")

@@ -151,9 +151,7 @@ def pedigree_extract(
     tables: Mapping[str, DataFrame],
     country_name: str | None = None,
     parentage: bool = True,
-    keep_violations: bool = False,
 ) -> DataFrame:
     """All animals with ``warning``, ``error`` and ``status``; none is left out."""
-    df = apply_rules(pedigree_staged(tables, country_name), pedigree_rules(parentage), keep_violations)
-    extra = ["violations", "country_id"] if keep_violations else []
-    return df.select(*COLUMNS, "warning", "error", "status", *extra)
+    df = apply_rules(pedigree_staged(tables, country_name), pedigree_rules(parentage))
+    return df.select(*COLUMNS, "warning", "error", "status")

@@ -161,11 +161,10 @@ def weight_extract(
     end: dt.date | str,
     as_of: dt.date,
     country: int | None = None,
-    keep_violations: bool = False,
 ) -> DataFrame:
     """Staged weighings with ``comments`` and ``status``."""
     staged = weight_staged(tables, start, end, country)
     rules = weight_rules(tables["interface_limit_parameters"], as_of)
-    return apply_rules(staged, rules, keep_violations).drop(
+    return apply_rules(staged, rules).drop(
         "girth_value", "weight_value", "age_class", "is_duplicate"
     )

@@ -289,8 +289,8 @@ def test_settings(spark, table):
 
 
 def test_error_rates_and_report(spark, table):
-    df = spark.createDataFrame([(1, ["a", "b"]), (1, ["a"]), (1, []), (2, [])], "country_id bigint, violations array<string>")
-    rates = error_rates(df, ["a", "b"], ["country_id"])
+    df = spark.createDataFrame([(1, 3), (1, 2), (1, None), (2, 0)], "country_id bigint, x int")
+    rates = error_rates(df, [Rule("a", F.col("x") > 1, "A"), Rule("b", F.col("x") > 2, "B")], ["country_id"])
     rows = {(r.country_id, r.rule): (r.total_records, r.total_error_records, r.error_rate) for r in rates.collect()}
     assert rows == {(1, "a"): (3, 2, 66.67), (1, "b"): (3, 1, 33.33), (2, "a"): (1, 0, 0.0), (2, "b"): (1, 0, 0.0)}
     base = {"country_id": 1, "quality_check": 1, "total_records": 9, "report_year": 2024, "report_week": 2, "deleted": 0}

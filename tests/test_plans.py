@@ -101,3 +101,40 @@ def test_duplicates_are_counted_before_the_shuffle(tables):
 def test_top_n_is_cut_before_the_shuffle(tables, spark):
     activity = spark.range(10).selectExpr("string(id % 3) country", "string(id) enumerator", "'Milking' event", "id total")
     assert "WindowGroupLimit" in plan(reports.top_n(activity))
+
+
+@pytest.fixture
+def split_skew(spark):
+    """Thresholds at which a small hot partition counts as one that must be split."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "40KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_hot_sire_is_split(spark, split_skew):
+    hot = spark.range(0, 60000, numPartitions=16).selectExpr(
+        "id", "if(id % 3 = 0, 1, id * 7919 % 60000) sire_id", "id * 31 % 60000 dam_id", "concat('T', id) tag_id",
+        "concat('S', id) sire_tag_id", "concat('D', id) dam_tag_id", "date '2020-01-01' birthdate",
+    )
+    out = lookups.with_parents(hot)
+    assert len(out.collect()) == 60000
+    assert "skew=true" in plan(out)
+
+
+def test_hot_calving_day_is_split(spark, split_skew):
+    hot = spark.range(0, 90000, numPartitions=16).selectExpr(
+        "id", "if(id % 3 = 0, 1, id % 20000) animal_id", "date_add(date '2020-01-01', if(id % 3 = 0, 0, cast(id % 7 as int))) event_date"
+    )
+    out = history.calving_history(hot)
+    assert len(out.collect()) == 90000
+    assert "skew=true" in plan(out)
