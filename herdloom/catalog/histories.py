@@ -88,8 +88,9 @@ def asof_calving(t):
     LINKED_SQL,
 )
 def testday_number(t):
-    linked = _linked(t).drop("additional_attributes")
-    return history.testday_number(linked).select("event_id", "animal_id", "parity", "testdaynumber")
+    milk = _milk(t).drop("additional_attributes")
+    numbered = history.testday_number(milk, _lactations(t))
+    return numbered.select("event_id", "animal_id", "parity", "testdaynumber")
 
 
 @query(

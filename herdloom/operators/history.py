@@ -159,32 +159,38 @@ def asof_calving(
     """
     days = milk.select(animal, milk_day).distinct()
     linked = asof_days(days, lactations, animal, milk_day, calving_day)
-    return _back_to_events(milk, linked, animal, milk_day)
+    # A record without a day meets no row and keeps its NULLs.
+    return milk.join(linked, [animal, milk_day], "left")
 
 
 def testday_number(
-    linked: DataFrame, animal="animal_id", day="milkdate", id="event_id", parity="parity"
+    milk: DataFrame,
+    lactations: DataFrame,
+    animal="animal_id",
+    milk_day="milkdate",
+    calving_day="calvdate",
+    id="event_id",
 ) -> DataFrame:
-    """Running number of a milk record within animal and parity by (day, id); NULL without a parity.
+    """:func:`asof_calving` and the running number of each record within animal and parity by (day, id).
 
-    Numbers are counted within blocks of one day, and each block starts where the counts of the blocks
-    before it end, so that no task sorts all records of an animal.
+    Records are counted per day and block of ids before the link, a block starts where the counts of the
+    blocks before it end, and only the records of one block are sorted to be numbered: no task sorts all
+    records of an animal. Without a calving there is no number.
     """
-    by = [animal, parity]
-    block = [*by, day, "_block"]
-    blocks = linked.withColumn("_block", F.floor(F.col(id) / ID_BLOCK))
-    w = _days(by, F.col(day).asc_nulls_first(), "_block")
-    starts = (
-        blocks.filter(F.col(parity).isNotNull())
-        .groupBy(*block)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_start", F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    block = [animal, milk_day, "_block"]
+    blocks = milk.withColumn("_block", F.floor(F.col(id) / ID_BLOCK))
+    counts = blocks.groupBy(*block).agg(F.count(F.lit(1)).alias("_n"))
+    before = _days([animal, "parity"], F.col(milk_day).asc_nulls_first(), "_block")
+    before = before.rowsBetween(Window.unboundedPreceding, -1)
+    linked = (
+        asof_days(counts, lactations, animal, milk_day, calving_day)
+        .withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0)))
         .drop("_n")
     )
     number = F.row_number().over(_days(block, id)) + F.col("_start")
     return (
-        blocks.join(starts, block, "left")
-        .withColumn("testdaynumber", number.cast("int"))
+        blocks.join(linked, block, "left")
+        .withColumn("testdaynumber", F.when(F.col("parity").isNotNull(), number).cast("int"))
         .drop("_block", "_start")
     )
 

@@ -68,7 +68,7 @@ def test_asof_calving(table, calvings):
         17: (day("2020-01-01"), 1),
         18: (None, None),
     }
-    numbers = {r.event_id: r.testdaynumber for r in history.testday_number(linked).collect()}
+    numbers = {r.event_id: r.testdaynumber for r in history.testday_number(frame, lactations).collect()}
     assert numbers == {10: None, 11: 1, 12: 2, 17: 3, 13: 1, 14: 1, 15: 1, 16: None, 18: None}
 
 
@@ -168,10 +168,12 @@ def test_asof_and_numbers_of_a_hot_animal(spark, skewed, monkeypatch):
         else:
             expected[i] = (None, None, None)
     lactations = history.parity_days(spark.createDataFrame(calvings, CALVINGS), 3).withColumnRenamed("event_date", "calvdate")
-    linked = history.asof_calving(spark.createDataFrame(milk, MILK), lactations)
-    rows = history.testday_number(linked).collect()
+    frame = spark.createDataFrame(milk, MILK)
+    rows = history.testday_number(frame, lactations).collect()
     assert {r.event_id: (r.closest_calvdate, r.parity, r.testdaynumber) for r in rows} == expected
     assert len(rows) == len(milk)
+    linked = history.asof_calving(frame, lactations).collect()
+    assert {r.event_id: (r.closest_calvdate, r.parity) for r in linked} == {i: v[:2] for i, v in expected.items()}
     assert all(r.closest_calvdate is None or r.closest_calvdate <= r.milkdate for r in rows)
 
 
