@@ -386,9 +386,8 @@ def user_event_names(t):
     from core_animal_event e where e.event_type = 1""",
 )
 def limit_lookup(t):
-    table = t["interface_limit_parameters"]
-    low, high = limits(table, category="calving_interval")
-    missing, _ = limits(table, category="no such limit")
+    keys = [{"category": "calving_interval"}, {"category": "no such limit"}]
+    (low, high), (missing, _) = limits(t["interface_limit_parameters"], *keys)
     calvings = filters.events_of(t["core_animal_event"], reports.CALVING)
     return calvings.select("id", low.alias("low"), high.alias("high"), missing.alias("missing"))
 

@@ -6,7 +6,7 @@ need other rows (duplicates, membership) are joined beforehand.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -57,20 +57,26 @@ def duplicate_keys(df: DataFrame, *keys: str) -> DataFrame:
     )
 
 
-def setting(table: DataFrame, value: Column, **key) -> Column:
-    """One value of a settings table as a scalar: NULL, not a missing row, when there is none.
+def settings(table: DataFrame, values: Sequence[str], *keys: Mapping) -> list[Column]:
+    """Values of several rows of a settings table, each as a struct, through one scalar lookup.
 
-    The row with the lowest id counts. Spark runs the lookup once and puts the value into the plan.
+    A key names columns and the value each must have; of several rows the lowest id counts. A key without
+    a row gives NULL and loses nothing. Spark runs the lookup once and puts the result into the plan.
     """
-    for name, wanted in key.items():
-        table = table.filter(F.col(name) == wanted)
-    # The struct keeps a NULL value of the chosen row from being passed over.
-    return table.agg(F.min_by(F.struct(value.alias("value")), "id")["value"]).scalar()
-
-
-def limits(table: DataFrame, **key) -> tuple[Column, Column]:
-    """Lower and upper limit of a category or id."""
-    return setting(table, F.col("min_value"), **key), setting(table, F.col("max_value"), **key)
+    found = []
+    for i, key in enumerate(keys):
+        matches = F.lit(True)
+        for name, wanted in key.items():
+            matches = matches & (F.col(name) == wanted)
+        found.append(F.min_by(F.struct(*values), F.when(matches, F.col("id"))).alias(f"row_{i}"))
+    rows = table.agg(F.struct(*found)).scalar()
+    return [rows[f"row_{i}"] for i in range(len(keys))]
+
+
+def limits(table: DataFrame, *keys: Mapping) -> list[tuple[Column, Column]]:
+    """Lower and upper limit for each key (a category or an id)."""
+    rows = settings(table, ["min_value", "max_value"], *keys)
+    return [(row["min_value"], row["max_value"]) for row in rows]
 
 
 def age_class(age_months: Column, calf_age: Column) -> Column:

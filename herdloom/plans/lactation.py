@@ -14,7 +14,7 @@ from herdloom.operators.lookups import ANIMAL_TYPES, BREEDS, SEXES, with_code, w
 from herdloom.operators.reports import CALVING
 from herdloom.operators.rules import Rule, apply_rules, limits, outside
 
-# Columns of the report, rule messages, default age limit and days per month of age.
+# Columns of the report, rule messages, limit categories, default age limit, days per month.
 COLUMNS = [
     "farm_name", "country", "region", "district", "ward", "village", "longitude", "latitude",
     "animal_id", "tag_id", "animal_registration_date", "main_breed", "birthdate", "animal_sex",
@@ -27,6 +27,8 @@ FUTURE = "Future Calving Date"
 BAD_INTERVAL = "Invalid Calving Interval"
 BAD_AGE = "Invalid Calving Age"
 BAD_TYPE = "Invalid Animal Type"
+INTERVAL = "calving_interval"
+FIRST_AGE = "age_at_first_calving"
 FIRST_AGE_MONTHS = 18
 DAYS_PER_MONTH = 30
 CALVING_TYPES = (1, 2)
@@ -35,12 +37,10 @@ UNKNOWN_BREED = "Unknown"
 
 
 def lactation_rules(limit_table: DataFrame, as_of: dt.date) -> list[Rule]:
-    low, high = limits(limit_table, category="calving_interval")
-    # A limit that is NULL takes the default; no row at all leaves the rule silent.
-    first_age, _ = limits(
-        limit_table.withColumn("min_value", F.coalesce("min_value", F.lit(float(FIRST_AGE_MONTHS)))),
-        category="age_at_first_calving",
-    )
+    # A minimum age that is NULL takes the default; no row at all leaves the rule silent.
+    default = F.when(F.col("category") == FIRST_AGE, float(FIRST_AGE_MONTHS))
+    defaulted = limit_table.withColumn("min_value", F.coalesce("min_value", default))
+    (low, high), (first_age, _) = limits(defaulted, {"category": INTERVAL}, {"category": FIRST_AGE})
     day = F.col("calving_date")
     return [
         Rule("calving_duplicate", F.col("copies") > 1, DUPLICATE),

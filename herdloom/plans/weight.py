@@ -28,7 +28,7 @@ from herdloom.operators.rules import (
     duplicate_keys,
     limits,
     outside,
-    setting,
+    settings,
 )
 
 # Columns of the report, rule messages, ids of the limits, coordinate bound.
@@ -56,26 +56,26 @@ GPS_BOUND = 180.0
 UNKNOWN_BREED = "Unknown"
 
 
-def calf_age(settings: DataFrame) -> Column:
+def calf_age(table: DataFrame) -> Column:
     """Age in months up to which an animal is a calf."""
-    return setting(settings, F.col("graduation_value"), id=CALF_AGE)
+    (row,) = settings(table, ["graduation_value"], {"id": CALF_AGE})
+    return row["graduation_value"]
 
 
-def _range_rules(
-    name: str, value: Column, limit_table: DataFrame, calf: int, mature: int, any_age: str, for_age: str
-) -> list[Rule]:
-    calf_low, calf_high = limits(limit_table, id=calf)
-    mature_low, mature_high = limits(limit_table, id=mature)
+def _range_rules(name: str, value: Column, calf: tuple, mature: tuple, any_age: str, for_age: str) -> list[Rule]:
     group = F.col("age_class")
     return [
-        Rule(f"{name}_any_age", F.col("birthdate").isNull() & outside(value, calf_low, mature_high), any_age),
-        Rule(f"{name}_calf", (group == "calf") & outside(value, calf_low, calf_high), for_age),
-        Rule(f"{name}_mature", (group == "mature") & outside(value, mature_low, mature_high), for_age),
+        Rule(f"{name}_any_age", F.col("birthdate").isNull() & outside(value, calf[0], mature[1]), any_age),
+        Rule(f"{name}_calf", (group == "calf") & outside(value, *calf), for_age),
+        Rule(f"{name}_mature", (group == "mature") & outside(value, *mature), for_age),
     ]
 
 
 def weight_rules(limit_table: DataFrame, as_of: dt.date, gps_bound: float = GPS_BOUND) -> list[Rule]:
+    ids = (CALF_GIRTH, MATURE_GIRTH, CALF_WEIGHT, MATURE_WEIGHT)
+    calf_girth, mature_girth, calf_weight, mature_weight = limits(limit_table, *[{"id": i} for i in ids])
     day = F.col("weight_date")
+    girth, weight = F.col("girth_value"), F.col("weight_value")
     longitude, latitude = F.col("longitude"), F.col("latitude")
     bounds = F.lit(-gps_bound), F.lit(gps_bound)
     return [
@@ -87,12 +87,8 @@ def weight_rules(limit_table: DataFrame, as_of: dt.date, gps_bound: float = GPS_
             F.col("heart_girth").isNull() & F.col("body_weight").isNull(),
             NOTHING_MEASURED,
         ),
-        *_range_rules(
-            "girth", F.col("girth_value"), limit_table, CALF_GIRTH, MATURE_GIRTH, GIRTH_RANGE, GIRTH_RANGE_FOR_AGE
-        ),
-        *_range_rules(
-            "weight", F.col("weight_value"), limit_table, CALF_WEIGHT, MATURE_WEIGHT, WEIGHT_RANGE, WEIGHT_RANGE_FOR_AGE
-        ),
+        *_range_rules("girth", girth, calf_girth, mature_girth, GIRTH_RANGE, GIRTH_RANGE_FOR_AGE),
+        *_range_rules("weight", weight, calf_weight, mature_weight, WEIGHT_RANGE, WEIGHT_RANGE_FOR_AGE),
         Rule(
             "gps_range",
             longitude.isNotNull()

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from herdloom import plans
-from herdloom.operators.rules import Rule, apply_rules, duplicate_keys, error_rates, limits, quality_report, setting
+from herdloom.operators.rules import Rule, apply_rules, duplicate_keys, error_rates, limits, quality_report
 from herdloom.plans import lactation_extract, pedigree_extract, weight_extract, yield_by_breed_region
 
 AS_OF = dt.date(2024, 6, 30)
@@ -280,9 +280,7 @@ def test_settings(spark, table):
         {"id": 2, "category": "c", "min_value": None, "max_value": 4.0},
         {"id": 9, "category": "d", "min_value": 1.0, "max_value": 2.0},
     ]
-    settings = table("interface_limit_parameters", *rows)
-    low, high = limits(settings, category="c")
-    gone = setting(settings, F.col("min_value"), category="x")
+    (low, high), (gone, _) = limits(table("interface_limit_parameters", *rows), {"category": "c"}, {"category": "x"})
     out = spark.range(2).select("id", low.alias("low"), high.alias("high"), gone.alias("gone")).collect()
     # The lowest id counts, even with a NULL in it; no row at all gives NULL and loses no row.
     assert [(r.low, r.high, r.gone) for r in out] == [(None, 4.0, None)] * 2
