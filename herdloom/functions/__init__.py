@@ -6,7 +6,6 @@ from herdloom.functions.attributes import (
     first_gps,
     milk_total_lenient,
     milk_total_strict,
-    sum_known,
     with_attr_texts,
     with_attributes,
 )
@@ -38,7 +37,6 @@ __all__ = [
     "period",
     "same_name",
     "strict_num",
-    "sum_known",
     "sunday_week",
     "with_attr_texts",
     "with_attributes",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,11 +45,11 @@ def with_attributes(df: DataFrame, name: str = "attrs", bag: str = "additional_a
     return _once(df, name, attributes(F.col(bag)))
 
 
-def with_attr_texts(df: DataFrame, attrs: str, **texts: str) -> DataFrame:
-    """Add the texts of several attributes (``column=attribute id``), looked up once per row."""
-    fields = [attr_text(F.col(attrs), attr_id).alias(name) for name, attr_id in texts.items()]
-    looked_up = _once(df, "_texts", F.struct(*fields))
-    return looked_up.withColumns({name: F.col("_texts")[name] for name in texts}).drop("_texts")
+def with_attr_texts(df: DataFrame, attrs: str, texts: Mapping[str, str], **computed: Column) -> DataFrame:
+    """Add texts of attributes (column -> attribute id) and computed columns, each made once per row."""
+    columns = {name: attr_text(F.col(attrs), attr_id) for name, attr_id in texts.items()} | computed
+    made = _once(df, "_made", F.struct(*[c.alias(name) for name, c in columns.items()]))
+    return made.withColumns({name: F.col("_made")[name] for name in columns}).drop("_made")
 
 
 def attr_text(attrs: Column, attr_id: str) -> Column:
@@ -67,18 +69,11 @@ def milk_total_strict(attrs: Column, digits: int | None = 2) -> Column:
     return parts[0] + parts[1] + parts[2]
 
 
-def sum_known(*texts: Column) -> Column:
-    """Sum of the numbers texts start with; a missing one counts as 0."""
-    numbers = [F.coalesce(lenient_num(t), F.lit(0.0)) for t in texts]
-    total = numbers[0]
-    for number in numbers[1:]:
-        total = total + number
-    return total
-
-
 def milk_total_lenient(attrs: Column) -> Column:
     """Morning + midday + evening milk; a missing key counts as 0."""
-    return sum_known(*[attr_text(attrs, a) for a in (MILK_MORNING, MILK_MIDDAY, MILK_EVENING)])
+    texts = [attr_text(attrs, a) for a in (MILK_MORNING, MILK_MIDDAY, MILK_EVENING)]
+    parts = [F.coalesce(lenient_num(t), F.lit(0.0)) for t in texts]
+    return parts[0] + parts[1] + parts[2]
 
 
 def first_gps(form: Column) -> Column:

@@ -8,7 +8,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from herdloom.functions import attr_text, attributes, sum_known, with_attr_texts, with_attributes
+from herdloom.functions import attr_text, attributes, milk_total_lenient, with_attr_texts, with_attributes
 from herdloom.functions.attributes import (
     BODY_LENGTH,
     BODY_SCORE,
@@ -63,9 +63,9 @@ def milk_weight_days(events: DataFrame) -> DataFrame:
     """
     rows = with_attributes(events.filter(F.col("event_type").isin(MILK, WEIGHT) & F.col("event_date").isNotNull()))
     rows = rows.withColumnRenamed("event_date", "milkdate")
-    rows = with_attr_texts(rows, "attrs", **MILK_TEXTS, **WEIGHT_TEXTS)
-    rows = rows.withColumn("TotalMilk", sum_known(F.col("MilkAM"), F.col("MilkMidDay"), F.col("MilkPM")))
     is_milk = F.col("event_type") == MILK
+    total = F.when(is_milk, milk_total_lenient(F.col("attrs")))
+    rows = with_attr_texts(rows, "attrs", MILK_TEXTS | WEIGHT_TEXTS, TotalMilk=total)
 
     def first_of(name: str, event_type: int):
         known = (F.col("event_type") == event_type) & F.col(name).isNotNull()

@@ -125,7 +125,7 @@ def weight_staged(
     weighings = with_attributes(events_of(tables["core_animal_event"], WEIGHT, start=start, end=end)).select(
         "animal_id", F.col("id").alias("weight_id"), F.col("event_date").alias("weight_date"), "attrs"
     )
-    weighings = with_attr_texts(weighings, "attrs", heart_girth=HEART_GIRTH, body_weight=BODY_WEIGHT).drop("attrs")
+    weighings = with_attr_texts(weighings, "attrs", {"heart_girth": HEART_GIRTH, "body_weight": BODY_WEIGHT}).drop("attrs")
     df = weighings.join(animals, "animal_id")
     df = with_name(df, tables["core_country"], "country_id", "country")
     df = with_places(df, tables["country_units"])
