@@ -9,6 +9,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from herdloom.session import SETTINGS
 from herdloom.sources import read_table
 
 RAW = {
@@ -176,6 +177,8 @@ class Tables(Mapping):
         self.spark = spark
         self.sf_dir = sf_dir
         self._built: dict[str, DataFrame] = {}
+        # The event view is itself a join by animal, and groupings by animal would build on it.
+        spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", SETTINGS["spark.sql.adaptive.forceOptimizeSkewedJoin"])
 
     def raw(self, name: str) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name, RAW[name])

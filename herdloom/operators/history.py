@@ -15,6 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from herdloom.operators.lookups import join_grouped
+
 # Calvings closer than this to the previous one are not counted as a new lactation (fixed value).
 MIN_CALVING_GAP = 220
 
@@ -216,9 +218,9 @@ def link_by_day(milk: DataFrame, weights: DataFrame, animal: str, day: str, weig
     milk record is repeated.
     """
     values = [c for c in weights.columns if c not in (animal, weight_day, order)]
-    known = weights.filter(F.col(weight_day).isNotNull())
+    known = weights.dropna(subset=[animal, weight_day])
     one = first_per_group(known, [animal, weight_day], order, values).withColumnRenamed(weight_day, day)
-    return milk.join(one, [animal, day], "left")
+    return join_grouped(milk, one, [animal, day])
 
 
 def attach_events(linked: DataFrame, details: DataFrame, id: str = "event_id") -> DataFrame:

@@ -90,6 +90,20 @@ def in_country(df: DataFrame, countries: DataFrame, name: str) -> DataFrame:
     return df.join(ids, "country_id", "left_semi")
 
 
+def join_grouped(df: DataFrame, grouped: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Left join to a grouping on its keys, none of which is NULL, such that hot keys can be split.
+
+    A plain join would take over the partitioning of the grouping, and adaptive execution only splits a
+    join of two shuffles of its own. The null-safe comparison has the (already reduced) grouping shuffled
+    once more and keeps rows with a NULL key from matching anything.
+    """
+    hidden = {key: f"_{key}_of_group" for key in on}
+    condition = F.lit(True)
+    for key, other in hidden.items():
+        condition = condition & F.col(key).eqNullSafe(F.col(other))
+    return df.join(grouped.withColumnsRenamed(hidden), condition, "left").drop(*hidden.values())
+
+
 def flag_if_exists(df: DataFrame, keys: DataFrame, flag: str) -> DataFrame:
     """Mark rows whose key is among ``keys`` (same column names); never repeats a row.
 
@@ -97,7 +111,7 @@ def flag_if_exists(df: DataFrame, keys: DataFrame, flag: str) -> DataFrame:
     """
     on = keys.columns
     marks = keys.dropna(subset=on).distinct().withColumn(flag, F.lit(True))
-    return df.join(marks, on, "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
+    return join_grouped(df, marks, on).withColumn(flag, F.coalesce(flag, F.lit(False)))
 
 
 def parent_roles(animals: DataFrame, *by: str) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from herdloom.functions import first_gps, strict_num
+from herdloom.operators.lookups import join_grouped
 
 
 def form_gps(forms: DataFrame) -> DataFrame:
@@ -33,13 +34,13 @@ def fill_gps(farms: DataFrame, forms: DataFrame, order: Sequence[str] = ("form_v
         }
     )
     one = (
-        spots.filter(F.col("_latitude").isNotNull() & F.col("_longitude").isNotNull())
+        spots.dropna(subset=["form_uuid", "_latitude", "_longitude"])
         .groupBy(F.col("form_uuid").alias("odk_form_uuid"))
         .agg(F.min_by(F.struct("_latitude", "_longitude"), F.struct(*order)).alias("_gps"))
     )
     fill = F.col("latitude").isNull() & F.col("_gps").isNotNull()
     return (
-        farms.join(one, "odk_form_uuid", "left")
+        join_grouped(farms, one, ["odk_form_uuid"])
         .withColumns(
             {
                 "latitude": F.when(fill, F.col("_gps._latitude")).otherwise(F.col("latitude")),

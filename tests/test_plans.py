@@ -138,3 +138,23 @@ def test_hot_calving_day_is_split(spark, split_skew):
     out = history.calving_history(hot)
     assert len(out.collect()) == 90000
     assert "skew=true" in plan(out)
+
+
+def test_hot_duplicate_is_split(spark, split_skew):
+    hot = spark.range(0, 90000, numPartitions=16).selectExpr("id", "if(id % 3 = 0, 'T', concat('T', id % 40000)) tag_id", "id * 7 payload")
+    copies = rules.duplicate_keys(hot, "tag_id").drop("copies")
+    out = lookups.flag_if_exists(hot, copies, "is_duplicate")
+    rows = out.collect()
+    assert len(rows) == 90000 and sum(r.is_duplicate for r in rows if r.tag_id == "T") == 30000
+    assert "skew=true" in plan(out)
+
+
+def test_hot_animal_is_split_before_a_grouping(spark, split_skew):
+    """A join by animal under a grouping by animal, as in the test views."""
+    events = spark.range(0, 90000, numPartitions=16).selectExpr(
+        "id", "if(id % 3 = 0, 1, id % 20000) animal_id", "date_add(date '2020-01-01', cast(id % 50 as int)) event_date"
+    )
+    animals = spark.range(0, 20000, numPartitions=4).selectExpr("id animal_id", "id % 5 country_id")
+    out = history.day_table(events.join(animals, "animal_id"), "animal_id", "event_date", "id")
+    assert sum(r.n for r in out.collect()) == 90000
+    assert "skew=true" in plan(out)
