@@ -3,10 +3,10 @@
 import pytest
 
 import __spark_entry__ as entry_points
+from herdloom.catalog.base import ORACLES, QUERIES
 from tests.compare import compare, duck
 
 SF = "/root/testdata/sf0.001"
-ORACLES = entry_points.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -14,14 +14,15 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", list(entry_points.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_sql(spark, con, name):
     problems, _ = compare(entry_points.queries()[name](spark, SF), con, ORACLES[name])
     assert not problems, problems
 
 
 def test_every_query_has_sql():
-    assert set(ORACLES) == set(entry_points.queries())
+    assert set(ORACLES) == set(QUERIES)
+    assert set(QUERIES) <= set(entry_points.queries()) and set(ORACLES) <= set(entry_points.oracle_sql())
 
 
 def test_entry(spark):
