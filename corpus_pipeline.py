@@ -10,7 +10,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from herdloom.llm import bpe, decontamination, language, pii
+from herdloom.llm import bpe, decontamination, jaccard, language, pii
 from herdloom.llm.base import read, stored
 
 #: Least probability of the language a document is kept with.
@@ -22,6 +22,11 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return language.keep_identified(docs, language.train(language.training_rows(docs)), LANGUAGE_SCORE)
 
 
+def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, that with the least id."""
+    return jaccard.keep_one(docs)
+
+
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a twentieth of their words from benchmark passages."""
     return decontamination.without_contaminated(docs, read(spark, sf_dir, "benchmark"))
@@ -39,6 +44,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("language_id", language_id),
+    ("deduplicate", deduplicate),
     ("decontaminate", decontaminate),
     ("remove_personal", remove_personal),
     ("encode", encode),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from herdloom.llm import bpe, decontamination, host_rules, html_text, language, pii, secrets, sharding
+from herdloom.llm import bpe, decontamination, host_rules, html_text, jaccard, language, pii, quality_model, secrets, sharding
 from herdloom.llm.base import id_remainder, query, read
 
 SHARDS = 24
@@ -36,6 +36,17 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(read(spark, sf_dir, "documents"), public_tokenizers.path(BPE_FILE))
 
 
+@query("op5_ngram_join")
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.link(read(spark, sf_dir, "documents"))
+
+
+@query("op6_quality")
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality_model.score_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return scored.select("doc_id", (id_remainder("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
+
+
 @query("op7_pii")
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_personal(read(spark, sf_dir, "documents"))
