@@ -5,28 +5,27 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from herdloom import plans
-from herdloom.catalog.base import END, MONITORED, START, attr_sql, query, strict_sql, week_sql
+from herdloom.catalog.base import END, MONITORED, START, attr_sql, label_sql, name_sql, query, strict_sql, week_sql
 from herdloom.operators import reports
 from herdloom.plans import dataflow
 
 PERIOD_SQL = f"between date '{START}' and date '{END}'"
 ACTIVITY_VIEWS = "core_animal_event core_animal core_farm core_events_type auth_users core_country"
 
-UNION_SQL = f"""u as (
-  select id, country_id, coalesce(field_agent_id, created_by) as user_id, event_type from core_animal_event
-  where created_at {PERIOD_SQL} and event_type not in (2, 18)
-  union select id, country_id, user_id, event_type from (
-    select id, country_id, coalesce(field_agent_id, created_by) as user_id, event_type, {strict_sql("additional_attributes")} as total_milk
-    from core_animal_event where created_at {PERIOD_SQL} and event_type in (2)) where total_milk > 0
-  union select id, country_id, created_by, 100 from core_animal
-  where created_at {PERIOD_SQL} and country_id is not null and created_by is not null
-  union select id, country_id, coalesce(field_agent_id, created_by), 101 from core_farm
-  where created_at {PERIOD_SQL} and country_id is not null)"""
+UNION_SQL = f"""recorded as (
+  select id, country_id, coalesce(field_agent_id, created_by) as user_id, event_type, created_at,
+    case event_type when 18 then false when 2 then {strict_sql("additional_attributes")} > 0 else true end as counts from core_animal_event
+  union all by name select id, country_id, created_by as user_id, 100 as event_type, created_at, created_by is not null as counts
+    from core_animal where country_id is not null
+  union all by name select id, country_id, coalesce(field_agent_id, created_by) as user_id, 101 as event_type, created_at, true as counts
+    from core_farm where country_id is not null),
+u as (select distinct id, country_id, user_id, event_type from recorded where counts and created_at {PERIOD_SQL})"""
 
 ACTIVITY_SQL = f"""{UNION_SQL},
-flow as (select c.name as country, a.name as enumerator, d.description as event, count(u.id) as total
-  from u join core_events_type d on d.event_id = u.event_type join auth_users a on u.user_id = a.id
-  join core_country c on u.country_id = c.id group by u.country_id, u.user_id, u.event_type, c.name, a.name, d.description)"""
+tally as (select country_id, user_id, event_type, count(id) as total from u group by all),
+flow as (from (select {name_sql("core_country", "country_id")} as country, {name_sql("auth_users", "user_id")} as enumerator,
+    (select kind.description from core_events_type kind where kind.event_id = event_type) as event, total from tally)
+  where country is not null and enumerator is not null and event is not null)"""
 
 PEOPLE_SQL = f"""{ACTIVITY_SQL},
 named as (select country, upper(substr(enumerator, 1, 1)) || lower(substr(enumerator, 2)) as enumerator, event, total from flow),
@@ -41,10 +40,13 @@ def _activity(t):
     return reports.activity_counts(_union(t), t["core_events_type"], t["auth_users"], t["core_country"])
 
 
-def _pivot_sql(values, how: str, column: str = "event", number: str = "total", type_: str = "bigint") -> str:
-    return ", ".join(
-        f"""coalesce(cast({how}({number}) filter (where {column} = '{v}') as {type_}), 0) as "{v}\"""" for v in values
-    )
+def _pivot_sql(values, column: str = "event", type_: str = "bigint", other: bool = True) -> str:
+    """A column per value from one row per cell, and the sum of all other cells."""
+    cells = [(f"{column} = '{v}'", v) for v in values]
+    if other:
+        listed = ", ".join(f"'{v}'" for v in values)
+        cells.append((f"{column} is null or {column} not in ({listed})", "Other"))
+    return ", ".join(f"""coalesce(cast(sum(cell) filter (where {c}) as {type_}), 0) as "{v}\"""" for c, v in cells)
 
 
 def _rounded(df, *columns):
@@ -66,13 +68,17 @@ def activity_counts(t):
     return _activity(t)
 
 
-ANIMAL_REG_SQL = f"""reg as (select b.name as country, c.label as animal_type, count(a.id) as total from core_animal a
-  join core_country b on b.id = a.country_id join core_master_list c on c.value = a.animal_type and c.list_type_id = 62
-  where a.created_at {PERIOD_SQL} and a.created_by is not null group by a.country_id, a.animal_type, b.name, c.label)"""
 
-FARM_REG_SQL = f"""reg as (select b.name as country, c.label as farm_type, count(a.id) as total from core_farm a
-  join core_country b on b.id = a.country_id join core_master_list c on c.value = a.farm_type and c.list_type_id = 2
-  where a.created_at {PERIOD_SQL} and a.field_agent_id is not null group by a.country_id, a.farm_type, b.name, c.label)"""
+def _registered_sql(table: str, kind: str, code_list: int, known: str) -> str:
+    """Registrations of a period per country and kind: counted by ids, then named."""
+    return f"""tally as (select country_id, {kind} as code, count(id) as total from {table}
+  where created_at {PERIOD_SQL} and {known} is not null group by all),
+reg as (from (select {name_sql("core_country", "country_id")} as country, {label_sql(code_list, "code")} as {kind}, total from tally)
+  where country is not null and {kind} is not null)"""
+
+
+ANIMAL_REG_SQL = _registered_sql("core_animal", "animal_type", 62, "created_by")
+FARM_REG_SQL = _registered_sql("core_farm", "farm_type", 2, "field_agent_id")
 
 ANIMAL_LABELS = ["Heifer", "Cow", "Male calf", "Female calf", "Bull", "Straw"]
 FARM_LABELS = ["Small", "Medium", "Large"]
@@ -91,7 +97,8 @@ def farm_reg_by_type(t):
 @query(
     "animal_type_pivot",
     "core_animal core_country core_master_list",
-    f"select country, {_pivot_sql(ANIMAL_LABELS, 'avg', 'animal_type', type_='double')} from reg group by country",
+    f"""select country, {_pivot_sql(ANIMAL_LABELS, 'animal_type', 'double')}
+    from (select country, animal_type, avg(total) as cell from reg group by all) group by country""",
     ANIMAL_REG_SQL,
 )
 def animal_type_pivot(t):
@@ -101,7 +108,8 @@ def animal_type_pivot(t):
 @query(
     "farm_type_pivot",
     "core_farm core_country core_master_list",
-    f"select country, {_pivot_sql(FARM_LABELS, 'avg', 'farm_type', type_='double')} from reg group by country",
+    f"""select country, {_pivot_sql(FARM_LABELS, 'farm_type', 'double')}
+    from (select country, farm_type, avg(total) as cell from reg group by all) group by country""",
     FARM_REG_SQL,
 )
 def farm_type_pivot(t):
@@ -112,7 +120,7 @@ def farm_type_pivot(t):
     "registration_pivot",
     ACTIVITY_VIEWS,
     f"""
-    select country, {_pivot_sql(reports.REGISTRATIONS, 'sum')} from flow
+    select country, {_pivot_sql(reports.REGISTRATIONS, other=False)} from (select country, event, total as cell from flow)
     where event in ('Animal-Reg', 'Farmer-Reg') group by country""",
     ACTIVITY_SQL,
 )
@@ -124,7 +132,7 @@ def registration_pivot(t):
     "monitoring_pivot",
     ACTIVITY_VIEWS,
     f"""
-    select country, {_pivot_sql(MONITORED, 'sum')} from flow
+    select country, {_pivot_sql(MONITORED)} from (select country, event, total as cell from flow)
     where event not in ('Animal-Reg', 'Farmer-Reg') group by country""",
     ACTIVITY_SQL,
 )
@@ -139,12 +147,25 @@ ALL_EVENTS = [*reports.REGISTRATIONS, *MONITORED]
     "enumerator_pivot",
     ACTIVITY_VIEWS,
     "select country, enumerator, "
-    + ", ".join(f"""coalesce(round(avg(total) filter (where event = '{v}'), 4), 0) as "{v}\"""" for v in ALL_EVENTS)
-    + " from named group by country, enumerator",
+    + ", ".join(f"""round("{v}", 4) as "{v}\"""" for v in [*ALL_EVENTS, "Other"])
+    + f""" from (select country, enumerator, {_pivot_sql(ALL_EVENTS, type_='double')} from (
+      select country, enumerator, event, avg(total) as cell from named group by all) group by all)""",
     PEOPLE_SQL,
 )
 def enumerator_pivot(t):
-    return _rounded(reports.enumerator_pivot(_activity(t), ALL_EVENTS), *ALL_EVENTS)
+    return _rounded(reports.enumerator_pivot(_activity(t), ALL_EVENTS), *ALL_EVENTS, "Other")
+
+
+@query(
+    "pivot_other_events",
+    ACTIVITY_VIEWS,
+    f"""
+    select country, {_pivot_sql(MONITORED[:2])} from (select country, event, total as cell from flow)
+    where event not in ('Animal-Reg', 'Farmer-Reg') group by country""",
+    ACTIVITY_SQL,
+)
+def pivot_other_events(t):
+    return reports.monitoring_pivot(_activity(t), MONITORED[:2])
 
 
 @query(
@@ -174,16 +195,18 @@ def bottom_enumerators(t):
     return reports.bottom_n(_activity(t))
 
 
-MILK_SQL = f"""rows_ as (select * from (select c.name as country, e.created_at as milk_date, {strict_sql("e.additional_attributes")} as total
-  from core_animal a join core_animal_event e on e.animal_id = a.id join core_farm f on a.farm_id = f.id
-  join core_country c on f.country_id = c.id
-  where e.event_type = 2 and e.field_agent_id is not null and e.created_at {PERIOD_SQL}) where total > 0)"""
+BY_AGENT = f"field_agent_id is not null and created_at {PERIOD_SQL}"
+
+MILK_SQL = f"""milked as (select animal_id, created_at as milk_date, {strict_sql("additional_attributes")} as total
+  from core_animal_event where event_type = 2 and {BY_AGENT}),
+lands as (select id as farm_id, {name_sql("core_country", "country_id")} as country from core_farm),
+kept_on as (select id as animal_id, country from core_animal join lands using (farm_id) where country is not null),
+rows_ as (select country, milk_date, total from milked join kept_on using (animal_id) where total > 0)"""
 MILK_VIEWS = "core_animal_event core_animal core_farm core_country"
 
-WEIGHT_SQL = f"""rows_ as (select c.name as country, e.created_at as weight_date,
-    try_cast({attr_sql("e.additional_attributes", "136")} as double) as total
-  from core_animal_event e join core_country c on e.country_id = c.id
-  where e.event_type = 6 and e.field_agent_id is not null and e.created_at {PERIOD_SQL})"""
+WEIGHT_SQL = f"""rows_ as (from (select {name_sql("core_country", "country_id")} as country, created_at as weight_date,
+    try_cast({attr_sql("additional_attributes", "136")} as double) as total from core_animal_event where event_type = 6 and {BY_AGENT})
+  where country is not null)"""
 WEIGHT_VIEWS = "core_animal_event core_country"
 
 STATS_SQL = """
@@ -216,12 +239,11 @@ def weight_stats(t):
 @query(
     "yield_by_breed_region",
     "core_animal_event core_animal country_units core_master_list",
-    "select region, breed, round(avg(cow_mean), 2) as average_milk from cows group by region, breed",
-    f"""cows as (select u.name as region, d.label as breed, e.animal_id, avg({strict_sql("e.additional_attributes", False)}) as cow_mean
-      from core_animal_event e join core_animal a on e.animal_id = a.id join country_units u on a.region_id = u.id
-      join core_master_list d on a.main_breed = d.value and d.list_type_id = 8
-      where e.event_type = 2 and year(e.event_date) >= 2016
-      group by e.animal_id, u.name, d.label)""",
+    "select region, breed, round(avg(cow_mean), 2) as average_milk from cows where region is not null and breed is not null group by all",
+    f"""means as (select animal_id, avg({strict_sql("additional_attributes", False)}) as cow_mean from core_animal_event
+      where event_type = 2 and event_date >= date '2016-01-01' group by animal_id),
+    cows as (select {name_sql("country_units", "region_id")} as region, {label_sql(8, "main_breed")} as breed, cow_mean
+      from means, core_animal where id = animal_id)""",
 )
 def yield_by_breed_region(t):
     return plans.yield_by_breed_region(t)
@@ -231,9 +253,9 @@ def yield_by_breed_region(t):
     "herds_by_year_type",
     "core_farm core_master_list",
     f"""
-    select cast(year(f.reg_date) as integer) as "year", m.description as farm_type, count(f.id) as farms
-    from core_farm f join core_master_list m on f.farm_type = m.value and m.list_type_id = 2
-    where year(f.reg_date) >= 2016 group by 1, f.farm_type, m.description""",
+    select "year", {label_sql(2, "code", "description")} as farm_type, farms from (
+      select cast(year(reg_date) as integer) as "year", farm_type as code, count(id) as farms from core_farm group by all)
+    where "year" >= 2016 and exists (select 1 from core_master_list where list_type_id = 2 and value = code)""",
 )
 def herds_by_year_type(t):
     return plans.herds_by_year_type(t)
@@ -242,9 +264,9 @@ def herds_by_year_type(t):
 @query(
     "animals_by_region",
     "core_animal country_units",
-    f"""
-    select u.name as region, count(a.id) as animals from core_animal a join country_units u on a.region_id = u.id
-    where year(a.reg_date) >= 2016 group by u.name""",
+    """
+    select name as region, cast(sum(animals) as bigint) as animals from dated join country_units using (id) group by name""",
+    "dated as (select region_id as id, count(id) as animals from core_animal where reg_date >= date '2016-01-01' group by region_id)",
 )
 def animals_by_region(t):
     return plans.animals_by_region(t)
@@ -254,10 +276,11 @@ def animals_by_region(t):
     "inseminations_by_week",
     "core_animal_event country_units auth_users",
     f"""
-    select u.name as region, b.name as technician, cast(year(e.event_date) as integer) as "year",
-      {week_sql("e.event_date")} as "week", count(e.id) as inseminations
-    from core_animal_event e join auth_users b on e.field_agent_id = b.id join country_units u on e.region_id = u.id
-    where e.event_type = 3 and year(e.event_date) >= 2016 group by 1, 2, 3, 4""",
+    select region, technician, "year", "week", cast(sum(n) as bigint) as inseminations from (
+      select {name_sql("country_units", "region_id")} as region, {name_sql("auth_users", "field_agent_id")} as technician,
+        cast(year(event_date) as integer) as "year", {week_sql("event_date")} as "week", n
+      from (select region_id, field_agent_id, event_date, count(id) as n from core_animal_event where event_type = 3 group by all))
+    where region is not null and technician is not null and "year" >= 2016 group by all""",
 )
 def inseminations_by_week(t):
     return plans.inseminations_by_week(t)

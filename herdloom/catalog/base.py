@@ -13,7 +13,7 @@ from herdloom.catalog.bindings import Tables, with_views
 COUNTRY = 2
 COUNTRY_NAME = "Ásia"
 START, END = "2024-01-08", "2024-01-14"
-LONG_START, LONG_END = "2023-01-25", "2024-01-31"
+LONG_START, LONG_END = "2024-01-04", "2024-01-27"
 AS_OF = dt.date(2024, 1, 25)
 GAP = 3
 MONITORED = ["Calving", "Insemination", "Milking", "Weight"]
@@ -73,3 +73,18 @@ def months_sql(later: str, earlier: str) -> str:
 
 def days_sql(later: str, earlier: str) -> str:
     return f"cast({later} - {earlier} as integer)"
+
+
+def name_sql(table: str, key: str) -> str:
+    """Name that a table of names has for a key; NULL without one."""
+    return f"(select named.name from {table} named where named.id = {key})"
+
+
+def label_sql(code_list: int, key: str, column: str = "label") -> str:
+    """Label that a list of codes has for a code; NULL without one."""
+    return f"(select listed.{column} from core_master_list listed where listed.list_type_id = {code_list} and listed.value = {key})"
+
+
+def places_sql() -> str:
+    """Names of the four levels of places."""
+    return ", ".join(f"{name_sql('country_units', level + '_id')} as {level}" for level in ("region", "district", "ward", "village"))

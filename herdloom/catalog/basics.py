@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from herdloom.catalog.base import (
@@ -37,6 +39,7 @@ from herdloom.functions.dates import PRESETS
 from herdloom.operators import filters, lookups, reports, updates
 from herdloom.operators.rules import limits
 from herdloom.plans.dataflow import event_farm_country
+from herdloom.plans.runs import retention_run
 from herdloom.sources import (
     export_lists,
     purge_run,
@@ -91,6 +94,23 @@ def purged(t):
     return t.spark.read.schema("id bigint, tag_id string, country_id int, run_id string").parquet(path)
 
 
+SPECIAL_RUN = "2024-01-25T06:00 b%c"
+
+
+@query(
+    "purge_special_run",
+    "core_animal",
+    f"select '{SPECIAL_RUN}/2' as run_id, id, tag_id from core_animal",
+)
+def purge_special_run(t):
+    path = shared_path(t.spark, "staged")
+    rows = t["core_animal"].select("id", "tag_id")
+    for run in (SPECIAL_RUN, f"{SPECIAL_RUN}/2"):
+        stage(rows, path, run)
+    purge_run(t.spark, path, SPECIAL_RUN)
+    return t.spark.read.schema("id bigint, tag_id string, run_id string").parquet(path)
+
+
 @query(
     "refresh_roundtrip",
     "core_farm",
@@ -575,6 +595,27 @@ def retention_archive(t):
     return t.spark.read.schema("id bigint, created_at date").parquet(path)
 
 
+@query(
+    "retention_two_runs",
+    "core_animal_event",
+    f"""
+    select id, created_at, created_at < date '{AS_OF}' - 10 as archived,
+      case when created_at < date '{AS_OF}' - 20 then '{AS_OF}' else '{AS_OF + dt.timedelta(days=10)}' end as run_day
+    from core_animal_event where created_at is not null""",
+)
+def retention_two_runs(t):
+    out = shared_path(t.spark, "retention")
+    rows = t["core_animal_event"].select("id", "created_at").filter(F.col("created_at").isNotNull())
+    where = retention_run(rows, out, "created_at", AS_OF)
+    later = AS_OF + dt.timedelta(days=10)
+    for _ in range(2):  # a repeated run replaces itself
+        rows = t.spark.read.schema("id bigint, created_at date").parquet(where["kept"])
+        second = retention_run(rows, out, "created_at", later)
+    archive = t.spark.read.schema("id bigint, created_at date, run_day string").parquet(second["archive"])
+    kept = t.spark.read.schema("id bigint, created_at date").parquet(second["kept"]).withColumn("run_day", F.lit(str(later)))
+    return kept.withColumn("archived", F.lit(False)).unionByName(archive.withColumn("archived", F.lit(True)))
+
+
 @query(
     "retention_counts",
     "core_animal_event",

@@ -13,15 +13,19 @@ from herdloom.catalog.base import (
     LONG_START,
     attr_sql,
     days_sql,
+    label_sql,
     months_sql,
+    name_sql,
     num_sql,
+    places_sql,
     query,
     week_sql,
 )
 from herdloom.functions import sunday_week
 from herdloom.operators import rules
 from herdloom.plans import lactation, pedigree, weight
-from herdloom.sources import split_valid_error
+from herdloom.plans.runs import quality_checks, quality_log_run
+from herdloom.sources import shared_path, split_valid_error
 
 NAMES_VIEWS = "core_country country_units core_master_list"
 LACTATION_VIEWS = f"core_animal_event core_animal core_farm {NAMES_VIEWS} interface_limit_parameters"
@@ -37,42 +41,40 @@ def _text_sql(checks: list[tuple[str, str]]) -> str:
     return f"nullif({parts}, '')"
 
 
+def _period_sql(day: str) -> str:
+    return f"{day} >= date '{LONG_START}' and {day} <= date '{LONG_END}'"
+
+
 def _lactation_sql(country: int | None) -> str:
-    where = "" if country is None else f"and f.country_id = {country}"
-    return f"""staged as (
-  select f.farmer_name as farm_name, c.name as country, r.name as region, d.name as district, w.name as ward, v.name as village,
-    round(f.longitude, 4) as longitude, round(f.latitude, 4) as latitude, a.id as animal_id, a.tag_id,
-    coalesce(a.reg_date, a.created_at) as animal_registration_date, coalesce(b.label, 'Unknown') as main_breed, a.birthdate,
-    s.label as animal_sex, a.animal_type as animal_type_id, y.label as animal_type, e.id as lactation_id,
-    e.event_date as calving_date, {days_sql("e.event_date", "a.birthdate")} as calving_age,
-    lag(e.event_date) over o as previous_calving_date, lead(e.event_date) over o as subsequent_calving_date,
-    cast(e.event_date - lag(e.event_date) over o as integer) as calving_interval,
-    cast(rank() over (partition by e.animal_id order by e.event_date) as integer) as parity,
-    count(*) over (partition by e.animal_id, e.event_date) as copies, f.country_id
-  from core_animal a join core_farm f on a.farm_id = f.id left join core_country c on f.country_id = c.id
-  left join country_units r on f.region_id = r.id left join country_units d on f.district_id = d.id
-  left join country_units w on f.ward_id = w.id left join country_units v on f.village_id = v.id
-  left join core_master_list s on a.sex = s.value and s.list_type_id = 3
-  left join core_master_list b on a.main_breed = b.value and b.list_type_id = 8
-  left join core_master_list y on a.animal_type = y.value and y.list_type_id = 62
-  left join core_animal_event e on a.id = e.animal_id
-  where e.event_type = 1 and a.animal_type != 6 and e.event_date between date '{LONG_START}' and date '{LONG_END}' {where}
-  window o as (partition by e.animal_id order by e.event_date, e.id)),
-lims as (select max(case when category = 'calving_interval' then min_value end) as low,
-    max(case when category = 'calving_interval' then max_value end) as high,
-    max(case when category = 'age_at_first_calving' then coalesce(min_value, 18) end) * 30 as first_age
-  from interface_limit_parameters),
+    only = "" if country is None else f"where country_id = {country}"
+    earlier = "partition by animal_id order by calving_date, lactation_id rows between unbounded preceding and 1 preceding"
+    later = "partition by animal_id order by calving_date, lactation_id rows between 1 following and unbounded following"
+    before = "partition by animal_id order by calving_date range between unbounded preceding and interval 1 day preceding"
+    return f"""farms as (select id as farm_id, farmer_name as farm_name, country_id, round(longitude, 4) as longitude,
+    round(latitude, 4) as latitude, {name_sql("core_country", "country_id")} as country, {places_sql()} from core_farm {only}),
+cows as (select id as animal_id, farm_id, tag_id, birthdate, animal_type as animal_type_id, coalesce(reg_date, created_at) as animal_registration_date,
+    coalesce({label_sql(8, "main_breed")}, 'Unknown') as main_breed, {label_sql(3, "sex")} as animal_sex, {label_sql(62, "animal_type")} as animal_type
+  from core_animal where animal_type <> 6 and farm_id in (select farm_id from farms)),
+calved as (select animal_id, id as lactation_id, event_date as calving_date from core_animal_event
+  where event_type = 1 and {_period_sql("event_date")} and animal_id in (select animal_id from cows)),
+timed as (select *, max(calving_date) over ({earlier}) as previous_calving_date, min(calving_date) over ({later}) as subsequent_calving_date,
+    cast(1 + count(*) over ({before}) as integer) as parity from calved),
+twice as (select animal_id, calving_date, count(*) as copies from calved group by all),
+staged as (select *, {days_sql("calving_date", "birthdate")} as calving_age, {days_sql("calving_date", "previous_calving_date")} as calving_interval
+  from timed join twice using (animal_id, calving_date) join cows using (animal_id) join farms using (farm_id)),
+lims as (select max(min_value) filter (where category = 'calving_interval') as low, max(max_value) filter (where category = 'calving_interval') as high,
+    30 * max(coalesce(min_value, 18)) filter (where category = 'age_at_first_calving') as first_age from interface_limit_parameters),
 checked as (select *, {_text_sql(list(LACTATION_CHECKS.values()))} as comments from staged, lims)"""
 
 
-# Rule name -> (condition, message).
+# Rule name -> (condition, message). The messages are fixed values, written out here on their own.
 LACTATION_CHECKS = {
-    "calving_duplicate": ("copies > 1", lactation.DUPLICATE),
-    "calved_before_birth": ("birthdate > calving_date", lactation.BEFORE_BIRTH),
-    "future_calving": (f"calving_date > date '{AS_OF}'", lactation.FUTURE),
-    "calving_interval": ("parity > 1 and not (calving_interval between low and high)", lactation.BAD_INTERVAL),
-    "calving_age": ("calving_age < first_age", lactation.BAD_AGE),
-    "animal_type": ("animal_type_id is not null and animal_type_id not in (1, 2)", lactation.BAD_TYPE),
+    "calving_duplicate": ("copies > 1", "Duplicate Record"),
+    "calved_before_birth": ("birthdate > calving_date", "Calved Before Birth"),
+    "future_calving": (f"calving_date > date '{AS_OF}'", "Future Calving Date"),
+    "calving_interval": ("parity > 1 and not (calving_interval between low and high)", "Invalid Calving Interval"),
+    "calving_age": ("calving_age < first_age", "Invalid Calving Age"),
+    "animal_type": ("animal_type_id is not null and animal_type_id not in (1, 2)", "Invalid Animal Type"),
 }
 
 LACTATION_OUT = ", ".join(lactation.COLUMNS)
@@ -163,33 +165,33 @@ for _name, _rules in {
 
 
 WEIGHT_CHECKS = {
-    "weight_duplicate": ("copies > 1", weight.DUPLICATE),
-    "weighed_before_birth": ("birthdate > weight_date", weight.BEFORE_BIRTH),
-    "future_weight": (f"weight_date > date '{AS_OF}'", weight.FUTURE),
-    "nothing_measured": ("heart_girth is null and body_weight is null", weight.NOTHING_MEASURED),
-    "girth_any_age": ("birthdate is null and not (girth_value between calf_girth_min and mature_girth_max)", weight.GIRTH_RANGE),
+    "weight_duplicate": ("copies > 1", "Duplicate Record"),
+    "weighed_before_birth": ("birthdate > weight_date", "Weight Recorded Before Animal Was Born"),
+    "future_weight": (f"weight_date > date '{AS_OF}'", "Weight Date Is In The Future"),
+    "nothing_measured": ("heart_girth is null and body_weight is null", "Both Heart Girth & Weight are Null"),
+    "girth_any_age": ("birthdate is null and not (girth_value between calf_girth_min and mature_girth_max)", "Heart Girth Out Of Range"),
     "girth_calf": (
         "age_at_weighing <= calf_age and not (girth_value between calf_girth_min and calf_girth_max)",
-        weight.GIRTH_RANGE_FOR_AGE,
+        "Heart Girth Out Of Range(Considered age at weighing)",
     ),
     "girth_mature": (
         "age_at_weighing > calf_age and not (girth_value between mature_girth_min and mature_girth_max)",
-        weight.GIRTH_RANGE_FOR_AGE,
+        "Heart Girth Out Of Range(Considered age at weighing)",
     ),
-    "weight_any_age": ("birthdate is null and not (weight_value between calf_weight_min and mature_weight_max)", weight.WEIGHT_RANGE),
+    "weight_any_age": ("birthdate is null and not (weight_value between calf_weight_min and mature_weight_max)", "Body Weight Out Of Range"),
     "weight_calf": (
         "age_at_weighing <= calf_age and not (weight_value between calf_weight_min and calf_weight_max)",
-        weight.WEIGHT_RANGE_FOR_AGE,
+        "Body Weight Out Of Range(Considered age at weighing)",
     ),
     "weight_mature": (
         "age_at_weighing > calf_age and not (weight_value between mature_weight_min and mature_weight_max)",
-        weight.WEIGHT_RANGE_FOR_AGE,
+        "Body Weight Out Of Range(Considered age at weighing)",
     ),
     "gps_range": (
         "longitude is not null and latitude is not null and (longitude not between -180 and 180 or latitude not between -180 and 180)",
-        weight.GPS_RANGE,
+        "GPS Out Of Range",
     ),
-    "no_gps": ("longitude is null or latitude is null", weight.NO_GPS),
+    "no_gps": ("longitude is null or latitude is null", "No GPS Details"),
 }
 
 WEIGHT_OUT = ", ".join(
@@ -198,29 +200,22 @@ WEIGHT_OUT = ", ".join(
 
 
 def _weight_sql(country: int | None) -> str:
-    where = "" if country is None else f"and a.country_id = {country}"
-    girth, mass = attr_sql("e.additional_attributes", "137"), attr_sql("e.additional_attributes", "136")
+    only = "" if country is None else f"where country_id = {country}"
+    girth, mass = attr_sql("additional_attributes", "137"), attr_sql("additional_attributes", "136")
     bounds = ", ".join(
         f"max(case when id = {i} then {end}_value end) as {name}_{end}"
         for i, name in ((5, "mature_girth"), (6, "mature_weight"), (7, "calf_weight"), (8, "calf_girth"))
         for end in ("min", "max")
     )
-    return f"""raw_staged as (
-  select c.name as country, r.name as region, d.name as district, w.name as ward, v.name as village,
-    coalesce(a.reg_date, a.created_at) as registration_date, a.id as animal_id, a.tag_id, a.birthdate,
-    coalesce(b.label, 'Unknown') as main_breed, s.label as sex, y.label as animal_type, a.longitude, a.latitude,
-    e.event_date as weight_date, {months_sql("e.event_date", "a.birthdate")} as age_at_weighing,
-    {girth} as heart_girth, {mass} as body_weight, e.id as weight_id,
-    count(*) over (partition by e.animal_id, e.event_date) as copies
-  from core_animal a left join core_country c on a.country_id = c.id
-  left join country_units r on a.region_id = r.id left join country_units d on a.district_id = d.id
-  left join country_units w on a.ward_id = w.id left join country_units v on a.village_id = v.id
-  left join core_master_list s on a.sex = s.value and s.list_type_id = 3
-  left join core_master_list b on a.main_breed = b.value and b.list_type_id = 8
-  left join core_master_list y on a.animal_type = y.value and y.list_type_id = 62
-  left join core_animal_event e on a.id = e.animal_id
-  where e.event_type = 6 and e.event_date between date '{LONG_START}' and date '{LONG_END}' {where}),
-staged as (select *, {num_sql("heart_girth")} as girth_value, {num_sql("body_weight")} as weight_value from raw_staged),
+    return f"""animals as (select id as animal_id, tag_id, birthdate, longitude, latitude, country_id, coalesce(reg_date, created_at) as registration_date,
+    coalesce({label_sql(8, "main_breed")}, 'Unknown') as main_breed, {label_sql(3, "sex")} as sex, {label_sql(62, "animal_type")} as animal_type,
+    {name_sql("core_country", "country_id")} as country, {places_sql()} from core_animal {only}),
+weighed as (select animal_id, id as weight_id, event_date as weight_date, {girth} as heart_girth, {mass} as body_weight
+  from core_animal_event where event_type = 6 and {_period_sql("event_date")} and animal_id in (select animal_id from animals)),
+twice as (select animal_id, weight_date, count(*) as copies from weighed group by all),
+staged as (select *, {months_sql("weight_date", "birthdate")} as age_at_weighing, {num_sql("heart_girth")} as girth_value,
+    {num_sql("body_weight")} as weight_value
+  from weighed join twice using (animal_id, weight_date) join animals using (animal_id)),
 lims as (select {bounds}, (select graduation_value from interface_graduation_settings where id = 1) as calf_age
   from interface_limit_parameters),
 checked as (select *, {_text_sql(list(WEIGHT_CHECKS.values()))} as comments from staged, lims)"""
@@ -283,54 +278,48 @@ def duplicate_keys(t):
 
 
 PEDIGREE_CHECKS = {
-    "tag_duplicate": ("copies > 1 and tag_id is not null", pedigree.DUPLICATE),
-    "sex_missing": ("recorded_sex is null", pedigree.NO_SEX),
-    "both_roles": ("as_sire and as_dam", pedigree.BOTH_ROLES),
-    "registered_before_birth": ("birthdate > reg_date", pedigree.REGISTERED_BEFORE_BIRTH),
-    "own_grandsire": ("animal_id = grand_sire_id", pedigree.OWN_GRANDSIRE),
-    "older_than_sire": ("birthdate < sire_birthdate", pedigree.OLDER_THAN_SIRE),
-    "male_dam": ("sex_id = 1 and as_dam", pedigree.MALE_DAM),
-    "dam_missing": ("dam_tag_id is not null and dam_id is null", pedigree.NO_DAM),
-    "female_sire": ("sex_id = 2 and as_sire", pedigree.FEMALE_SIRE),
-    "sire_missing": ("sire_tag_id is not null and sire_id is null", pedigree.NO_SIRE),
-    "own_parent": ("sire_id = animal_id or dam_id = animal_id", pedigree.OWN_PARENT),
+    "tag_duplicate": ("copies > 1 and tag_id is not null", "Duplicate Record"),
+    "sex_missing": ("recorded_sex is null", "No or Estimated Sex Details"),
+    "both_roles": ("as_sire and as_dam", "Bisexual(Used As Dam and Sire)"),
+    "registered_before_birth": ("birthdate > reg_date", "Registered Before Birth"),
+    "own_grandsire": ("animal_id = grand_sire_id", "Progeny Is Its Own Grand Sire"),
+    "older_than_sire": ("birthdate < sire_birthdate", "Animal Older Than Its Sire"),
+    "male_dam": ("sex_id = 1 and as_dam", "Male Animal Used As A Dam"),
+    "dam_missing": ("dam_tag_id is not null and dam_id is null", "Dam Details Not Found"),
+    "female_sire": ("sex_id = 2 and as_sire", "Female Animal Used As A Sire"),
+    "sire_missing": ("sire_tag_id is not null and sire_id is null", "Sire Details Not Found"),
+    "own_parent": ("sire_id = animal_id or dam_id = animal_id", "Own Parent"),
 }
 WARNINGS = ("sex_missing", "registered_before_birth", "older_than_sire", "dam_missing", "sire_missing")
 
 
 def _pedigree_sql(country_name: str | None) -> str:
-    where = (
-        ""
-        if country_name is None
-        else f"""where a.country_id in (select id from core_country
-          where strip_accents(lower(rtrim(name))) = strip_accents(lower('{country_name}')))"""
+    plain = lambda text: f"strip_accents(lower(rtrim({text})))"
+    only = "" if country_name is None else (
+        f"""where exists (select 1 from core_country named where named.id = country_id and {plain("named.name")} = {plain(f"'{country_name}'")})"""
     )
+    of_parent = lambda column, key: f"(select parent.{column} from core_animal parent where parent.id = herd.{key})"
     warnings = _text_sql([c for n, c in PEDIGREE_CHECKS.items() if n in WARNINGS])
     errors = _text_sql([c for n, c in PEDIGREE_CHECKS.items() if n not in WARNINGS])
-    return f"""extracted as (
-  select f.country_id, c.name as country, r.name as region, d.name as district, w.name as ward, v.name as village,
-    f.farmer_name, a.farm_id, f.org_id, g.name as organization_name, f.project, a.id as animal_id, a.tag_id, a.original_tag_id,
-    coalesce(sire.tag_id, a.sire_tag_id) as sire_tag_id, a.sire_id, coalesce(dam.tag_id, a.dam_tag_id) as dam_tag_id, a.dam_id,
-    s.label as recorded_sex, a.sex as sex_id, a.reg_date, a.birthdate, a.main_breed, b.label as breed,
-    round(f.longitude, 4) as longitude, round(f.latitude, 4) as latitude, sire.birthdate as sire_birthdate,
-    sire.sire_id as grand_sire_id, count(*) over (partition by a.tag_id) as copies,
-    a.id in (select sire_id from core_animal where sire_id is not null) as as_sire,
-    a.id in (select dam_id from core_animal where dam_id is not null) as as_dam
-  from core_animal a left join core_animal sire on a.sire_id = sire.id left join core_animal dam on a.dam_id = dam.id
-  left join core_farm f on a.farm_id = f.id left join country_units r on f.region_id = r.id
-  left join country_units d on f.district_id = d.id left join country_units w on f.ward_id = w.id
-  left join country_units v on f.village_id = v.id
-  left join core_master_list b on b.value = a.main_breed and b.list_type_id = 8
-  left join core_master_list s on s.value = a.sex and s.list_type_id = 3
-  left join core_country c on f.country_id = c.id left join core_organization g on f.org_id = g.id {where}),
-derived as (select x.*, case when recorded_sex is not null then null
-    when exists (select 1 from core_animal_event e where e.animal_id = x.animal_id and e.country_id = x.country_id
-      and e.event_type in (1, 2, 3, 4, 5)) then 'Female'
-    when exists (select 1 from extracted z where z.sire_id = x.animal_id and z.country_id = x.country_id) then 'Male'
-    when exists (select 1 from extracted z where z.dam_id = x.animal_id and z.country_id = x.country_id) then 'Female'
-    end as estimated_sex from extracted x),
+    return f"""homes as (select id as farm_id, country_id, farmer_name, org_id, project, round(longitude, 4) as longitude, round(latitude, 4) as latitude,
+    {name_sql("core_organization", "org_id")} as organization_name, {name_sql("core_country", "country_id")} as country, {places_sql()} from core_farm),
+herd as (select id as animal_id, farm_id, tag_id, original_tag_id, sire_id, dam_id, sire_tag_id as noted_sire, dam_tag_id as noted_dam, sex as sex_id,
+    {label_sql(3, "sex")} as recorded_sex, {label_sql(8, "main_breed")} as breed, reg_date, birthdate, main_breed from core_animal {only}),
+parts as (select sire_id as animal_id, true as sired from core_animal union all select dam_id, false from core_animal),
+roles as (select animal_id, bool_or(sired) as as_sire, bool_or(not sired) as as_dam from parts where animal_id is not null group by animal_id),
+tags as (select tag_id, count(*) as copies from herd where tag_id is not null group by tag_id),
+extracted as (select herd.*, homes.* exclude (farm_id), coalesce(tags.copies, 1) as copies, coalesce(roles.as_sire, false) as as_sire,
+    coalesce(roles.as_dam, false) as as_dam, coalesce({of_parent("tag_id", "sire_id")}, noted_sire) as sire_tag_id,
+    coalesce({of_parent("tag_id", "dam_id")}, noted_dam) as dam_tag_id, {of_parent("birthdate", "sire_id")} as sire_birthdate,
+    {of_parent("sire_id", "sire_id")} as grand_sire_id
+  from herd left join homes using (farm_id) left join tags using (tag_id) left join roles using (animal_id)),
+hints as (select animal_id, country_id, 3 as weight from core_animal_event where event_type between 1 and 5
+  union all select sire_id, country_id, 2 from extracted union all select dam_id, country_id, 1 from extracted),
+best as (select animal_id, country_id, max(weight) as weight from hints group by all),
+staged as (select extracted.*, case when recorded_sex is null then case best.weight when 2 then 'Male' when 3 then 'Female' when 1 then 'Female' end end as estimated_sex,
+    coalesce(recorded_sex, case best.weight when 2 then 'Male' when 3 then 'Female' when 1 then 'Female' end) as sex
+  from extracted left join best using (animal_id, country_id)),
 lims as (select 1 as one),
-staged as (select *, coalesce(recorded_sex, estimated_sex) as sex from derived),
 checked as (select *, {warnings} as warning, {errors} as error from staged)"""
 
 
@@ -382,37 +371,41 @@ for _name, _rules, _channel in (
     _rule_query(_name, PEDIGREE_VIEWS, _pedigree_sql(None), PEDIGREE_CHECKS, _rules, "animal_id", _channel, _pedigree_rules)
 
 
-def _rates(t):
-    staged, all_rules = _lactation_rules(t)
-    staged = staged.withColumns(
-        {"report_year": F.year("calving_date"), "report_week": sunday_week(F.col("calving_date"))}
+def _rates_sql(staged: str, checks: dict, day: str, by: str = "country_id, country") -> str:
+    """Error rates of a rule set per week: every rule judged on every row, then counted."""
+    judged = ", ".join(f"coalesce({condition}, false) as {name}" for name, (condition, _) in checks.items())
+    return (
+        f"""{staged},
+judged as (select {by}, cast(year({day}) as integer) as report_year, {week_sql(day)} as report_week, {judged} from staged, lims),
+long as (unpivot judged on {", ".join(checks)} into name rule value fires),
+rates as (select * exclude (fires), count(*) as total_records, count(*) filter (where fires) as total_error_records from long group by all)"""
     )
-    return rules.error_rates(staged, all_rules, ["country_id", "country", "report_year", "report_week"])
 
 
-RATES_SQL = (
-    _lactation_sql(None)
-    + ",\nrates as ("
-    + "\nunion all ".join(
-        f"""select country_id, country, cast(year(calving_date) as integer) as report_year, {week_sql("calving_date")} as report_week,
-        '{name}' as rule, {i} as rule_id, count(*) as total_records, count(*) filter (where {condition}) as total_error_records
-        from staged, lims group by all"""
-        for i, (name, (condition, _)) in enumerate(LACTATION_CHECKS.items())
-    )
-    + ")"
-)
+def _weekly(staged: DataFrame, all_rules, day: str) -> DataFrame:
+    weeks = {"report_year": F.year(day), "report_week": sunday_week(F.col(day))}
+    return rules.error_rates(staged.withColumns(weeks), all_rules, ["country_id", "country", "report_year", "report_week"])
 
 
-@query(
-    "error_rates",
-    LACTATION_VIEWS,
-    """
+RATES_OUT = """
     select country, report_year, report_week, rule, total_records, total_error_records,
-      round(100.0 * total_error_records / total_records, 2) as error_rate from rates""",
-    RATES_SQL,
-)
+      round(100.0 * total_error_records / total_records, 2) as error_rate from rates"""
+LACTATION_RATES = _rates_sql(_lactation_sql(None), LACTATION_CHECKS, "calving_date")
+
+
+@query("error_rates", LACTATION_VIEWS, RATES_OUT, LACTATION_RATES)
 def error_rates(t):
-    return _rates(t).drop("country_id")
+    return _weekly(*_lactation_rules(t), "calving_date").drop("country_id")
+
+
+@query("error_rates_weight", WEIGHT_VIEWS, RATES_OUT, _rates_sql(_weight_sql(None), WEIGHT_CHECKS, "weight_date"))
+def error_rates_weight(t):
+    return _weekly(*_weight_rules(t), "weight_date").drop("country_id")
+
+
+@query("error_rates_pedigree", PEDIGREE_VIEWS, RATES_OUT, _rates_sql(_pedigree_sql(None), PEDIGREE_CHECKS, "reg_date"))
+def error_rates_pedigree(t):
+    return _weekly(*_pedigree_rules(t), "reg_date").drop("country_id")
 
 
 @query(
@@ -420,14 +413,33 @@ def error_rates(t):
     LACTATION_VIEWS,
     """
     select country, rule as quality_check, total_records, total_error_records,
-      round(100.0 * total_error_records / total_records, 2) as error_rate from rates where report_year = 2024 and report_week = 2""",
-    RATES_SQL,
+      round(100.0 * total_error_records / total_records, 2) as error_rate
+    from rates where report_year = 2024 and report_week = 2 and country_id <> 3""",
+    LACTATION_RATES,
 )
 def quality_report(t):
     names = list(LACTATION_CHECKS)
-    checks = t.spark.range(len(names)).select(
-        "id", F.get(F.array(*[F.lit(n) for n in names]), F.col("id").cast("int")).alias("quality_check")
-    )
+    checks = t.spark.createDataFrame(list(enumerate(names)), "id bigint, quality_check string")
     ids = F.array_position(F.array(*[F.lit(n) for n in names]), F.col("rule")) - 1
-    logged = _rates(t).drop("country").withColumns({"quality_check": ids, "deleted": F.lit(0)})
+    rates = _weekly(*_lactation_rules(t), "calving_date").drop("country")
+    deleted = F.when(F.col("country_id") == 3, 1).otherwise(0)
+    logged = rates.withColumns({"quality_check": ids, "deleted": deleted})
     return rules.quality_report(logged, checks, t["core_country"], 2024, 2)
+
+
+@query(
+    "quality_log",
+    LACTATION_VIEWS,
+    """
+    select cast(country_id as bigint) as country_id, rule, total_records, total_error_records,
+      round(100.0 * total_error_records / total_records, 2) as error_rate, report_year, report_week from rates""",
+    LACTATION_RATES,
+)
+def quality_log(t):
+    path = shared_path(t.spark, "quality")
+    for _ in range(2):  # the second run replaces the weeks of the first
+        where = quality_log_run(t, path, LONG_START, LONG_END, AS_OF)
+    schema = "country_id bigint, quality_check int, total_records bigint, total_error_records bigint, error_rate double, report_year int, report_week int"
+    names = quality_checks(t, AS_OF).select(F.col("quality_check").alias("rule"), F.col("id").alias("quality_check"))
+    log = t.spark.read.schema(schema).parquet(where).filter(F.col("quality_check") <= len(LACTATION_CHECKS))
+    return log.join(names, "quality_check").drop("quality_check")

@@ -12,16 +12,18 @@ from herdloom.operators.reports import CALVING, MILK, WEIGHT
 from herdloom.plans import testday
 
 HISTORY_SQL = """h as (
-  select id, animal_id, event_date,
-    lag(event_date) over w as previous_calving_date, lead(event_date) over w as subsequent_calving_date,
-    cast(event_date - lag(event_date) over w as integer) as calving_interval,
-    cast(rank() over (partition by animal_id order by event_date) as integer) as parity
-  from core_animal_event where event_type = 1
-  window w as (partition by animal_id order by event_date, id))"""
+  select c.id, c.animal_id, c.event_date, max(c.event_date) over earlier as previous_calving_date,
+    min(c.event_date) over later as subsequent_calving_date, cast(c.event_date - max(c.event_date) over earlier as integer) as calving_interval,
+    cast(1 + count(*) over before as integer) as parity
+  from core_animal_event c where c.event_type = 1
+  window earlier as (partition by c.animal_id order by c.event_date, c.id rows between unbounded preceding and 1 preceding),
+    later as (partition by c.animal_id order by c.event_date, c.id rows between 1 following and unbounded following),
+    before as (partition by c.animal_id order by c.event_date range between unbounded preceding and interval 1 day preceding))"""
 
 PARITY_SQL = f"""{HISTORY_SQL},
-kept as (select id, animal_id, event_date, cast(rank() over (partition by animal_id order by event_date) as integer) as parity
-  from h where calving_interval is null or calving_interval >= {GAP})"""
+kept as (select id, animal_id, event_date, cast(1 + count(*) over (partition by animal_id order by event_date
+    range between unbounded preceding and interval 1 day preceding) as integer) as parity
+  from h where coalesce(calving_interval, {GAP}) >= {GAP})"""
 
 LINKED_SQL = f"""{PARITY_SQL},
 lactations as (select distinct animal_id, event_date as calvdate, parity from kept),
@@ -205,25 +207,26 @@ def first_per_group(t):
     return history.first_per_group(rows, keys, "order_id", ["event_id", "am", "midday", "pm", "total"])
 
 
+# Attribute ids behind the columns of the report, written out here on their own.
+MILK_IDS = {"MilkAM": "59", "MilkMidDay": "68", "MilkPM": "61", "MilkFat": "63", "MilkProt": "64", "SCC": "66"}
+WEIGHT_IDS = {"Heartgirth": "137", "BodyLength": "138", "Weight": "136", "EstimatedWt": "529", "Bodyscore": "139"}
+
+
 def _report_sql(country: int | None) -> str:
     only = "" if country is None else f"and f.country_id = {country}"
     milk = "event_type = 2"
     weight = "event_type = 6"
-    texts = [(n, a, milk) for n, a in testday.MILK_TEXTS.items()] + [
-        (n, a, weight) for n, a in testday.WEIGHT_TEXTS.items()
-    ]
+    texts = [(n, a, milk) for n, a in MILK_IDS.items()] + [(n, a, weight) for n, a in WEIGHT_IDS.items()]
     parsed = ", ".join(f"{attr_sql('additional_attributes', a)} as {n}" for n, a, _ in texts)
     milk_firsts = ", ".join(f"{_first_sql('m.' + n, 'm.event_id', 'true')} as {n}" for n, _, w in texts if w == milk)
     weight_firsts = ", ".join(f"{_first_sql('w.' + n, 'w.id', 'true')} as {n}" for n, _, w in texts if w == weight)
     weight_names = ", ".join(n for n, _, w in texts if w == weight)
     return f"""
-    h as (select e.id, e.animal_id, e.event_date,
-        e.event_date - lag(e.event_date) over (partition by e.animal_id order by e.event_date, e.id) as gap
-      from core_animal a join core_farm f on a.farm_id = f.id join core_animal_event e on a.id = e.animal_id
-      where e.event_type = 1 {only}),
-    kept as (select animal_id, event_date, cast(rank() over (partition by animal_id order by event_date) as integer) as parity
-      from h where gap is null or gap >= {GAP}),
-    lactations as (select distinct animal_id, event_date as calvdate, parity from kept),
+    calved as (select animal_id, event_date, lag(event_date, 1, event_date - {GAP}) over (partition by animal_id order by event_date, id) as before
+      from core_animal_event where event_type = 1 and animal_id in (select a.id from core_animal a, core_farm f where f.id = a.farm_id {only})),
+    starts as (select animal_id, event_date as calvdate, count(*) as n from calved where event_date - before >= {GAP} group by all),
+    lactations as (select animal_id, calvdate, cast(1 + coalesce(sum(n) over (partition by animal_id order by calvdate
+        rows between unbounded preceding and 1 preceding), 0) as integer) as parity from starts),
     parsed as (select id, animal_id, event_type, country_id, event_date, {parsed}, {lenient_sql("additional_attributes")} as TotalMilk
       from core_animal_event),
     milk as (select id as event_id, * from parsed where event_type = 2),

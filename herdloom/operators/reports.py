@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from herdloom.functions import capitalise, milk_total_strict, with_attributes
+from herdloom.functions import attributes, capitalise, milk_total_strict, with_attributes
 from herdloom.operators.filters import created_between, exclude
 from herdloom.operators.lookups import ANIMAL_TYPES, FARM_TYPES, with_code, with_name
 
@@ -20,6 +20,7 @@ NOT_COUNTED = 18
 ANIMAL_REG = 100
 FARM_REG = 101
 REGISTRATIONS = ("Animal-Reg", "Farmer-Reg")
+OTHER = "Other"
 
 
 def with_milk_total(events: DataFrame, digits: int | None = 2) -> DataFrame:
@@ -37,12 +38,15 @@ def milk_positive(milk: DataFrame) -> DataFrame:
 
 
 def activity_union(events: DataFrame, animals: DataFrame, farms: DataFrame, start, end) -> DataFrame:
-    """Distinct (id, country, user, type) over events, milk with a total, animals and farms created in a period."""
+    """Distinct (id, country, user, type) over events, milk with a total, animals and farms created in a period.
+
+    Events are scanned once; the total is worked out for milk only.
+    """
     recorder = F.coalesce("field_agent_id", "created_by").alias("user_id")
-    created = created_between(events, start, end)
-    columns = ["id", "country_id", recorder, "event_type"]
-    others = exclude(created, "event_type", MILK, NOT_COUNTED).select(*columns)
-    milk = milk_positive(created.filter(F.col("event_type") == MILK)).select(*columns)
+    created = exclude(created_between(events, start, end), "event_type", NOT_COUNTED)
+    total = milk_total_strict(attributes(F.col("additional_attributes")), 2)
+    counted = F.when(F.col("event_type") == MILK, total > 0).otherwise(True)
+    event_rows = created.filter(counted).select("id", "country_id", recorder, "event_type")
     animal_rows = (
         created_between(animals, start, end, known="created_by")
         .filter(F.col("country_id").isNotNull())
@@ -53,7 +57,7 @@ def activity_union(events: DataFrame, animals: DataFrame, farms: DataFrame, star
         .filter(F.col("country_id").isNotNull())
         .select("id", "country_id", recorder, F.lit(FARM_REG).alias("event_type"))
     )
-    return others.unionByName(milk).unionByName(animal_rows).unionByName(farm_rows).distinct()
+    return event_rows.unionByName(animal_rows).unionByName(farm_rows).distinct()
 
 
 def activity_counts(
@@ -97,30 +101,35 @@ def with_enumerator(activity: DataFrame) -> DataFrame:
     return activity.withColumn("enumerator", capitalise(F.col("enumerator")))
 
 
-def _pivot(df: DataFrame, by: Sequence[str], column: str, values: Sequence[str] | None, how: str) -> DataFrame:
-    wide = getattr(df.groupBy(*by).pivot(column, values), how)("total")
-    measures = [c for c in wide.columns if c not in by]
-    return wide.na.fill(0, subset=measures)
+def _pivot(df: DataFrame, by: Sequence[str], column: str, values: Sequence[str], how: str) -> DataFrame:
+    """A column per value and one for all others, so that a row adds up to the long form."""
+    cells = df.groupBy(*by, column).agg(getattr(F, how)("total").alias("total"))
+    named = F.when(F.col(column).isin(*values), F.col(column)).otherwise(OTHER)
+    wide = cells.withColumn(column, named).groupBy(*by).pivot(column, [*values, OTHER]).sum("total")
+    return wide.na.fill(0, subset=[*values, OTHER])
 
 
 def registration_pivot(activity: DataFrame) -> DataFrame:
     """Country by kind of registration, summed."""
     rows = activity.filter(F.col("event").isin(*REGISTRATIONS))
-    return _pivot(rows, ["country"], "event", list(REGISTRATIONS), "sum")
+    return _pivot(rows, ["country"], "event", REGISTRATIONS, "sum").drop(OTHER)
 
 
-def monitoring_pivot(activity: DataFrame, events: Sequence[str] | None = None) -> DataFrame:
-    """Country by every other event, summed. Give the events for columns that do not vary by run."""
+def monitoring_pivot(activity: DataFrame, events: Sequence[str]) -> DataFrame:
+    """Country by every other event, summed; events not named are added up under ``Other``."""
     return _pivot(exclude(activity, "event", *REGISTRATIONS), ["country"], "event", events, "sum")
 
 
-def enumerator_pivot(activity: DataFrame, events: Sequence[str] | None = None) -> DataFrame:
-    """Country and recorder by event. A mean: recorders with one name are averaged, not added."""
+def enumerator_pivot(activity: DataFrame, events: Sequence[str]) -> DataFrame:
+    """Country and recorder by event. A mean: recorders with one name are averaged, not added.
+
+    ``Other`` adds up the means of the events not named.
+    """
     return _pivot(with_enumerator(activity), ["country", "enumerator"], "event", events, "avg")
 
 
-def type_pivot(registrations: DataFrame, column: str, values: Sequence[str] | None = None) -> DataFrame:
-    """Country by animal or farm type, averaged over countries of one name."""
+def type_pivot(registrations: DataFrame, column: str, values: Sequence[str]) -> DataFrame:
+    """Country by animal or farm type, averaged over countries of one name; other types under ``Other``."""
     return _pivot(registrations, ["country"], column, values, "avg")
 
 

@@ -70,15 +70,19 @@ def flag_inactive(
     )
 
 
+def _limit(as_of: dt.date | Column, days: int) -> Column:
+    """First day that is kept."""
+    return F.date_sub(as_of, days) if isinstance(as_of, Column) else F.lit(as_of - dt.timedelta(days=days))
+
+
 def _is_old(at: str, as_of: dt.date | Column, days: int) -> Column:
-    as_of = as_of if isinstance(as_of, Column) else F.lit(as_of)
-    return F.coalesce(F.col(at) < F.date_sub(as_of, days), F.lit(False))
+    return F.coalesce(F.col(at) < _limit(as_of, days), F.lit(False))
 
 
 def retention_split(df: DataFrame, at: str, as_of: dt.date | Column, days: int = 20) -> tuple[DataFrame, DataFrame]:
     """Rows to keep and rows to archive: those more than ``days`` days old. A NULL time is kept."""
-    old = _is_old(at, as_of, days)
-    return df.filter(~old), df.filter(old)
+    limit = _limit(as_of, days)
+    return df.filter((F.col(at) >= limit) | F.col(at).isNull()), df.filter(F.col(at) < limit)
 
 
 def retention_marked(df: DataFrame, at: str, as_of: dt.date | Column, days: int = 20) -> DataFrame:

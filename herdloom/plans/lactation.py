@@ -56,6 +56,11 @@ def lactation_rules(limit_table: DataFrame, as_of: dt.date) -> list[Rule]:
     ]
 
 
+def animals_on(farms: DataFrame, animals: DataFrame, farm: str) -> DataFrame:
+    """Ids of the animals on some farms, to leave out others' events before they are grouped."""
+    return animals.join(farms.select(F.col("id").alias(farm)), farm, "left_semi").select("animal_id")
+
+
 def lactation_staged(
     tables: Mapping[str, DataFrame],
     start: dt.date | str,
@@ -70,8 +75,6 @@ def lactation_staged(
     calvings = events_of(tables["core_animal_event"], CALVING, start=start, end=end).select(
         "animal_id", F.col("id").alias("lactation_id"), F.col("event_date").alias("calving_date")
     )
-    days = day_table(calvings, "animal_id", "calving_date", "lactation_id")
-
     animals = exclude(tables["core_animal"], "animal_type", SEMEN_STRAW).select(
         F.col("id").alias("animal_id"),
         "farm_id",
@@ -85,6 +88,8 @@ def lactation_staged(
     farms = tables["core_farm"]
     if country is not None:
         farms = farms.filter(F.col("country_id") == country)
+        calvings = calvings.join(animals_on(farms, animals, "farm_id"), "animal_id", "left_semi")
+    days = day_table(calvings, "animal_id", "calving_date", "lactation_id")
     farms = farms.select(
         F.col("id").alias("farm_id"),
         F.col("farmer_name").alias("farm_name"),

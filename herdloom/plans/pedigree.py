@@ -71,8 +71,11 @@ def pedigree_rules(parentage: bool = True) -> list[Rule]:
     return rules
 
 
-def sex_evidence(parentage: DataFrame, events: DataFrame) -> DataFrame:
-    """Per animal and country: has it events only females have, is it a sire, a dam of staged animals?"""
+def sex_evidence(parentage: DataFrame, events: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
+    """Per animal and country: has it events only females have, is it a sire, a dam of staged animals?
+
+    ``wanted`` (animal_id, country_id) leaves out all others before anything is grouped.
+    """
     no = F.lit(False)
     from_events = events.filter(F.col("event_type").isin(*FEMALE_EVENTS)).select(
         "animal_id", "country_id", F.lit(True).alias("ev_event"), no.alias("ev_sire"), no.alias("ev_dam")
@@ -84,26 +87,30 @@ def sex_evidence(parentage: DataFrame, events: DataFrame) -> DataFrame:
         F.col("as_sire").alias("ev_sire"),
         F.col("as_dam").alias("ev_dam"),
     )
+    evidence = from_events.unionByName(roles).dropna(subset=["animal_id", "country_id"])
+    if wanted is not None:
+        evidence = evidence.join(wanted, ["animal_id", "country_id"], "left_semi")
     return (
-        from_events.unionByName(roles)
-        .dropna(subset=["animal_id", "country_id"])
-        .groupBy("animal_id", "country_id")
+        evidence.groupBy("animal_id", "country_id")
         .agg(F.max("ev_event").alias("ev_event"), F.max("ev_sire").alias("ev_sire"), F.max("ev_dam").alias("ev_dam"))
     )
 
 
-def derive_sex(staged: DataFrame, events: DataFrame, parentage: DataFrame | None = None) -> DataFrame:
+def derive_sex(
+    staged: DataFrame, events: DataFrame, parentage: DataFrame | None = None, wanted: DataFrame | None = None
+) -> DataFrame:
     """Fill a missing ``sex``: female by events, else male as a sire, else female as a dam.
 
     ``recorded_sex`` keeps what was there, ``estimated_sex`` holds the derived label. Never repeats a row.
-    ``parentage`` (sire_id, dam_id, country_id of the same rows) spares computing ``staged`` twice.
+    ``parentage`` (sire_id, dam_id, country_id of the same rows) spares computing ``staged`` twice;
+    ``wanted`` (animal_id, country_id) holds at least the animals without a sex.
     """
     parentage = staged if parentage is None else parentage
     estimate = (
         F.when(F.col("ev_event"), FEMALE_LABEL).when(F.col("ev_sire"), MALE_LABEL).when(F.col("ev_dam"), FEMALE_LABEL)
     )
     return (
-        staged.join(sex_evidence(parentage, events), ["animal_id", "country_id"], "left")
+        staged.join(sex_evidence(parentage, events, wanted), ["animal_id", "country_id"], "left")
         .withColumn("recorded_sex", F.col("sex"))
         .withColumn("estimated_sex", F.when(F.col("sex").isNull(), estimate))
         .withColumn("sex", F.coalesce("sex", "estimated_sex"))
@@ -142,7 +149,10 @@ def pedigree_staged(tables: Mapping[str, DataFrame], country_name: str | None =
     codes = tables["core_master_list"]
     df = with_code(df, codes, "main_breed", BREEDS, "breed")
     df = with_code(df, codes, "sex_id", SEXES, "sex")
-    df = derive_sex(df, tables["core_animal_event"], parentage)
+    sexes = codes.filter((F.col("list_type_id") == SEXES) & F.col("label").isNotNull())
+    unknown = animals.join(sexes.select(F.col("value").alias("sex_id")), "sex_id", "left_anti")
+    wanted = unknown.join(farms.select("farm_id", "country_id"), "farm_id").select("animal_id", "country_id")
+    df = derive_sex(df, tables["core_animal_event"], parentage, wanted)
     df = flag_if_exists(df, copies, "is_duplicate")
     return df.join(roles, "animal_id", "left")
 

@@ -8,16 +8,19 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from herdloom.operators import filters, reports, updates
+from herdloom.functions import period, sunday_week
+from herdloom.operators import filters, reports, rules, updates
 from herdloom.plans import dashboard, dataflow
-from herdloom.plans.lactation import lactation_extract
-from herdloom.plans.pedigree import pedigree_extract
+from herdloom.plans.lactation import lactation_extract, lactation_rules, lactation_staged
+from herdloom.plans.pedigree import pedigree_extract, pedigree_rules, pedigree_staged
 from herdloom.plans.testday import testday_report
-from herdloom.plans.weight import weight_extract
+from herdloom.plans.weight import weight_extract, weight_rules, weight_staged
 from herdloom.sources import refresh, split_valid_error, stage, stamp, write_extract
 
 Tables = Mapping[str, DataFrame]
@@ -26,13 +29,19 @@ Tables = Mapping[str, DataFrame]
 def staged_run(df: DataFrame, path: str, run_id: str) -> DataFrame:
     """Stage a run and read it back; only its partition is scanned."""
     stage(df, path, run_id)
-    schema = df.schema.add("run_id", "string")
+    schema = T.StructType([*df.schema.fields, T.StructField("run_id", T.StringType())])
     return df.sparkSession.read.schema(schema).parquet(path).filter(F.col("run_id") == run_id).drop("run_id")
 
 
-def _checked_files(extract: DataFrame, out: str, run_id: str, order: Sequence[str]) -> dict[str, str]:
-    valid, error = split_valid_error(staged_run(extract, f"{out}/staged", run_id))
-    where = {"valid": f"{out}/files/{run_id}/valid", "error": f"{out}/files/{run_id}/error"}
+def _places(out: str, job: str, run_id: str) -> tuple[str, str]:
+    """Staging table of a job and folder for the files of a run; jobs never share either."""
+    return f"{out}/staged/{job}", f"{out}/files/{job}/{quote(run_id, safe='')}"
+
+
+def _checked_files(extract: DataFrame, out: str, job: str, run_id: str, order: Sequence[str]) -> dict[str, str]:
+    staged, files = _places(out, job, run_id)
+    valid, error = split_valid_error(staged_run(extract, staged, run_id))
+    where = {"valid": f"{files}/valid", "error": f"{files}/error"}
     write_extract(valid, where["valid"], *order)
     write_extract(error, where["error"], *order)
     return where
@@ -41,28 +50,28 @@ def _checked_files(extract: DataFrame, out: str, run_id: str, order: Sequence[st
 def lactation_run(tables: Tables, out: str, run_id: str, start, end, as_of: dt.date, country: int | None = None):
     """Stage the lactation extract and write its valid and its error file."""
     extract = lactation_extract(tables, start, end, as_of, country)
-    return _checked_files(extract, out, run_id, ["animal_id", "calving_date", "lactation_id"])
+    return _checked_files(extract, out, "lactation", run_id, ["animal_id", "calving_date", "lactation_id"])
 
 
 def weight_run(tables: Tables, out: str, run_id: str, start, end, as_of: dt.date, country: int | None = None):
     """Stage the weight extract and write its valid and its error file, in no order."""
-    return _checked_files(weight_extract(tables, start, end, as_of, country), out, run_id, [])
+    return _checked_files(weight_extract(tables, start, end, as_of, country), out, "weight", run_id, [])
 
 
 def pedigree_run(
     tables: Tables, out: str, run_id: str, extracted_at: dt.datetime, version: str, country_name: str | None = None
 ) -> str:
     """Stage the pedigree extract and write all of it, stamped."""
-    rows = staged_run(pedigree_extract(tables, country_name), f"{out}/staged", run_id).drop("status")
-    path = f"{out}/files/{run_id}/pedigree"
-    write_extract(stamp(rows, extracted_at, version), path, "animal_id", "reg_date")
-    return path
+    staged, files = _places(out, "pedigree", run_id)
+    rows = staged_run(pedigree_extract(tables, country_name), staged, run_id).drop("status")
+    write_extract(stamp(rows, extracted_at, version), files, "animal_id", "reg_date")
+    return files
 
 
 def testday_run(
     tables: Tables, out: str, run_id: str, extracted_at: dt.datetime, version: str, country: int | None = None
 ) -> str:
-    path = f"{out}/files/{run_id}/testday"
+    path = _places(out, "testday", run_id)[1]
     write_extract(testday_report(tables, extracted_at, version, country), path)
     return path
 
@@ -72,8 +81,21 @@ def _refreshed(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def dataflow_run(tables: Tables, out: str, start, end, events: Sequence[str] | None = None) -> dict[str, DataFrame]:
-    """Refill the five record tables of a period and make every report from them."""
+def dataflow_run(
+    tables: Tables,
+    out: str,
+    start,
+    end,
+    events: Sequence[str],
+    animal_types: Sequence[str],
+    farm_types: Sequence[str],
+    week: tuple[int, int] | None = None,
+) -> dict[str, DataFrame]:
+    """Refill the five record tables of a period and make every report from them.
+
+    ``events`` and the types name the columns of the pivots; what is not among them is added up under
+    ``Other``. ``week`` (year, week) adds the quality section from the logged error rates.
+    """
     names = [tables[n] for n in ("core_events_type", "auth_users", "core_country")]
     union = reports.activity_union(tables["core_animal_event"], tables["core_animal"], tables["core_farm"], start, end)
     countries, codes = tables["core_country"], tables["core_master_list"]
@@ -84,18 +106,67 @@ def dataflow_run(tables: Tables, out: str, start, end, events: Sequence[str] | N
     farms = _refreshed(reports.farm_registrations(tables["core_farm"], countries, codes, start, end), f"{out}/farm_reg")
     milk = _refreshed(dataflow.milk_rows(tables, start, end), f"{out}/milk")
     weights = _refreshed(dataflow.weight_rows(tables, start, end), f"{out}/weight")
-    return {
+    made = {
         "registrations": reports.registration_pivot(activity),
         "monitoring": reports.monitoring_pivot(activity, events),
-        "enumerators": reports.enumerator_pivot(activity, events and [*reports.REGISTRATIONS, *events]),
+        "enumerators": reports.enumerator_pivot(activity, [*reports.REGISTRATIONS, *events]),
         "event_totals": reports.event_totals(activity),
         "top": reports.top_n(activity),
         "bottom": reports.bottom_n(activity),
-        "animal_types": reports.type_pivot(animals, "animal_type"),
-        "farm_types": reports.type_pivot(farms, "farm_type"),
+        "animal_types": reports.type_pivot(animals, "animal_type", animal_types),
+        "farm_types": reports.type_pivot(farms, "farm_type", farm_types),
         "milk": reports.describe_by(milk, "country", "total"),
         "weight": reports.describe_by(weights, "country", "total"),
     }
+    if week is not None:
+        logged, checks = tables["interface_data_quality_report_data_weekly"], tables["interface_data_quality_check"]
+        made["quality"] = rules.quality_report(logged, checks, countries, *week)
+    return made
+
+
+def dataflow_period(tables: Tables, out: str, preset: str, today: dt.date, *names: Sequence[str], **more):
+    """:func:`dataflow_run` over the last day, week or month, as its preset says."""
+    return dataflow_run(tables, out, *period(preset, today), *names, **more)
+
+
+def quality_rates(tables: Tables, start, end, as_of: dt.date) -> DataFrame:
+    """Error rates of all rules of all three sets per country and week, numbered as ``quality_checks``.
+
+    Calvings and weighings count in the week of the event, animals in that of their registration.
+    """
+    limits = tables["interface_limit_parameters"]
+    parts = (
+        (lactation_staged(tables, start, end), lactation_rules(limits, as_of), "calving_date"),
+        (weight_staged(tables, start, end), weight_rules(limits, as_of), "weight_date"),
+        (pedigree_staged(tables), pedigree_rules(), "reg_date"),
+    )
+    by, union, first = ["country_id", "report_year", "report_week"], None, 0
+    for staged, rule_set, day in parts:
+        weeks = {"report_year": F.year(day), "report_week": sunday_week(F.col(day))}
+        rated = rules.error_rates(staged.withColumns(weeks), rule_set, by)
+        number = F.array_position(F.array(*[F.lit(r.name) for r in rule_set]), F.col("rule"))
+        rated = rated.select(
+            "country_id", (number + first).cast("int").alias("quality_check"), "total_records",
+            "total_error_records", "error_rate", "report_year", "report_week", F.lit(0).alias("deleted"),
+        )
+        union, first = rated if union is None else union.unionByName(rated), first + len(rule_set)
+    return union
+
+
+def quality_checks(tables: Tables, as_of: dt.date) -> DataFrame:
+    """(id, quality_check): number and name of every rule."""
+    limits = tables["interface_limit_parameters"]
+    names = [r.name for r in (*lactation_rules(limits, as_of), *weight_rules(limits, as_of), *pedigree_rules())]
+    return limits.sparkSession.createDataFrame(list(enumerate(names, 1)), "id int, quality_check string")
+
+
+def quality_log_run(tables: Tables, out: str, start, end, as_of: dt.date) -> str:
+    """Log the error rates of the weeks that a period touches; those weeks are replaced, others stay."""
+    path = f"{out}/interface_data_quality_report_data_weekly"
+    rates = quality_rates(tables, start, end, as_of).filter(F.col("report_year").isNotNull())
+    writer = rates.write.partitionBy("report_year", "report_week").option("partitionOverwriteMode", "dynamic")
+    writer.mode("overwrite").parquet(path)
+    return path
 
 
 def dashboard_run(tables: Tables, out: str, country: int | None = None) -> dict[str, str]:
@@ -120,9 +191,32 @@ def gps_run(tables: Tables, out: str, at_least: str = "1.7") -> str:
 
 def retention_run(
     df: DataFrame, out: str, at: str, as_of: dt.date, days: int = 20, dry_run: bool = False
-) -> DataFrame | str:
-    """Write kept and archived rows in one pass, or count them only."""
+) -> DataFrame | dict[str, str]:
+    """Write kept and archived rows in one pass, or count them only.
+
+    Both parts carry the day of the run. Only the partitions of this run are written: what earlier runs
+    archived stays, and a retry doubles nothing. Returns where the kept rows of this run and the archive
+    of all runs are; the next run takes the kept rows.
+    """
     if dry_run:
         return updates.retention_counts(df, at, as_of, days)
-    updates.retention_marked(df, at, as_of, days).write.partitionBy("archived").mode("overwrite").parquet(out)
-    return out
+    marked = updates.retention_marked(df, at, as_of, days).withColumn("run_day", F.lit(as_of.isoformat()))
+    writer = marked.write.partitionBy("archived", "run_day").option("partitionOverwriteMode", "dynamic")
+    writer.mode("overwrite").parquet(out)
+    return {"kept": f"{out}/archived=false/run_day={as_of}", "archive": f"{out}/archived=true"}
+
+
+def retention_all(
+    tables: Tables, out: str, at: str, as_of: dt.date, days: int = 20, dry_run: bool = False
+) -> dict[str, DataFrame | dict[str, str]]:
+    """Retention of several tables, each into a folder of its own."""
+    return {name: retention_run(df, f"{out}/{name}", at, as_of, days, dry_run) for name, df in tables.items()}
+
+
+def inactive_run(tables: Tables, out: str, as_of: dt.date, max_age_years: int = 20, last_event_years: int = 5) -> str:
+    """Write the animal table with animals that are too old or long without an event marked."""
+    marked = updates.flag_inactive(
+        tables["core_animal"], tables["core_animal_event"], as_of, max_age_years, last_event_years
+    )
+    refresh(marked, f"{out}/core_animal")
+    return f"{out}/core_animal"

@@ -27,6 +27,7 @@ from herdloom.operators.filters import events_of
 from herdloom.operators.history import MIN_CALVING_GAP, asof_days, parity_days
 from herdloom.operators.lookups import BREEDS, FARM_TYPES, SEXES, with_code, with_places
 from herdloom.operators.reports import CALVING, MILK, WEIGHT
+from herdloom.plans.lactation import animals_on
 from herdloom.sources import stamp
 
 # Columns of the report (the second farm id is farm_key, as names ignore case here) and
@@ -97,12 +98,13 @@ def testday_report(
     of an animal, so they are checked once, on the days linked.
     """
     events, animals, farms = tables["core_animal_event"], tables["core_animal"], tables["core_farm"]
-    lactations = parity_days(events_of(events, CALVING), min_gap).select(
-        "animal_id", F.col("event_date").alias("calvdate"), "parity"
-    )
-    # Calvings are told apart by the farm, not by the country of the event: only these are filtered here.
+    calvings = events_of(events, CALVING)
+    # Calvings are told apart by the farm, not by the country of the event.
     if country is not None:
         events, animals, farms = (df.filter(F.col("country_id") == country) for df in (events, animals, farms))
+        ids = animals.select(F.col("id").alias("animal_id"), "farm_id")
+        calvings = calvings.join(animals_on(farms, ids, "farm_id"), "animal_id", "left_semi")
+    lactations = parity_days(calvings, min_gap).select("animal_id", F.col("event_date").alias("calvdate"), "parity")
     days = milk_weight_days(events)
     linked = asof_days(days, lactations, "animal_id", "milkdate", "calvdate").filter(
         F.col("closest_calvdate").isNotNull()

@@ -122,7 +122,10 @@ def weight_staged(
         F.col("animal_type").alias("type_code"),
         "birthdate", "longitude", "latitude",
     )
-    weighings = with_attributes(events_of(tables["core_animal_event"], WEIGHT, start=start, end=end)).select(
+    events = events_of(tables["core_animal_event"], WEIGHT, start=start, end=end)
+    if country is not None:
+        events = events.join(animals.select("animal_id"), "animal_id", "left_semi")
+    weighings = with_attributes(events).select(
         "animal_id", F.col("id").alias("weight_id"), F.col("event_date").alias("weight_date"), "attrs"
     )
     weighings = with_attr_texts(weighings, "attrs", {"heart_girth": HEART_GIRTH, "body_weight": BODY_WEIGHT}).drop("attrs")
@@ -133,8 +136,9 @@ def weight_staged(
     df = with_code(df, codes, "sex_code", SEXES, "sex")
     df = with_code(df, codes, "breed_code", BREEDS, "main_breed")
     df = with_code(df, codes, "type_code", ANIMAL_TYPES, "animal_type")
-    # All events of an animal pass or fail the country filter together: duplicates can be counted before it.
-    copies = duplicate_keys(weighings, "animal_id", "weight_date").drop("copies")
+    # Counted from the events, so that the attribute bag is read and parsed for the weighings only.
+    days = events.select("animal_id", F.col("event_date").alias("weight_date"))
+    copies = duplicate_keys(days, "animal_id", "weight_date").drop("copies")
     df = flag_if_exists(df, copies, "is_duplicate")
     age = months_apart(F.col("weight_date"), F.col("birthdate"))
     return (
@@ -147,7 +151,7 @@ def weight_staged(
             }
         )
         .withColumn("age_class", age_class(F.col("age_at_weighing"), calf_age(tables["interface_graduation_settings"])))
-        .select(*COLUMNS, "weight_id", "girth_value", "weight_value", "age_class", "is_duplicate")
+        .select(*COLUMNS, "country_id", "weight_id", "girth_value", "weight_value", "age_class", "is_duplicate")
     )
 
 
@@ -162,5 +166,5 @@ def weight_extract(
     staged = weight_staged(tables, start, end, country)
     rules = weight_rules(tables["interface_limit_parameters"], as_of)
     return apply_rules(staged, rules).drop(
-        "girth_value", "weight_value", "age_class", "is_duplicate"
+        "country_id", "girth_value", "weight_value", "age_class", "is_duplicate"
     )

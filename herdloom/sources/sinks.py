@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +22,8 @@ def stage(df: DataFrame, path: str, run_id: str) -> None:
 
     Only the partition of this run is replaced, so a retried run never doubles its rows.
     """
+    if not run_id:
+        raise ValueError("a run needs an id")
     (
         df.withColumn("run_id", F.lit(run_id))
         .write.partitionBy("run_id")
@@ -30,12 +33,20 @@ def stage(df: DataFrame, path: str, run_id: str) -> None:
     )
 
 
-def purge_run(spark: SparkSession, path: str, run_id: str) -> bool:
-    """Remove one run from a staging table by dropping its partition; other runs are not read."""
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path, f"run_id={run_id}")
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.delete(folder, True)
+def purge_run(spark: SparkSession, path: str, run_id: str) -> None:
+    """Remove one run from a staging table by dropping its partition; other runs are not read.
+
+    The partition is found by what its folder's name stands for, as the writer escapes ids in names. A
+    run that is not there is an error.
+    """
+    table = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = table.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in fs.listStatus(table):
+        folder = status.getPath()
+        if unquote(folder.getName()) == f"run_id={run_id}":
+            fs.delete(folder, True)
+            return
+    raise LookupError(f"no run {run_id!r} in {path}")
 
 
 def refresh(df: DataFrame, path: str) -> None:
@@ -61,7 +72,8 @@ def write_extract(df: DataFrame, path: str, *order: str) -> None:
 
 
 def read_extract(spark: SparkSession, path: str, schema) -> DataFrame:
-    return spark.read.schema(schema).options(**CSV).option("header", True).csv(path)
+    """Rows of an extract; a text may hold line breaks, so a file is read by one task."""
+    return spark.read.schema(schema).options(**CSV).option("header", True).option("multiLine", True).csv(path)
 
 
 def stamp(df: DataFrame, extracted_at: dt.datetime, version: str) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -70,15 +69,14 @@ def read_jdbc(
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """Fresh path below the shared folder the cluster names in ``spark.checkpoint.dir``.
+    """Fresh path below the folder all executors share, removed when the application ends.
 
-    Where that is unset a local session gets a folder of its own; anywhere else it is an error, as
-    executors could not see each other's files.
+    The cluster names the folder in ``spark.checkpoint.dir``; where it names none, the warehouse is the
+    one place that every session has and shares.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if root is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="herdloom-")
-        spark.sparkContext.setCheckpointDir(root)
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    root = root or f"{spark.conf.get('spark.sql.warehouse.dir')}/scratch"
+    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return path

@@ -62,12 +62,23 @@ def test_activity_union(table):
 
 def test_pivots(activity):
     assert rows_of(reports.registration_pivot(activity)) == [("A", 1, 0), ("B", 0, 7)]
-    assert rows_of(reports.monitoring_pivot(activity, ["Milking", "Weight"])) == [("A", 36, 9)]
-    # The same without a list of events.
-    assert rows_of(reports.monitoring_pivot(activity)) == [("A", 36, 9)]
+    assert rows_of(reports.monitoring_pivot(activity, ["Milking", "Weight"])) == [("A", 36, 9, 0)]
+    # Events that are not named are not lost.
+    assert rows_of(reports.monitoring_pivot(activity, ["Weight"])) == [("A", 9, 36)]
     people = reports.enumerator_pivot(activity, ["Milking", "Animal-Reg"]).filter("country = 'A'")
     # Two spellings of one name are averaged, not added.
-    assert rows_of(people)[0] == ("A", "Ann lee", 6.0, 1.0)
+    assert rows_of(people)[0] == ("A", "Ann lee", 6.0, 1.0, 0.0)
+
+
+def test_pivots_start_no_job(spark, activity):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("pivots", "")
+    reports.monitoring_pivot(activity, ["Milking"])
+    reports.enumerator_pivot(activity, ["Milking"])
+    assert tracker.getJobIdsForGroup("pivots") == []
+
+
+def test_event_totals(activity):
     assert rows_of(reports.event_totals(activity))[0] == ("Animal-Reg", "A", 1)
 
 

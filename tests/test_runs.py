@@ -36,7 +36,16 @@ def test_checked_run(spark, tables, tmp_path, kind):
     error = read_extract(spark, where["error"], expected.drop("status").schema)
     assert valid.count() + error.count() == expected.count() > 0
     assert rows_of(error) == rows_of(expected.filter("status = 0").drop("status"))
-    assert spark.read.parquet(f"{out}/staged").count() == expected.count()
+    assert spark.read.parquet(f"{out}/staged/{kind}").count() == expected.count()
+
+
+def test_jobs_with_one_folder_and_run_id_keep_their_results(spark, tables, tmp_path):
+    args = (tables, str(tmp_path), "2024-01-25T06:00", LONG_START, LONG_END, AS_OF)
+    first, second = runs.lactation_run(*args), runs.weight_run(*args)
+    for where, extract in ((first, plans.lactation_extract), (second, plans.weight_extract)):
+        expected = extract(tables, LONG_START, LONG_END, AS_OF)
+        error = read_extract(spark, where["error"], expected.drop("status").schema)
+        assert rows_of(error) == rows_of(expected.filter("status = 0").drop("status"))
 
 
 def test_pedigree_and_testday_runs(spark, tables, tmp_path):
@@ -49,9 +58,10 @@ def test_pedigree_and_testday_runs(spark, tables, tmp_path):
 
 
 def test_dataflow_run(tables, tmp_path):
-    out = runs.dataflow_run(tables, str(tmp_path), START, END, MONITORED)
+    events = MONITORED[:2]
+    out = runs.dataflow_run(tables, str(tmp_path), START, END, events, ["Cow"], ["Small"])
     totals = out["event_totals"].agg(F.sum("total")).first()[0]
-    wide = out["monitoring"].agg(*[F.sum(c) for c in MONITORED]).first()
+    wide = out["monitoring"].agg(*[F.sum(c) for c in (*events, "Other")]).first()
     registered = out["registrations"].agg(F.sum("Animal-Reg"), F.sum("Farmer-Reg")).first()
     assert totals == sum(wide) + sum(registered) > 0
     milk = plans.milk_rows(tables, START, END)
@@ -71,6 +81,42 @@ def test_dashboard_and_gps_runs(spark, tables, tmp_path):
 def test_retention_run(spark, tables, tmp_path):
     events = tables["core_animal_event"]
     kept, archived = runs.retention_run(events, "", "created_at", AS_OF, dry_run=True).first()
-    path = runs.retention_run(events, str(tmp_path / "r"), "created_at", AS_OF)
-    counts = {r.archived: r["count"] for r in spark.read.parquet(path).groupBy("archived").count().collect()}
-    assert counts == {"false": kept, "true": archived}
+    out = str(tmp_path / "r")
+    where = runs.retention_run(events, out, "created_at", AS_OF)
+    assert (spark.read.parquet(where["kept"]).count(), spark.read.parquet(where["archive"]).count()) == (kept, archived)
+    later = AS_OF + dt.timedelta(days=10)
+    for _ in range(2):  # a second run, and its retry, leave the first archive
+        second = runs.retention_run(spark.read.parquet(where["kept"]), out, "created_at", later)
+    left, gone = (spark.read.parquet(second[part]) for part in ("kept", "archive"))
+    assert left.count() + gone.count() == kept + archived and gone.count() > archived
+    assert rows_of(left.unionByName(gone.drop("run_day"))) == rows_of(events)
+
+
+def test_inactive_and_retention_of_several_tables(spark, tables, tmp_path):
+    marked = spark.read.parquet(runs.inactive_run(tables, str(tmp_path), AS_OF, 3, 1))
+    assert marked.count() == tables["core_animal"].count() and marked.filter("inactive").count() > 0
+    several = {n: tables[n] for n in ("core_animal", "core_animal_event", "core_farm")}
+    where = runs.retention_all(several, str(tmp_path), "created_at", AS_OF)
+    for name, df in several.items():
+        assert sum(spark.read.parquet(path).count() for path in where[name].values()) == df.count()
+
+
+def test_quality_log_replaces_its_own_weeks(spark, tables, tmp_path):
+    args = (tables, str(tmp_path), START, END, AS_OF)
+    path = runs.quality_log_run(*args)
+    before = rows_of(spark.read.parquet(path))
+    assert runs.quality_log_run(*args) == path and rows_of(spark.read.parquet(path)) == before
+    logged = {"interface_data_quality_report_data_weekly": spark.read.parquet(path)}
+    checks = runs.quality_checks(tables, AS_OF)
+    names = {r.quality_check for r in checks.collect()}
+    assert {"calving_duplicate", "no_gps", "own_parent"} <= names
+    out = runs.dataflow_period(
+        _with(tables, logged, checks),
+        str(tmp_path), "prev_month", dt.date(2024, 2, 10), MONITORED, ["Cow"], ["Small"], week=(2024, 1),
+    )
+    assert out["quality"].count() > 0
+
+
+def _with(tables, logged, checks):
+    names = ("core_events_type", "auth_users", "core_country", "core_animal_event", "core_animal", "core_farm", "core_master_list")
+    return {n: tables[n] for n in names} | logged | {"interface_data_quality_check": checks}

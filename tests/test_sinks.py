@@ -33,10 +33,31 @@ def test_stage_and_purge(spark, tmp_path):
     stage(b, path, "r2")
     stage(a, path, "r1")  # a retry does not double
     assert rows_of(spark.read.parquet(path)) == [(1, 1, "r1"), (2, 0, "r1"), (3, 1, "r2")]
-    assert purge_run(spark, path, "r1") and not purge_run(spark, path, "r1")
+    purge_run(spark, path, "r1")
+    with pytest.raises(LookupError):
+        purge_run(spark, path, "r1")
     assert rows_of(spark.read.parquet(path)) == [(3, 1, "r2")]
 
 
+@pytest.mark.parametrize("run", ["2024-01-25T06:00", "b c%", "a/b=c", "%3A", "x'{}[]^"])
+def test_every_run_that_can_be_staged_can_be_purged(spark, tmp_path, run):
+    path = str(tmp_path / "staged")
+    for name in (run, "other"):
+        stage(spark.range(2), path, name)
+    purge_run(spark, path, run)
+    schema = "id bigint, run_id string"
+    assert rows_of(spark.read.schema(schema).parquet(path)) == [(0, "other"), (1, "other")]
+    with pytest.raises(ValueError):
+        stage(spark.range(1), path, "")
+
+
+def test_line_breaks_in_texts_come_back(spark, tmp_path):
+    path = str(tmp_path / "extract")
+    df = spark.createDataFrame([(1, "two\nlines"), (2, 'a "b",\r\nc')], "id int, name string")
+    write_extract(df, path, "id")
+    assert rows_of(read_extract(spark, path, "id int, name string")) == rows_of(df)
+
+
 def test_refresh_replaces(spark, tmp_path):
     path = str(tmp_path / "report")
     refresh(spark.range(5), path)
@@ -80,20 +101,8 @@ def test_read_table_uses_the_given_schema(spark, tmp_path, table):
     assert rows_of(read_table(spark, str(tmp_path), "core_country")) == [(1, "Kenya")]
 
 
-def session(setting, master="yarn", known=None):
-    """What shared_path looks at in a session."""
-    context = SimpleNamespace(master=master, getCheckpointDir=lambda: known, setCheckpointDir=lambda path: None)
-    return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: setting), sparkContext=context)
-
-
-def test_shared_path_follows_the_session():
-    on_cluster = session("hdfs://shared/")
-    assert shared_path(on_cluster, "x").startswith("hdfs://shared/x-")
-    assert shared_path(on_cluster, "x") != shared_path(on_cluster, "x")
-    assert shared_path(session(None, known="hdfs://given"), "x").startswith("hdfs://given/x-")
-
-
-def test_shared_path_is_never_local_on_a_cluster():
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        shared_path(session(None), "x")
-    assert "herdloom-" in shared_path(session(None, master="local[2]"), "x")
+def test_scratch_lies_in_the_shared_folder(spark, monkeypatch):
+    given = spark.sparkContext.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or given or spark.conf.get("spark.sql.warehouse.dir")
+    path = shared_path(spark, "x")
+    assert path.startswith(root) and path != shared_path(spark, "x")
