@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from herdloom.llm import bpe, decontamination, host_rules, html_text, jaccard, language, pii, quality_model, secrets, sharding
+from herdloom.llm import bpe, decontamination, host_rules, html_text, jaccard, language, oracles, pii, quality_model, secrets, sharding
 from herdloom.llm.base import id_remainder, query, read
 
 SHARDS = 24
@@ -36,7 +36,7 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(read(spark, sf_dir, "documents"), public_tokenizers.path(BPE_FILE))
 
 
-@query("op5_ngram_join")
+@query("op5_ngram_join", oracles.NGRAM_JOIN)
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.link(read(spark, sf_dir, "documents"))
 
@@ -52,7 +52,7 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_personal(read(spark, sf_dir, "documents"))
 
 
-@query("op8_decontamination")
+@query("op8_decontamination", oracles.DECONTAMINATION)
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
@@ -63,6 +63,6 @@ def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_pages(read(spark, sf_dir, "pages"))
 
 
-@query("op10_host_rules")
+@query("op10_host_rules", oracles.HOST_RULES)
 def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_rules.judge(read(spark, sf_dir, "documents"))

@@ -27,7 +27,8 @@ from herdloom.llm.base import SLICE_ROWS, arrow_schema, map_slices, send_code, s
 
 #: Words of a shingle and the least similarity in percent.
 SHINGLE, PERCENT = 5, 75
-#: Groups of signatures; raise with the input so that one fits into a task (12 bytes a signature).
+#: Least number of groups of signatures; there are as many as shuffle partitions where that is more, so
+#: that a group (13 bytes a signature) fits into a task as those are set for the input.
 BUCKETS = 256
 #: Signatures that a task holds before it sends them on.
 FLUSH = 1_000_000
@@ -486,7 +487,8 @@ def link(df: DataFrame, id_column: str = "doc_id", text_column: str = "text", pe
         F.first("missing").alias("missing"),
     )
     classes = stored(classes, "join-classes")
-    shared = shared_signatures(signatures(df, text_column, percent, BUCKETS))
+    buckets = max(BUCKETS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    shared = shared_signatures(signatures(df, text_column, percent, buckets))
     clusters = components(candidate_edges(classes, shared))
     wanted = classes.join(clusters.withColumnsRenamed({"node": "class", "label": "cluster"}), "class")
     wanted = stored(wanted.select("class", "rep", "cluster"), "join-wanted")
