@@ -57,30 +57,32 @@ WEIGHT_TEXTS = {
 }
 
 
-def milk_weight_days(events: DataFrame) -> DataFrame:
-    """One row per animal, country and day with milk: count, first event, first known milk and weight values.
+def milk_days(events: DataFrame) -> DataFrame:
+    """Days with milk per animal and country: number of records and the first of them."""
+    milk = events_of(events, MILK).filter(F.col("event_date").isNotNull())
+    return milk.groupBy("animal_id", "country_id", F.col("event_date").alias("milkdate")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("id").alias("event_id")
+    )
+
 
-    Milk and weights of a day meet in one grouping, which replaces their join.
+def day_values(events: DataFrame) -> DataFrame:
+    """First known milk and weight values per animal, country and day.
+
+    Milk and weights of a day meet in one grouping, which replaces their join. It is by day, so that a
+    hot animal is spread out, and the only place where texts are shuffled.
     """
     rows = with_attributes(events.filter(F.col("event_type").isin(MILK, WEIGHT) & F.col("event_date").isNotNull()))
     rows = rows.withColumnRenamed("event_date", "milkdate")
-    is_milk = F.col("event_type") == MILK
-    total = F.when(is_milk, milk_total_lenient(F.col("attrs")))
+    total = F.when(F.col("event_type") == MILK, milk_total_lenient(F.col("attrs")))
     rows = with_attr_texts(rows, "attrs", MILK_TEXTS | WEIGHT_TEXTS, TotalMilk=total)
 
     def first_of(name: str, event_type: int):
         known = (F.col("event_type") == event_type) & F.col(name).isNotNull()
         return F.min_by(name, F.when(known, F.col("id"))).alias(name)
 
-    return (
-        rows.groupBy("animal_id", "country_id", "milkdate")
-        .agg(
-            F.count_if(is_milk).alias("n"),
-            F.min(F.when(is_milk, F.col("id"))).alias("event_id"),
-            *[first_of(name, MILK) for name in ("TotalMilk", *MILK_TEXTS)],
-            *[first_of(name, WEIGHT) for name in WEIGHT_TEXTS],
-        )
-        .filter(F.col("n") > 0)
+    return rows.groupBy("animal_id", "country_id", "milkdate").agg(
+        *[first_of(name, MILK) for name in ("TotalMilk", *MILK_TEXTS)],
+        *[first_of(name, WEIGHT) for name in WEIGHT_TEXTS],
     )
 
 
@@ -105,8 +107,8 @@ def testday_report(
         ids = animals.select(F.col("id").alias("animal_id"), "farm_id")
         calvings = calvings.join(animals_on(farms, ids, "farm_id"), "animal_id", "left_semi")
     lactations = parity_days(calvings, min_gap).select("animal_id", F.col("event_date").alias("calvdate"), "parity")
-    days = milk_weight_days(events)
-    linked = asof_days(days, lactations, "animal_id", "milkdate", "calvdate").filter(
+    # Link and numbers need days only; values meet the linked days afterwards.
+    linked = asof_days(milk_days(events), lactations, "animal_id", "milkdate", "calvdate").filter(
         F.col("closest_calvdate").isNotNull()
     )
     # Records of the day are numbered from the first one on; the report shows that first number.
@@ -119,6 +121,8 @@ def testday_report(
         }
     )
 
+    linked = linked.join(day_values(events), ["animal_id", "country_id", "milkdate"])
+
     animals = animals.select(
         F.col("id").alias("animal_id"),
         F.col("farm_id").alias("Farm_id"),
