@@ -53,7 +53,7 @@ def _send_code(spark: SparkSession, application: str) -> None:
     spark.sparkContext.addPyFile(str(archive))
 
 
-def send_code(spark: SparkSession) -> None:
+def prepare(spark: SparkSession) -> None:
     """Give this package to all executors, those that start later too, once per application."""
     _send_code(spark, spark.sparkContext.applicationId)
 
@@ -71,7 +71,7 @@ def map_slices(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], list
 
     The function gets a record batch and returns the columns of ``ddl`` as lists or Arrow arrays.
     """
-    send_code(df.sparkSession)
+    prepare(df.sparkSession)
     schema = arrow_schema(ddl)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -91,7 +91,7 @@ def map_slices(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], list
 
 def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema) -> DataFrame:
     """Like ``map_slices`` with whole rows: the function turns a slice into a record batch of ``schema``."""
-    send_code(df.sparkSession)
+    prepare(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from herdloom.llm.base import SLICE_ROWS, arrow_schema, map_slices, send_code, stored, texts
+from herdloom.llm.base import SLICE_ROWS, arrow_schema, map_slices, prepare, stored, texts
 
 #: Words of a shingle and the least similarity in percent.
 SHINGLE, PERCENT = 5, 75
@@ -32,6 +32,8 @@ SHINGLE, PERCENT = 5, 75
 BUCKETS = 256
 #: Signatures that a task holds before it sends them on.
 FLUSH = 1_000_000
+#: Classes of a signature that a task sends to its bucket at a time.
+KNOWN = 2
 #: Classes of a block; candidates are compared within pairs of blocks.
 BLOCK = 256
 #: Bits of the filter, of fixed size, that spares classes without candidates a second look.
@@ -203,12 +205,27 @@ def sets_of(df: DataFrame, percent: int, id_column: str, text_column: str) -> Da
 def signatures(df: DataFrame, text_column: str, percent: int, buckets: int) -> DataFrame:
     """(bucket, signs, classes, bands): packed signatures of the distinct sets of each task.
 
-    A set that a task has met before is not signed again, so a group of copies costs a set per task.
+    A set that a task has met before is not signed again, so a group of copies costs a set per task. Of a
+    signature, only the first two classes that a task holds at a time go to its bucket. They tell it all it
+    needs; the others are known to be in company and go, spread by class, to groups below 0. So the share
+    of a group of near copies in a bucket grows with the tasks, not with the group.
     """
-    send_code(df.sparkSession)
+    prepare(df.sparkSession)
     ddl = "bucket int, signs binary, classes binary, bands binary"
     schema = arrow_schema(ddl)
 
+    def packed(keys: np.ndarray, *columns: np.ndarray) -> pa.RecordBatch:
+        """One row per key, its values of each column as bytes."""
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+        starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        ends = np.append(starts[1:], len(keys))
+        arrays = [pa.array(keys[starts])]
+        for values in columns:
+            values = values[order]
+            arrays.append(pa.array([values[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary()))
+        return pa.RecordBatch.from_arrays(arrays, schema=schema)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grades, met, parts, size = Bands(percent), set(), [], 0
 
@@ -217,15 +234,18 @@ def signatures(df: DataFrame, text_column: str, percent: int, buckets: int) -> D
             signs = np.concatenate([s for s, _, _ in parts])
             classes = np.repeat(np.array([c for _, c, _ in parts], np.int64), counts)
             bands = np.repeat(np.array([b for _, _, b in parts], np.uint8), counts)
+            order = np.argsort(signs, kind="stable")
+            signs, classes, bands = signs[order], classes[order], bands[order]
+            starts = np.flatnonzero(np.append(True, signs[1:] != signs[:-1]))
+            place = np.arange(len(signs)) - np.repeat(starts, np.diff(np.append(starts, len(signs))))
             bucket = (signs % np.uint64(buckets)).astype(np.int32)
-            order = np.argsort(bucket, kind="stable")
-            signs, classes, bands, bucket = signs[order], classes[order], bands[order], bucket[order]
-            starts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
-            ends = np.append(starts[1:], len(signs))
-            columns = [pa.array(bucket[starts])]
-            for values in ((signs >> np.uint64(32)).astype(np.uint32), classes, bands):
-                columns.append(pa.array([values[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary()))
-            return pa.RecordBatch.from_arrays(columns, schema=schema)
+            short = (signs >> np.uint64(32)).astype(np.uint32)
+            first = place < KNOWN
+            yield packed(bucket[first], short[first], classes[first], bands[first])
+            if not first.all():
+                rest = ~first
+                names = sign_name(short[rest], bucket[rest])
+                yield packed(-1 - (classes[rest] % buckets).astype(np.int32), names, classes[rest], bands[rest])
 
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE_ROWS):
@@ -239,14 +259,19 @@ def signatures(df: DataFrame, text_column: str, percent: int, buckets: int) -> D
                         parts.append((grades.sign(items, band), key, band))
                         size += len(parts[-1][0])
                 if size >= FLUSH:
-                    yield flush()
+                    yield from flush()
                     parts, size = [], 0
         if parts:
-            yield flush()
+            yield from flush()
 
     return df.select(text_column).mapInArrow(run, ddl)
 
 
+def sign_name(short: np.ndarray, bucket) -> np.ndarray:
+    """A signature as one number: its 32 bits within a bucket and the bucket."""
+    return short.astype(np.int64) << 24 | bucket
+
+
 def shared_signatures(packed: DataFrame) -> DataFrame:
     """(class, band, sign, others): signatures that at least two classes have, one row per class.
 
@@ -256,10 +281,14 @@ def shared_signatures(packed: DataFrame) -> DataFrame:
     schema = arrow_schema(ddl)
 
     def collide(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        bucket = key[0].as_py()
         signs, classes, bands = (
             np.frombuffer(b"".join(table.column(c).to_pylist()), kind)
-            for c, kind in (("signs", np.uint32), ("classes", np.int64), ("bands", np.uint8))
+            for c, kind in (("signs", np.int64 if bucket < 0 else np.uint32), ("classes", np.int64), ("bands", np.uint8))
         )
+        if bucket < 0:
+            arrays = [classes, bands.astype(np.int32), signs, np.full(len(signs), KNOWN)]
+            return pa.Table.from_arrays([pa.array(a) for a in arrays], schema=schema)
         order = np.lexsort((classes, signs))
         signs, classes, bands = signs[order], classes[order], bands[order]
         fresh = np.append(True, (signs[1:] != signs[:-1]) | (classes[1:] != classes[:-1]))
@@ -268,7 +297,7 @@ def shared_signatures(packed: DataFrame) -> DataFrame:
         count = np.diff(np.append(starts, len(signs)))
         others = np.repeat(count, count) - 1
         keep = others > 0
-        sign = signs[keep].astype(np.int64) << 24 | key[0].as_py()
+        sign = sign_name(signs[keep], bucket)
         arrays = [classes[keep], bands[keep].astype(np.int32), sign, others[keep]]
         return pa.Table.from_arrays([pa.array(a) for a in arrays], schema=schema)
 
@@ -279,13 +308,16 @@ def candidate_edges(classes: DataFrame, shared: DataFrame) -> DataFrame:
     """(class, pivot): stars that join all classes which may be partners.
 
     Of the signatures of a class in a band, those of no other class are free; it needs D + 1, and takes
-    the others that fewest classes share. A class with D + 1 free ones is out. All classes left that have
+    of the others those that fewest classes share, as far as known. A class with D + 1 free ones is out. All classes left that have
     a signature which one of them took are joined to the least of them.
     """
     roles = classes.select("class", F.explode(F.arrays_zip("bands", "missing")).alias("role"))
     roles = roles.select("class", F.col("role.bands").cast("int").alias("band"), F.col("role.missing").alias("missing"))
     own = W.partitionBy("class", "band")
-    ranked = shared.withColumns(
+    # Tasks that met copies of one set may each have sent its signatures; the rows of a class are put
+    # together once, for this grouping, the window and the join alike.
+    once = shared.repartition("class", "band").groupBy("class", "band", "sign").agg(F.max("others").alias("others"))
+    ranked = once.withColumns(
         {"total": F.count("*").over(own), "place": F.row_number().over(own.orderBy("others", "sign"))}
     ).join(roles, ["class", "band"])
     need = F.col("missing") + F.col("total")
@@ -411,7 +443,7 @@ def verified_edges(sets: DataFrame, percent: int) -> DataFrame:
     A cluster is cut into blocks of about ``BLOCK`` classes and every class goes to the pairs of its own
     block with each other one. What leaves a pair of blocks is a row per class at most.
     """
-    send_code(sets.sparkSession)
+    prepare(sets.sparkSession)
     sizes = sets.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     placed = sets.join(sizes, "cluster").withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
     spread = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(

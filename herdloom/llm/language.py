@@ -16,7 +16,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from herdloom.llm.base import ARROW, id_remainder, map_batches, map_slices, send_code, texts
+from herdloom.llm.base import ARROW, id_remainder, map_batches, map_slices, prepare, texts
 
 #: Bytes of the longest context; a context and the byte after it make a key of ORDER + 1 bytes.
 ORDER = 3
@@ -207,7 +207,7 @@ def train(df: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model:
     picked = labelled.filter(point < limit)
     number = {lang: i for i, lang in enumerate(langs)}
     schema = pa.schema([("lang", ARROW["int"]), ("key", ARROW["bigint"]), ("n", ARROW["bigint"])])
-    send_code(df.sparkSession)
+    prepare(df.sparkSession)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
