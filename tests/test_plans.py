@@ -6,7 +6,7 @@ import re
 import pytest
 
 from herdloom import plans
-from herdloom.operators import filters, history, lookups, reports, rules
+from herdloom.operators import filters, history, lookups, reports, rules, updates
 from herdloom.sources import TABLES, read_table
 
 
@@ -158,3 +158,57 @@ def test_hot_animal_is_split_before_a_grouping(spark, split_skew):
     out = history.day_table(events.join(animals, "animal_id"), "animal_id", "event_date", "id")
     assert sum(r.n for r in out.collect()) == 90000
     assert "skew=true" in plan(out)
+
+
+def test_weighings_are_parsed_once(tables):
+    df = plans.weight_extract(tables, "2020-01-01", "2024-12-31", dt.date(2024, 1, 1))
+    reads = [scan for scan in scans(df, "event_type") if "additional_attributes" in scan]
+    assert len(reads) == 1
+
+
+def test_retention_reaches_the_scan(tables):
+    kept, archived = updates.retention_split(tables["core_animal"].select("id", "created_at"), "created_at", dt.date(2024, 1, 25))
+    for df, part in ((kept, "GreaterThanOrEqual(created_at,2024-01-05"), (archived, "LessThan(created_at,2024-01-05")):
+        (scan,) = scans(df, "created_at")
+        assert part in re.search(r"PushedFilters: \[(.*?)\],? ReadSchema", scan).group(1)
+
+
+@pytest.mark.parametrize(
+    "build",
+    [
+        lambda t: plans.lactation_extract(t, "2020-01-01", "2024-12-31", dt.date(2024, 1, 1), 1),
+        lambda t: plans.weight_extract(t, "2020-01-01", "2024-12-31", dt.date(2024, 1, 1), 1),
+        lambda t: plans.testday_report(t, dt.datetime(2024, 1, 1), "V", 1),
+        lambda t: plans.pedigree_extract(t, "kenya"),
+    ],
+)
+def test_country_runs_drop_other_events_before_they_are_grouped(tables, build):
+    nodes = list(walk(build(tables)._jdf.queryExecution().executedPlan().inputPlan()))
+    pruned = [
+        below
+        for depth, node in nodes
+        if node.nodeName() == "HashAggregate" and "animal_id" in node.simpleString(500)
+        for below in [[n.simpleString(2000) for _, n in walk(node)]]
+        if any("LeftSemi" in text for text in below) and any("event_type" in text for text in below)
+    ]
+    assert pruned
+
+
+def test_events_are_scanned_once_for_the_activity_union(tables):
+    events, animals, farms = (tables[n] for n in ("core_animal_event", "core_animal", "core_farm"))
+    assert len(scans(reports.activity_union(events, animals, farms, "2024-01-01", "2024-01-31"), "event_type")) == 1
+
+
+def test_no_text_of_an_event_passes_a_window_of_the_testday_report(tables):
+    df = plans.testday_report(tables, dt.datetime(2024, 1, 1), "V")
+    for _, node in walk(df._jdf.queryExecution().executedPlan().inputPlan()):
+        if "Window" in node.nodeName() or node.nodeName() == "Exchange" and "(animal_id#" in node.simpleString(500):
+            by_day = "milkdate" in node.simpleString(500)
+            assert by_day and "Window" not in node.nodeName() or "MilkAM" not in node.output().mkString(" ")
+
+
+def walk(node, depth=0):
+    yield depth, node
+    children = node.children()
+    for i in range(children.size()):
+        yield from walk(children.apply(i), depth + 1)
