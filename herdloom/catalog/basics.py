@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from herdloom.catalog.base import (
@@ -135,6 +136,22 @@ def csv_roundtrip(t):
     return read_extract(t.spark, path, "id bigint, tag_id string, sex bigint, birthdate date")
 
 
+@query(
+    "ordered_extract",
+    "core_animal",
+    """
+    select cast(row_number() over (order by birthdate nulls first, id) as integer) as position, id, birthdate from core_animal""",
+)
+def ordered_extract(t):
+    path = shared_path(t.spark, "extract")
+    write_extract(t["core_animal"].select("id", "birthdate").repartition(5), path, "birthdate", "id")
+    rows = read_extract(t.spark, path, "id bigint, birthdate date").withColumns(
+        {"file": F.input_file_name(), "line": F.monotonically_increasing_id()}
+    )
+    in_files = Window.orderBy("file", "line")
+    return rows.select(F.row_number().over(in_files).alias("position"), "id", "birthdate")
+
+
 @query(
     "stamp_extract",
     "core_farm",

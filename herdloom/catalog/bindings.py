@@ -131,7 +131,7 @@ case event_type
   else props end as additional_attributes"""
 
 FORM = """
-concat('u', cast(s_suppkey as string)) as form_uuid; concat('Ver 1.', cast(s_suppkey % 11 as string)) as form_version;
+concat('u', cast(s_suppkey - s_suppkey % 4 as string)) as form_uuid; concat('Ver 1.', cast(s_suppkey % 11 as string)) as form_version;
 case when s_suppkey % 3 = 0
   then concat('{"farmer_general":[{"a":"x"},{"g/Farmer_GPSLocation":"', cast(s_suppkey as string), '.5 36.2 0 0"}]}')
   else '{"other":1}' end as form_data"""
