@@ -17,8 +17,10 @@ from herdloom.sources.tables import shared_path
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
-#: Rows that a task turns into Python objects at a time, whatever the size of an Arrow batch.
+#: Rows of an Arrow batch, so that long texts fit, and rows a task turns into Python objects at a time.
+BATCH_ROWS = 512
 SLICE_ROWS = 256
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 ARROW = {
     "bigint": pa.int64(),
@@ -54,8 +56,14 @@ def _send_code(spark: SparkSession, application: str) -> None:
 
 
 def prepare(spark: SparkSession) -> None:
-    """Give this package to all executors, those that start later too, once per application."""
+    """Give this package to all executors, those that start later too, and bound the rows of a batch.
+
+    Spark takes that bound from the session alone. Its default of 10,000 rows would have a task hold
+    gigabytes of long texts, so a session with a larger bound gets this one.
+    """
     _send_code(spark, spark.sparkContext.applicationId)
+    if not 0 < int(spark.conf.get(BATCH_SETTING)) <= BATCH_ROWS:
+        spark.conf.set(BATCH_SETTING, str(BATCH_ROWS))
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -31,11 +31,13 @@ SHINGLE, PERCENT = 5, 75
 #: that a group (13 bytes a signature) fits into a task as those are set for the input.
 BUCKETS = 256
 #: Signatures that a task holds before it sends them on.
-FLUSH = 1_000_000
+FLUSH = 400_000
 #: Classes of a signature that a task sends to its bucket at a time.
 KNOWN = 2
-#: Classes of a block; candidates are compared within pairs of blocks.
-BLOCK = 256
+#: Classes of a block and elements of their sets, on average; candidates are compared within pairs of blocks.
+BLOCK, BLOCK_ELEMENTS = 256, 1 << 19
+#: Bytes of sets that a task compares, on average, but for single pairs of blocks.
+TASK_BYTES = 16 << 20
 #: Bits of the filter, of fixed size, that spares classes without candidates a second look.
 FILTER_BITS = 1 << 22
 #: Standard deviations that keep the number of subsets of a set above what it needs.
@@ -440,17 +442,19 @@ def _join_block(keys: list[int], sets: list[np.ndarray], percent: int, roots: di
 def verified_edges(sets: DataFrame, percent: int) -> DataFrame:
     """(class, root): stars of classes that true links connect within each pair of blocks of a cluster.
 
-    A cluster is cut into blocks of about ``BLOCK`` classes and every class goes to the pairs of its own
-    block with each other one. What leaves a pair of blocks is a row per class at most.
+    A cluster is cut into blocks of about ``BLOCK`` classes, fewer where sets are large, and every class
+    goes to the pairs of its own block with each other one. What leaves a pair of blocks is a row per class at most.
     """
     prepare(sets.sparkSession)
-    sizes = sets.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    placed = sets.join(sizes, "cluster").withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
+    elements = F.sum(F.octet_length("items") / 8)
+    blocks = F.ceil(F.greatest(F.count("*") / BLOCK, elements / BLOCK_ELEMENTS)).cast("int")
+    sizes = sets.groupBy("cluster").agg(blocks.alias("blocks"), (8 * elements).alias("bytes"))
+    placed = sets.join(sizes.drop("bytes"), "cluster").withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
     spread = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "cluster", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "class", "items"
     )
-    rows = sizes.agg(F.sum(F.col("blocks") * F.col("blocks") * BLOCK)).first()[0] or 0
-    keyed = spread.withColumn("task", F.pmod(F.xxhash64("cluster", "low", "high"), F.lit(max(BUCKETS, rows // 4096))))
+    tasks = max(BUCKETS, int((sizes.agg(F.sum(F.col("blocks") * F.col("bytes"))).first()[0] or 0) / TASK_BYTES))
+    keyed = spread.withColumn("task", F.pmod(F.xxhash64("cluster", "low", "high"), F.lit(tasks)))
     schema = arrow_schema("class bigint, root bigint")
 
     def verify(table: pa.Table) -> pa.Table:

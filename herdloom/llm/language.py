@@ -23,7 +23,7 @@ ORDER = 3
 #: Documents per language that the counts are taken from: a bounded sample by hash of the id.
 SAMPLE_DOCS = 2_500
 #: Bytes that score at a time, which bounds the memory of a task whatever the length of a text.
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 #: Texts stand after this many line breaks, so that their first bytes have a context too.
 LEAD = b"\n" * ORDER
 UNDETERMINED = "und"

@@ -127,8 +127,9 @@ def test_join_equals_plain_join(docs, words):
     assert rows_of(got, "doc_id", "n_shingles", "component_id") == plain_join(rows)
 
 
-def test_join_of_a_large_group_in_blocks(docs, monkeypatch):
-    monkeypatch.setattr(jaccard, "BLOCK", 16)
+@pytest.mark.parametrize("limit", [("BLOCK", 16), ("BLOCK_ELEMENTS", 1_500)])
+def test_join_of_a_large_group_in_blocks(docs, monkeypatch, limit):
+    monkeypatch.setattr(jaccard, *limit)
     rows = near_copies(5, 2, 120, (80,)) + [(1_000 + i, f"lone text number {i} of its own kind {i}") for i in range(5)]
     assert rows_of(jaccard.link(docs(*rows)), "doc_id", "n_shingles", "component_id") == plain_join(rows)
 

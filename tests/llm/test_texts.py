@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import re
 import zlib
@@ -72,16 +73,20 @@ def test_secrets_query_on_edge_rows(edge, none):
 # --- byte-pair encoding --------------------------------------------------------------------------
 
 
+@functools.cache
+def library_tokenizer():
+    return Tokenizer.from_file(PATH)
+
+
 @pytest.fixture(scope="module")
 def library():
-    return Tokenizer.from_file(PATH)
+    return library_tokenizer()
 
 
 @settings(max_examples=300, deadline=None)
 @given(st.one_of(st.text(max_size=60), st.lists(st.sampled_from(["<|endoftext|>", "a", "'s", " ", "  ", "\n", "Th", "1²", "é", "\x85", "日", "ing"]), max_size=30).map("".join)))
 def test_ids_equal_the_library(text):
-    library, own = Tokenizer.from_file(PATH) if not hasattr(test_ids_equal_the_library, "lib") else test_ids_equal_the_library.lib, bpe.tokenizer(PATH)
-    test_ids_equal_the_library.lib = library
+    library, own = library_tokenizer(), bpe.tokenizer(PATH)
     ids = own.encode(text)
     assert ids == library.encode(text, add_special_tokens=False).ids
     assert own.decode(ids) == library.decode(ids, skip_special_tokens=False) == text
