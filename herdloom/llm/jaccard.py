@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from herdloom.llm.base import SLICE_ROWS, arrow_schema, map_slices, prepare, stored, texts
+from herdloom.llm.base import SLICE_ROWS, arrow_schema, free_name, map_batches, map_slices, prepare, stored, texts
 
 #: Words of a shingle and the least similarity in percent.
 SHINGLE, PERCENT = 5, 75
@@ -367,24 +367,46 @@ def _bit_filter(ids: DataFrame) -> np.ndarray:
     return out
 
 
+def _place(id_column: str):
+    return F.pmod(F.xxhash64(F.coalesce(F.col(id_column), F.lit(NO_ID))), F.lit(FILTER_BITS))
+
+
+def _passes(bits: np.ndarray, place: np.ndarray) -> np.ndarray:
+    return (bits[place >> 5] >> (place & 31).astype(np.uint32)) & 1 == 1
+
+
+def _rows_by_filter(df: DataFrame, ids: DataFrame, id_column: str) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``df`` whose id is certainly not among ``ids`` (rep), and those whose id may be."""
+    bits = df.sparkSession.sparkContext.broadcast(_bit_filter(ids))
+    place, columns = free_name(df, "place"), df.columns
+    placed = df.withColumn(place, _place(id_column))
+
+    def rows(wanted: bool) -> DataFrame:
+        def work(batch):
+            hit = _passes(bits.value, batch.column(place).to_numpy()) == wanted
+            return batch.filter(pa.array(hit)).select(columns)
+
+        return map_batches(placed, lambda: work, df.schema)
+
+    return rows(False), rows(True)
+
+
 def candidate_sets(df: DataFrame, wanted: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """(class, cluster, items) of the wanted (class, rep, cluster); only their texts are cut up again."""
     bits = df.sparkSession.sparkContext.broadcast(_bit_filter(wanted))
-    place = F.pmod(F.xxhash64(F.coalesce(F.col(id_column), F.lit(NO_ID))), F.lit(FILTER_BITS))
 
     def make():
         passing = bits.value
 
         def work(batch):
-            place = batch.column("place").to_numpy()
-            hit = (passing[place >> 5] >> (place & 31).astype(np.uint32)) & 1 == 1
+            hit = _passes(passing, batch.column("place").to_numpy())
             found = [shingle_set(t) for t in texts(batch.filter(pa.array(hit)), text_column)]
             found = [s for s in found if len(s)]
             return [[class_id(s) for s in found], [s.tobytes() for s in found]]
 
         return work
 
-    sets = map_slices(df.select(place.alias("place"), text_column), make, "class bigint, items binary")
+    sets = map_slices(df.select(_place(id_column).alias("place"), text_column), make, "class bigint, items binary")
     return sets.join(wanted.select("class", "cluster"), "class").dropDuplicates(["class"])
 
 
@@ -544,11 +566,14 @@ def keep_one(df: DataFrame, id_column: str = "doc_id", text_column: str = "text"
     """Rows of ``df``, with all their columns, less all but one of each component: that with the least id.
 
     Rows that repeat an id are judged together, and of those that repeat the text as well one stays. Rows
-    without shingles or without an id all stay.
+    without shingles or without an id all stay. A filter of fixed size lets most rows pass as they are; only
+    rows whose id may be one to go are shuffled, to be compared with the ids themselves.
     """
     decided = stored(link(df, id_column, text_column, percent), "join-decided")
-    gone = decided.filter(F.col(id_column) != F.col("component_id")).select(F.col(id_column).alias("gone")).distinct()
-    kept = df.join(gone, df[id_column] == gone["gone"], "left_anti")
+    gone = decided.filter(F.col(id_column) != F.col("component_id")).select(F.col(id_column).alias("rep")).distinct()
+    gone = stored(gone, "join-gone")
+    clear, doubtful = _rows_by_filter(df, gone, id_column)
+    kept = clear.union(doubtful.join(gone, doubtful[id_column] == gone["rep"], "left_anti"))
     again = decided.filter("n_shingles > 0").groupBy(id_column).agg(F.count("*").alias("n")).filter("n > 1")
     again = again.select(F.col(id_column).alias("again"))
     if again.isEmpty():
