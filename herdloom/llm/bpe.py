@@ -40,7 +40,7 @@ def split_words(text: str) -> list[str]:
 
 
 #: Words whose ids a task keeps at hand; beyond it the store starts anew.
-KEPT_WORDS = 120_000
+KEPT_WORDS = 60_000
 #: Words up to this many characters are merged side by side, longer ones each with a heap.
 SHORT = 48
 NO_RANK = 1 << 62

@@ -31,7 +31,7 @@ SHINGLE, PERCENT = 5, 75
 #: that a group (13 bytes a signature) fits into a task as those are set for the input.
 BUCKETS = 256
 #: Signatures that a task holds before it sends them on.
-FLUSH = 400_000
+FLUSH = 150_000
 #: Classes of a signature that a task sends to its bucket at a time.
 KNOWN = 2
 #: Classes of a block and elements of their sets, on average; candidates are compared within pairs of blocks.
