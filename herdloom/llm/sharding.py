@@ -56,7 +56,9 @@ def cuts(sizes: list[int], shards: int) -> list[int]:
     """How many atoms lie before each of the ``shards`` - 1 cuts, no shard being above the least capacity.
 
     A cut may lie between the first place from which the rest still fits and the last that its shard can
-    reach; the place nearest to an equal share of what remains is taken.
+    reach; the place nearest to an equal share of what remains is taken. A shard takes an atom at least and
+    leaves one for each shard after it, so an atom above the equal share fills its shard and the others
+    share the rest evenly; only with fewer atoms than shards some stay empty.
     """
     ends, capacity = [0, *accumulate(sizes)], least_capacity(sizes, shards)
     first = [len(sizes)]
@@ -70,6 +72,8 @@ def cuts(sizes: list[int], shards: int) -> list[int]:
         best = bisect_left(ends, wanted)
         if best > 0 and (best == len(ends) or wanted - ends[best - 1] <= ends[best] - wanted):
             best -= 1
+        # Every atom fits a shard, so these two bounds keep within first[k] and last.
+        best = min(max(best, at + 1), max(len(sizes) - (shards - k - 1), at + 1), len(sizes))
         at = max(first[k], min(best, last))
         out.append(at)
     return out
@@ -116,7 +120,7 @@ def assign_shards(df: DataFrame, shards: int, id_column: str = "doc_id", text_co
             F.col(id_column).alias("id"),
             (F.octet_length(text) + ROW_BYTES).cast("bigint").alias("size"),
             F.crc32(text).alias("text_crc32"),
-            F.when(F.col(text_column).isNull(), "").otherwise(F.md5(text)).alias("digest"),
+            F.md5(text).alias("digest"),
         ),
         "shard-rows",
     )

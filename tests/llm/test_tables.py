@@ -41,6 +41,22 @@ def test_cuts_keep_the_least_capacity(sizes, shards):
     assert at == sorted(at) and max(sum(sizes[a:b]) for a, b in zip(at, at[1:])) == capacity
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(1, 1_000), max_size=30), st.integers(1, 12))
+def test_no_shard_is_empty_while_atoms_remain(sizes, shards):
+    at = [0, *sharding.cuts(sizes, shards), len(sizes)]
+    assert sum(a < b for a, b in zip(at, at[1:])) == min(len(sizes), shards)
+
+
+@pytest.mark.parametrize("part", [3, 8])
+def test_an_atom_above_the_equal_share_leaves_the_others_even(part):
+    rest = [10] * 60_000
+    heavy = sum(rest) // (part - 1)
+    at = [0, *sharding.cuts([heavy, *rest], 24), len(rest) + 1]
+    first, *others = (sum([heavy, *rest][a:b]) for a, b in zip(at, at[1:]))
+    assert first == heavy and all(abs(o - sum(rest) / 23) <= 10 for o in others)
+
+
 def check_shards(df, shards):
     got = sharding.assign_shards(df, shards).collect()
     source = df.select("doc_id", "text").collect()
@@ -75,6 +91,16 @@ def test_shards_number_rows_in_chunks(docs, monkeypatch):
     check_shards(docs(*((i, "hot" if i % 3 else f"text {i}") for i in range(300))), 4)
 
 
+def test_shards_beside_a_large_group_of_copies_are_even(docs):
+    rows = [(i, f"text number {i:06}" if i % 3 else "a text that a third hold") for i in range(6_000)]
+    bytes_by = collections.Counter()
+    for r in check_shards(docs(*rows), 24):
+        bytes_by[r.shard] += r.size
+    sizes = sorted(bytes_by.values())
+    fair = sum(sizes[:-1]) / 23
+    assert len(sizes) == 24 and all(abs(b - fair) < 0.05 * fair for b in sizes[:-1])
+
+
 # --- similarity join -----------------------------------------------------------------------------
 
 
