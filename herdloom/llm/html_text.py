@@ -11,6 +11,10 @@ from herdloom.llm.base import map_slices
 
 #: Lines of a sliding window whose text lengths are summed.
 WINDOW = 3
+#: Characters outside links that a window of the article has, as long as the page has windows of twice that.
+SURGE = 80
+#: Part of the text of a page from which what holds it is a wrapper.
+MOST = 1 / 2
 
 # Elements that start a line, that hold no text of the page, and words in classes and ids
 # that mark what is not the article.
@@ -22,6 +26,7 @@ BLOCKS = frozenset(
 SILENT = frozenset("head script style noscript template iframe object embed svg canvas math audio video select".split())
 RAW = frozenset("script style noscript template iframe textarea title".split())
 BOILERPLATE = frozenset("nav menu footer aside form button dialog label input textarea fieldset".split())
+ENDED_BY_NEXT = frozenset("p li option dt dd tr td th a".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 MARKS = re.compile(
     r"(?:^|[\s_-])(?:ad|ads|adv|advert|adverts|advertisement|advertising|banner|sponsor|sponsored|promo|promotion|"
@@ -31,6 +36,18 @@ MARKS = re.compile(
     r"disclaimer|login|search|skip)(?:$|[\s_-])",
     re.IGNORECASE,
 )
+#: Marks of adverts, of all that is never a wrapper of the article, of headers, and of headers of articles.
+ADVERTS = "ad|ads|adv|advert|adverts|advertisement|advertising|sponsor|sponsored|promo|promotion"
+ADVERT = re.compile(rf"(?:^|[\s_-])(?:{ADVERTS})(?:$|[\s_-])", re.IGNORECASE)
+APART = re.compile(
+    rf"(?:^|[\s_-])(?:{ADVERTS}|comments?|reply|replies|disqus|respond|related|recommended|cookies?|consent|gdpr|popup|"
+    r"newsletter|subscribe|subscription|share|sharing|breadcrumbs?|copyright|disclaimer)(?:$|[\s_-])",
+    re.IGNORECASE,
+)
+HEADER = re.compile(r"(?<![^\s_-])(?:header|masthead)(?![^\s_-])", re.IGNORECASE)
+OWN_HEADER = re.compile(r"(?<!\S)(?:entry|post|article|story|content)[_-]+header(?!\S)", re.IGNORECASE)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+PROSE = frozenset("p blockquote pre".split()) | HEADINGS
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
 
 TOKEN = re.compile(
@@ -42,50 +59,88 @@ ATTRIBUTE = re.compile(r"([A-Za-z_:][-A-Za-z0-9_:.]*)(?:\s*=\s*(?:\"([^\"]*)\"|'
 SPACE = re.compile(r"\s+")
 
 
-def is_boilerplate(tag: str, attributes: str) -> bool:
+def marks_of(tag: str, attributes: str, article: bool) -> tuple[bool, bool, bool]:
+    """Whether a tag marks its element as boilerplate for certain, softly, or as a matter of its own.
+
+    Soft marks (classes, ids, roles, a form) may stand on a mere wrapper of the page, see ``weigh``. Those of
+    comments and the like are soft, but an article within them is no sign of a wrapper. In an article, a class
+    on a paragraph or heading counts if it says advert only, and a header is the article's own.
+    """
     if tag in BOILERPLATE:
-        return True
+        return tag != "form", tag == "form", False
     if not attributes.strip() or tag in ("html", "body", "main", "article"):
-        return False
+        return False, False, False
+    hard = soft = apart = False
     for name, *values in ATTRIBUTE.findall(attributes):
         value = next((v for v in values if v), "")
         name = name.lower()
-        if name in ("class", "id") and MARKS.search(value):
-            return True
-        if name == "role" and value.lower() in ROLES or name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            return True
-    return False
-
-
-def lines_of(page: str) -> list[tuple[str, int, bool]]:
-    """Lines of a page without markup: text, its weight, and whether it lies in the article element.
-
-    A line is what stands between two block boundaries. Its weight is its length, but 0 where it stands
-    in a menu, header, footer, sidebar, notice, advert, form or comment area.
+        if name in ("class", "id"):
+            value = OWN_HEADER.sub(" ", value)
+            if article:
+                value = HEADER.sub(" ", value)
+            if (ADVERT if article and tag in PROSE else MARKS).search(value):
+                soft = True
+                apart = apart or APART.search(value) is not None
+        elif name == "role":
+            soft = soft or value.lower() in ROLES
+        hard = hard or name == "hidden" or name == "aria-hidden" and value.lower() == "true"
+    return hard, soft, apart
+
+
+class Page:
+    """Elements of a page in the order they open, and its lines.
+
+    A line is what stands between two block boundaries: text, characters of it in links, innermost element.
     """
-    lines, parts = [], []
-    open_tags: list[tuple[str, bool]] = []  # name, whether it or an element around it is boilerplate
-    articles = 0
+
+    def __init__(self) -> None:
+        self.tags, self.parent, self.block, self.inside = [""], [-1], [0], [False]
+        self.hard, self.soft, self.apart = [False], [False], [False]
+        self.lines: list[tuple[str, int, int]] = []
+
+    def open(self, tag: str, attributes: str, parent: int) -> int:
+        at, article = len(self.tags), self.inside[parent]
+        hard, soft, apart = marks_of(tag, attributes, article)
+        self.tags.append(tag)
+        self.parent.append(parent)
+        self.block.append(at if tag in BLOCKS or tag in BOILERPLATE else self.block[parent])
+        self.inside.append(article or tag in ("article", "main"))
+        self.hard.append(hard or tag == "head" or tag == "header" and not article)
+        self.soft.append(soft)
+        self.apart.append(apart)
+        return at
+
+
+def parse(page: str) -> Page:
+    """Elements and lines of a page, in one pass over its markup."""
+    found = Page()
+    parts, links = [], []
+    open_tags: list[tuple[str, int]] = []  # name and number of the element
+    anchors = 0
     at = 0
 
-    def state() -> bool:
-        return open_tags[-1][1] if open_tags else False
+    def add(text: str) -> None:
+        parts.append(text)
+        if anchors:
+            links.append(text)
 
     def flush() -> None:
         text = SPACE.sub(" ", html.unescape("".join(parts))).strip()
-        parts.clear()
         if text:
-            lines.append((text, 0 if state() else len(text), articles > 0))
+            linked = len(SPACE.sub(" ", html.unescape("".join(links))).strip()) if links else 0
+            found.lines.append((text, min(linked, len(text)), open_tags[-1][1] if open_tags else 0))
+        parts.clear()
+        links.clear()
 
     while at < len(page):
         lt = page.find("<", at)
         if lt < 0:
-            parts.append(page[at:])
+            add(page[at:])
             break
-        parts.append(page[at:lt])
+        add(page[at:lt])
         match = TOKEN.match(page, lt)
         if not match:
-            parts.append("<")
+            add("<")
             at = lt + 1
             continue
         at = match.end()
@@ -98,11 +153,11 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
             if any(name == tag for name, _ in open_tags):
                 while open_tags and open_tags.pop()[0] != tag:
                     pass
-                articles = sum(name in ("article", "main") for name, _ in open_tags)
+                anchors = sum(name == "a" for name, _ in open_tags)
             continue
         if tag in VOID:
             if tag == "br":
-                parts.append(" ")
+                add(" ")
             continue
         if tag in RAW or tag in SILENT and tag != "head":
             end = re.compile(f"</{re.escape(tag)}\\s*>", re.IGNORECASE).search(page, at)
@@ -111,13 +166,44 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
         if tag == "body" and any(name == "head" for name, _ in open_tags):
             while open_tags.pop()[0] != "head":
                 pass
-        if tag in ("p", "li", "option", "dt", "dd", "tr", "td", "th") and open_tags and open_tags[-1][0] == tag:
-            open_tags.pop()
-        bad = state() or tag == "head" or is_boilerplate(tag, match[3]) or tag == "header" and not articles
-        open_tags.append((tag, bad))
-        articles += tag in ("article", "main")
+        if tag in ENDED_BY_NEXT:
+            # Elements within a line that were left open end with it.
+            k = len(open_tags) - 1
+            while k >= 0 and open_tags[k][0] != tag and open_tags[k][0] not in BLOCKS:
+                k -= 1
+            if k >= 0 and open_tags[k][0] == tag:
+                del open_tags[k:]
+                anchors = sum(name == "a" for name, _ in open_tags)
+        open_tags.append((tag, found.open(tag, match[3], open_tags[-1][1] if open_tags else 0)))
+        anchors += tag == "a"
     flush()
-    return lines
+    return found
+
+
+def weigh(page: Page) -> list[int]:
+    """Characters of every line, but 0 where it stands in a menu, header, footer, sidebar, advert or the like.
+
+    A soft mark on an element around an article or main element, or around half of the text of the page
+    that stands in no certain boilerplate, is that of a wrapper and says nothing, comments and the like
+    apart. Where the marks leave no text at all none of the soft ones counts.
+    """
+    n = len(page.tags)
+    hard = page.hard[:]
+    for e in range(1, n):
+        hard[e] = hard[e] or hard[page.parent[e]]
+    text, article = [0] * n, [tag in ("article", "main") for tag in page.tags]
+    for line, linked, e in page.lines:
+        text[e] += 0 if hard[e] else len(line) - linked
+    for e in range(n - 1, 0, -1):
+        text[page.parent[e]] += text[e]
+        article[page.parent[e]] = article[page.parent[e]] or article[e]
+    bad = hard[:]
+    for e in range(1, n):
+        wrapper = not page.apart[e] and (article[e] or 0 < text[0] <= text[e] / MOST)
+        bad[e] = bad[e] or bad[page.parent[e]] or page.soft[e] and not wrapper
+    if all(bad[e] for _, _, e in page.lines):
+        bad = hard
+    return [0 if bad[e] else len(line) for line, _, e in page.lines]
 
 
 def stretches(weights: list[int], window: int = WINDOW) -> list[tuple[int, int]]:
@@ -139,17 +225,18 @@ def stretches(weights: list[int], window: int = WINDOW) -> list[tuple[int, int]]
 def main_text(page: str | None) -> str:
     """The article of a page: its blocks in order, joined by an empty line; empty if there is none.
 
-    With an article element only its lines weigh, and all stretches of it are kept. Without one, the
+    With an article or main element that has text, its lines are the article, by that element alone and
+    without regard to the distribution of text. Without one, the
     stretch that holds most text is the article.
     """
-    lines = lines_of(page or "")
-    if any(inside and weight for _, weight, inside in lines):
-        lines = [(text, weight if inside else 0, inside) for text, weight, inside in lines]
-        parts = stretches([weight for _, weight, _ in lines])
-    else:
-        parts = stretches([weight for _, weight, _ in lines])
-        parts = sorted(parts, key=lambda p: (-sum(w for _, w, _ in lines[p[0] : p[1]]), p))[:1]
-    return "\n\n".join(text for a, b in parts for text, weight, _ in lines[a:b] if weight)
+    found = parse(page or "")
+    weights = weigh(found)
+    inside = [weight > 0 and found.inside[e] for weight, (_, _, e) in zip(weights, found.lines)]
+    keep = inside
+    if not any(inside):
+        parts = sorted(stretches(weights), key=lambda p: (-sum(weights[p[0] : p[1]]), p))[:1]
+        keep = [weight > 0 and any(a <= i < b for a, b in parts) for i, weight in enumerate(weights)]
+    return "\n\n".join(text for kept, (text, _, _) in zip(keep, found.lines) if kept)
 
 
 def extract_pages(df: DataFrame) -> DataFrame:

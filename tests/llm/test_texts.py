@@ -313,3 +313,24 @@ def test_article_of_all_pages(spark):
         body = re.search("<article>(.*)</article>", source[row.page_id], re.S)[1]
         blocks = (" ".join(html.unescape(re.sub("<[^>]*>", "", b)).split()) for b in re.split("</?(?:p|h1)>", body))
         assert row.text == "\n\n".join(b for b in blocks if b)
+
+
+PARAGRAPH = "Words of the article that go on and on for quite a while, sentence after sentence, up to its end."
+
+
+@pytest.mark.parametrize("wrapper", ["<div class='no-sidebar'>", "<div id='content' class='has-sidebar'>", "<div class='header-fixed'>", "<form action=x>"])
+@pytest.mark.parametrize("own", ["article", "main", "div"])
+def test_marks_of_wrappers_say_nothing(wrapper, own):
+    end = wrapper[1 : wrapper.index(" ")]
+    page = f"<nav>Home</nav>{wrapper}<{own}><h1>T</h1><p>{PARAGRAPH}</p></{own}><div class='ad'>Buy</div></{end}><footer>F</footer>"
+    assert html_text.main_text(page) == f"T\n\n{PARAGRAPH}"
+
+
+def test_marks_within_an_article():
+    page = "<article><div class='entry-header'><h1>T</h1></div><p class='notice'>One</p><p class=related>Two</p><p class=ad>Buy</p></article>"
+    assert html_text.main_text(page) == "T\n\nOne\n\nTwo"
+
+
+def test_comments_and_adverts_are_no_wrappers():
+    page = f"<div><p>Short article</p></div><div class='comments'><article>{PARAGRAPH}</article></div><div class='ad'>{PARAGRAPH}</div>"
+    assert html_text.main_text(page) == "Short article"
