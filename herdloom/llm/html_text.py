@@ -206,36 +206,59 @@ def weigh(page: Page) -> list[int]:
     return [0 if bad[e] else len(line) for line, _, e in page.lines]
 
 
-def stretches(weights: list[int], window: int = WINDOW) -> list[tuple[int, int]]:
-    """Parts of the page between a surge of the window sums from nothing and the dive back to it."""
-    sums, total = [], 0
-    for i, weight in enumerate(weights):
-        total += weight - (weights[i - window] if i >= window else 0)
-        sums.append(total)
-    out, start = [], None
-    for i, total in enumerate([*sums, 0]):
-        if total and start is None:
-            start = i
-        elif not total and start is not None:
-            out.append((start, i))
-            start = None
-    return out
+def surging(weights: list[int], window: int = WINDOW) -> list[int]:
+    """Numbers of the lines that carry a surge: they lie in ``window`` lines whose weights add up to
+    ``SURGE`` (half of the highest sum on pages of little text) and have their part of it themselves."""
+    sums = [sum(weights[i : i + window]) for i in range(len(weights))]
+    surge = min(SURGE, max(sums, default=0) / 2)
+    covered = [max(sums[max(0, i - window + 1) : i + 1]) >= surge for i in range(len(weights))]
+    return [i for i, weight in enumerate(weights) if weight and covered[i] and weight * window >= surge]
+
+
+def distributed(page: Page, weights: list[int], window: int = WINDOW) -> list[bool]:
+    """Lines of the article by the distribution of text.
+
+    The lines of all surges belong to it, and those between two of them that are less than a window apart:
+    what ends a stretch of the article, as an advert in its middle, does not end the article. Tags are
+    evidence for short lines: where paragraphs carry a surge, all that stands in their container belongs to
+    the article (the paragraphs alone, where that is the whole page), and so do headings right before.
+    """
+    plain = weights
+    heavy = surging(plain, window)
+    keep = [False] * len(plain)
+    for i, following in zip(heavy, [*heavy[1:], len(plain) + window]):
+        for k in range(i, following if following - i <= window else i + 1):
+            keep[k] = plain[k] > 0 or k == i
+    blocks = [page.block[e] for _, _, e in page.lines]
+    within = [False] * len(page.tags)
+    alone = set()
+    for i in heavy:
+        if page.tags[blocks[i]] in PROSE:
+            parent = page.block[page.parent[blocks[i]]]
+            if page.tags[parent] in ("", "html", "body"):
+                alone.add((parent, page.tags[blocks[i]]))
+            else:
+                within[parent] = True
+    for e in range(1, len(page.tags)):
+        within[e] = within[e] or within[page.parent[e]]
+    kin = [within[block] or (page.block[page.parent[block]], page.tags[block]) in alone for block in blocks]
+    keep = [k or near and weight > 0 for k, near, weight in zip(keep, kin, weights)]
+    for i in range(len(keep) - 1, -1, -1):
+        if page.tags[blocks[i]] in HEADINGS and weights[i] and any(keep[i + 1 : i + window]):
+            keep[i] = True
+    return keep
 
 
 def main_text(page: str | None) -> str:
     """The article of a page: its blocks in order, joined by an empty line; empty if there is none.
 
     With an article or main element that has text, its lines are the article, by that element alone and
-    without regard to the distribution of text. Without one, the
-    stretch that holds most text is the article.
+    without regard to the distribution of text. Without one, the distribution decides.
     """
     found = parse(page or "")
     weights = weigh(found)
     inside = [weight > 0 and found.inside[e] for weight, (_, _, e) in zip(weights, found.lines)]
-    keep = inside
-    if not any(inside):
-        parts = sorted(stretches(weights), key=lambda p: (-sum(weights[p[0] : p[1]]), p))[:1]
-        keep = [weight > 0 and any(a <= i < b for a, b in parts) for i, weight in enumerate(weights)]
+    keep = inside if any(inside) else distributed(found, weights)
     return "\n\n".join(text for kept, (text, _, _) in zip(keep, found.lines) if kept)
 
 

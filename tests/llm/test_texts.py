@@ -334,3 +334,16 @@ def test_marks_within_an_article():
 def test_comments_and_adverts_are_no_wrappers():
     page = f"<div><p>Short article</p></div><div class='comments'><article>{PARAGRAPH}</article></div><div class='ad'>{PARAGRAPH}</div>"
     assert html_text.main_text(page) == "Short article"
+
+
+@pytest.mark.parametrize("between", [
+    "<div class='ad'><p>a</p><p>b</p><p>c</p></div>", "<div class='share'><ul><li>a<li>b<li>c<li>d</ul></div>",
+    "<form><label>Letter</label><p>b</p><p>c</p><button>d</button></form>", "<aside><p>a</p><p>b</p><p>c</p><p>d</p></aside>",
+])
+def test_an_article_in_plain_divs_goes_on_after_what_stands_in_its_middle(between):
+    parts = [f"{PARAGRAPH} {i}" for i in range(3)]
+    text = f"Title\n\n{parts[0]}\n\n{parts[1]}\n\n{parts[2]}\n\nEnd."
+    first, last = f"<h1>Title</h1><p>{parts[0]}</p>", f"<p>{parts[1]}</p><p>{parts[2]}</p>{between}<p>End.</p>"
+    assert html_text.main_text(f"<body><div>{first}{between}{last}</div></body>") == text
+    assert html_text.main_text(f"<body>{first}{between}{last}</body>") == text
+    assert html_text.main_text(f"<body><div>{first}</div>{between}<div>{last}</div></body>") == text
