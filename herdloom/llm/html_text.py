@@ -216,14 +216,15 @@ def surging(weights: list[int], window: int = WINDOW) -> list[int]:
 
 
 def distributed(page: Page, weights: list[int], window: int = WINDOW) -> list[bool]:
-    """Lines of the article by the distribution of text.
+    """Lines of the article by the distribution of text that stands in no link.
 
     The lines of all surges belong to it, and those between two of them that are less than a window apart:
     what ends a stretch of the article, as an advert in its middle, does not end the article. Tags are
     evidence for short lines: where paragraphs carry a surge, all that stands in their container belongs to
-    the article (the paragraphs alone, where that is the whole page), and so do headings right before.
+    the article (the paragraphs alone, where that is the whole page), and so do headings right before. A single
+    line after the last of these containers, as a plain footer, is no part of the article.
     """
-    plain = weights
+    plain = [weight and weight - linked for weight, (_, linked, _) in zip(weights, page.lines)]
     heavy = surging(plain, window)
     keep = [False] * len(plain)
     for i, following in zip(heavy, [*heavy[1:], len(plain) + window]):
@@ -242,6 +243,9 @@ def distributed(page: Page, weights: list[int], window: int = WINDOW) -> list[bo
     for e in range(1, len(page.tags)):
         within[e] = within[e] or within[page.parent[e]]
     kin = [within[block] or (page.block[page.parent[block]], page.tags[block]) in alone for block in blocks]
+    end = max((i for i, k in enumerate(kin) if k), default=len(kin))
+    if len(after := [i for i in heavy if i > end]) == 1:
+        keep[after[0]] = False
     keep = [k or near and weight > 0 for k, near, weight in zip(keep, kin, weights)]
     for i in range(len(keep) - 1, -1, -1):
         if page.tags[blocks[i]] in HEADINGS and weights[i] and any(keep[i + 1 : i + window]):

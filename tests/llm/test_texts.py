@@ -347,3 +347,11 @@ def test_an_article_in_plain_divs_goes_on_after_what_stands_in_its_middle(betwee
     assert html_text.main_text(f"<body><div>{first}{between}{last}</div></body>") == text
     assert html_text.main_text(f"<body>{first}{between}{last}</body>") == text
     assert html_text.main_text(f"<body><div>{first}</div>{between}<div>{last}</div></body>") == text
+
+
+def test_plain_menus_and_footers_that_touch_the_article_are_no_part_of_it():
+    links = "".join(f"<li><a href='/{i}'>A long title of another article, number {i}</a></li>" for i in range(9))
+    article = f"<h1>T</h1><p>{PARAGRAPH} 1</p><p>{PARAGRAPH} 2 <a href=x>link</a></p><p>End.</p>"
+    menu, footer = "<div>Home</div><div>News</div>", "<div>All rights are with the makers of the page, whoever they may be, now and later on.</div>"
+    for page in (f"{menu}<div>{article}</div>{footer}", f"<ul>{links}</ul><div>{article}</div><ul>{links}</ul><div>Imprint</div>"):
+        assert html_text.main_text(f"<body>{page}</body>") == f"T\n\n{PARAGRAPH} 1\n\n{PARAGRAPH} 2 link\n\nEnd."
