@@ -1,23 +1,24 @@
-"""Personal data: pattern spans, and terms around them that reveal them according to the corpus.
+"""Personal data: pattern spans, and terms in the documents around them that reveal them by the corpus.
 
-A protected entity is a value that a pattern finds. A context is the words around one mention of it; all
-contexts of the corpus are the sample. The information content of an entity is IC(e) = log N / n(e), and
-a term discloses PMI(t, e) = log N n(t, e) / (n(t) n(e)) of it, from counts of different contexts. A term
-whose disclosure reaches a share of IC(e) stands for the entity nearly as well as the value itself; it is
-generalised where it stands in a context of that entity, or removed where nothing else uses it.
+A protected entity is a value that a pattern finds; the documents of the corpus are the sample. The
+information content of an entity is IC(e) = log N / n(e), and a term discloses PMI(t, e) =
+log N n(t, e) / (n(t) n(e)) of it, from the numbers of documents in which they stand. A term whose
+disclosure reaches a share of IC(e) stands for the entity nearly as well as the value itself; it is
+generalised wherever it stands in a document with that entity, or removed where no other document uses it.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from herdloom.llm.base import free_name, map_batches, map_slices, replaced, stored, texts
+from herdloom.llm.base import arrow_schema, free_name, map_batches, map_slices, prepare, replaced, stored, texts
 
 # Kinds of the contract in their order, the kind this operator adds, and the patterns.
 BASE_KINDS = ("email", "ip", "card", "phone")
@@ -29,11 +30,14 @@ IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 NOT_DIGIT = re.compile("[^0-9]+")
-
-#: A context has up to this many words on either side, from at most so many characters.
-CONTEXT_WORDS, CONTEXT_CHARS = 5, 120
-#: Different contexts of an entity in which a term must stand, and the share of IC(e) it must disclose.
-LEAST_CONTEXTS, DISCLOSURE = 3, 0.9
+SPAN_SIGN = re.compile("[@0-9]")
+
+#: Different texts in which a term must stand with an entity, and the share of IC(e) it must disclose.
+LEAST_TEXTS, DISCLOSURE = 3, 0.9
+#: Characters that a term has at least.
+LEAST_CHARS = 3
+#: Different terms that a task counts in memory.
+HELD_TERMS = 100_000
 WORD = re.compile(r"[^\W_]+")
 #: What stands in place of a span; a generalised term keeps only its shape.
 PLACEHOLDER = {kind: f"<{kind.upper()}>" for kind in BASE_KINDS}
@@ -93,28 +97,27 @@ def entity_of(text: str, span: tuple[int, int, str]) -> int:
     return xxhash.xxh3_64_intdigest(f"{kind}:{value}") - (1 << 63)
 
 
-def context_of(text: str, span, spans) -> list[tuple[int, int]]:
-    """Places of the words around a span that belong to no span."""
-    start, end, _ = span
-    low, high = max(0, start - CONTEXT_CHARS), min(len(text), end + CONTEXT_CHARS)
-    before = [m.span() for m in WORD.finditer(text, low, start)]
-    if before and low and before[0][0] == low:
-        before = before[1:]  # may have begun earlier
-    after = [m.span() for m in WORD.finditer(text, end, high)]
-    if after and high < len(text) and after[-1][1] == high:
-        after = after[:-1]
-    near = before[-CONTEXT_WORDS:] + after[:CONTEXT_WORDS]
-    return [(a, b) for a, b in near if not any(s < b and a < e for s, e, _ in spans if s < high and e > low)]
+def terms_of(text: str, spans) -> list[tuple[str, int, int]]:
+    """All terms of a text that belong to no span, in lower case with their places; ``spans`` by start."""
+    out, k, end = [], 0, 0
+    for match in WORD.finditer(text):
+        a, b = match.span()
+        while k < len(spans) and spans[k][0] < b:
+            end = max(end, spans[k][1])
+            k += 1
+        if end <= a and b - a >= LEAST_CHARS:
+            out.append((match[0].lower(), a, b))
+    return out
 
 
 def mentions(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """Per row: key of the row, counts and base spans, and its contexts as parallel lists.
+    """Per row: key of the row and of its text, counts, base spans and different entities.
 
-    A context is an entity, the digest of its words, and the terms with their places.
+    Rows with an entity have all their terms with their places, as parallel lists.
     """
     ddl = (
         f"{id_column} bigint, row_key bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, "
-        "base_spans string, entities array<bigint>, contexts array<bigint>, "
+        "base_spans string, text_key bigint, entities array<bigint>, "
         "terms array<string>, starts array<bigint>, ends array<bigint>"
     )
 
@@ -122,16 +125,11 @@ def mentions(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
         out = [[] for _ in range(11)]
         for doc, text in zip(batch.column(id_column).to_pylist(), texts(batch, text_column)):
             spans = find_base(text)
-            rows = []
-            for span in spans:
-                places = context_of(text, span, spans)
-                words = [text[a:b].lower() for a, b in places]
-                digest = xxhash.xxh3_64_intdigest("\n".join(words)) - (1 << 63)
-                entity = entity_of(text, span)
-                rows += [(entity, digest, w, a, b) for w, (a, b) in zip(words, places) if len(w) > 2]
+            entities = sorted({entity_of(text, span) for span in spans})
+            columns = list(map(list, zip(*terms_of(text, spans)))) if spans else []
             kinds = [s[2] for s in spans]
-            columns = list(map(list, zip(*rows))) if rows else [[] for _ in range(5)]
-            values = (row_key(doc, text), *(kinds.count(k) for k in BASE_KINDS), written(spans), *columns)
+            values = (row_key(doc, text), *(kinds.count(k) for k in BASE_KINDS), written(spans), row_key("", text))
+            values += (entities, *(columns or ([], [], [])))
             for column, value in zip(out, values):
                 column.append(value)
         return [batch.column(id_column), *out]
@@ -144,42 +142,91 @@ def row_key(doc, text: str) -> int:
     return xxhash.xxh3_64_intdigest(f"{doc}\n{text}".encode()) - (1 << 63)
 
 
-def revealing(found: DataFrame, least: int = LEAST_CONTEXTS, disclosure: float = DISCLOSURE) -> DataFrame:
-    """(entity, term, alone) of terms that disclose an entity, from all contexts of the corpus.
-
-    Contexts with the same words count once for an entity, so copies of a text prove nothing. All counts
-    are sums that tasks begin before the shuffle, so an entity or term in a third of all contexts is a
-    few rows per task. ``alone``: the term stands in no context of another entity.
+def document_frequencies(df: DataFrame, text_column: str) -> DataFrame:
+    """(term, n): documents in which a term stands; a task counts ``HELD_TERMS`` terms before it passes them on."""
+    prepare(df.sparkSession)
+    schema = arrow_schema("term string, n bigint")
+
+    def run(batches):
+        counts = Counter()
+
+        def passed_on():
+            terms = list(counts)
+            for at in range(0, len(terms), 10_000):
+                part = terms[at : at + 10_000]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(part, pa.string()), pa.array([counts[t] for t in part], pa.int64())], schema=schema
+                )
+            counts.clear()
+
+        for batch in batches:
+            for text in texts(batch, text_column):
+                # Words outside spans only, as next to an entity; without @ and digits there is no span.
+                spans = find_base(text) if SPAN_SIGN.search(text) else []
+                if spans:
+                    counts.update({term for term, _, _ in terms_of(text, spans)})
+                else:
+                    counts.update({w.lower() for w in set(WORD.findall(text)) if len(w) >= LEAST_CHARS})
+                if len(counts) >= HELD_TERMS:
+                    yield from passed_on()
+        yield from passed_on()
+
+    parts = df.select(text_column).mapInArrow(run, "term string, n bigint")
+    return parts.groupBy("term").agg(F.sum("n").alias("n"))
+
+
+def revealing(
+    df: DataFrame, found: DataFrame, text_column: str, least: int = LEAST_TEXTS, disclosure: float = DISCLOSURE
+) -> DataFrame:
+    """(entity, term, alone) of terms that disclose an entity, by all documents of the corpus.
+
+    A term must stand with the entity in ``least`` different texts, so copies of a text prove nothing, and
+    chance meetings in one or two don't either: every rare word of these would disclose all. All counts are
+    sums that tasks begin before the shuffle, so an entity or term in a third of all documents is a few
+    rows per task. ``alone``: the term stands in no document without the entity.
     """
-    rows = found.filter(F.size("terms") > 0).select(F.explode(F.arrays_zip("entities", "contexts", "terms")).alias("c"))
-    pairs = rows.select("c.*").distinct()
-    contexts = pairs.select("entities", "contexts").distinct()
-    n_entity = contexts.groupBy("entities").agg(F.count("*").alias("n_e"))
-    n_all = contexts.agg(F.count("*").alias("n_all"))
-    joint = pairs.groupBy("entities", "terms").agg(F.count("*").alias("n_te"))
-    n_term = joint.groupBy("terms").agg(F.sum("n_te").alias("n_t"))
+    holders = (
+        found.filter(F.size("entities") > 0)
+        .groupBy("text_key")
+        .agg(F.count("*").alias("copies"), F.first("entities").alias("entities"), F.first("terms").alias("terms"))
+    )
+    holders = stored(holders.withColumn("terms", F.array_distinct("terms")), "pii-holders")
+    single = holders.select("copies", F.explode("entities").alias("entity"))
+    n_entity = single.groupBy("entity").agg(F.sum("copies").alias("n_e"), F.count("*").alias("n_texts"))
+    known = stored(n_entity.filter(F.col("n_texts") >= least).drop("n_texts"), "pii-entities")
+    pairs = (
+        holders.select("copies", "terms", F.explode("entities").alias("entity"))
+        .join(known.select("entity"), "entity")
+        .select("entity", "copies", F.explode("terms").alias("term"))
+    )
+    joint = pairs.groupBy("entity", "term").agg(F.sum("copies").alias("n_te"), F.count("*").alias("n_texts"))
+    joint = stored(joint.filter(F.col("n_texts") >= least), "pii-pairs")
+    wanted = joint.select("term").distinct()
+    n_term = document_frequencies(df, text_column).join(wanted, "term", "left_semi").withColumnRenamed("n", "n_t")
     scored = (
-        joint.filter(F.col("n_te") >= least)
-        .join(n_term, "terms")
-        .join(n_entity, "entities")
-        .withColumn("n_all", n_all.scalar())
+        joint.join(n_term, "term")
+        .join(known, "entity")
+        .withColumn("n_all", found.agg(F.count("*")).scalar())
         .withColumn("ic", F.log(F.col("n_all") / F.col("n_e")))
         .withColumn("pmi", F.log(F.col("n_all") * F.col("n_te") / (F.col("n_t") * F.col("n_e"))))
     )
     return scored.filter((F.col("ic") > 0) & (F.col("pmi") >= disclosure * F.col("ic"))).select(
-        F.col("entities").alias("entity"), F.col("terms").alias("term"), (F.col("n_t") == F.col("n_te")).alias("alone")
+        "entity", "term", (F.col("n_t") == F.col("n_te")).alias("alone")
     )
 
 
 def added_spans(found: DataFrame, terms: DataFrame) -> DataFrame:
-    """(row_key, added): places of revealing terms in contexts of their entity, per row that has any.
+    """(row_key, added): all places of revealing terms in rows with their entity, per row that has any.
 
-    A place is written ``start:end:alone``; a place near several mentions counts once.
+    A place is written ``start:end:alone``; one that reveals several entities counts once.
     """
-    zipped = F.arrays_zip("entities", "terms", "starts", "ends")
-    places = found.filter(F.size("terms") > 0).select("row_key", F.explode(zipped).alias("c")).select("row_key", "c.*")
-    hit = places.join(terms, (places["entities"] == terms["entity"]) & (places["terms"] == terms["term"]))
-    one = hit.groupBy("row_key", "starts", "ends").agg(F.max("alone").alias("alone"))
+    holders = found.filter(F.size("entities") > 0).select("row_key", F.explode("entities").alias("entity"), "terms", "starts", "ends")
+    holders = holders.join(terms.select("entity").distinct(), "entity", "left_semi")
+    zipped = F.arrays_zip("terms", "starts", "ends")
+    places = holders.select("row_key", "entity", F.explode(zipped).alias("c")).select(
+        "row_key", "entity", F.col("c.terms").alias("term"), "c.starts", "c.ends"
+    )
+    one = places.join(terms, ["entity", "term"]).groupBy("row_key", "starts", "ends").agg(F.max("alone").alias("alone"))
     place = F.concat_ws(":", F.col("starts").cast("string"), F.col("ends").cast("string"), F.col("alone").cast("string"))
     return one.groupBy("row_key").agg(F.collect_list(place).alias("added"))
 
@@ -193,11 +240,12 @@ def find_personal(df: DataFrame, id_column: str = "doc_id", text_column: str = "
     """Personal data in every whole text: counts and digest of pattern spans, and all spans.
 
     One row per row of ``df``, repeated ones too; only the two named columns are read. A NULL or empty
-    text has no span. Positions count code points, ends are exclusive. Texts are read once; contexts
-    then go through shuffles on their own.
+    text has no span. Positions count code points, ends are exclusive. Texts are read twice, for spans
+    and for document frequencies; only texts with an entity go through shuffles, as terms.
     """
     found = stored(mentions(df, id_column, text_column), "pii-mentions")
-    added = stored(added_spans(found, revealing(found)), "pii-added")
+    terms = stored(revealing(df, found, text_column), "pii-terms")
+    added = stored(added_spans(found, terms), "pii-added")
     joined = found.select(
         id_column, "row_key", "n_email", "n_ip", "n_card", "n_phone", "base_spans"
     ).join(added, "row_key", "left")
@@ -240,7 +288,8 @@ def sanitise(df: DataFrame, id_column: str = "doc_id", text_column: str = "text"
     All rows and columns stay, NULL texts too. The corpus is ``df`` itself.
     """
     found = stored(mentions(df, id_column, text_column), "pii-mentions")
-    added = stored(added_spans(found, revealing(found)), "pii-added")
+    terms = stored(revealing(df, found, text_column), "pii-terms")
+    added = stored(added_spans(found, terms), "pii-added")
     key, places = free_name(df, "row_key"), free_name(df, "added")
     schema, columns = df.schema, df.columns
 

@@ -221,6 +221,28 @@ def test_copies_of_one_context_prove_nothing(docs):
     assert all("term" not in r.spans for r in pii.find_personal(df).collect())
 
 
+def test_terms_are_counted_and_replaced_over_whole_documents(docs):
+    """A name far from the address goes, a word that the corpus uses elsewhere stays."""
+    gap = " ".join(["and so on"] * 60)
+    rows = [(i, f"Zebulon {gap} row{i} common mail jo@x.example.org, later {gap} zebulon", "en") for i in range(4)]
+    rows += [(100 + i, f"a common word in row{100 + i} without address {gap}", "en") for i in range(60)]
+    df = docs(*rows)
+    clean = {r.doc_id: r.text for r in pii.sanitise(df).collect()}
+    spans = {r.doc_id: r.spans for r in pii.find_personal(df).collect()}
+    for i in range(4):
+        assert "ebulon" not in clean[i] and "common" in clean[i] and "and so on" in clean[i] and f"row{i}" in clean[i]
+        at = rows[i][1].rindex("zebulon")
+        assert {"term:0:7", f"term:{at}:{at + 7}"} <= set(spans[i].split(","))
+    assert all(clean[i] == text and spans[i] == "" for i, text, _ in rows[4:])
+
+
+def test_equal_contexts_in_different_documents_are_evidence(docs):
+    signature = "yours sincerely from all of us Zebulon Quill write to jo@x.example.org or come and see us soon"
+    rows = [(i, f"letter{i} of word{i} {signature}", "en") for i in range(5)] + [(100 + i, f"text{i} of us all, write or come, see all from us, sincerely yours and soon to be", "en") for i in range(60)]
+    clean = {r.doc_id: r.text for r in pii.sanitise(docs(*rows)).collect()}
+    assert all("Zebulon" not in clean[i] and "Quill" not in clean[i] and f"letter{i} of word{i} yours sincerely" in clean[i] for i in range(5))
+
+
 def test_pii_of_edge_rows(edge, none):
     got = rows_of(pii.find_personal(edge), "doc_id", "n_card", "n_phone", "base_sha256")
     expected = []
