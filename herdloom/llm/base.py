@@ -74,7 +74,9 @@ def arrow_schema(ddl: str) -> pa.Schema:
     return pa.schema([(name, ARROW[kind]) for name, kind in (field.split() for field in ddl.split(", "))])
 
 
-def map_slices(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], list | None]], ddl: str) -> DataFrame:
+def map_slices(
+    df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], list | None]], ddl: str, slice_rows: int = SLICE_ROWS
+) -> DataFrame:
     """Run ``make()`` once per task and what it returns on slices of a few rows.
 
     The function gets a record batch and returns the columns of ``ddl`` as lists or Arrow arrays.
@@ -85,8 +87,8 @@ def map_slices(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], list
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for batch in batches:
-            for at in range(0, batch.num_rows, SLICE_ROWS):
-                columns = work(batch.slice(at, SLICE_ROWS))
+            for at in range(0, batch.num_rows, slice_rows):
+                columns = work(batch.slice(at, slice_rows))
                 if columns is not None:
                     arrays = [
                         c if isinstance(c, pa.Array) else pa.array(c, type=f.type)

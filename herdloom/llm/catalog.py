@@ -4,9 +4,26 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-
-from herdloom.llm import bpe, decontamination, host_rules, html_text, jaccard, language, oracles, pii, quality_model, secrets, sharding
+from pyspark.sql import functions as F
+
+from herdloom.llm import (
+    bpe,
+    collocations,
+    conversations,
+    decontamination,
+    host_rules,
+    html_text,
+    jaccard,
+    language,
+    oracles,
+    pii,
+    quality_model,
+    secrets,
+    sharding,
+    token_files,
+)
 from herdloom.llm.base import id_remainder, query, read
+from herdloom.sources.tables import shared_path
 
 SHARDS = 24
 BPE_FILE = "byte_bpe_50k.json"
@@ -66,3 +83,20 @@ def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_host_rules", oracles.HOST_RULES)
 def op10_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_rules.judge(read(spark, sf_dir, "documents"))
+
+
+@query("op11_collocations", oracles.COLLOCATIONS)
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(read(spark, sf_dir, "documents"))
+
+
+@query("op12_conversations")
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair_damaged(read(spark, sf_dir, "conversations"))
+
+
+@query("op13_token_files")
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, out = read(spark, sf_dir, "documents"), shared_path(spark, "token-files")
+    token_files.write_ids(documents, public_tokenizers.path(BPE_FILE), out)
+    return token_files.read_ids(spark, out).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))

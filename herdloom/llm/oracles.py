@@ -56,3 +56,47 @@ verdicts as (select source, {" or ".join(f"({r} + greatest({r}_m * (1 - {r}_m) /
 judged as (select counts.*, {_RULES["short"]} or {_RULES["repeats"]} as base_failed, coalesce(bad, false) as host_failed
   from counts left join verdicts using (source))
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, host_failed, not base_failed and not host_failed as kept from judged"""
+
+#: Every phrase spelled out and counted, in 128-bit numbers.
+COLLOCATIONS = r"""
+with texts as (
+    select coalesce(lang, 'und') as lang,
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as text
+    from documents
+), pieces as (
+    select lang, regexp_extract_all(unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') as words
+    from texts
+), totals as (
+    select lang, sum(len(words))::bigint as n from pieces group by lang
+), placed as (
+    select lang, words, unnest(range(1, len(words) + 1)) as i from pieces
+), sized as (
+    select lang, words, i, unnest([1, 2, 3]) as k from placed
+), phrases as (
+    select lang, k, array_to_string(words[i : i + k - 1], ' ') as phrase, count(*) as a
+    from sized where i + k - 1 <= len(words) group by all
+), frequent as (
+    select *, string_split(phrase, ' ') as words from phrases where a >= 10
+), cuts as (
+    select lang, phrase, k, words, a, unnest(range(1, k)) as cut from frequent where k > 1
+), scored as (
+    select c.lang, c.phrase, c.a, c.cut, x.a as l, y.a as r,
+           (1000000::hugeint * c.a * c.a) // (x.a::hugeint * y.a) as score
+    from cuts c
+    join frequent x on x.lang = c.lang and x.phrase = array_to_string(c.words[1 : c.cut], ' ')
+    join frequent y on y.lang = c.lang and y.phrase = array_to_string(c.words[c.cut + 1 : c.k], ' ')
+), best as (
+    select * from scored qualify row_number() over (partition by lang, phrase order by score, cut) = 1
+), inside as (
+    select lang, array_to_string(words[1 : 2], ' ') as phrase, a from frequent where k = 3
+    union all
+    select lang, array_to_string(words[2 : 3], ' ') as phrase, a from frequent where k = 3
+), free as (
+    select * from best b
+    where not exists (select 1 from inside i where i.lang = b.lang and i.phrase = b.phrase and 100 * i.a >= 50 * b.a)
+), ranked as (
+    select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from free
+)
+select lang, rank::bigint as rank, phrase, a::bigint as a, l::bigint as l, r::bigint as r, n, score::bigint as score
+from ranked join totals using (lang) where rank <= 2000
+"""
