@@ -44,6 +44,7 @@ from herdloom.plans.runs import retention_run
 from herdloom.sources import (
     export_lists,
     purge_run,
+    read_current,
     read_extract,
     refresh,
     shared_path,
@@ -120,9 +121,9 @@ def purge_special_run(t):
 def refresh_roundtrip(t):
     path = shared_path(t.spark, "core_farm")
     rows = t["core_farm"].select("id", "farmer_name", "farm_type")
+    refresh(rows.limit(0), path)
     refresh(rows, path)
-    refresh(rows, path)
-    return t.spark.read.schema("id bigint, farmer_name string, farm_type bigint").parquet(path)
+    return read_current(t.spark, path, "id bigint, farmer_name string, farm_type bigint")
 
 
 @query(
@@ -609,7 +610,7 @@ def retention_archive(t):
     _, archive = updates.retention_split(t["core_animal_event"], "created_at", AS_OF)
     path = shared_path(t.spark, "archive")
     refresh(archive.select("id", "created_at"), path)
-    return t.spark.read.schema("id bigint, created_at date").parquet(path)
+    return read_current(t.spark, path, "id bigint, created_at date")
 
 
 @query(

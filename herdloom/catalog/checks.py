@@ -41,11 +41,11 @@ def _text_sql(checks: list[tuple[str, str]]) -> str:
     return f"nullif({parts}, '')"
 
 
-def _period_sql(day: str) -> str:
-    return f"{day} >= date '{LONG_START}' and {day} <= date '{LONG_END}'"
+def _period_sql(day: str, start: str = LONG_START, end: str = LONG_END) -> str:
+    return f"{day} >= date '{start}' and {day} <= date '{end}'"
 
 
-def _lactation_sql(country: int | None) -> str:
+def _lactation_sql(country: int | None, period: str = _period_sql("event_date")) -> str:
     only = "" if country is None else f"where country_id = {country}"
     earlier = "partition by animal_id order by calving_date, lactation_id rows between unbounded preceding and 1 preceding"
     later = "partition by animal_id order by calving_date, lactation_id rows between 1 following and unbounded following"
@@ -56,7 +56,7 @@ cows as (select id as animal_id, farm_id, tag_id, birthdate, animal_type as anim
     coalesce({label_sql(8, "main_breed")}, 'Unknown') as main_breed, {label_sql(3, "sex")} as animal_sex, {label_sql(62, "animal_type")} as animal_type
   from core_animal where animal_type <> 6 and farm_id in (select farm_id from farms)),
 calved as (select animal_id, id as lactation_id, event_date as calving_date from core_animal_event
-  where event_type = 1 and {_period_sql("event_date")} and animal_id in (select animal_id from cows)),
+  where event_type = 1 and {period} and animal_id in (select animal_id from cows)),
 timed as (select *, max(calving_date) over ({earlier}) as previous_calving_date, min(calving_date) over ({later}) as subsequent_calving_date,
     cast(1 + count(*) over ({before}) as integer) as parity from calved),
 twice as (select animal_id, calving_date, count(*) as copies from calved group by all),
@@ -199,7 +199,7 @@ WEIGHT_OUT = ", ".join(
 )
 
 
-def _weight_sql(country: int | None) -> str:
+def _weight_sql(country: int | None, period: str = _period_sql("event_date")) -> str:
     only = "" if country is None else f"where country_id = {country}"
     girth, mass = attr_sql("additional_attributes", "137"), attr_sql("additional_attributes", "136")
     bounds = ", ".join(
@@ -211,7 +211,7 @@ def _weight_sql(country: int | None) -> str:
     coalesce({label_sql(8, "main_breed")}, 'Unknown') as main_breed, {label_sql(3, "sex")} as sex, {label_sql(62, "animal_type")} as animal_type,
     {name_sql("core_country", "country_id")} as country, {places_sql()} from core_animal {only}),
 weighed as (select animal_id, id as weight_id, event_date as weight_date, {girth} as heart_girth, {mass} as body_weight
-  from core_animal_event where event_type = 6 and {_period_sql("event_date")} and animal_id in (select animal_id from animals)),
+  from core_animal_event where event_type = 6 and {period} and animal_id in (select animal_id from animals)),
 twice as (select animal_id, weight_date, count(*) as copies from weighed group by all),
 staged as (select *, {months_sql("weight_date", "birthdate")} as age_at_weighing, {num_sql("heart_girth")} as girth_value,
     {num_sql("body_weight")} as weight_value
@@ -427,19 +427,35 @@ def quality_report(t):
     return rules.quality_report(logged, checks, t["core_country"], 2024, 2)
 
 
+#: Whole weeks that the periods of the log touch.
+LOG_START, LOG_END = "2023-12-31", "2024-01-27"
+LOG_WEEKS = {
+    "lactation": _rates_sql(_lactation_sql(None, "true"), LACTATION_CHECKS, "calving_date"),
+    "weight": _rates_sql(_weight_sql(None, _period_sql("event_date", LOG_START, LOG_END)), WEIGHT_CHECKS, "weight_date"),
+    "pedigree": _rates_sql(_pedigree_sql(None), PEDIGREE_CHECKS, "reg_date"),
+}
+LOG_YEARS = "(report_year = 2023 and report_week = 53 or report_year = 2024 and report_week between 0 and 3)"
+
+
 @query(
     "quality_log",
-    LACTATION_VIEWS,
-    """
-    select cast(country_id as bigint) as country_id, rule, total_records, total_error_records,
-      round(100.0 * total_error_records / total_records, 2) as error_rate, report_year, report_week from rates""",
-    LACTATION_RATES,
+    f"{PEDIGREE_VIEWS} interface_limit_parameters interface_graduation_settings",
+    " union all ".join(
+        f"""
+    select '{rule_set}' as rule_set, cast(country_id as bigint) as country_id, rule, total_records, total_error_records,
+      round(100.0 * total_error_records / total_records, 2) as error_rate, report_year, report_week
+    from (with {rates} select * from rates where {LOG_YEARS})"""
+        for rule_set, rates in LOG_WEEKS.items()
+    ),
 )
 def quality_log(t):
+    """Two periods, one within a week of both, and the first again: as if logged once over all weeks."""
     path = shared_path(t.spark, "quality")
-    for _ in range(2):  # the second run replaces the weeks of the first
-        where = quality_log_run(t, path, LONG_START, LONG_END, AS_OF)
-    schema = "country_id bigint, quality_check int, total_records bigint, total_error_records bigint, error_rate double, report_year int, report_week int"
+    for start, end in (("2023-12-31", "2024-01-11"), ("2024-01-12", LONG_END), ("2024-01-10", "2024-01-17"), ("2023-12-31", "2024-01-11")):
+        where = quality_log_run(t, path, start, end, AS_OF)
+    schema = (
+        "country_id bigint, quality_check int, total_records bigint, total_error_records bigint, error_rate double, "
+        "rule_set string, report_year int, report_week int"
+    )
     names = quality_checks(t, AS_OF).select(F.col("quality_check").alias("rule"), F.col("id").alias("quality_check"))
-    log = t.spark.read.schema(schema).parquet(where).filter(F.col("quality_check") <= len(LACTATION_CHECKS))
-    return log.join(names, "quality_check").drop("quality_check")
+    return t.spark.read.schema(schema).parquet(where).join(names, "quality_check").drop("quality_check")

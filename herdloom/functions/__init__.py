@@ -17,6 +17,7 @@ from herdloom.functions.dates import (
     months_apart,
     period,
     sunday_week,
+    whole_weeks,
 )
 from herdloom.functions.text import capitalise, last_word, lenient_num, same_name, strict_num
 
@@ -38,6 +39,7 @@ __all__ = [
     "same_name",
     "strict_num",
     "sunday_week",
+    "whole_weeks",
     "with_attr_texts",
     "with_attributes",
 ]

@@ -67,3 +67,15 @@ def period(preset: str, today: Column | dt.date | str) -> tuple[Column, Column]:
     if preset == "yesterday_today":
         return F.date_sub(today, 1), today
     raise ValueError(f"unknown period {preset!r}, expected one of {PRESETS}")
+
+
+def whole_weeks(start: dt.date | str, end: dt.date | str) -> tuple[dt.date, dt.date, list[tuple[int, int]]]:
+    """A period widened to whole weeks of :func:`sunday_week`, and these as (year, week).
+
+    A week ends with its year, so the first and the last of a year may be short.
+    """
+    start, end = (dt.date.fromisoformat(d) if isinstance(d, str) else d for d in (start, end))
+    first = max(start - dt.timedelta(days=(start.weekday() + 1) % 7), dt.date(start.year, 1, 1))
+    last = min(end + dt.timedelta(days=(5 - end.weekday()) % 7), dt.date(end.year, 12, 31))
+    days = (first + dt.timedelta(days=i) for i in range((last - first).days + 1))
+    return first, last, sorted({(day.year, int(day.strftime("%U"))) for day in days})

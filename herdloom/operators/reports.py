@@ -133,6 +133,15 @@ def type_pivot(registrations: DataFrame, column: str, values: Sequence[str]) ->
     return _pivot(registrations, ["country"], column, values, "avg")
 
 
+def long_form(df: DataFrame, report: str, *keys: str) -> DataFrame:
+    """A report as (report, country, detail, measure, value): a row per number; a second key is the detail."""
+    values = [c for c in df.columns if c not in keys]
+    detail = F.col(keys[1]) if len(keys) > 1 else F.lit(None).cast("string")
+    wide = df.select("country", detail.alias("detail"), *[F.col(f"`{c}`").cast("double").alias(c) for c in values])
+    rows = wide.unpivot(["country", "detail"], [f"`{c}`" for c in values], "measure", "value")
+    return rows.select(F.lit(report).alias("report"), "country", "detail", "measure", "value")
+
+
 def event_totals(activity: DataFrame) -> DataFrame:
     return activity.groupBy("event", "country").agg(F.sum("total").alias("total"))
 

@@ -8,20 +8,29 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
+from functools import reduce
 from urllib.parse import quote
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from herdloom.functions import period, sunday_week
+from herdloom.functions import day_range, period, sunday_week, whole_weeks
 from herdloom.operators import filters, reports, rules, updates
 from herdloom.plans import dashboard, dataflow
 from herdloom.plans.lactation import lactation_extract, lactation_rules, lactation_staged
 from herdloom.plans.pedigree import pedigree_extract, pedigree_rules, pedigree_staged
 from herdloom.plans.testday import testday_report
 from herdloom.plans.weight import weight_extract, weight_rules, weight_staged
-from herdloom.sources import refresh, split_valid_error, stage, stamp, write_extract
+from herdloom.sources import (
+    archive_days,
+    refresh,
+    replace_partitions,
+    split_valid_error,
+    stage,
+    stamp,
+    write_extract,
+)
 
 Tables = Mapping[str, DataFrame]
 
@@ -38,15 +47,43 @@ def _places(out: str, job: str, run_id: str) -> tuple[str, str]:
     return f"{out}/staged/{job}", f"{out}/files/{job}/{quote(run_id, safe='')}"
 
 
+MANIFEST = "job string, run_id string, staged bigint, valid bigint, error bigint, written_valid bigint, written_error bigint"
+
+
+def _counted(df: DataFrame, **counts) -> tuple[DataFrame, Observation]:
+    """The frame, and an observation that counts its rows while a job writes them."""
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in counts.items()]), seen
+
+
 def _checked_files(extract: DataFrame, out: str, job: str, run_id: str, order: Sequence[str]) -> dict[str, str]:
+    """Stage the extract, write its two files, and note the rows of each step in the manifest of the run.
+
+    Rows are counted as they pass, which takes no job of its own. Where the files have other numbers of rows
+    than were staged as valid and as error the run fails and has no manifest.
+    """
+    spark = extract.sparkSession
     staged, files = _places(out, job, run_id)
-    valid, error = split_valid_error(staged_run(extract, staged, run_id))
+    status = F.col("status")
+    extract, seen = _counted(extract, valid=F.count_if(status == 1), error=F.count_if(status == 0))
+    parts = split_valid_error(staged_run(extract, staged, run_id))
     where = {"valid": f"{files}/valid", "error": f"{files}/error"}
-    write_extract(valid, where["valid"], *order)
-    write_extract(error, where["error"], *order)
+    written = {name: write_extract(part, where[name], *order) for name, part in zip(where, parts)}
+    counts = seen.get
+    if any(written[name] != counts[name] for name in where):
+        raise RuntimeError(f"run {run_id!r} staged {counts} but wrote {written}")
+    row = (job, run_id, counts["rows"], counts["valid"], counts["error"], written["valid"], written["error"])
+    stage(spark.createDataFrame([row], MANIFEST).drop("run_id"), f"{out}/manifest/{job}", run_id)
     return where
 
 
+def run_manifests(spark: SparkSession, out: str, *jobs: str) -> DataFrame:
+    """Rows staged and written by the runs of some jobs, one row per run."""
+    schema = ", ".join([c for c in MANIFEST.split(", ") if not c.startswith("run_id")] + ["run_id string"])
+    found = [spark.read.schema(schema).parquet(f"{out}/manifest/{job}") for job in jobs]
+    return reduce(DataFrame.unionByName, found)
+
+
 def lactation_run(tables: Tables, out: str, run_id: str, start, end, as_of: dt.date, country: int | None = None):
     """Stage the lactation extract and write its valid and its error file."""
     extract = lactation_extract(tables, start, end, as_of, country)
@@ -77,8 +114,7 @@ def testday_run(
 
 
 def _refreshed(df: DataFrame, path: str) -> DataFrame:
-    refresh(df, path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(refresh(df, path))
 
 
 def dataflow_run(
@@ -124,30 +160,47 @@ def dataflow_run(
     return made
 
 
+#: Reports of a data-flow run that have a second key besides the country.
+DETAILS = {"enumerators": "enumerator", "event_totals": "event", "top": "enumerator", "bottom": "enumerator"}
+
+
+def dataflow_report(made: Mapping[str, DataFrame]) -> DataFrame:
+    """All reports of :func:`dataflow_run` but the quality section as one frame, a row per number."""
+    keys = {name: ["country", *([DETAILS[name]] if name in DETAILS else [])] for name in made if name != "quality"}
+    return reduce(DataFrame.unionByName, [reports.long_form(made[name], name, *by) for name, by in keys.items()])
+
+
 def dataflow_period(tables: Tables, out: str, preset: str, today: dt.date, *names: Sequence[str], **more):
     """:func:`dataflow_run` over the last day, week or month, as its preset says."""
     return dataflow_run(tables, out, *period(preset, today), *names, **more)
 
 
+RULE_SETS = ("lactation", "weight", "pedigree")
+
+
 def quality_rates(tables: Tables, start, end, as_of: dt.date) -> DataFrame:
     """Error rates of all rules of all three sets per country and week, numbered as ``quality_checks``.
 
-    Calvings and weighings count in the week of the event, animals in that of their registration.
+    Calvings and weighings count in the week of the event, animals in that of their registration, on the
+    days from start to end. The history of a calving takes in all calvings before and after, so that the
+    rates of a week are the same whatever the period.
     """
     limits = tables["interface_limit_parameters"]
     parts = (
-        (lactation_staged(tables, start, end), lactation_rules(limits, as_of), "calving_date"),
-        (weight_staged(tables, start, end), weight_rules(limits, as_of), "weight_date"),
-        (pedigree_staged(tables), pedigree_rules(), "reg_date"),
+        ("lactation", lactation_staged(tables, None, None), lactation_rules(limits, as_of), "calving_date"),
+        ("weight", weight_staged(tables, start, end), weight_rules(limits, as_of), "weight_date"),
+        ("pedigree", pedigree_staged(tables), pedigree_rules(), "reg_date"),
     )
     by, union, first = ["country_id", "report_year", "report_week"], None, 0
-    for staged, rule_set, day in parts:
+    for name, staged, rule_set, day in parts:
         weeks = {"report_year": F.year(day), "report_week": sunday_week(F.col(day))}
+        staged = staged.filter(day_range(F.col(day), start, end))
         rated = rules.error_rates(staged.withColumns(weeks), rule_set, by)
         number = F.array_position(F.array(*[F.lit(r.name) for r in rule_set]), F.col("rule"))
         rated = rated.select(
             "country_id", (number + first).cast("int").alias("quality_check"), "total_records",
             "total_error_records", "error_rate", "report_year", "report_week", F.lit(0).alias("deleted"),
+            F.lit(name).alias("rule_set"),
         )
         union, first = rated if union is None else union.unionByName(rated), first + len(rule_set)
     return union
@@ -161,32 +214,36 @@ def quality_checks(tables: Tables, as_of: dt.date) -> DataFrame:
 
 
 def quality_log_run(tables: Tables, out: str, start, end, as_of: dt.date) -> str:
-    """Log the error rates of the weeks that a period touches; those weeks are replaced, others stay."""
+    """Log the error rates of the weeks that a period touches, each over all of its days.
+
+    The log has a partition per rule set, year and week. Those of the weeks touched are replaced, also by
+    nothing where a week has no records any more; all others stay as they are.
+    """
     path = f"{out}/interface_data_quality_report_data_weekly"
-    rates = quality_rates(tables, start, end, as_of).filter(F.col("report_year").isNotNull())
-    writer = rates.write.partitionBy("report_year", "report_week").option("partitionOverwriteMode", "dynamic")
-    writer.mode("overwrite").parquet(path)
+    first, last, weeks = whole_weeks(start, end)
+    keys = [(name, year, week) for name in RULE_SETS for year, week in weeks]
+    replace_partitions(quality_rates(tables, first, last, as_of), path, ["rule_set", "report_year", "report_week"], keys)
     return path
 
 
 def dashboard_run(tables: Tables, out: str, country: int | None = None) -> dict[str, str]:
-    """Refill the four dashboard tables."""
+    """Refill the four dashboard tables; returns the folder of the new rows of each.
+
+    Each is replaced as a whole once its rows are written, so a dashboard never reads a table half full.
+    """
     made = {
         "milk_yield": dashboard.yield_by_breed_region(tables, country),
         "inseminations": dashboard.inseminations_by_week(tables, country),
         "herds": dashboard.herds_by_year_type(tables, country),
         "animals": dashboard.animals_by_region(tables, country),
     }
-    for name, df in made.items():
-        refresh(df, f"{out}/{name}")
-    return {name: f"{out}/{name}" for name in made}
+    return {name: refresh(df, f"{out}/{name}") for name, df in made.items()}
 
 
 def gps_run(tables: Tables, out: str, at_least: str = "1.7") -> str:
     """Write the farm table with missing coordinates filled in from forms of recent versions."""
     forms = filters.latest_form_version(tables["core_odk_form"], at_least)
-    refresh(updates.fill_gps(tables["core_farm"], forms).drop("gps_filled"), f"{out}/core_farm")
-    return f"{out}/core_farm"
+    return refresh(updates.fill_gps(tables["core_farm"], forms).drop("gps_filled"), f"{out}/core_farm")
 
 
 def retention_run(
@@ -195,17 +252,34 @@ def retention_run(
     """Write kept and archived rows in one pass, or count them only.
 
     Both parts carry the day of the run. Only the partitions of this run are written: what earlier runs
-    archived stays, and a retry doubles nothing. Returns where the kept rows of this run and the archive
-    of all runs are; the next run takes the kept rows.
+    archived stays, and a retry doubles nothing. A side without rows is written as an empty one, so both can
+    be read. Returns where the kept rows of this run and the archive of all runs are; the next run takes the
+    kept rows. A table laid out by day is better served by :func:`retention_days_run`.
     """
     if dry_run:
         return updates.retention_counts(df, at, as_of, days)
-    marked = updates.retention_marked(df, at, as_of, days).withColumn("run_day", F.lit(as_of.isoformat()))
+    marked, seen = _counted(updates.retention_marked(df, at, as_of, days), archived=F.count_if("archived"))
+    marked = marked.withColumn("run_day", F.lit(as_of.isoformat()))
     writer = marked.write.partitionBy("archived", "run_day").option("partitionOverwriteMode", "dynamic")
     writer.mode("overwrite").parquet(out)
+    counts = seen.get
+    for side, rows in (("true", counts["archived"]), ("false", counts["rows"] - counts["archived"])):
+        if not rows:
+            nothing = df.sparkSession.createDataFrame([], df.schema)
+            nothing.write.mode("overwrite").parquet(f"{out}/archived={side}/run_day={as_of}")
     return {"kept": f"{out}/archived=false/run_day={as_of}", "archive": f"{out}/archived=true"}
 
 
+def retention_days_run(
+    spark: SparkSession, path: str, archive: str, at: str, schema: str | T.StructType, as_of: dt.date | dt.datetime, days: int = 20
+) -> dict[str, list[str]]:
+    """Move rows more than ``days`` days old from a table laid out by day to its archive, by whole days.
+
+    No row of a day that is kept, or moved, is read; see :func:`herdloom.sources.archive_days`.
+    """
+    return archive_days(spark, path, archive, at, as_of - dt.timedelta(days=days), schema)
+
+
 def retention_all(
     tables: Tables, out: str, at: str, as_of: dt.date, days: int = 20, dry_run: bool = False
 ) -> dict[str, DataFrame | dict[str, str]]:
@@ -218,5 +292,4 @@ def inactive_run(tables: Tables, out: str, as_of: dt.date, max_age_years: int =
     marked = updates.flag_inactive(
         tables["core_animal"], tables["core_animal_event"], as_of, max_age_years, last_event_years
     )
-    refresh(marked, f"{out}/core_animal")
-    return f"{out}/core_animal"
+    return refresh(marked, f"{out}/core_animal")

@@ -3,11 +3,18 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
+from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from herdloom.sources.files import Folder
+from herdloom.sources.versions import publish
+
 # Names and format of the two columns stamped on an extract.
 STAMP_TIME = "Extract_Datetime_UTC"
 STAMP_VERSION = "Version"
@@ -39,19 +46,43 @@ def purge_run(spark: SparkSession, path: str, run_id: str) -> None:
     The partition is found by what its folder's name stands for, as the writer escapes ids in names. A
     run that is not there is an error.
     """
-    table = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = table.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for status in fs.listStatus(table):
-        folder = status.getPath()
-        if unquote(folder.getName()) == f"run_id={run_id}":
-            fs.delete(folder, True)
+    table = Folder(spark, path)
+    for name in table.names():
+        if unquote(name) == f"run_id={run_id}":
+            table.delete(name)
             return
     raise LookupError(f"no run {run_id!r} in {path}")
 
 
-def refresh(df: DataFrame, path: str) -> None:
-    """Empty a report table and fill it again."""
-    df.write.mode("overwrite").parquet(path)
+def refresh(df: DataFrame, path: str) -> str:
+    """Fill a report table anew; until all rows are there readers see the old ones. Returns their folder.
+
+    Read it with :func:`herdloom.sources.read_current`.
+    """
+    return publish(df, path)
+
+
+def replace_partitions(df: DataFrame, path: str, by: Sequence[str], touched: Sequence[tuple]) -> None:
+    """Replace the partitions named by ``touched`` values of ``by``: by the rows of ``df``, or by none.
+
+    All rows of ``df`` must belong to these; partitions of other values are neither read nor written. Rows
+    are computed once and put aside first, so that a failure changes nothing.
+    """
+    spark, aside = df.sparkSession, f"{path}/_aside/{uuid.uuid4().hex}"
+    seen, tests = Observation("partitions"), {}
+    for i, key in enumerate(touched):
+        same = [F.col(name).eqNullSafe(F.lit(value)) for name, value in zip(by, key)]
+        tests[key] = F.count_if(reduce(and_, same)).alias(f"key_{i}")
+    df.observe(seen, F.count(F.lit(1)).alias("rows"), *tests.values()).write.parquet(aside)
+    found = {key for i, key in enumerate(touched) if seen.get[f"key_{i}"]}
+    if seen.get["rows"] != sum(seen.get[f"key_{i}"] for i in range(len(touched))):
+        raise ValueError(f"there are rows of other partitions than {list(touched)}")
+    rows = spark.read.schema(df.schema).parquet(aside)
+    rows.write.partitionBy(*by).option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
+    table = Folder(spark, path)
+    for key in set(touched) - found:
+        table.delete("/".join(f"{name}={value}" for name, value in zip(by, key)))
+    Folder(spark, aside).delete()
 
 
 def split_valid_error(df: DataFrame, comments: str = "comments") -> tuple[DataFrame, DataFrame]:
@@ -64,11 +95,17 @@ def split_valid_error(df: DataFrame, comments: str = "comments") -> tuple[DataFr
     return valid, error
 
 
-def write_extract(df: DataFrame, path: str, *order: str) -> None:
-    """Header CSV, gzip, sorted across the files when ``order`` is given."""
+def write_extract(df: DataFrame, path: str, *order: str) -> int:
+    """Header CSV, gzip, sorted across the files when ``order`` is given; returns the rows written.
+
+    They are counted above the sort, whose sampling reads the rows once more.
+    """
     if order:
         df = df.orderBy(*order)
+    seen = Observation()
+    df = df.observe(seen, F.count(F.lit(1)).alias("rows"))
     df.write.mode("overwrite").options(**CSV).option("header", True).option("compression", "gzip").csv(path)
+    return seen.get["rows"]
 
 
 def read_extract(spark: SparkSession, path: str, schema) -> DataFrame:

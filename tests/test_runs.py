@@ -101,6 +101,45 @@ def test_inactive_and_retention_of_several_tables(spark, tables, tmp_path):
         assert sum(spark.read.parquet(path).count() for path in where[name].values()) == df.count()
 
 
+def test_quality_log_is_the_same_however_it_is_run(spark, tables, tmp_path):
+    """Adjacent weeks, a run within a week and a repeat leave what one run over all leaves."""
+    whole = runs.quality_log_run(tables, str(tmp_path / "a"), "2024-01-01", "2024-01-20", AS_OF)
+    for start, end in (("2024-01-07", "2024-01-13"), ("2024-01-14", "2024-01-20"), ("2024-01-01", "2024-01-03"), ("2024-01-11", "2024-01-17"), ("2024-01-07", "2024-01-13")):
+        parts = runs.quality_log_run(tables, str(tmp_path / "b"), start, end, AS_OF)
+    logged = spark.read.parquet(whole)
+    assert rows_of(spark.read.parquet(parts)) == rows_of(logged)
+    weeks = {tuple(r) for r in logged.select("rule_set", "report_week").distinct().collect()}
+    assert {(name, week) for name in ("lactation", "weight") for week in range(3)} | {("pedigree", 1)} <= weeks
+
+
+def test_a_week_without_records_any_more_leaves_the_log(spark, tables, tmp_path):
+    path = runs.quality_log_run(tables, str(tmp_path), "2024-01-07", "2024-01-20", AS_OF)
+    events = tables["core_animal_event"]
+    fewer = {**{n: tables[n] for n in tables}, "core_animal_event": events.filter("event_type <> 1 or event_date < '2024-01-14'")}
+    runs.quality_log_run(fewer, str(tmp_path), "2024-01-14", "2024-01-20", AS_OF)
+    weeks = {tuple(r) for r in spark.read.parquet(path).select("rule_set", "report_week").distinct().collect()}
+    assert ("lactation", 2) not in weeks and {("lactation", 1), ("weight", 1), ("weight", 2), ("pedigree", 1)} <= weeks
+
+
+def test_retention_sides_without_rows(spark, tables, tmp_path):
+    events, out = tables["core_animal_event"], str(tmp_path)
+    where = runs.retention_run(events, out, "created_at", AS_OF)
+    assert spark.read.parquet(where["archive"]).count() > 0
+    where = runs.retention_run(events.filter("created_at >= '2024-01-20'"), out, "created_at", AS_OF)  # a retry
+    assert spark.read.schema(events.schema).parquet(where["archive"]).count() == 0
+    later = runs.retention_run(spark.read.parquet(where["kept"]), out, "created_at", dt.date(2030, 1, 1))
+    assert spark.read.parquet(later["kept"]).count() == 0 < spark.read.schema(events.schema).parquet(later["archive"]).count()
+
+
+def test_a_run_notes_what_it_staged_and_wrote(spark, tables, tmp_path):
+    args = (tables, str(tmp_path), "r1", LONG_START, LONG_END, AS_OF)
+    runs.lactation_run(*args)
+    row = runs.run_manifests(spark, str(tmp_path), "lactation").first()
+    staged = spark.read.parquet(f"{tmp_path}/staged/lactation")
+    assert (row.staged, row.valid, row.error) == (staged.count(), staged.filter("status = 1").count(), staged.filter("status = 0").count())
+    assert (row.written_valid, row.written_error) == (row.valid, row.error)
+
+
 def test_quality_log_replaces_its_own_weeks(spark, tables, tmp_path):
     args = (tables, str(tmp_path), START, END, AS_OF)
     path = runs.quality_log_run(*args)

@@ -10,6 +10,7 @@ import pytest
 from herdloom.sources import (
     export_lists,
     purge_run,
+    read_current,
     read_extract,
     read_table,
     refresh,
@@ -62,7 +63,7 @@ def test_refresh_replaces(spark, tmp_path):
     path = str(tmp_path / "report")
     refresh(spark.range(5), path)
     refresh(spark.range(2), path)
-    assert rows_of(spark.read.parquet(path)) == [(0,), (1,)]
+    assert rows_of(read_current(spark, path, "id bigint")) == [(0,), (1,)]
 
 
 def test_extract_is_sorted_gzip_with_header(spark, tmp_path):
