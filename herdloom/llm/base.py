@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
 from functools import cache
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +24,8 @@ ORACLES: dict[str, str] = {}
 BATCH_ROWS = 512
 SLICE_ROWS = 256
 BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Bits of a filter per key, bits that one has at least and at most (16 MB), and bits of a part of it.
+FILTER_BITS, LEAST_FILTER, MOST_FILTER, FILTER_PART = 16, 18, 27, 18
 
 ARROW = {
     "bigint": pa.int64(),
@@ -74,6 +79,15 @@ def arrow_schema(ddl: str) -> pa.Schema:
     return pa.schema([(name, ARROW[kind]) for name, kind in (field.split() for field in ddl.split(", "))])
 
 
+def release() -> None:
+    """Give memory of a finished task back: Spark uses a worker again, for other stages too."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def map_slices(
     df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], list | None]], ddl: str, slice_rows: int = SLICE_ROWS
 ) -> DataFrame:
@@ -95,6 +109,8 @@ def map_slices(
                         for c, f in zip(columns, schema, strict=True)
                     ]
                     yield pa.RecordBatch.from_arrays(arrays, schema=schema)
+        del work
+        release()
 
     return df.mapInArrow(run, ddl)
 
@@ -108,6 +124,8 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE_ROWS):
                 yield work(batch.slice(at, SLICE_ROWS))
+        del work
+        release()
 
     return df.mapInArrow(run, schema)
 
@@ -141,3 +159,35 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def id_remainder(column: str, divisor: int):
     """crc32 of the id written as text, modulo ``divisor``; NULL without an id."""
     return F.pmod(F.crc32(F.col(column).cast("string")), F.lit(divisor))
+
+
+def key_filter(keys: DataFrame, column: str) -> np.ndarray:
+    """Bits of the hashes of a column, to pass over rows that certainly have none of its values.
+
+    There are some 16 bits per row of ``keys``, a power of two, but at most 2^27: a filter that is full
+    lets more rows pass, so a join must follow. Parts of it are made in tasks and sent as bytes.
+    """
+    n = keys.count()
+    size = max(LEAST_FILTER, min(MOST_FILTER, (FILTER_BITS * n).bit_length()))
+    width = min(size, FILTER_PART)
+    place = F.xxhash64(column).bitwiseAND(F.lit((1 << size) - 1)).alias("place")
+    parts = keys.select(place).distinct().withColumn("part", F.shiftright("place", width))
+    schema = arrow_schema("part bigint, bits binary")
+
+    def pack(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        bits = np.zeros(1 << width, bool)
+        bits[table.column("place").to_numpy() & ((1 << width) - 1)] = True
+        columns = [pa.array([key[0].as_py()], pa.int64()), pa.array([np.packbits(bits, bitorder="little").tobytes()])]
+        return pa.Table.from_arrays(columns, schema=schema)
+
+    out = np.zeros(1 << size >> 3, np.uint8)
+    wide = 1 << width >> 3
+    for part, bits in parts.groupBy("part").applyInArrow(pack, "part bigint, bits binary").collect():
+        out[part * wide : (part + 1) * wide] = np.frombuffer(bits, np.uint8)
+    return out
+
+
+def passes(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which of the hashes a ``key_filter`` lets pass."""
+    place = hashes & (8 * len(bits) - 1)
+    return bits[place >> 3] >> (place & 7).astype(np.uint8) & 1 == 1

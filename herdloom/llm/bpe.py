@@ -218,6 +218,7 @@ class ForcedBoundaryBPE:
 
 @lru_cache(maxsize=2)
 def tokenizer(path: str) -> ForcedBoundaryBPE:
+    """A model that stays in memory; tasks make their own, which ends with them."""
     return ForcedBoundaryBPE(path)
 
 
@@ -230,7 +231,7 @@ def encode_texts(df: DataFrame, path: str, id_column: str = "doc_id", text_colum
     ddl = f"{id_column} bigint, n_tokens bigint, token_ids array<bigint>"
 
     def make():
-        model = tokenizer(path)
+        model = ForcedBoundaryBPE(path)
 
         def work(batch):
             packed = model.encode_packed(texts(batch, text_column))
@@ -247,7 +248,7 @@ def decode_ids(df: DataFrame, path: str, id_column: str = "doc_id", ids_column:
     ddl = f"{id_column} bigint, text string"
 
     def make():
-        model = tokenizer(path)
+        model = ForcedBoundaryBPE(path)
         return lambda batch: [
             batch.column(id_column),
             [model.decode(ids or []) for ids in batch.column(ids_column).to_pylist()],
@@ -264,7 +265,7 @@ def round_trip(df: DataFrame, path: str, id_column: str = "doc_id", text_column:
     ddl = f"{id_column} bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
     def make():
-        model = tokenizer(path)
+        model = ForcedBoundaryBPE(path)
 
         def work(batch):
             packed = model.encode_packed(texts(batch, text_column))

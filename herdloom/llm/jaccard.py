@@ -23,13 +23,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from herdloom.llm.base import SLICE_ROWS, arrow_schema, free_name, map_batches, map_slices, prepare, stored, texts
+from herdloom.llm.base import (
+    SLICE_ROWS,
+    arrow_schema,
+    free_name,
+    key_filter,
+    map_batches,
+    map_slices,
+    passes,
+    prepare,
+    release,
+    stored,
+    texts,
+)
 
 #: Words of a shingle and the least similarity in percent.
 SHINGLE, PERCENT = 5, 75
-#: Least number of groups of signatures; there are as many as shuffle partitions where that is more, so
-#: that a group (13 bytes a signature) fits into a task as those are set for the input.
-BUCKETS = 256
+#: Least number of groups of signatures, and signatures that a group takes at most on average: 13 bytes each.
+BUCKETS, BUCKET_SIGNATURES = 256, 4 << 20
 #: Signatures that a task holds before it sends them on.
 FLUSH = 150_000
 #: Classes of a signature that a task sends to its bucket at a time.
@@ -38,8 +49,6 @@ KNOWN = 2
 BLOCK, BLOCK_ELEMENTS = 256, 1 << 19
 #: Bytes of sets that a task compares, on average, but for single pairs of blocks.
 TASK_BYTES = 16 << 20
-#: Bits of the filter, of fixed size, that spares classes without candidates a second look.
-FILTER_BITS = 1 << 22
 #: Standard deviations that keep the number of subsets of a set above what it needs.
 MARGIN = 9
 #: Stands for a NULL id in the filter.
@@ -265,6 +274,8 @@ def signatures(df: DataFrame, text_column: str, percent: int, buckets: int) -> D
                     parts, size = [], 0
         if parts:
             yield from flush()
+        del met, parts
+        release()
 
     return df.select(text_column).mapInArrow(run, ddl)
 
@@ -357,33 +368,19 @@ def components(edges: DataFrame) -> DataFrame:
     )
 
 
-def _bit_filter(ids: DataFrame) -> np.ndarray:
-    """Bits of the hashes of ``ids``, a filter of a fixed size that lets some others pass too."""
-    bit = F.pmod(F.xxhash64("rep"), F.lit(FILTER_BITS))
-    words = ids.select(bit.alias("bit")).selectExpr("bit >> 5 as word", "shiftleft(1L, cast(bit & 31 as int)) as bits")
-    out = np.zeros(FILTER_BITS // 32, np.uint32)
-    for row in words.groupBy("word").agg(F.bit_or("bits").alias("bits")).collect():
-        out[row["word"]] = row["bits"]
-    return out
-
-
-def _place(id_column: str):
-    return F.pmod(F.xxhash64(F.coalesce(F.col(id_column), F.lit(NO_ID))), F.lit(FILTER_BITS))
-
-
-def _passes(bits: np.ndarray, place: np.ndarray) -> np.ndarray:
-    return (bits[place >> 5] >> (place & 31).astype(np.uint32)) & 1 == 1
+def _id_hash(id_column: str):
+    return F.xxhash64(F.coalesce(F.col(id_column), F.lit(NO_ID)))
 
 
 def _rows_by_filter(df: DataFrame, ids: DataFrame, id_column: str) -> tuple[DataFrame, DataFrame]:
     """Rows of ``df`` whose id is certainly not among ``ids`` (rep), and those whose id may be."""
-    bits = df.sparkSession.sparkContext.broadcast(_bit_filter(ids))
+    bits = df.sparkSession.sparkContext.broadcast(key_filter(ids, "rep"))
     place, columns = free_name(df, "place"), df.columns
-    placed = df.withColumn(place, _place(id_column))
+    placed = df.withColumn(place, _id_hash(id_column))
 
     def rows(wanted: bool) -> DataFrame:
         def work(batch):
-            hit = _passes(bits.value, batch.column(place).to_numpy()) == wanted
+            hit = passes(bits.value, batch.column(place).to_numpy()) == wanted
             return batch.filter(pa.array(hit)).select(columns)
 
         return map_batches(placed, lambda: work, df.schema)
@@ -393,20 +390,20 @@ def _rows_by_filter(df: DataFrame, ids: DataFrame, id_column: str) -> tuple[Data
 
 def candidate_sets(df: DataFrame, wanted: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """(class, cluster, items) of the wanted (class, rep, cluster); only their texts are cut up again."""
-    bits = df.sparkSession.sparkContext.broadcast(_bit_filter(wanted))
+    bits = df.sparkSession.sparkContext.broadcast(key_filter(wanted, "rep"))
 
     def make():
         passing = bits.value
 
         def work(batch):
-            hit = _passes(passing, batch.column("place").to_numpy())
+            hit = passes(passing, batch.column("place").to_numpy())
             found = [shingle_set(t) for t in texts(batch.filter(pa.array(hit)), text_column)]
             found = [s for s in found if len(s)]
             return [[class_id(s) for s in found], [s.tobytes() for s in found]]
 
         return work
 
-    sets = map_slices(df.select(_place(id_column).alias("place"), text_column), make, "class bigint, items binary")
+    sets = map_slices(df.select(_id_hash(id_column).alias("place"), text_column), make, "class bigint, items binary")
     return sets.join(wanted.select("class", "cluster"), "class").dropDuplicates(["class"])
 
 
@@ -529,23 +526,23 @@ def rest_edges(df: DataFrame, classes: DataFrame, percent: int, id_column: str,
     return found.filter(F.col("class") != F.col("root")).distinct()
 
 
-def link(df: DataFrame, id_column: str = "doc_id", text_column: str = "text", percent: int = PERCENT) -> DataFrame:
-    """``n_shingles`` and ``component_id`` of every row of ``df``, repeated rows too.
+def _labelled(df: DataFrame, id_column: str, text_column: str, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Sets of all rows as (id, n, class, ...), and (class, label, least_id) of all classes.
 
-    Two rows link when the Jaccard similarity of their sets of five-word shingles is at least ``percent``;
-    a component is named by its least id. A text of fewer words is one shingle. NULL, empty and wordless
-    texts have no shingle and stay by themselves. NULL ids are passed over when a component is named; one
-    of NULL ids only has none. Only the two named columns are read.
+    Classes of one label are one component.
     """
     sets = stored(sets_of(df, percent, id_column, text_column), "join-sets")
     classes = sets.filter(F.col("class").isNotNull()).groupBy("class").agg(
         F.min(id_column).alias("least_id"),
         F.min(F.coalesce(F.col(id_column), F.lit(NO_ID))).alias("rep"),
+        F.first("n").alias("n"),
         F.first("bands").alias("bands"),
         F.first("missing").alias("missing"),
     )
     classes = stored(classes, "join-classes")
-    buckets = max(BUCKETS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    # A role of a set has one signature more than elements at most.
+    most = classes.agg(F.sum((F.col("n") + 1) * F.size("bands"))).first()[0] or 0
+    buckets = min(1 << 24, max(BUCKETS, most // BUCKET_SIGNATURES))
     shared = shared_signatures(signatures(df, text_column, percent, buckets))
     clusters = components(candidate_edges(classes, shared))
     wanted = classes.join(clusters.withColumnsRenamed({"node": "class", "label": "cluster"}), "class")
@@ -554,7 +551,19 @@ def link(df: DataFrame, id_column: str = "doc_id", text_column: str = "text", pe
     edges = stored(verified_edges(found, percent), "join-links")
     rest = rest_edges(df, classes, percent, id_column, text_column)
     named = components(edges if rest is None else edges.union(rest)).withColumnRenamed("node", "class")
-    labelled = classes.join(named, "class", "left").withColumn("label", F.coalesce("label", "class"))
+    labelled = classes.join(named, "class", "left").select("class", F.coalesce("label", "class").alias("label"), "least_id")
+    return sets, labelled
+
+
+def link(df: DataFrame, id_column: str = "doc_id", text_column: str = "text", percent: int = PERCENT) -> DataFrame:
+    """``n_shingles`` and ``component_id`` of every row of ``df``, repeated rows too.
+
+    Two rows link when the Jaccard similarity of their sets of five-word shingles is at least ``percent``;
+    a component is named by its least id. A text of fewer words is one shingle. NULL, empty and wordless
+    texts have no shingle and stay by themselves. NULL ids are passed over when a component is named; one
+    of NULL ids only has none. Only the two named columns are read.
+    """
+    sets, labelled = _labelled(df, id_column, text_column, percent)
     names = labelled.groupBy("label").agg(F.min("least_id").alias("component"))
     by_class = labelled.join(names, "label").select("class", "component")
     linked = sets.join(by_class, "class", "left")
@@ -563,20 +572,40 @@ def link(df: DataFrame, id_column: str = "doc_id", text_column: str = "text", pe
 
 
 def keep_one(df: DataFrame, id_column: str = "doc_id", text_column: str = "text", percent: int = PERCENT) -> DataFrame:
-    """Rows of ``df``, with all their columns, less all but one of each component: that with the least id.
+    """Rows of ``df``, with all their columns, less all but exactly one of each component.
 
-    Rows that repeat an id are judged together, and of those that repeat the text as well one stays. Rows
-    without shingles or without an id all stay. A filter of fixed size lets most rows pass as they are; only
-    rows whose id may be one to go are shuffled, to be compared with the ids themselves.
+    A row is told by its id and its set of shingles, so texts that share an id are judged apart. The row
+    with the least id stays, NULL after all others, and of equal ids that with the least class; of rows that
+    agree in both any one stays. Rows without shingles all stay. A filter of ids lets most rows pass as they
+    are; only rows whose id may be one to go are shuffled, to be compared with the decisions themselves.
     """
-    decided = stored(link(df, id_column, text_column, percent), "join-decided")
-    gone = decided.filter(F.col(id_column) != F.col("component_id")).select(F.col(id_column).alias("rep")).distinct()
-    gone = stored(gone, "join-gone")
-    clear, doubtful = _rows_by_filter(df, gone, id_column)
-    kept = clear.union(doubtful.join(gone, doubtful[id_column] == gone["rep"], "left_anti"))
-    again = decided.filter("n_shingles > 0").groupBy(id_column).agg(F.count("*").alias("n")).filter("n > 1")
-    again = again.select(F.col(id_column).alias("again"))
+    sets, labelled = _labelled(df, id_column, text_column, percent)
+    rows = sets.filter(F.col("class").isNotNull()).join(labelled.select("class", "label"), "class")
+    rows = rows.groupBy("label", F.col(id_column).alias("id"), "class").agg(F.count("*").alias("n"))
+    rows = stored(rows, "join-rows")
+    order = F.struct(F.col("id").isNull().alias("unknown"), "id", "class")
+    first = rows.groupBy("label").agg(F.min(order).alias("first"), F.sum("n").alias("rows"))
+    first = first.filter("rows > 1").drop("rows")
+    judged = rows.join(first, "label").select("id", "class", "n", order.eqNullSafe(F.col("first")).alias("stays"))
+    judged = stored(judged, "join-judged")
+    doubted = judged.filter(~F.col("stays") | (F.col("n") > 1))
+    doubted = doubted.select(F.coalesce("id", F.lit(NO_ID)).alias("rep")).distinct()
+    clear, doubtful = _rows_by_filter(df, stored(doubted, "join-doubted"), id_column)
+    key, columns = free_name(df, "class_key"), df.columns
+
+    def keyed(batch):
+        found = [shingle_set(t) for t in texts(batch, text_column)]
+        return batch.append_column(key, pa.array([class_id(s) if len(s) else None for s in found], pa.int64()))
+
+    doubtful = map_batches(doubtful, lambda: keyed, f"{df.schema.simpleString()[7:-1]}, {key}: bigint")
+    decisions = judged.select(
+        F.col("id").alias("id_judged"), F.col("class").alias("class_judged"), F.col("n").alias("n_judged"), F.col("stays").alias("stays_judged")
+    )
+    same = doubtful[id_column].eqNullSafe(decisions["id_judged"]) & (doubtful[key] == decisions["class_judged"])
+    again = decisions.filter("stays_judged and n_judged > 1")
+    gone = decisions.filter("not stays_judged or n_judged > 1")
+    kept = clear.union(doubtful.join(gone, same, "left_anti").select(columns))
     if again.isEmpty():
         return kept
-    once = kept.join(again, kept[id_column] == again["again"], "left_anti")
-    return once.union(kept.join(again, kept[id_column] == again["again"], "left_semi").dropDuplicates([id_column, text_column]))
+    once = doubtful.join(again, same, "left_semi").dropDuplicates([id_column, key])
+    return kept.union(once.select(columns))

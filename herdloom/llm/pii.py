@@ -13,12 +13,25 @@ import hashlib
 import re
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from herdloom.llm.base import arrow_schema, free_name, map_batches, map_slices, prepare, replaced, stored, texts
+from herdloom.llm.base import (
+    arrow_schema,
+    free_name,
+    key_filter,
+    map_batches,
+    map_slices,
+    passes,
+    prepare,
+    release,
+    replaced,
+    stored,
+    texts,
+)
 
 # Kinds of the contract in their order, the kind this operator adds, and the patterns.
 BASE_KINDS = ("email", "ip", "card", "phone")
@@ -142,22 +155,38 @@ def row_key(doc, text: str) -> int:
     return xxhash.xxh3_64_intdigest(f"{doc}\n{text}".encode()) - (1 << 63)
 
 
-def document_frequencies(df: DataFrame, text_column: str) -> DataFrame:
-    """(term, n): documents in which a term stands; a task counts ``HELD_TERMS`` terms before it passes them on."""
+def document_frequencies(df: DataFrame, text_column: str, wanted: np.ndarray | None = None) -> DataFrame:
+    """(term, n): documents in which a term stands; a task counts ``HELD_TERMS`` terms before it passes them on.
+
+    ``wanted``, a ``key_filter`` of terms, leaves out others; a task passes each of the rest on once, as long
+    as these are fewer than ``HELD_TERMS``.
+    """
     prepare(df.sparkSession)
     schema = arrow_schema("term string, n bigint")
+    sent = None if wanted is None else df.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches):
-        counts = Counter()
+        counts, held = Counter(), Counter()
 
-        def passed_on():
+        def sorted_out():
+            """Counts so far go to those held, but for terms that are not wanted."""
             terms = list(counts)
+            if sent is not None and terms:
+                # The hash that Spark gives a text.
+                hashes = np.fromiter((xxhash.xxh64_intdigest(t, 42) for t in terms), np.uint64, len(terms))
+                terms = [terms[i] for i in np.flatnonzero(passes(sent.value, hashes.view(np.int64)))]
+            for term in terms:
+                held[term] += counts[term]
+            counts.clear()
+
+        def passed_on():
+            terms = list(held)
             for at in range(0, len(terms), 10_000):
                 part = terms[at : at + 10_000]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(part, pa.string()), pa.array([counts[t] for t in part], pa.int64())], schema=schema
+                    [pa.array(part, pa.string()), pa.array([held[t] for t in part], pa.int64())], schema=schema
                 )
-            counts.clear()
+            held.clear()
 
         for batch in batches:
             for text in texts(batch, text_column):
@@ -168,22 +197,47 @@ def document_frequencies(df: DataFrame, text_column: str) -> DataFrame:
                 else:
                     counts.update({w.lower() for w in set(WORD.findall(text)) if len(w) >= LEAST_CHARS})
                 if len(counts) >= HELD_TERMS:
-                    yield from passed_on()
+                    sorted_out()
+                    if len(held) >= HELD_TERMS:
+                        yield from passed_on()
+        sorted_out()
         yield from passed_on()
+        release()
 
     parts = df.select(text_column).mapInArrow(run, "term string, n bigint")
     return parts.groupBy("term").agg(F.sum("n").alias("n"))
 
 
+def members_of(single: DataFrame, least: int) -> DataFrame:
+    """(entity, entities, n_e): entities in ``least`` different texts, with the key of their group.
+
+    Entities that stand in the same texts, as those of one directory do, have the same counts with every
+    term. They are one group, named by the least of them, and are never paired with terms one by one.
+    """
+    key = F.xxhash64("text_key")
+    counted = single.groupBy("entity").agg(
+        F.sum("copies").alias("n_e"), F.count("*").alias("n_texts"),
+        F.bit_xor(key).alias("x"), F.bit_xor(F.xxhash64("text_key", F.lit(1))).alias("y"),
+    )
+    counted = stored(counted.filter(F.col("n_texts") >= least), "pii-entities")
+    groups = counted.groupBy("x", "y", "n_e", "n_texts").agg(F.min("entity").alias("entities"))
+    return counted.join(groups, ["x", "y", "n_e", "n_texts"]).select("entity", "entities", "n_e")
+
+
 def revealing(
     df: DataFrame, found: DataFrame, text_column: str, least: int = LEAST_TEXTS, disclosure: float = DISCLOSURE
-) -> DataFrame:
-    """(entity, term, alone) of terms that disclose an entity, by all documents of the corpus.
+) -> tuple[DataFrame, DataFrame]:
+    """(entities, term, alone) of terms that disclose a group of entities, by all documents of the corpus,
+    and the groups as (entity, entities, n_e).
 
     A term must stand with the entity in ``least`` different texts, so copies of a text prove nothing, and
     chance meetings in one or two don't either: every rare word of these would disclose all. All counts are
     sums that tasks begin before the shuffle, so an entity or term in a third of all documents is a few
     rows per task. ``alone``: the term stands in no document without the entity.
+
+    PMI of at least d IC means n(t) <= n(t, e) (N / n(e))^(1 - d), and n(t, e) is at most n(e). So documents
+    are counted first, for terms in ``least`` texts with known entities, and a term meets an entity only
+    where it is rare enough: common words are never paired.
     """
     holders = (
         found.filter(F.size("entities") > 0)
@@ -191,46 +245,62 @@ def revealing(
         .agg(F.count("*").alias("copies"), F.first("entities").alias("entities"), F.first("terms").alias("terms"))
     )
     holders = stored(holders.withColumn("terms", F.array_distinct("terms")), "pii-holders")
-    single = holders.select("copies", F.explode("entities").alias("entity"))
-    n_entity = single.groupBy("entity").agg(F.sum("copies").alias("n_e"), F.count("*").alias("n_texts"))
-    known = stored(n_entity.filter(F.col("n_texts") >= least).drop("n_texts"), "pii-entities")
-    pairs = (
-        holders.select("copies", "terms", F.explode("entities").alias("entity"))
-        .join(known.select("entity"), "entity")
-        .select("entity", "copies", F.explode("terms").alias("term"))
-    )
-    joint = pairs.groupBy("entity", "term").agg(F.sum("copies").alias("n_te"), F.count("*").alias("n_texts"))
-    joint = stored(joint.filter(F.col("n_texts") >= least), "pii-pairs")
-    wanted = joint.select("term").distinct()
-    n_term = document_frequencies(df, text_column).join(wanted, "term", "left_semi").withColumnRenamed("n", "n_t")
-    scored = (
-        joint.join(n_term, "term")
-        .join(known, "entity")
-        .withColumn("n_all", found.agg(F.count("*")).scalar())
-        .withColumn("ic", F.log(F.col("n_all") / F.col("n_e")))
-        .withColumn("pmi", F.log(F.col("n_all") * F.col("n_te") / (F.col("n_t") * F.col("n_e"))))
-    )
-    return scored.filter((F.col("ic") > 0) & (F.col("pmi") >= disclosure * F.col("ic"))).select(
-        "entity", "term", (F.col("n_t") == F.col("n_te")).alias("alone")
+    single = holders.select("text_key", "copies", F.explode("entities").alias("entity"))
+    members = stored(members_of(single, least), "pii-members")
+    owned = single.join(members, "entity").groupBy("text_key").agg(F.collect_set(F.struct("entities", "n_e")).alias("owned"))
+    holders = stored(holders.drop("entities").join(owned, "text_key"), "pii-owned")
+    n_all, most = found.count(), members.agg(F.max("n_e")).first()[0] or 1
+
+    def bound(n_e):
+        # A little above the bound, as the logarithms below decide.
+        return F.pow(n_e, F.lit(disclosure)) * F.lit(float(max(n_all, 1)) ** (1 - disclosure) * (1 + 1e-6))
+
+    # A term stands in no fewer documents than it does in those with a known entity.
+    candidates = holders.select("copies", F.explode("terms").alias("term")).groupBy("term")
+    candidates = candidates.agg(F.count("*").alias("n_texts"), F.sum("copies").alias("n"))
+    candidates = candidates.filter((F.col("n_texts") >= least) & (F.col("n") <= bound(F.lit(float(most))))).select("term")
+    candidates = stored(candidates, "pii-candidates")
+    counted = document_frequencies(df, text_column, key_filter(candidates, "term"))
+    rare = counted.filter(F.col("n") <= bound(F.lit(float(most)))).withColumnRenamed("n", "n_t")
+    rare = stored(rare.join(candidates, "term", "left_semi"), "pii-rare")
+    pairs = holders.select("copies", "owned", F.explode("terms").alias("term")).join(rare, "term")
+    near = F.filter("owned", lambda e: F.col("n_t") <= bound(e["n_e"].cast("double")))
+    pairs = pairs.select("copies", "term", "n_t", F.explode(near).alias("e"))
+    joint = pairs.groupBy("e.entities", "e.n_e", "term", "n_t").agg(F.sum("copies").alias("n_te"), F.count("*").alias("n_texts"))
+    scored = joint.filter(F.col("n_texts") >= least).withColumns(
+        {
+            "ic": F.log(F.lit(n_all) / F.col("n_e")),
+            "pmi": F.log(F.lit(n_all) * F.col("n_te") / (F.col("n_t") * F.col("n_e"))),
+        }
     )
+    scored = scored.filter((F.col("ic") > 0) & (F.col("pmi") >= disclosure * F.col("ic")))
+    return scored.select("entities", "term", (F.col("n_t") == F.col("n_te")).alias("alone")), members
 
 
-def added_spans(found: DataFrame, terms: DataFrame) -> DataFrame:
+def added_spans(found: DataFrame, terms: DataFrame, members: DataFrame) -> DataFrame:
     """(row_key, added): all places of revealing terms in rows with their entity, per row that has any.
 
-    A place is written ``start:end:alone``; one that reveals several entities counts once.
+    A place is written ``start:end:alone``; one that reveals several entities counts once. Rows meet groups
+    of entities, and their places the terms; the two meet by row, so no place is repeated per entity.
     """
-    holders = found.filter(F.size("entities") > 0).select("row_key", F.explode("entities").alias("entity"), "terms", "starts", "ends")
-    holders = holders.join(terms.select("entity").distinct(), "entity", "left_semi")
-    zipped = F.arrays_zip("terms", "starts", "ends")
-    places = holders.select("row_key", "entity", F.explode(zipped).alias("c")).select(
-        "row_key", "entity", F.col("c.terms").alias("term"), "c.starts", "c.ends"
+    rows = found.filter(F.size("entities") > 0)
+    groups = rows.select("row_key", F.explode("entities").alias("entity")).join(members, "entity").select("row_key", "entities")
+    groups = stored(groups.join(terms.select("entities").distinct(), "entities", "left_semi").distinct(), "pii-groups")
+    some = rows.join(groups.select("row_key").distinct(), "row_key", "left_semi")
+    places = some.select("row_key", F.explode(F.arrays_zip("terms", "starts", "ends")).alias("c")).select(
+        "row_key", F.col("c.terms").alias("term"), "c.starts", "c.ends"
     )
-    one = places.join(terms, ["entity", "term"]).groupBy("row_key", "starts", "ends").agg(F.max("alone").alias("alone"))
+    hits = places.join(terms, "term").join(groups, ["row_key", "entities"], "left_semi")
+    one = hits.groupBy("row_key", "starts", "ends").agg(F.max("alone").alias("alone"))
     place = F.concat_ws(":", F.col("starts").cast("string"), F.col("ends").cast("string"), F.col("alone").cast("string"))
     return one.groupBy("row_key").agg(F.collect_list(place).alias("added"))
 
 
+def _added(df: DataFrame, found: DataFrame, text_column: str) -> DataFrame:
+    terms, members = revealing(df, found, text_column)
+    return stored(added_spans(found, stored(terms, "pii-terms"), members), "pii-added")
+
+
 def _places(added: list[str] | None) -> list[tuple[int, int, bool]]:
     split = (p.split(":") for p in added or [])
     return sorted((int(a), int(b), alone == "true") for a, b, alone in split)
@@ -244,8 +314,7 @@ def find_personal(df: DataFrame, id_column: str = "doc_id", text_column: str = "
     and for document frequencies; only texts with an entity go through shuffles, as terms.
     """
     found = stored(mentions(df, id_column, text_column), "pii-mentions")
-    terms = stored(revealing(df, found, text_column), "pii-terms")
-    added = stored(added_spans(found, terms), "pii-added")
+    added = _added(df, found, text_column)
     joined = found.select(
         id_column, "row_key", "n_email", "n_ip", "n_card", "n_phone", "base_spans"
     ).join(added, "row_key", "left")
@@ -288,8 +357,7 @@ def sanitise(df: DataFrame, id_column: str = "doc_id", text_column: str = "text"
     All rows and columns stay, NULL texts too. The corpus is ``df`` itself.
     """
     found = stored(mentions(df, id_column, text_column), "pii-mentions")
-    terms = stored(revealing(df, found, text_column), "pii-terms")
-    added = stored(added_spans(found, terms), "pii-added")
+    added = _added(df, found, text_column)
     key, places = free_name(df, "row_key"), free_name(df, "added")
     schema, columns = df.schema, df.columns
 

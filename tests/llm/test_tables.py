@@ -13,7 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from herdloom.llm import host_rules, jaccard, quality_model, sharding
+from herdloom.llm import base, host_rules, jaccard, quality_model, sharding
 from tests.llm.conftest import SF, rows_of
 
 # --- shards --------------------------------------------------------------------------------------
@@ -198,6 +198,25 @@ def test_one_row_of_each_component_stays(docs):
     assert kept == sorted({component for _, _, component in plain_join(rows)})
 
 
+def test_texts_that_share_an_id_are_judged_apart(docs):
+    """What stands under the id of a copy is lost with no copy; rows without an id leave one, too."""
+    a, b, c = ("a text of its own that nobody else has got", "a text that two rows of the table have", "one without any id at all but twice")
+    kept = rows_of(jaccard.keep_one(docs((1, b), (5, b), (5, a), (None, c), (None, c), (7, c + " "), (None, None), (None, ""))), "doc_id", "text")
+    assert kept == sorted([(1, b), (5, a), (7, c + " "), (None, None), (None, "")], key=repr)
+    kept = rows_of(jaccard.keep_one(docs((None, c), (None, c), (3, a), (3, a), (3, b), (2, b))), "doc_id", "text")
+    assert kept == sorted([(None, c), (3, a), (2, b)], key=repr)
+
+
+def test_a_full_filter_loses_nothing(docs, monkeypatch):
+    """With the least bits nearly all rows pass the filter, and the joins decide."""
+    monkeypatch.setattr(base, "LEAST_FILTER", 3)
+    monkeypatch.setattr(base, "MOST_FILTER", 3)
+    rows = near_copies(5, 15, 6, (20, 60))
+    assert rows_of(jaccard.link(docs(*rows)), "doc_id", "n_shingles", "component_id") == plain_join(rows)
+    kept = sorted(r.doc_id for r in jaccard.keep_one(docs(*rows)).collect())
+    assert kept == sorted({component for _, _, component in plain_join(rows)})
+
+
 def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(900, 901)], "a bigint, b bigint")
     found = dict(rows_of(jaccard.components(edges)))

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import base64
+import collections
 import functools
 import hashlib
+import math
+import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -53,9 +58,40 @@ def test_tokens_need_their_checksum():
     )
 
 
-def test_armored_key_needs_its_checksum():
-    import base64
+def armored(data):
+    check = base64.b64encode(secrets.crc24(data).to_bytes(3, "big")).decode()
+    body = base64.b64encode(data).decode()
+    lines = "\n".join(body[i : i + 64] for i in range(0, len(body), 64))
+    return f"{secrets.PGP_BEGIN}\n\n{lines}\n={check}\n{secrets.PGP_END}"
+
+
+def test_a_key_of_any_length_is_found():
+    data = random.Random(1).randbytes(1 << 20)
+    block = armored(data)
+    assert [s for s in secrets.find(f"é {block} x") if s[2] == "pgp"] == [(2, 2 + len(block), "pgp")]
+    assert "pgp" not in {s[2] for s in secrets.find(block.replace(block[5_000], chr(ord(block[5_000]) ^ 1), 1))}
+
+
+def test_checksum_bit_by_bit():
+    for data in (b"", b"a", bytes(range(256)), random.Random(2).randbytes(999)):
+        crc = 0xB704CE
+        for byte in data:
+            for i in range(8):
+                bit = (crc >> 23 ^ byte >> (7 - i)) & 1
+                crc = (crc << 1 & 0xFFFFFF) ^ (0x864CFB if bit else 0)
+        assert secrets.crc24(data) == crc
+
 
+def test_many_beginnings_take_linear_time():
+    block = armored(b"key")
+    text = f"{secrets.PGP_BEGIN} x\n" * 40_000 + block
+    start = time.process_time()
+    assert [s for s in secrets.find(text) if s[2] == "pgp"] == [(len(text) - len(block), len(text), "pgp")]
+    assert secrets.find(f"{secrets.PGP_BEGIN} " * 40_000) == []
+    assert time.process_time() - start < 10
+
+
+def test_armored_key_needs_its_checksum():
     data = bytes(range(60))
     check = base64.b64encode(secrets.crc24(data).to_bytes(3, "big")).decode()
     block = f"{secrets.PGP_BEGIN}\nVersion: 1\n\n{base64.b64encode(data).decode()}\n={check}\n{secrets.PGP_END}"
@@ -243,6 +279,62 @@ def test_equal_contexts_in_different_documents_are_evidence(docs):
     assert all("Zebulon" not in clean[i] and "Quill" not in clean[i] and f"letter{i} of word{i} yours sincerely" in clean[i] for i in range(5))
 
 
+def plain_terms(rows):
+    """(doc_id, start, end) of terms that disclose an entity by 90 %, from all pairs of terms and entities."""
+    spans, terms, entities = {}, {}, {}
+    for doc, text in rows:
+        spans[doc] = pii.find_base(text)
+        terms[doc] = pii.terms_of(text, spans[doc])
+        entities[doc] = {pii.entity_of(text, s) for s in spans[doc]}
+    texts_of = dict(rows)
+    docs_of, with_term = collections.defaultdict(set), collections.defaultdict(set)
+    for doc in texts_of:
+        for e in entities[doc]:
+            docs_of[e].add(doc)
+        for term, _, _ in terms[doc]:
+            with_term[term].add(doc)
+    n, out = len(rows), set()
+    for e, held in docs_of.items():
+        ic = math.log(n / len(held))
+        for term in {t for doc in held for t, _, _ in terms[doc]}:
+            both = held & with_term[term]
+            pmi = math.log(n * len(both) / (len(with_term[term]) * len(held)))
+            if len({texts_of[d] for d in both}) >= 3 and ic > 0 and pmi >= 0.9 * ic - 1e-12:
+                out |= {(doc, a, b) for doc in held for t, a, b in terms[doc] if t == term}
+    return out
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_terms_equal_all_pairs(docs, seed):
+    """Random documents with few entities, copies, and terms from very common to rare."""
+    rng = random.Random(seed)
+    words = [f"word{i}" for i in range(80)]
+    weights = [1 / (i + 1) for i in range(80)]
+    rows = []
+    for i in range(160):
+        text = " ".join(rng.choices(words, weights, k=rng.randrange(3, 25)))
+        for k in rng.sample(range(12), rng.choice([0, 0, 0, 1, 2, 4])):
+            text += f" name{k} of p{k}@x.example.org" + (f" and name{k + 1}" if rng.random() < 0.7 else "")
+        rows.append((i, text))
+    rows += [(200 + i, text) for i, (_, text) in enumerate(rows[:40])]
+    got = set()
+    for r in pii.find_personal(docs(*rows)).collect():
+        got |= {(r.doc_id, int(a), int(b)) for kind, a, b in (s.split(":") for s in r.spans.split(",") if s) if kind == "term"}
+    assert got and got == plain_terms(rows)
+
+
+def test_a_directory_of_many_entities_and_terms(docs, spark):
+    """Three versions of a page of addresses and names: they are one group, and no pairs are spelled out."""
+    page = " ".join(f"name{i} p{i}@x.example.org" for i in range(1_500))
+    rows = [(i, f"version{i} {page}") for i in range(3)] + [(10 + i, f"other text number{i} with words") for i in range(60)]
+    df = docs(*rows)
+    found = pii.mentions(df, "doc_id", "text")
+    terms, members = pii.revealing(df, found, "text")
+    assert members.count() == 1_500 and members.select("entities").distinct().count() == 1 and terms.count() == 1_500
+    spans = {r.doc_id: r.spans for r in pii.find_personal(df).collect()}
+    assert all(spans[i].count("term:") == 1_500 and spans[10 + i] == "" for i in range(3))
+
+
 def test_pii_of_edge_rows(edge, none):
     got = rows_of(pii.find_personal(edge), "doc_id", "n_card", "n_phone", "base_sha256")
     expected = []
