@@ -20,16 +20,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from herdloom.llm.base import SLICE_ROWS, arrow_schema, prepare, stored, texts
+from herdloom.llm.base import SLICE_ROWS, arrow_schema, prepare, release, stored, texts
 
 #: Words of the longest phrase, least occurrences of a candidate, rows per language, and the percentage of
 #: its occurrences inside one longer candidate from which a candidate is part of that.
 LONGEST, LEAST, TOP, COVERED = 3, 10, 2000, 50
 #: Occurrences that a hash partition takes, so that its summary (a tenth of that) fits into a task, and
 #: the least number of partitions.
-PARTITION_MASS, PARTITIONS = 1 << 26, 64
+PARTITION_MASS, PARTITIONS = 1 << 24, 64
 #: Bytes of text that a task counts before it passes its summaries on.
-FLUSH_BYTES = 12 << 20
+FLUSH_BYTES = 6 << 20
 #: Bits of the filter per surviving phrase, and bits that it has at most (16 MB). Beyond that it lets
 #: more phrases into the second pass, whose counts are exact with any filter.
 BITS, MOST_BITS = 16, 1 << 27
@@ -128,18 +128,20 @@ class Stretch:
             yield lang, int(np.count_nonzero(words)), grams(words, hashes, longest, passes)
 
 
-def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[Stretch]:
+def _stretches(batches: Iterator[pa.RecordBatch], flush: int) -> Iterator[Stretch]:
     stretch = Stretch()
     for batch in batches:
         for at in range(0, batch.num_rows, SLICE_ROWS):
             part = batch.slice(at, SLICE_ROWS)
             for lang, text in zip(part.column("lang").to_pylist(), texts(part)):
                 stretch.add(lang, text)
-                if stretch.size >= FLUSH_BYTES:
+                if stretch.size >= flush:
                     yield stretch
                     stretch = Stretch()
     if stretch.size:
         yield stretch
+    del stretch
+    release()
 
 
 def summaries(df: DataFrame, partitions: int, longest: int) -> DataFrame:
@@ -150,10 +152,10 @@ def summaries(df: DataFrame, partitions: int, longest: int) -> DataFrame:
     """
     prepare(df.sparkSession)
     ddl = "part bigint, kind int, mass bigint, keys binary, often binary"
-    schema = arrow_schema(ddl)
+    schema, flush = arrow_schema(ddl), FLUSH_BYTES
 
     def run(batches):
-        for stretch in _stretches(batches):
+        for stretch in _stretches(batches, flush):
             found = [g for _, _, sizes in stretch.phrases(longest) for g in sizes]
             hashes, counts = (np.concatenate([getattr(g, c) for g in found]) for c in ("hashes", "counts"))
             keep = counts > 0
@@ -275,7 +277,7 @@ def exact_counts(df: DataFrame, bits: np.ndarray, width: int, partitions: int, l
     """(lang, size, phrase, n): occurrences of phrases that pass the filter; size 0 has those of all words."""
     prepare(df.sparkSession)
     ddl = "lang string, size int, phrase string, n bigint"
-    schema = arrow_schema(ddl)
+    schema, flush = arrow_schema(ddl), FLUSH_BYTES
     sent = df.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches):
@@ -291,7 +293,7 @@ def exact_counts(df: DataFrame, bits: np.ndarray, width: int, partitions: int, l
             arrays += [pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(counts)]
             return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
-        for stretch in _stretches(batches):
+        for stretch in _stretches(batches, flush):
             names = list(stretch.numbers)
             for lang, n, sizes in stretch.phrases(longest, passes):
                 yield batch(lang, 0, [b""], np.array([n]))
