@@ -10,8 +10,10 @@ places of their bytes in a table. Parquet carries the blocks, so Spark commits t
 
 from __future__ import annotations
 
+import itertools
 import json
 import os
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,15 +24,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from herdloom.llm.base import SLICE_ROWS, arrow_schema, map_slices, prepare, texts
-from herdloom.llm.bpe import split_words
+from herdloom.llm.base import SLICE_ROWS, arrow_schema, map_slices, prepare, release, texts
+from herdloom.llm.bpe import byte_letters, split_words
 from herdloom.sources.tables import shared_path
 
 #: Id written after each document.
 END = 0
 #: Ids of a block, but for a document that has more.
 BLOCK_IDS = 1 << 19
-#: Words whose ids a task keeps at hand.
+#: Words whose ids a task keeps at hand; beyond it the first half stays, which the most frequent are in.
 KEPT_WORDS = 250_000
 #: Groups of four ids decoded at a time.
 GROUPS = 1 << 15
@@ -71,11 +73,31 @@ def decode(control: bytes, data: bytes, n: int) -> np.ndarray:
     return out.reshape(-1).view("<u4")[:n]
 
 
+class Words(dict):
+    """Packed ids of words, which the library's model makes when a word is first asked for."""
+
+    def __init__(self, library, kind: np.dtype, words=()):
+        super().__init__(words)
+        self.library, self.code, self.tokenize = library, "H" if kind.itemsize == 2 else "I", library.model.tokenize
+        self.special = {t.content: i for i, t in library.get_added_tokens_decoder().items()}
+        #: How the vocabulary writes a byte.
+        self.letters = str.maketrans({byte: letter for letter, byte in byte_letters().items()})
+
+    def __missing__(self, word: str) -> bytes:
+        if word in self.special:
+            ids = [self.special[word]]
+        else:
+            letters = word if word.isascii() else word.encode().decode("latin-1")
+            ids = [t.id for t in self.tokenize(letters.translate(self.letters))]
+        packed = self[word] = array(self.code, ids).tobytes()
+        return packed
+
+
 class Encoder:
     """The tokenizers library over words: each different word is encoded once as long as it is at hand.
 
-    Under a plain byte-level vocabulary a text falls into words that are encoded on their own; under any
-    other the library gets whole texts.
+    Under a plain byte-level vocabulary a text falls into words, which the library's model turns into ids on
+    their own; under any other the library gets whole texts.
     """
 
     def __init__(self, path: str):
@@ -98,11 +120,7 @@ class Encoder:
         self.split = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
         self.size = self.library.get_vocab_size(with_added_tokens=True)
         self.kind = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
-        self.words: dict[str, bytes] = {}
-
-    def _packed(self, parts: list[str]) -> list[bytes]:
-        found = self.library.encode_batch_fast(parts, add_special_tokens=False)
-        return [np.array(e.ids, self.kind).tobytes() for e in found]
+        self.words = Words(self.library, self.kind)
 
     def words_of(self, text: str) -> list[str]:
         if self.split and any(token in text for token in self.special):
@@ -113,14 +131,15 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, packed as numbers of ``kind``."""
         if not self.by_word:
-            return self._packed(texts)
-        split = [self.words_of(t) for t in texts]
-        needed = set().union(*split)
-        if len(self.words) + len(needed) > KEPT_WORDS:
-            self.words = {w: self.words[w] for w in needed if w in self.words}
-        new = list(needed.difference(self.words))
-        self.words.update(zip(new, self._packed(new)))
-        return [b"".join(map(self.words.__getitem__, words)) for words in split]
+            found = self.library.encode_batch_fast(texts, add_special_tokens=False)
+            return [np.array(e.ids, self.kind).tobytes() for e in found]
+        out = []
+        for text in texts:
+            if len(self.words) > KEPT_WORDS:
+                kept = itertools.islice(self.words.items(), KEPT_WORDS // 2)
+                self.words = Words(self.library, self.kind, list(kept))
+            out.append(b"".join(map(self.words.__getitem__, self.words_of(text))))
+        return out
 
 
 def encoded_blocks(df: DataFrame, path: str, id_column: str, text_column: str, end: int | None) -> DataFrame:
@@ -134,7 +153,7 @@ def encoded_blocks(df: DataFrame, path: str, id_column: str, text_column: str, e
     schema = arrow_schema(ddl)
     rows = df.select(F.col(id_column).cast("bigint").alias("doc_id"), F.coalesce(text_column, F.lit("")).alias("text"))
     rows = rows.withColumns({"text_key": F.xxhash64("text"), "salt": F.monotonically_increasing_id()})
-    order = ("doc_id", "text_key", "salt")
+    order, most = ("doc_id", "text_key", "salt"), BLOCK_IDS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part, number = Encoder(path), TaskContext.get().partitionId(), 0
@@ -153,11 +172,13 @@ def encoded_blocks(df: DataFrame, path: str, id_column: str, text_column: str, e
                     ids += [packed, last]
                     sizes.append((len(packed) + len(last)) // width)
                     held += len(packed) + len(last)
-                    if held >= BLOCK_IDS * width:
+                    if held >= most * width:
                         yield block()
                         docs, sizes, ids, held, number = [], [], [], 0, number + 1
         if docs:
             yield block()
+        del encoder, docs, sizes, ids
+        release()
 
     return rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text").mapInArrow(run, ddl)
 
