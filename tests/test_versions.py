@@ -112,7 +112,7 @@ def test_whole_days_move_by_name(spark, table):
     before = files_of(path)
     done = archive_days(spark, path, archive, "at", dt.date(2024, 1, 6), SCHEMA)
     assert done == {"moved": [f"2024-01-0{d}" for d in range(1, 6)], "split": []}
-    assert files_of(path) | files_of(archive) == before and len(files_of(archive)) == 5
+    assert files_of(path) | files_of(archive) == before and len(files_of(archive)) >= 5
     assert sides(spark, path, archive) == [[(i,) for i in (*range(20, 40), 99)], [(i,) for i in range(20)]]
 
 
@@ -145,7 +145,7 @@ def test_empty_sides_can_be_read(spark, table):
     assert rows_of(read_daily(spark, f"{path}-none", SCHEMA)) == []
 
 
-@pytest.mark.parametrize("calls", range(7))
+@pytest.mark.parametrize("calls", range(12))
 def test_a_stopped_split_is_finished_or_undone(spark, table, monkeypatch, calls):
     """Stopped at any change to the file system; the next run ends with every row once."""
     path, archive, rows = table
