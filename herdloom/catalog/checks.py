@@ -45,7 +45,7 @@ def _period_sql(day: str, start: str = LONG_START, end: str = LONG_END) -> str:
     return f"{day} >= date '{start}' and {day} <= date '{end}'"
 
 
-def _lactation_sql(country: int | None, period: str = _period_sql("event_date")) -> str:
+def lactation_sql(country: int | None, period: str = _period_sql("event_date")) -> str:
     only = "" if country is None else f"where country_id = {country}"
     earlier = "partition by animal_id order by calving_date, lactation_id rows between unbounded preceding and 1 preceding"
     later = "partition by animal_id order by calving_date, lactation_id rows between 1 following and unbounded following"
@@ -93,7 +93,7 @@ def _lactation_query(name: str, country: int | None):
         name,
         LACTATION_VIEWS,
         f"select {LACTATION_OUT}, lactation_id, comments, case when comments is null then 1 else 0 end as status from checked",
-        _lactation_sql(country),
+        lactation_sql(country),
     )
     def build(t):
         return _lactation(t, country)
@@ -107,7 +107,7 @@ _lactation_query("lactation_extract_country", COUNTRY)
     "split_valid",
     LACTATION_VIEWS,
     f"select {LACTATION_OUT}, lactation_id from checked where comments is null",
-    _lactation_sql(None),
+    lactation_sql(None),
 )
 def split_valid(t):
     return split_valid_error(_lactation(t))[0]
@@ -117,7 +117,7 @@ def split_valid(t):
     "split_error",
     LACTATION_VIEWS,
     f"select {LACTATION_OUT}, lactation_id, comments from checked where comments is not null",
-    _lactation_sql(None),
+    lactation_sql(None),
 )
 def split_error(t):
     return split_valid_error(_lactation(t))[1]
@@ -127,7 +127,7 @@ def split_error(t):
     "rule_engine",
     LACTATION_VIEWS,
     "select lactation_id, comments, case when comments is null then 1 else 0 end as status from checked",
-    _lactation_sql(None),
+    lactation_sql(None),
 )
 def rule_engine(t):
     return _lactation(t).select("lactation_id", "comments", "status")
@@ -160,7 +160,7 @@ for _name, _rules in {
     "rule_animal_type": ["animal_type"],
 }.items():
     _rule_query(
-        _name, LACTATION_VIEWS, _lactation_sql(None), LACTATION_CHECKS, _rules, "lactation_id", "comments", _lactation_rules
+        _name, LACTATION_VIEWS, lactation_sql(None), LACTATION_CHECKS, _rules, "lactation_id", "comments", _lactation_rules
     )
 
 
@@ -390,7 +390,7 @@ def _weekly(staged: DataFrame, all_rules, day: str) -> DataFrame:
 RATES_OUT = """
     select country, report_year, report_week, rule, total_records, total_error_records,
       round(100.0 * total_error_records / total_records, 2) as error_rate from rates"""
-LACTATION_RATES = _rates_sql(_lactation_sql(None), LACTATION_CHECKS, "calving_date")
+LACTATION_RATES = _rates_sql(lactation_sql(None), LACTATION_CHECKS, "calving_date")
 
 
 @query("error_rates", LACTATION_VIEWS, RATES_OUT, LACTATION_RATES)
@@ -430,7 +430,7 @@ def quality_report(t):
 #: Whole weeks that the periods of the log touch.
 LOG_START, LOG_END = "2023-12-31", "2024-01-27"
 LOG_WEEKS = {
-    "lactation": _rates_sql(_lactation_sql(None, "true"), LACTATION_CHECKS, "calving_date"),
+    "lactation": _rates_sql(lactation_sql(None, "true"), LACTATION_CHECKS, "calving_date"),
     "weight": _rates_sql(_weight_sql(None, _period_sql("event_date", LOG_START, LOG_END)), WEIGHT_CHECKS, "weight_date"),
     "pedigree": _rates_sql(_pedigree_sql(None), PEDIGREE_CHECKS, "reg_date"),
 }

@@ -4,7 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from herdloom.catalog.base import COUNTRY, GAP, STAMPED_AT, VERSION, attr_sql, days_sql, lenient_sql, query
+from herdloom.catalog.base import (
+    COUNTRY,
+    GAP,
+    STAMPED_AT,
+    VERSION,
+    attr_sql,
+    days_sql,
+    label_sql,
+    lenient_sql,
+    places_sql,
+    query,
+)
 from herdloom.functions import attr_text, attributes, days_between, milk_total_lenient
 from herdloom.functions.attributes import BODY_WEIGHT, HEART_GIRTH, MILK_EVENING, MILK_MIDDAY, MILK_MORNING
 from herdloom.operators import filters, history
@@ -213,17 +224,17 @@ WEIGHT_IDS = {"Heartgirth": "137", "BodyLength": "138", "Weight": "136", "Estima
 
 
 def _report_sql(country: int | None) -> str:
-    only = "" if country is None else f"and f.country_id = {country}"
+    herds = "true" if country is None else f"country_id = {country}"
     milk = "event_type = 2"
     weight = "event_type = 6"
     texts = [(n, a, milk) for n, a in MILK_IDS.items()] + [(n, a, weight) for n, a in WEIGHT_IDS.items()]
     parsed = ", ".join(f"{attr_sql('additional_attributes', a)} as {n}" for n, a, _ in texts)
     milk_firsts = ", ".join(f"{_first_sql('m.' + n, 'm.event_id', 'true')} as {n}" for n, _, w in texts if w == milk)
     weight_firsts = ", ".join(f"{_first_sql('w.' + n, 'w.id', 'true')} as {n}" for n, _, w in texts if w == weight)
-    weight_names = ", ".join(n for n, _, w in texts if w == weight)
+    milk_names, weight_names = (", ".join(n for n, _, w in texts if w == kind) for kind in (milk, weight))
     return f"""
     calved as (select animal_id, event_date, lag(event_date, 1, event_date - {GAP}) over (partition by animal_id order by event_date, id) as before
-      from core_animal_event where event_type = 1 and animal_id in (select a.id from core_animal a, core_farm f where f.id = a.farm_id {only})),
+      from core_animal_event where event_type = 1 and animal_id in (select id from core_animal where farm_id in (select id from core_farm where {herds}))),
     starts as (select animal_id, event_date as calvdate, count(*) as n from calved where event_date - before >= {GAP} group by all),
     lactations as (select animal_id, calvdate, cast(1 + coalesce(sum(n) over (partition by animal_id order by calvdate
         rows between unbounded preceding and 1 preceding), 0) as integer) as parity from starts),
@@ -239,22 +250,18 @@ def _report_sql(country: int | None) -> str:
       from numbered m group by m.animal_id, m.country_id, m.event_date, m.calvdate),
     weights as (select w.animal_id, w.country_id, w.event_date, {weight_firsts} from parsed w
       where w.event_type = 6 group by w.animal_id, w.country_id, w.event_date),
+    homes as (select id as farm_key, country_id, name as farmer_name, project, round(latitude, 4) as latitude, round(longitude, 4) as longitude,
+        {label_sql(3, "gender_code")} as farmergender, {label_sql(2, "farm_type")} as farmtype,
+        {attr_sql("additional_attributes", "49")} as cattletotalowned from core_farm where {herds}),
+    beasts as (select id as animalid, farm_id as Farm_id, country_id, tag_id, original_tag_id, reg_date, birthdate,
+        {label_sql(8, "main_breed")} as main_breed, {places_sql()} from core_animal),
+    weighed as (select animal_id as animalid, country_id, event_date as milkdate, {weight_names} from weights),
+    milked as (select animal_id as animalid, country_id, milkdate, calvdate as closest_calvdate, event_id, parity, testdaynumber,
+        round(TotalMilk, 4) as TotalMilk, {milk_names}, {days_sql("milkdate", "calvdate")} as "Days In Milk" from days),
     report as (
-    select r.name as region, d.name as district, w.name as ward, v.name as village, a.farm_id as Farm_id,
-      g.label as farmergender, {attr_sql("f.additional_attributes", "49")} as cattletotalowned, a.tag_id, a.reg_date,
-      b.label as main_breed, x.animal_id as animalid, x.calvdate as closest_calvdate, x.milkdate, x.MilkAM, x.MilkMidDay,
-      x.MilkPM, round(x.TotalMilk, 4) as TotalMilk, cast(x.milkdate - x.calvdate as integer) as "Days In Milk", x.MilkFat, x.MilkProt,
-      x.SCC, {weight_names}, x.parity, x.testdaynumber, round(f.latitude, 4) as latitude, round(f.longitude, 4) as longitude,
-      a.original_tag_id, x.event_id, f.name as farmer_name, f.id as farm_key, f.project, a.birthdate, t.label as farmtype,
-      '{STAMPED_AT:%Y-%m-%d %H:%M:%S}' as Extract_Datetime_UTC, '{VERSION}' as Version
-    from days x join core_animal a on x.animal_id = a.id and a.country_id = x.country_id
-    join core_farm f on a.farm_id = f.id and f.country_id = x.country_id {only}
-    left join weights y on x.animal_id = y.animal_id and x.country_id = y.country_id and x.milkdate = y.event_date
-    left join country_units r on a.region_id = r.id left join country_units d on a.district_id = d.id
-    left join country_units w on a.ward_id = w.id left join country_units v on a.village_id = v.id
-    left join core_master_list g on f.gender_code = g.value and g.list_type_id = 3
-    left join core_master_list t on f.farm_type = t.value and t.list_type_id = 2
-    left join core_master_list b on a.main_breed = b.value and b.list_type_id = 8)"""
+      select * exclude (country_id), '{STAMPED_AT:%Y-%m-%d %H:%M:%S}' as Extract_Datetime_UTC, '{VERSION}' as Version
+      from beasts join (select * rename (farm_key as Farm_id), farm_key from homes) using (Farm_id, country_id)
+      join milked using (animalid, country_id) left join weighed using (animalid, country_id, milkdate))"""
 
 
 def _report_query(name: str, country: int | None):

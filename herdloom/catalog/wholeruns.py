@@ -7,11 +7,13 @@ import datetime as dt
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from herdloom.catalog import checks  # noqa: F401  (whose queries are used here)
+from herdloom.catalog import basics, checks  # noqa: F401  (whose queries are used here)
 from herdloom.catalog.activity import ANIMAL_LABELS, FARM_LABELS
 from herdloom.catalog.base import AS_OF, END, LONG_END, LONG_START, MONITORED, ORACLES, START, query
-from herdloom.plans import runs
+from herdloom.plans import lactation_extract, runs
+from herdloom.plans.increments import LactationIncrements
 from herdloom.sources import read_current, read_daily, refresh, shared_path, write_daily
+from herdloom.sources.keyed import KeyedTable
 
 
 @query("refresh_failed", "core_farm", "select id, farmer_name, farm_type from core_farm")
@@ -83,3 +85,53 @@ def dataflow_report(t):
     """The ten reports that one run makes from the record tables it has refilled."""
     made = runs.dataflow_run(t, shared_path(t.spark, "dataflow"), START, END, MONITORED, ANIMAL_LABELS, FARM_LABELS)
     return runs.dataflow_report(made).withColumn("value", F.round("value", 4))
+
+
+def _keyed(t, df, key: str) -> KeyedTable:
+    table = KeyedTable(t.spark, shared_path(t.spark, "keyed"), key, df.schema, 16)
+    table.write(df)
+    return table
+
+
+@query("fill_gps_merged", "", ORACLES["fill_gps"])
+def fill_gps_merged(t):
+    """Coordinates filled in by a merge; a second one finds nothing to fill."""
+    farms = _keyed(t, t["core_farm"].select("id", "latitude", "longitude", "odk_form_uuid"), "id")
+    before = t["core_farm"].select("id", F.col("latitude").isNull().alias("missing"))
+    for _ in range(2):
+        runs.gps_merge_run(farms, t["core_odk_form"])
+    filled = (F.col("missing") & F.col("latitude").isNotNull()).alias("gps_filled")
+    rounded = [F.round(c, 4).alias(c) for c in ("latitude", "longitude")]
+    return farms.read().join(before, "id").select("id", *rounded, filled)
+
+
+@query("flag_inactive_merged", "", f"select id, inactive from ({ORACLES['flag_inactive']})")
+def flag_inactive_merged(t):
+    """Marks brought up to date twice, from a day on which hardly any animal was inactive."""
+    columns = t["core_animal"].select("id", "birthdate", "reg_date").withColumn("inactive", F.lit(False))
+    animals = _keyed(t, columns, "id")
+    for as_of in (dt.date(2021, 1, 1), AS_OF):
+        runs.inactive_merge_run(animals, t["core_animal_event"], as_of, 3, 1)
+    return animals.read().select("id", "inactive")
+
+
+#: Times up to which three runs of the incremental extract read events, and their days.
+STEPS = [(dt.datetime(2024, 1, 9), dt.date(2024, 1, 9)), (dt.datetime(2024, 1, 16), dt.date(2024, 1, 16)), (dt.datetime(2025, 1, 1), AS_OF)]
+
+
+@query(
+    "lactation_incremental",
+    checks.LACTATION_VIEWS,
+    f"select {checks.LACTATION_OUT}, lactation_id, comments, case when comments is null then 1 else 0 end as status from checked",
+    checks.lactation_sql(None, "true"),
+)
+def lactation_incremental(t):
+    """A first run and two increments, the last repeated: as if extracted once over all events."""
+    path, events = shared_path(t.spark, "increments"), t["core_animal_event"]
+    events = events.withColumn("created_at", F.col("created_at").cast("timestamp_ntz"))
+    write_daily(events, f"{path}/events", "created_at")
+    extract = LactationIncrements(t.spark, f"{path}/events", path, events.schema, 16)
+    for until, as_of in (*STEPS, STEPS[-1]):
+        extract.run(t, until, as_of)
+    rows = extract.read(lactation_extract(t, None, None, AS_OF).schema)
+    return rows.withColumns({c: F.round(c, 4) for c in ("longitude", "latitude")})

@@ -22,11 +22,11 @@ from pyspark.sql import types as T
 from herdloom.operators.filters import events_of
 from herdloom.operators.reports import CALVING
 from herdloom.plans.lactation import lactation_extract
-from herdloom.sources import publish, read_current, read_daily
+from herdloom.sources import publish, read_current, read_daily, shared_path
 from herdloom.sources.keyed import KeyedTable
 from herdloom.sources.tables import schema_of
 
-CALVINGS = T.StructType.fromDDL("animal_id bigint, id bigint, event_date date")
+CALVINGS = T.StructType().add("animal_id", T.LongType()).add("id", T.LongType()).add("event_date", T.DateType())
 PROGRESS = "read_until timestamp_ntz, as_of date"
 
 
@@ -78,7 +78,10 @@ class LactationIncrements:
         touched = new.select("animal_id")
         if before is not None and before != as_of:
             touched = touched.union(self.calvings.read().filter(F.col("event_date") > F.lit(min(before, as_of))).select("animal_id"))
-        touched = touched.distinct()
+        # Written aside, as the table it comes from is about to change.
+        aside = shared_path(self.spark, "touched")
+        touched.distinct().write.parquet(aside)
+        touched = self.spark.read.schema("animal_id bigint").parquet(aside)
         held = self.calvings.read_keys(touched).join(new.select("id"), "id", "left_anti")
         every = held.select(*CALVINGS.names).unionByName(new)
         self.calvings.merge(every, touched)

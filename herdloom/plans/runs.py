@@ -31,6 +31,7 @@ from herdloom.sources import (
     stamp,
     write_extract,
 )
+from herdloom.sources.keyed import KeyedTable
 
 Tables = Mapping[str, DataFrame]
 
@@ -246,6 +247,24 @@ def gps_run(tables: Tables, out: str, at_least: str = "1.7") -> str:
     return refresh(updates.fill_gps(tables["core_farm"], forms).drop("gps_filled"), f"{out}/core_farm")
 
 
+def gps_merge_run(farms: KeyedTable, forms: DataFrame, at_least: str = "1.7") -> int:
+    """Fill missing coordinates in a farm table changed by key; returns the files written anew.
+
+    Only farms that gain a coordinate are merged, so files without any stay as they are.
+    """
+    filled = updates.fill_gps(farms.read(), filters.latest_form_version(forms, at_least))
+    return farms.merge(filled.filter("gps_filled"))
+
+
+def inactive_merge_run(
+    animals: KeyedTable, events: DataFrame, as_of: dt.date, max_age_years: int = 20, last_event_years: int = 5
+) -> int:
+    """Bring the mark ``inactive`` of an animal table changed by key up to date; returns the files written anew."""
+    held = animals.read().withColumnRenamed("inactive", "_held")
+    marked = updates.flag_inactive(held, events, as_of, max_age_years, last_event_years)
+    return animals.merge(marked.filter(~F.col("inactive").eqNullSafe(F.col("_held"))))
+
+
 def retention_run(
     df: DataFrame, out: str, at: str, as_of: dt.date, days: int = 20, dry_run: bool = False
 ) -> DataFrame | dict[str, str]:

@@ -58,13 +58,13 @@ class KeyedTable:
     def read(self) -> DataFrame:
         """All rows; none without the table."""
         Folder(self.spark, self.path).make()
-        return self.spark.read.schema(self.schema).parquet(self.path)
+        return self.spark.read.schema(self.schema).parquet(self.path).select(*self.schema.names)
 
     def read_keys(self, keys: DataFrame) -> DataFrame:
         """Rows whose key is in the one column of ``keys``; buckets of other keys are not listed."""
         keys = keys.toDF(self.key).distinct()
         wanted = keys.withColumnRenamed(self.key, "_key")
-        return self._files(keys).drop(BUCKET).join(wanted, self._same(wanted), "left_semi")
+        return self._files(keys).select(*self.schema.names).join(wanted, self._same(wanted), "left_semi")
 
     def merge(self, changes: DataFrame, keys: DataFrame | None = None) -> int:
         """Put ``changes`` in place of all rows with their keys, or with ``keys``; returns the files replaced.
@@ -79,7 +79,7 @@ class KeyedTable:
         new = changes.select(*self.schema.names)
         if hits:
             files = [f"{self.path}/{BUCKET}={bucket}/{name}" for bucket, name in hits]
-            others = self.spark.read.schema(self.schema).parquet(*files)
+            others = self.spark.read.schema(self.schema).parquet(*files).select(*self.schema.names)
             new = others.join(wanted, self._same(wanted), "left_anti").unionByName(new)
         merge = Folder(self.spark, f"{self.path}/{PENDING}/{uuid.uuid4().hex}")
         self._placed(new).write.partitionBy(BUCKET).parquet(f"{merge.path}/rows")
