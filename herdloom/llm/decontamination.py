@@ -5,12 +5,13 @@ from __future__ import annotations
 import hashlib
 import math
 from collections import defaultdict
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from herdloom.llm.base import free_name, map_batches, map_slices, replaced, texts
+from herdloom.llm.base import free_name, map_batches, map_slices, replaced, stored, texts
 
 #: Words in a window of a benchmark item.
 WINDOW = 13
@@ -85,30 +86,39 @@ def scanners(items: list[tuple[int, str | None]]) -> list[Scanner]:
     return [Scanner(patterns) for _, patterns in sorted(by_length.items(), reverse=True)]
 
 
-def benchmark_blocks(benchmark: DataFrame, chars: int = SCANNER_CHARS) -> list[list[tuple[int, str | None]]]:
-    """The benchmark in blocks of about ``chars`` characters, so that no scanner outgrows its task."""
+def benchmark_blocks(benchmark: DataFrame, chars: int | None = None) -> Iterator[tuple[bool, list[tuple[int, str | None]]]]:
+    """The benchmark in blocks of about ``chars`` characters, each with whether it is the last.
+
+    A block is fetched when it is asked for, so the driver and the tasks hold one at a time.
+    """
     table = benchmark.select("item_id", "text")
     total = table.agg(F.sum(F.length("text"))).first()[0] or 0
-    parts = max(1, math.ceil(total / chars))
+    parts = max(1, math.ceil(total / (chars or SCANNER_CHARS)))
     part = F.pmod(F.xxhash64("item_id", "text"), F.lit(parts))
-    return [[tuple(r) for r in table.filter(part == k).toLocalIterator()] for k in range(parts)]
+    for k in range(parts):
+        yield k == parts - 1, [tuple(r) for r in table.filter(part == k).toLocalIterator()]
 
 
 def _marked(df: DataFrame, benchmark: DataFrame, text_column: str) -> tuple[DataFrame, str, str]:
     """``df`` with two more columns: a byte per word, 1 where it is hit (empty: none), and the items found.
 
-    A benchmark above ``SCANNER_CHARS`` is searched block by block in one chain of tasks, each holding
-    the tables of its block only.
+    A benchmark above ``SCANNER_CHARS`` is searched block by block, and the marks are written to the
+    shared folder before the next block is fetched.
     """
     marks, found = free_name(df, "marks"), free_name(df, "found")
     out = df.withColumns({marks: F.lit(b""), found: F.array().cast("array<bigint>")})
-    for block in benchmark_blocks(benchmark.filter(F.col("item_id").isNotNull())):
-        out = _search_block(out, block, text_column, marks, found)
+    for last, block in benchmark_blocks(benchmark.filter(F.col("item_id").isNotNull())):
+        sent = df.sparkSession.sparkContext.broadcast(block)
+        out = _search_block(out, sent, text_column, marks, found)
+        if not last:
+            out = stored(out, "marks")
+            sent.unpersist()
+        del block
     return out, marks, found
 
 
-def _search_block(df: DataFrame, block: list, text_column: str, marks: str, found: str) -> DataFrame:
-    sent = df.sparkSession.sparkContext.broadcast(block)
+def _search_block(df: DataFrame, sent, text_column: str, marks: str, found: str) -> DataFrame:
+    """Marks and items of one block, a broadcast, added to those of the blocks before."""
 
     def make():
         machines = scanners(sent.value)

@@ -383,7 +383,7 @@ def contaminated_docs(docs):
 
 @pytest.mark.parametrize("chars", [4_000_000, 60])
 def test_search_equals_plain_search(spark, docs, edge, monkeypatch, chars):
-    monkeypatch.setattr(decontamination.benchmark_blocks, "__defaults__", (chars,))
+    monkeypatch.setattr(decontamination, "SCANNER_CHARS", chars)
     items = spark.createDataFrame(ITEMS, "item_id bigint, text string")
     for df in (contaminated_docs(docs), edge.filter("length(text) < 1000 or text is null")):
         got = decontamination.search(df, items)
@@ -469,3 +469,25 @@ def test_plain_menus_and_footers_that_touch_the_article_are_no_part_of_it():
     menu, footer = "<div>Home</div><div>News</div>", "<div>All rights are with the makers of the page, whoever they may be, now and later on.</div>"
     for page in (f"{menu}<div>{article}</div>{footer}", f"<ul>{links}</ul><div>{article}</div><ul>{links}</ul><div>Imprint</div>"):
         assert html_text.main_text(f"<body>{page}</body>") == f"T\n\n{PARAGRAPH} 1\n\n{PARAGRAPH} 2 link\n\nEnd."
+
+
+def test_blocks_are_fetched_one_at_a_time(docs, spark, monkeypatch):
+    """Three blocks and more: none is asked for before the marks of those before it are stored."""
+    monkeypatch.setattr(decontamination, "SCANNER_CHARS", 60)
+    log, fetch, store = [], decontamination.benchmark_blocks, decontamination.stored
+
+    def fetched(*args):
+        for last, block in fetch(*args):
+            log.append("fetched")
+            yield last, block
+
+    def kept(*args):
+        log.append("stored")
+        return store(*args)
+
+    monkeypatch.setattr(decontamination, "benchmark_blocks", fetched)
+    monkeypatch.setattr(decontamination, "stored", kept)
+    items = [(i, f"item{i} has some words of its own") for i in range(9)]
+    found = decontamination.search(docs(*((i, f"text {text} end") for i, text in items)), spark.createDataFrame(items, "item_id bigint, text string"))
+    assert {r.doc_id: r.item_ids for r in found.collect()} == {i: [str(i)] for i, _ in items}
+    assert log.count("fetched") >= 3 and log == (["fetched", "stored"] * len(log))[: len(log)] and log[-1] == "fetched"
