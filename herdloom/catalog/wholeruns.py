@@ -7,12 +7,13 @@ import datetime as dt
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from herdloom.catalog import basics, checks  # noqa: F401  (whose queries are used here)
+from herdloom.catalog import basics, checks, histories  # noqa: F401  (whose queries are used here)
 from herdloom.catalog.activity import ANIMAL_LABELS, FARM_LABELS
 from herdloom.catalog.base import AS_OF, END, LONG_END, LONG_START, MONITORED, ORACLES, START, query
 from herdloom.plans import lactation_extract, runs
 from herdloom.plans.increments import LactationIncrements
 from herdloom.sources import read_current, read_daily, refresh, shared_path, write_daily
+from herdloom.sources.buckets import store_bucketed
 from herdloom.sources.keyed import KeyedTable
 
 
@@ -135,3 +136,19 @@ def lactation_incremental(t):
         extract.run(t, until, as_of)
     rows = extract.read(lactation_extract(t, None, None, AS_OF).schema)
     return rows.withColumns({c: F.round(c, 4) for c in ("longitude", "latitude")})
+
+
+#: Queries whose operators look at one animal at a time.
+BY_ANIMAL = {"calving_history": histories.calving_history, "asof_calving": histories.asof_calving, "testday_number": histories.testday_number}
+
+
+def _bucketed_query(name: str, build):
+    @query(f"{name}_bucketed", "", ORACLES[name])
+    def run(t):
+        path = shared_path(t.spark, "bucketed")
+        events = store_bucketed(t["core_animal_event"], f"events_{path[-32:]}", path, "animal_id", 8, ["event_date", "id"])
+        return events.apply(lambda rows: build({"core_animal_event": rows}))
+
+
+for _name, _build in BY_ANIMAL.items():
+    _bucketed_query(_name, _build)
