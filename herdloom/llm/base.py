@@ -25,7 +25,7 @@ BATCH_ROWS = 512
 SLICE_ROWS = 256
 BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: Bits of a filter per key, bits that one has at least and at most (16 MB), and bits of a part of it.
-FILTER_BITS, LEAST_FILTER, MOST_FILTER, FILTER_PART = 16, 18, 27, 18
+FILTER_BITS, LEAST_FILTER, MOST_FILTER, FILTER_PART = 32, 18, 27, 18
 
 ARROW = {
     "bigint": pa.int64(),
@@ -164,14 +164,15 @@ def id_remainder(column: str, divisor: int):
 def key_filter(keys: DataFrame, column: str) -> np.ndarray:
     """Bits of the hashes of a column, to pass over rows that certainly have none of its values.
 
-    There are some 16 bits per row of ``keys``, a power of two, but at most 2^27: a filter that is full
-    lets more rows pass, so a join must follow. Parts of it are made in tasks and sent as bytes.
+    Each value sets two bits of at least 32 per row of ``keys``, a power of two but at most 2^27 in all: a
+    filter that is full lets more rows pass, so a join must follow. Parts are made in tasks and sent as bytes.
     """
     n = keys.count()
     size = max(LEAST_FILTER, min(MOST_FILTER, (FILTER_BITS * n).bit_length()))
     width = min(size, FILTER_PART)
-    place = F.xxhash64(column).bitwiseAND(F.lit((1 << size) - 1)).alias("place")
-    parts = keys.select(place).distinct().withColumn("part", F.shiftright("place", width))
+    hashed, mask = F.xxhash64(column), F.lit((1 << size) - 1)
+    places = F.array(hashed.bitwiseAND(mask), F.shiftright(hashed, 32).bitwiseAND(mask))
+    parts = keys.select(F.explode(places).alias("place")).distinct().withColumn("part", F.shiftright("place", width))
     schema = arrow_schema("part bigint, bits binary")
 
     def pack(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
@@ -189,5 +190,7 @@ def key_filter(keys: DataFrame, column: str) -> np.ndarray:
 
 def passes(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Which of the hashes a ``key_filter`` lets pass."""
-    place = hashes & (8 * len(bits) - 1)
-    return bits[place >> 3] >> (place & 7).astype(np.uint8) & 1 == 1
+    mask, out = 8 * len(bits) - 1, np.ones(len(hashes), bool)
+    for place in (hashes & mask, hashes >> 32 & mask):
+        out &= bits[place >> 3] >> (place & 7).astype(np.uint8) & 1 == 1
+    return out
