@@ -15,6 +15,7 @@ import json
 import os
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,8 @@ from herdloom.sources.tables import shared_path
 END = 0
 #: Ids of a block, but for a document that has more.
 BLOCK_IDS = 1 << 19
-#: Words whose ids a task keeps at hand; beyond it the first half stays, which the most frequent are in.
+#: Words whose ids a Python worker keeps at hand, some 50 MB; beyond it, and between tasks, the first half stays,
+#: which the most frequent are in.
 KEPT_WORDS = 250_000
 #: Groups of four ids decoded at a time.
 GROUPS = 1 << 15
@@ -136,11 +138,21 @@ class Encoder:
         out = []
         for text in texts:
             if len(self.words) > KEPT_WORDS:
-                kept = itertools.islice(self.words.items(), KEPT_WORDS // 2)
-                self.words = Words(self.library, self.kind, list(kept))
+                self.forget(KEPT_WORDS // 2)
             out.append(b"".join(map(self.words.__getitem__, self.words_of(text))))
         return out
 
+    def forget(self, most: int) -> None:
+        """Keep the ids of no more than the first ``most`` words."""
+        if len(self.words) > most:
+            self.words = Words(self.library, self.kind, list(itertools.islice(self.words.items(), most)))
+
+
+@lru_cache(maxsize=1)
+def worker_encoder(path: str) -> Encoder:
+    """The encoder of a Python worker: the next task on it finds the vocabulary loaded and its first words known."""
+    return Encoder(path)
+
 
 def encoded_blocks(df: DataFrame, path: str, id_column: str, text_column: str, end: int | None) -> DataFrame:
     """Blocks of documents in order of their ids, with their token ids packed in ``ids``.
@@ -156,7 +168,7 @@ def encoded_blocks(df: DataFrame, path: str, id_column: str, text_column: str, e
     order, most = ("doc_id", "text_key", "salt"), BLOCK_IDS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, number = Encoder(path), TaskContext.get().partitionId(), 0
+        encoder, part, number = worker_encoder(path), TaskContext.get().partitionId(), 0
         last = b"" if end is None else np.array([end], encoder.kind).tobytes()
         docs, sizes, ids, held, width = [], [], [], 0, encoder.kind.itemsize
 
@@ -177,6 +189,7 @@ def encoded_blocks(df: DataFrame, path: str, id_column: str, text_column: str, e
                         docs, sizes, ids, held, number = [], [], [], 0, number + 1
         if docs:
             yield block()
+        encoder.forget(KEPT_WORDS // 2)
         del encoder, docs, sizes, ids
         release()
 
