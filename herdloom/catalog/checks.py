@@ -199,7 +199,7 @@ WEIGHT_OUT = ", ".join(
 )
 
 
-def _weight_sql(country: int | None, period: str = _period_sql("event_date")) -> str:
+def weight_sql(country: int | None, period: str = _period_sql("event_date")) -> str:
     only = "" if country is None else f"where country_id = {country}"
     girth, mass = attr_sql("additional_attributes", "137"), attr_sql("additional_attributes", "136")
     bounds = ", ".join(
@@ -226,7 +226,7 @@ def _weight_query(name: str, country: int | None):
         name,
         WEIGHT_VIEWS,
         f"select {WEIGHT_OUT}, weight_id, comments, case when comments is null then 1 else 0 end as status from checked",
-        _weight_sql(country),
+        weight_sql(country),
     )
     def build(t):
         return _rounded(weight.weight_extract(t, LONG_START, LONG_END, AS_OF, country))
@@ -242,7 +242,7 @@ _weight_query("weight_extract_country", COUNTRY)
     """
     select weight_id, age_at_weighing, case when age_at_weighing <= calf_age then 'calf'
       when age_at_weighing > calf_age then 'mature' else 'unknown' end as age_class from staged, lims""",
-    _weight_sql(None),
+    weight_sql(None),
 )
 def age_class(t):
     return weight.weight_staged(t, LONG_START, LONG_END).select("weight_id", "age_at_weighing", "age_class")
@@ -261,7 +261,7 @@ for _name, _rules in {
     "rule_weight": ["weight_any_age", "weight_calf", "weight_mature"],
     "rule_gps": ["gps_range", "no_gps"],
 }.items():
-    _rule_query(_name, WEIGHT_VIEWS, _weight_sql(None), WEIGHT_CHECKS, _rules, "weight_id", "comments", _weight_rules)
+    _rule_query(_name, WEIGHT_VIEWS, weight_sql(None), WEIGHT_CHECKS, _rules, "weight_id", "comments", _weight_rules)
 
 
 @query(
@@ -398,7 +398,7 @@ def error_rates(t):
     return _weekly(*_lactation_rules(t), "calving_date").drop("country_id")
 
 
-@query("error_rates_weight", WEIGHT_VIEWS, RATES_OUT, _rates_sql(_weight_sql(None), WEIGHT_CHECKS, "weight_date"))
+@query("error_rates_weight", WEIGHT_VIEWS, RATES_OUT, _rates_sql(weight_sql(None), WEIGHT_CHECKS, "weight_date"))
 def error_rates_weight(t):
     return _weekly(*_weight_rules(t), "weight_date").drop("country_id")
 
@@ -431,7 +431,7 @@ def quality_report(t):
 LOG_START, LOG_END = "2023-12-31", "2024-01-27"
 LOG_WEEKS = {
     "lactation": _rates_sql(lactation_sql(None, "true"), LACTATION_CHECKS, "calving_date"),
-    "weight": _rates_sql(_weight_sql(None, _period_sql("event_date", LOG_START, LOG_END)), WEIGHT_CHECKS, "weight_date"),
+    "weight": _rates_sql(weight_sql(None, _period_sql("event_date", LOG_START, LOG_END)), WEIGHT_CHECKS, "weight_date"),
     "pedigree": _rates_sql(_pedigree_sql(None), PEDIGREE_CHECKS, "reg_date"),
 }
 LOG_YEARS = "(report_year = 2023 and report_week = 53 or report_year = 2024 and report_week between 0 and 3)"

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from herdloom.catalog import basics, checks, histories  # noqa: F401  (whose queries are used here)
 from herdloom.catalog.activity import ANIMAL_LABELS, FARM_LABELS
 from herdloom.catalog.base import AS_OF, END, LONG_END, LONG_START, MONITORED, ORACLES, START, query
-from herdloom.plans import lactation_extract, runs
-from herdloom.plans.increments import LactationIncrements
+from herdloom.plans import lactation_extract, runs, testday_report, weight_extract
+from herdloom.plans.increments import ExtractIncrements, LactationIncrements, TestdayIncrements, WeightIncrements
 from herdloom.sources import read_current, read_daily, refresh, shared_path, write_daily
 from herdloom.sources.buckets import store_bucketed
 from herdloom.sources.keyed import KeyedTable
@@ -120,6 +120,21 @@ def flag_inactive_merged(t):
 STEPS = [(dt.datetime(2024, 1, 9), dt.date(2024, 1, 9)), (dt.datetime(2024, 1, 16), dt.date(2024, 1, 16)), (dt.datetime(2025, 1, 1), AS_OF)]
 
 
+def _incremental(t, kind: type[ExtractIncrements], **options) -> ExtractIncrements:
+    """A first run and two increments, the last repeated."""
+    path, events = shared_path(t.spark, "increments"), t["core_animal_event"]
+    events = events.withColumn("created_at", F.col("created_at").cast("timestamp_ntz"))
+    write_daily(events, f"{path}/events", "created_at")
+    extract = kind(t.spark, f"{path}/events", path, events.schema, 16, **options)
+    for until, as_of in (*STEPS, STEPS[-1]):
+        extract.run(t, until, as_of)
+    return extract
+
+
+def _rounded(df, *more: str):
+    return df.withColumns({c: F.round(c, 4) for c in ("longitude", "latitude", *more)})
+
+
 @query(
     "lactation_incremental",
     checks.LACTATION_VIEWS,
@@ -127,15 +142,25 @@ STEPS = [(dt.datetime(2024, 1, 9), dt.date(2024, 1, 9)), (dt.datetime(2024, 1, 1
     checks.lactation_sql(None, "true"),
 )
 def lactation_incremental(t):
-    """A first run and two increments, the last repeated: as if extracted once over all events."""
-    path, events = shared_path(t.spark, "increments"), t["core_animal_event"]
-    events = events.withColumn("created_at", F.col("created_at").cast("timestamp_ntz"))
-    write_daily(events, f"{path}/events", "created_at")
-    extract = LactationIncrements(t.spark, f"{path}/events", path, events.schema, 16)
-    for until, as_of in (*STEPS, STEPS[-1]):
-        extract.run(t, until, as_of)
-    rows = extract.read(lactation_extract(t, None, None, AS_OF).schema)
-    return rows.withColumns({c: F.round(c, 4) for c in ("longitude", "latitude")})
+    """Increments as if extracted once over all events, as are the two that follow."""
+    return _rounded(_incremental(t, LactationIncrements).read(lactation_extract(t, None, None, AS_OF).schema))
+
+
+@query(
+    "weight_incremental",
+    checks.WEIGHT_VIEWS,
+    f"select {checks.WEIGHT_OUT}, weight_id, comments, case when comments is null then 1 else 0 end as status from checked",
+    checks.weight_sql(None, "true"),
+)
+def weight_incremental(t):
+    return _rounded(_incremental(t, WeightIncrements).read(weight_extract(t, None, None, AS_OF).schema))
+
+
+@query("testday_incremental", "", ORACLES["testday_report"])
+def testday_incremental(t):
+    schema = testday_report(t, histories.STAMPED_AT, histories.VERSION).schema
+    extract = _incremental(t, TestdayIncrements, min_gap=histories.GAP)
+    return _rounded(extract.report(schema, histories.STAMPED_AT, histories.VERSION), "TotalMilk")
 
 
 #: Queries whose operators look at one animal at a time.

@@ -7,9 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from herdloom import plans
-from herdloom.catalog.base import AS_OF
+from herdloom.catalog.base import AS_OF, STAMPED_AT, VERSION
 from herdloom.catalog.bindings import Tables
-from herdloom.plans.increments import LactationIncrements
+from herdloom.plans.increments import LactationIncrements, TestdayIncrements, WeightIncrements
 from herdloom.sources import Folder, keyed, write_daily
 from herdloom.sources.keyed import KeyedTable
 
@@ -99,28 +99,68 @@ def herd(spark, tmp_path_factory):
     return tables, events, path
 
 
-def test_full_run_equals_run_and_increments(spark, herd, tmp_path):
-    """Also where an increment ends within a day, and where calvings lie in the future for some runs."""
+def full(kind, tables, as_of):
+    if kind is TestdayIncrements:
+        return plans.testday_report(tables, STAMPED_AT, VERSION)
+    return {LactationIncrements: plans.lactation_extract, WeightIncrements: plans.weight_extract}[kind](tables, None, None, as_of)
+
+
+def read(extract, schema):
+    return extract.report(schema, STAMPED_AT, VERSION) if isinstance(extract, TestdayIncrements) else extract.read(schema)
+
+
+KINDS = pytest.mark.parametrize("kind", [LactationIncrements, WeightIncrements, TestdayIncrements])
+
+
+@KINDS
+def test_full_run_equals_run_and_increments(spark, herd, tmp_path, kind):
+    """Also where an increment ends within a day, and where events lie in the future for some runs."""
     tables, events, path = herd
-    schema = plans.lactation_extract(tables, None, None, AS_OF).schema
-    extract = LactationIncrements(spark, path, str(tmp_path / "a"), events.schema, 8)
+    schema = full(kind, tables, AS_OF).schema
+    extract = kind(spark, path, str(tmp_path / "a"), events.schema, 8)
     done = []
     for until, as_of in ((dt.datetime(2024, 1, 8, 12), dt.date(2024, 1, 5)), (dt.datetime(2024, 1, 15), dt.date(2024, 1, 10)), (dt.datetime(2024, 2, 1), AS_OF)):
         done.append(extract.run(tables, until, as_of))
         seen = events.filter(F.col("created_at") < F.lit(str(until)).cast("timestamp_ntz"))
-        assert rows_of(extract.read(schema)) == rows_of(plans.lactation_extract({**tables, "core_animal_event": seen}, None, None, as_of))
+        assert rows_of(read(extract, schema)) == rows_of(full(kind, {**tables, "core_animal_event": seen}, as_of))
     assert [d.since for d in done] == [None, *[d.until for d in done[:-1]]] and all(d.animals for d in done)
     again = extract.run(tables, done[-1].until, AS_OF)
     assert (again.animals, again.files) == (0, 0)
 
 
-def test_an_increment_reads_new_days_only_and_leaves_other_files(spark, herd, tmp_path):
+@KINDS
+def test_an_increment_reads_new_days_only_and_leaves_other_files(spark, herd, tmp_path, kind):
     tables, events, path = herd
-    extract = LactationIncrements(spark, path, str(tmp_path / "b"), events.schema, 64)
+    extract = kind(spark, path, str(tmp_path / "b"), events.schema, 64)
     extract.run(tables, dt.datetime(2024, 1, 20), AS_OF)
-    plan = extract.new_calvings(dt.datetime(2024, 1, 20), dt.datetime(2024, 1, 21))._jdf.queryExecution().executedPlan().toString()
+    plan = extract.new_events(dt.datetime(2024, 1, 20), dt.datetime(2024, 1, 21))._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(stored_day" in plan and "stored_day" in plan.split("PartitionFilters")[1].split("]")[0]
     before = files_of(f"{tmp_path}/b/extract")
     done = extract.run(tables, dt.datetime(2024, 1, 20, 1), AS_OF)
     after = files_of(f"{tmp_path}/b/extract")
     assert len(set(before) - set(after)) == done.files
+
+
+def test_a_late_event_redoes_the_rows_before_it(spark, tmp_path):
+    """A second weighing marks the first as a duplicate, an earlier calving moves the test days of its animal alone."""
+    tables = Tables(spark, "/root/testdata/sf0.001")
+    schema = "id bigint, animal_id bigint, country_id bigint, event_type int, event_date date, created_at timestamp_ntz, additional_attributes string"
+    one, two = [r["id"] for r in tables["core_animal"].join(tables["core_farm"].select("id", "country_id"), F.col("farm_id") == tables["core_farm"]["id"]).select(tables["core_animal"]["id"]).orderBy("id").limit(2).collect()]
+    country = tables["core_animal"].filter(F.col("id") == one).first()["country_id"]
+    day, late = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
+    rows = [
+        (1, one, country, 6, dt.date(2023, 5, 1), day, '{"136": "300"}'),
+        (2, one, country, 2, dt.date(2023, 6, 1), day, '{"59": "4"}'),
+        (3, two, country, 6, dt.date(2023, 5, 1), day, '{"136": "310"}'),
+        (4, one, country, 6, dt.date(2023, 5, 1), late, None),
+        (5, one, country, 1, dt.date(2023, 1, 1), late, None),
+    ]
+    events = spark.createDataFrame(rows, schema)
+    write_daily(events, str(tmp_path / "events"), "created_at")
+    for kind in (WeightIncrements, TestdayIncrements):
+        out = full(kind, tables, AS_OF).schema
+        extract = kind(spark, str(tmp_path / "events"), str(tmp_path / kind.__name__), events.schema, 4)
+        for until, touched in ((late, 2), (dt.datetime(2024, 1, 3), 1)):
+            assert extract.run(tables, until, AS_OF).animals == touched
+            seen = events.filter(F.col("created_at") < F.lit(str(until)).cast("timestamp_ntz"))
+            assert rows_of(read(extract, out)) == rows_of(full(kind, {**tables, "core_animal_event": seen}, AS_OF))
