@@ -33,9 +33,9 @@ from herdloom.sources.tables import shared_path
 END = 0
 #: Ids of a block, but for a document that has more.
 BLOCK_IDS = 1 << 19
-#: Words whose ids a Python worker keeps at hand, some 50 MB; beyond it, and between tasks, the first half stays,
+#: Words whose ids a Python worker keeps at hand, some 100 MB; beyond it, and between tasks, the first half stays,
 #: which the most frequent are in.
-KEPT_WORDS = 250_000
+KEPT_WORDS = 500_000
 #: Groups of four ids decoded at a time.
 GROUPS = 1 << 15
 
