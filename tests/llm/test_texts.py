@@ -471,6 +471,47 @@ def test_plain_menus_and_footers_that_touch_the_article_are_no_part_of_it():
         assert html_text.main_text(f"<body>{page}</body>") == f"T\n\n{PARAGRAPH} 1\n\n{PARAGRAPH} 2 link\n\nEnd."
 
 
+EIGHT = [f"{PARAGRAPH} {i}" for i in range(8)]
+
+
+@pytest.mark.parametrize("page, text", [
+    # A teaser in an article element beside the article, which has none.
+    ("<article><p>Teaser one, short.</p></article><div>" + "".join(f"<p>{p}</p>" for p in EIGHT) + "</div>", EIGHT),
+    # The article in its element, a long footer beside it.
+    ("<article>" + "".join(f"<p>{p}</p>" for p in EIGHT) + f"<p>End.</p></article><div>{PARAGRAPH}</div>", [*EIGHT, "End."]),
+    (f"<div><p>{EIGHT[0]}</p><p>{EIGHT[1]}</p></div><div>{EIGHT[2]}</div>", EIGHT[:3]),
+    (f"<div><p>{EIGHT[0]}</p><p>{EIGHT[1]}</p></div><div>&copy; {EIGHT[2]}</div>", EIGHT[:2]),
+    ("<article><p>See <label>term</label> and <button>x</button> and more text</article>", ["See term and x and more text"]),
+    ("<article><p>Let <math><mi>x</mi><annotation>\\x</annotation></math> be</article>", ["Let x be"]),
+    (f"<main><ul><li>Home<li>About<li>Contact us</ul><p>{EIGHT[0]}</p><ul><li>One<li><a>two</a></ul><a href=x>Next story</a></main>", [EIGHT[0], "One", "two"]),
+    (f"<main><p>{EIGHT[0]}</p><ul><li><a>Home</a><li><a>About</a></ul><button>Like</button><p>End.</p></main>", [EIGHT[0], "End."]),
+])
+def test_the_distribution_chooses_with_and_without_article_elements(page, text):
+    assert html_text.main_text(f"<body>{page}</body>") == "\n\n".join(text)
+
+
+@given(st.lists(st.integers(0, 120), max_size=40), st.integers(1, 5))
+def test_surges_against_plain_window_sums(weights, window):
+    windows = [range(i, min(i + window, len(weights))) for i in range(len(weights))]
+    total = {w: sum(weights[k] for k in w) for w in windows}
+    surge = min(html_text.SURGE, max(total.values(), default=0) / 2)
+    expected = [
+        i for i, weight in enumerate(weights)
+        if weight and weight * window >= surge and any(i in w and total[w] >= surge for w in windows)
+    ]
+    assert html_text.surging(weights, window) == expected
+
+
+@pytest.mark.parametrize("piece, end", [("<a ", '"'), ("<div><b>y</b>", ""), ("<a \"x' ", ""), ("<b>", "<p>x</p>" * 20_000), ("</i>", "")])
+def test_broken_markup_takes_linear_time(piece, end):
+    def seconds(n):
+        start = time.process_time()
+        html_text.main_text("<p><div>" + piece * n + end)
+        return time.process_time() - start
+
+    assert seconds(40_000) < 20 * max(seconds(5_000), 0.02)
+
+
 def test_blocks_are_fetched_one_at_a_time(docs, spark, monkeypatch):
     """Three blocks and more: none is asked for before the marks of those before it are stored."""
     monkeypatch.setattr(decontamination, "SCANNER_CHARS", 60)
