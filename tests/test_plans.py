@@ -207,6 +207,20 @@ def test_no_text_of_an_event_passes_a_window_of_the_testday_report(tables):
             assert by_day and "Window" not in node.nodeName() or "MilkAM" not in node.output().mkString(" ")
 
 
+def test_texts_of_a_day_are_shuffled_once_and_parsed_after_other_days_are_dropped(tables):
+    df = plans.testday_report(tables, dt.datetime(2024, 1, 1), "V")
+    nodes = [node for _, node in walk(df._jdf.queryExecution().executedPlan().inputPlan())]
+    groupings = [node for node in nodes if node.nodeName() == "SortAggregate" and "min_by(MilkAM" in node.toString().split("\n")[0]]
+    assert groupings
+    below = []
+    node = groupings[0]
+    while "Join" not in node.nodeName():
+        below.append(node.nodeName())
+        node = node.children().apply(0)
+    assert "Exchange" not in below and "Generate" in below
+    assert not any("from_json" in inner.toString().split("\n")[0] for _, inner in walk(node))
+
+
 def walk(node, depth=0):
     yield depth, node
     children = node.children()
