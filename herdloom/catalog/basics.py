@@ -46,6 +46,7 @@ from herdloom.sources import (
     purge_run,
     read_current,
     read_extract,
+    read_extract_in_splits,
     refresh,
     shared_path,
     stage,
@@ -137,6 +138,22 @@ def csv_roundtrip(t):
     return read_extract(t.spark, path, "id bigint, tag_id string, sex bigint, birthdate date")
 
 
+@query(
+    "csv_in_splits",
+    "core_animal",
+    """
+    select id, birthdate, case when id % 5 > 0 then repeat('said "' || tag_id || '"' || chr(10), cast(id % 5 as integer)) || ', end' end as note
+    from core_animal""",
+)
+def csv_in_splits(t):
+    """One file with records of several lines, read in as many splits as the session makes of it."""
+    path = shared_path(t.spark, "extract")
+    said = F.expr("""repeat('said "' || tag_id || '"\n', cast(id % 5 as int)) || ', end'""")
+    note = F.when(F.col("id") % 5 > 0, said).alias("note")
+    write_extract(t["core_animal"].select("id", "birthdate", note), path, compression="none")
+    return read_extract_in_splits(t.spark, path, "id bigint, birthdate date, note string")
+
+
 @query(
     "ordered_extract",
     "core_animal",

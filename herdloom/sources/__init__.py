@@ -6,6 +6,7 @@ from herdloom.sources.sinks import (
     export_lists,
     purge_run,
     read_extract,
+    read_extract_in_splits,
     refresh,
     replace_partitions,
     split_valid_error,
@@ -27,6 +28,7 @@ __all__ = [
     "read_current",
     "read_daily",
     "read_extract",
+    "read_extract_in_splits",
     "read_jdbc",
     "read_table",
     "refresh",

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from herdloom.sources.files import Folder
+from herdloom.sources.splits import read_split_csv
 from herdloom.sources.versions import publish
 
 # Names and format of the two columns stamped on an extract.
@@ -95,24 +96,32 @@ def split_valid_error(df: DataFrame, comments: str = "comments") -> tuple[DataFr
     return valid, error
 
 
-def write_extract(df: DataFrame, path: str, *order: str) -> int:
-    """Header CSV, gzip, sorted across the files when ``order`` is given; returns the rows written.
+def write_extract(df: DataFrame, path: str, *order: str, compression: str = "gzip") -> int:
+    """Header CSV, sorted across the files when ``order`` is given; returns the rows written.
 
-    They are counted above the sort, whose sampling reads the rows once more.
+    Files of ``compression`` ``none`` or ``bzip2`` can be read in splits. Rows are counted above the sort, whose sampling reads the rows once more.
     """
     if order:
         df = df.orderBy(*order)
     seen = Observation()
     df = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    df.write.mode("overwrite").options(**CSV).option("header", True).option("compression", "gzip").csv(path)
+    df.write.mode("overwrite").options(**CSV).option("header", True).option("compression", compression).csv(path)
     return seen.get["rows"]
 
 
 def read_extract(spark: SparkSession, path: str, schema) -> DataFrame:
-    """Rows of an extract; a text may hold line breaks, so a file is read by one task."""
+    """Rows of an extract; a text may hold line breaks, so a file is read by one task.
+
+    For few large files see :func:`read_extract_in_splits`.
+    """
     return spark.read.schema(schema).options(**CSV).option("header", True).option("multiLine", True).csv(path)
 
 
+def read_extract_in_splits(spark: SparkSession, path: str, schema) -> DataFrame:
+    """Rows of an extract, in no order; many tasks read a file unless it is gzip, which has no splits."""
+    return read_split_csv(spark, path, schema, CSV)
+
+
 def stamp(df: DataFrame, extracted_at: dt.datetime, version: str) -> DataFrame:
     """Extract time, in UTC, and report version on every row."""
     if extracted_at.tzinfo is not None:

@@ -12,6 +12,7 @@ from herdloom.sources import (
     purge_run,
     read_current,
     read_extract,
+    read_extract_in_splits,
     read_table,
     refresh,
     shared_path,
@@ -107,3 +108,31 @@ def test_scratch_lies_in_the_shared_folder(spark, monkeypatch):
     root = spark.conf.get("spark.checkpoint.dir", None) or given or spark.conf.get("spark.sql.warehouse.dir")
     path = shared_path(spark, "x")
     assert path.startswith(root) and path != shared_path(spark, "x")
+
+
+@pytest.mark.parametrize("size", [16, 37, 100, 4096])
+def test_records_over_split_boundaries_come_back_whole(spark, tmp_path, size):
+    texts = ["plain", 'a "quoted" word', "two\nlines", "x\n" * 60 + "end", '"', "\n\n", None, " blanks ", 'comma, "\n" and quote', "cr\r\nlf"]
+    rows = [(i, texts[i % len(texts)], f"e{i}") for i in range(60)]
+    schema = "id bigint, note string, last string"
+    path = str(tmp_path / "extract")
+    written = write_extract(spark.createDataFrame(rows, schema).coalesce(2), path, compression="none")
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    old = {name: spark.conf.get(name) for name in names}
+    try:
+        for name, value in zip(names, (size, 0)):
+            spark.conf.set(name, str(value))
+        tasks = spark.read.option("lineSep", "\n").text(path).rdd.getNumPartitions()
+        found = rows_of(read_extract_in_splits(spark, path, schema))
+    finally:
+        for name, value in old.items():
+            spark.conf.set(name, value)
+    assert found == sorted(rows) == rows_of(read_extract(spark, path, schema)) and written == len(rows)
+    assert tasks > 2 or size == 4096
+
+
+def test_split_reading_of_gzip_and_of_nothing(spark, tmp_path):
+    schema, path = "id bigint, note string", str(tmp_path / "extract")
+    for rows in ([(1, "a\nb"), (2, None)], []):
+        write_extract(spark.createDataFrame(rows, schema), path)
+        assert rows_of(read_extract_in_splits(spark, path, schema)) == rows
