@@ -28,8 +28,10 @@ LONGEST, LEAST, TOP, COVERED = 3, 10, 2000, 50
 #: Occurrences that a hash partition takes, so that its summary (a tenth of that) fits into a task, and
 #: the least number of partitions.
 PARTITION_MASS, PARTITIONS = 1 << 24, 64
-#: Bytes of text that a task counts before it passes its summaries on.
-FLUSH_BYTES = 6 << 20
+#: Bytes of text that a task counts before it passes its summaries on; counting takes some 20 times as much memory.
+FLUSH_BYTES = 4 << 20
+#: Summaries of tasks that a merging task turns into arrays at a time.
+MERGE_ROWS = 16
 #: Bits of the filter per surviving phrase, and bits that it has at most (16 MB). Beyond that it lets
 #: more phrases into the second pass, whose counts are exact with any filter.
 BITS, MOST_BITS = 16, 1 << 27
@@ -78,33 +80,43 @@ class Grams:
         self.hashes, self.counts, self.before, self.last = hashes, counts, before, last
 
 
-def grams(words: np.ndarray, hashes: np.ndarray, longest: int, passes=None) -> list[Grams]:
+def grams(words: np.ndarray, hashes: np.ndarray, longest: int, passes=None) -> Iterator[Grams]:
     """Phrases of 1 to ``longest`` words in ``words`` (0 ends a piece), ``hashes`` being those of the words.
 
-    A phrase is the number of the one without its last word, and that word. With ``passes`` only phrases
-    whose hashes pass, and whose beginnings do, are counted.
+    They come size by size, as only a caller that needs the shorter ones later has to hold them all. A phrase
+    is the number of the one without its last word, and that word. With ``passes`` only phrases whose hashes
+    pass, and whose beginnings do, are counted.
     """
-    out, padded = [], np.append(words, np.zeros(longest, np.int64))
-    start = np.flatnonzero(words)
+    padded = np.append(words, np.zeros(longest, words.dtype))
+    start = np.flatnonzero(words).astype(words.dtype)
     counts = np.bincount(words, minlength=len(hashes))
-    group, sofar, numbers = words[start], hashes, np.arange(len(hashes))
+    group, sofar, numbers = words[start], hashes, np.arange(len(hashes), dtype=words.dtype)
     counts[0] = 0
-    before, last = np.full(len(hashes), -1), numbers
+    before, last = np.full(len(hashes), -1, words.dtype), numbers
     for size in range(1, longest + 1):
         if size > 1:
-            follow = padded[start + size - 1]
+            follow = padded[start + (size - 1)]
             keep = follow > 0
             start, group, follow = start[keep], group[keep], follow[keep]
-            keys, group, counts = np.unique(group << 32 | follow, return_inverse=True, return_counts=True)
-            before, last = keys >> 32, keys & 0xFFFFFFFF
+            keys = group.astype(np.int64) << 32 | follow
+            del follow, keep, before, last, counts
+            # As np.unique does, with 32-bit numbers and no more arrays than needed.
+            order = np.argsort(keys)
+            keys = keys[order]
+            new = np.append(True, keys[1:] != keys[:-1])[: len(keys)]
+            group[order] = np.cumsum(new, dtype=words.dtype) - 1
+            del order
+            counts = np.diff(np.append(np.flatnonzero(new), len(keys)))
+            keys = keys[new]
+            before, last = (keys >> 32).astype(words.dtype), (keys & 0xFFFFFFFF).astype(words.dtype)
+            del keys, new
             sofar = mix(sofar[before] * CHAIN + hashes[last])
         if passes is not None:
             good = passes(sofar)
             counts = np.where(good, counts, 0)
             keep = good[group]
             start, group = start[keep], group[keep]
-        out.append(Grams(sofar, counts, before, last))
-    return out
+        yield Grams(sofar, counts, before, last)
 
 
 class Stretch:
@@ -116,10 +128,10 @@ class Stretch:
     def add(self, lang: str, text: str) -> None:
         words = words_of(text)
         words.append(BREAK)
-        self.words.setdefault(lang, []).append(np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words)))
+        self.words.setdefault(lang, []).append(np.fromiter(map(self.numbers.__getitem__, words), np.int32, len(words)))
         self.size += len(text)
 
-    def phrases(self, longest: int, passes=None) -> Iterator[tuple[str, int, list[Grams]]]:
+    def phrases(self, longest: int, passes=None) -> Iterator[tuple[str, int, Iterator[Grams]]]:
         """(language, words, phrases by size) of each language."""
         own = np.fromiter(map(xxhash.xxh3_64_intdigest, self.numbers), np.uint64, len(self.numbers))
         for lang, parts in self.words.items():
@@ -148,7 +160,8 @@ def summaries(df: DataFrame, partitions: int, longest: int) -> DataFrame:
     """(part, kind, mass, keys, often): what tasks found for each hash partition.
 
     A row of kind 0 tells the mass of the row of kind 1 that goes with it, whose keys are 32 bits of the
-    hashes, those of phrases found once at the end; ``often`` has the counts of the others.
+    hashes, those of phrases found once at the end; ``often`` has 32-bit counts of the others. A task holds no
+    more of the phrases of a stretch than these numbers.
     """
     prepare(df.sparkSession)
     ddl = "part bigint, kind int, mass bigint, keys binary, often binary"
@@ -156,19 +169,26 @@ def summaries(df: DataFrame, partitions: int, longest: int) -> DataFrame:
 
     def run(batches):
         for stretch in _stretches(batches, flush):
-            found = [g for _, _, sizes in stretch.phrases(longest) for g in sizes]
-            hashes, counts = (np.concatenate([getattr(g, c) for g in found]) for c in ("hashes", "counts"))
-            keep = counts > 0
-            hashes, counts = hashes[keep], counts[keep]
-            part = (hashes % np.uint64(partitions)).astype(np.int64)
-            order = np.lexsort((counts == 1, part))
-            part, counts, keys = part[order], counts[order], (hashes[order] >> np.uint64(32)).astype(np.uint32)
+            found = []
+            for _, _, sizes in stretch.phrases(longest):
+                for gram in sizes:
+                    seen = gram.counts > 0
+                    found.append((gram.hashes[seen], gram.counts[seen].astype(np.uint32)))
+            del sizes, gram, seen
+            hashes, counts = map(np.concatenate, zip(*found))
+            del found
+            # By part, and in a part phrases found once behind the others: small numbers sort by their bytes.
+            place = (hashes % np.uint64(partitions)).astype(np.min_scalar_type(2 * partitions)) * 2 + (counts == 1)
+            order = np.argsort(place, kind="stable")
+            part, counts = place[order] // 2, counts[order]
+            keys = (hashes >> np.uint64(32)).astype(np.uint32)[order]
+            del hashes, place, order
             starts = np.flatnonzero(np.append(True, part[1:] != part[:-1])[: len(part)])
             ends, rows = np.append(starts[1:], len(part)), ([], [], [], [], [])
             for a, b in zip(starts.tolist(), ends.tolist()):
                 many = a + int(np.count_nonzero(counts[a:b] > 1))
-                mass = int(counts[a:b].sum())
-                for column, values in zip(rows, ([part[a]] * 2, [0, 1], [mass, 0], [b"", keys[a:b].tobytes()],
+                mass = int(counts[a:b].sum(dtype=np.int64))
+                for column, values in zip(rows, ([int(part[a])] * 2, [0, 1], [mass, 0], [b"", keys[a:b].tobytes()],
                                                  [b"", counts[a:many].tobytes()])):
                     column += values
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(rows, schema)], schema=schema)
@@ -230,8 +250,9 @@ def survivors(packed: DataFrame, least: int) -> DataFrame:
                 [pa.array([v], f.type) for v, f in zip((part, len(keys), keys.tobytes()), schema)], schema=schema
             )
 
-        for batch in batches:
-            for new, kind, more, keys, often in zip(*(batch.column(i).to_pylist() for i in range(5))):
+        pieces = (batch.slice(at, MERGE_ROWS) for batch in batches for at in range(0, batch.num_rows, MERGE_ROWS))
+        for piece in pieces:
+            for new, kind, more, keys, often in zip(*(piece.column(i).to_pylist() for i in range(5))):
                 if new != part:
                     if part is not None:
                         yield row()
@@ -240,7 +261,7 @@ def survivors(packed: DataFrame, least: int) -> DataFrame:
                     mass += more
                     continue
                 summary = summary or Summary(mass // least + 1)
-                keys, often = np.frombuffer(keys, np.uint32), np.frombuffer(often, np.int64)
+                keys, often = np.frombuffer(keys, np.uint32), np.frombuffer(often, np.uint32).astype(np.int64)
                 summary.add(keys, np.append(often, np.ones(len(keys) - len(often), np.int64)))
         if part is not None:
             yield row()
@@ -297,6 +318,7 @@ def exact_counts(df: DataFrame, bits: np.ndarray, width: int, partitions: int, l
             names = list(stretch.numbers)
             for lang, n, sizes in stretch.phrases(longest, passes):
                 yield batch(lang, 0, [b""], np.array([n]))
+                sizes = list(sizes)
                 for size, gram in enumerate(sizes, 1):
                     chosen = np.flatnonzero(gram.counts)
                     columns, at = [], chosen

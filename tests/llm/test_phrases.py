@@ -5,8 +5,10 @@ from __future__ import annotations
 import collections
 import random
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -110,6 +112,31 @@ def test_summaries_forget(spark, small):
     assert left < len(different) / 4
 
 
+def test_a_task_holds_few_bytes_per_byte_of_text(monkeypatch):
+    """Memory of the first pass beyond its input, on texts that are one stretch with hardly a phrase twice."""
+    monkeypatch.setattr(collocations, "prepare", lambda spark: None)
+    monkeypatch.setattr(collocations, "FLUSH_BYTES", 1 << 22)
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdefgh", k=5)) for _ in range(20_000)]
+    texts = [" ".join(rng.choices(words, k=500)) for _ in range(1_000)]
+    batch = pa.RecordBatch.from_pydict({"lang": ["en"] * len(texts), "text": texts})
+
+    class Rows:
+        sparkSession = None
+
+        def mapInArrow(self, run, ddl):  # noqa: N802
+            return list(run(iter([batch])))
+
+    tracemalloc.start()
+    try:
+        found = collocations.summaries(Rows(), 64, 3)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sum(sum(b.column("mass").to_pylist()) for b in found) == 1_000 * (500 + 499 + 498)
+    assert peak < 24 * sum(map(len, texts)), peak / sum(map(len, texts))
+
+
 def test_scores_pass_64_bits(spark):
     from pyspark.sql import functions as F
 
