@@ -26,19 +26,24 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from herdloom.llm.base import SLICE_ROWS, arrow_schema, map_slices, prepare, release, texts
-from herdloom.llm.bpe import byte_letters, split_words
+from herdloom.llm.bpe import ANY, byte_letters, split_words
 from herdloom.sources.tables import shared_path
 
 #: Id written after each document.
 END = 0
 #: Ids of a block, but for a document that has more.
 BLOCK_IDS = 1 << 19
-#: Words whose ids a Python worker keeps at hand, some 100 MB; beyond it, and between tasks, the first half stays,
+#: Words whose ids a Python worker keeps at hand, some 160 MB; beyond it, and between tasks, the first half stays,
 #: which the most frequent are in.
-KEPT_WORDS = 500_000
+KEPT_WORDS = 800_000
+#: Characters of the texts that are cut into words side by side; a text with more is cut on its own.
+SIDE_BY_SIDE = 1 << 20
 #: Groups of four ids decoded at a time.
 GROUPS = 1 << 15
 
+# Kinds of characters that words are made of.
+LETTER, DIGIT, OTHER, SPACE = range(4)
+
 #: By control byte: bytes of its four ids, and for each of their 16 places the byte to take, -1 for none.
 WIDTHS = (np.arange(256)[:, None] >> np.arange(0, 8, 2) & 3) + 1
 TOTALS = WIDTHS.sum(1)
@@ -55,7 +60,8 @@ def code(values: np.ndarray) -> tuple[bytes, bytes]:
     quads = np.zeros(-(-len(values) // 4) * 4, np.uint8)
     quads[: len(values)] = extra
     control = (quads.reshape(-1, 4) << np.arange(0, 8, 2, dtype=np.uint8)).sum(1, dtype=np.uint8)
-    data = values.view(np.uint8).reshape(-1, 4)[np.arange(4) <= extra[:, None]]
+    most = int(extra.max(initial=0)) + 1
+    data = values.view(np.uint8).reshape(-1, 4)[:, :most][np.arange(most) <= extra[:, None]]
     return control.tobytes(), data.tobytes()
 
 
@@ -75,22 +81,60 @@ def decode(control: bytes, data: bytes, n: int) -> np.ndarray:
     return out.reshape(-1).view("<u4")[:n]
 
 
+@lru_cache(maxsize=1)
+def kinds() -> np.ndarray:
+    """The kind of each code point."""
+    out, every = np.full(0x110000, OTHER, np.uint8), "".join(map(chr, range(0x110000)))
+    for kind, name in ((LETTER, "L"), (DIGIT, "N"), (SPACE, "S")):
+        for found in regex.finditer(f"[{ANY[name]}]+", every):
+            out[found.start() : found.end()] = kind
+    return out
+
+
+def word_starts(codes: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """Where the words of ``split_words`` start, in code points of texts that begin at ``begins``.
+
+    A word is a run of one kind of character. A blank goes with the run behind it, and of more white space the
+    last character stands apart from the rest, but for the end of a text. A mark that starts a word takes the
+    letters of a contraction with it.
+    """
+    kind = kinds()[codes]
+    head = np.zeros(len(codes) + 2, bool)
+    head[begins] = head[len(codes) :] = True
+    starts = np.append(True, kind[1:] != kind[:-1]) | head[:-2]
+    behind = np.flatnonzero(starts & ~head[:-2] & (kind != SPACE))
+    behind = behind[kind[behind - 1] == SPACE]
+    starts[behind - 1] = True
+    starts[behind] = codes[behind - 1] != ord(" ")
+    marks = np.flatnonzero((codes == ord("'")) & starts)
+    marks = marks[~head[marks + 1]]
+    padded = np.append(codes, [0, 0])
+    one, two = padded[marks + 1], np.where(head[marks + 2], 0, padded[marks + 2])
+    size = np.isin(one, [ord(c) for c in "stmd"]).astype(np.int64)
+    for a, b in ("re", "ve", "ll"):
+        size[(one == ord(a)) & (two == ord(b))] = 2
+    marks, size = marks[size > 0], size[size > 0]
+    starts[marks + 1] = False
+    ends = marks + 1 + size
+    starts[ends[ends < len(codes)]] = True
+    return starts
+
+
 class Words(dict):
-    """Packed ids of words, which the library's model makes when a word is first asked for."""
+    """Packed ids of words in UTF-8, which the library's model makes when a word is first asked for."""
 
     def __init__(self, library, kind: np.dtype, words=()):
         super().__init__(words)
         self.library, self.code, self.tokenize = library, "H" if kind.itemsize == 2 else "I", library.model.tokenize
-        self.special = {t.content: i for i, t in library.get_added_tokens_decoder().items()}
+        self.special = {t.content.encode(): i for i, t in library.get_added_tokens_decoder().items()}
         #: How the vocabulary writes a byte.
         self.letters = str.maketrans({byte: letter for letter, byte in byte_letters().items()})
 
-    def __missing__(self, word: str) -> bytes:
+    def __missing__(self, word: bytes) -> bytes:
         if word in self.special:
             ids = [self.special[word]]
         else:
-            letters = word if word.isascii() else word.encode().decode("latin-1")
-            ids = [t.id for t in self.tokenize(letters.translate(self.letters))]
+            ids = [t.id for t in self.tokenize(word.decode("latin-1").translate(self.letters))]
         packed = self[word] = array(self.code, ids).tobytes()
         return packed
 
@@ -135,12 +179,51 @@ class Encoder:
         if not self.by_word:
             found = self.library.encode_batch_fast(texts, add_special_tokens=False)
             return [np.array(e.ids, self.kind).tobytes() for e in found]
-        out = []
+        out, group, size = [], [], 0
         for text in texts:
-            if len(self.words) > KEPT_WORDS:
-                self.forget(KEPT_WORDS // 2)
-            out.append(b"".join(map(self.words.__getitem__, self.words_of(text))))
-        return out
+            alone = len(text) > SIDE_BY_SIDE or any(token in text for token in self.special)
+            if alone or size + len(text) > SIDE_BY_SIDE:
+                out += self.side_by_side(group)
+                group, size = [], 0
+            if alone:
+                self.make_room()
+                out.append(b"".join(self.words[word.encode()] for word in self.words_of(text)))
+            else:
+                group.append(text)
+                size += len(text)
+        return out + self.side_by_side(group)
+
+    def side_by_side(self, texts: list[str]) -> list[bytes]:
+        """The same for texts without special tokens, each different word of which is looked up once."""
+        self.make_room()
+        joined = "".join(texts)
+        if not joined:
+            return [b""] * len(texts)
+        raw, ends = joined.encode(), np.cumsum([len(text) for text in texts])
+        begins = np.append(0, ends[:-1])
+        if len(raw) == len(joined):
+            places = starts = np.flatnonzero(word_starts(np.frombuffer(raw, np.uint8), begins))
+        else:
+            codes = np.frombuffer(joined.encode("utf-32-le"), "<u4")
+            starts = np.flatnonzero(word_starts(codes, begins))
+            wide = (codes >= 0x80).astype(np.uint8) + (codes >= 0x800) + (codes >= 0x10000)
+            places = starts + (np.cumsum(wide, dtype=np.int64) - wide)[starts]
+        offsets = np.append(places, len(raw)).astype(np.int32)
+        buffers = [None, pa.py_buffer(offsets), pa.py_buffer(raw)]
+        found = pa.Array.from_buffers(pa.binary(), len(places), buffers).dictionary_encode()
+        packed = list(map(self.words.__getitem__, found.dictionary.to_numpy(zero_copy_only=False).tolist()))
+        ids = np.frombuffer(b"".join(packed), self.kind)
+        sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // self.kind.itemsize
+        word = found.indices.to_numpy()
+        many = sizes[word]
+        stops = np.cumsum(many)
+        whole = ids[np.repeat((np.cumsum(sizes) - sizes)[word] - (stops - many), many) + np.arange(stops[-1])].tobytes()
+        cuts = np.append(0, stops)[np.searchsorted(starts, np.append(0, ends))] * self.kind.itemsize
+        return [whole[a:b] for a, b in itertools.pairwise(cuts.tolist())]
+
+    def make_room(self) -> None:
+        if len(self.words) > KEPT_WORDS:
+            self.forget(KEPT_WORDS // 2)
 
     def forget(self, most: int) -> None:
         """Keep the ids of no more than the first ``most`` words."""

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from herdloom.llm import token_files
+from herdloom.llm.bpe import split_words
 from herdloom.llm.catalog import op13_token_files
 from tests.llm.conftest import SF
 
@@ -91,6 +92,40 @@ def test_code_round_trip(values):
     assert token_files.decode(control, data, len(values)).tolist() == values
 
 
+PIECES = [*" \t\n'’.!1a\xa0\x85\x1c\u3000²ßé日İ٣😀\u0301\x00", "  ", "'s", "'ll", "'ve", "'d", "'l", "word", "<|endoftext|>"]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(PIECES), max_size=12).map("".join), min_size=1, max_size=6))
+def test_words_of_texts_side_by_side(texts):
+    """Cut where the pattern cuts each text, whatever the kinds of characters and wherever texts meet."""
+    ends = np.cumsum([len(t) for t in texts])
+    codes = np.frombuffer("".join(texts).encode("utf-32-le"), "<u4")
+    if len(codes):
+        starts = np.flatnonzero(token_files.word_starts(codes, np.append(0, ends[:-1])))
+        whole = "".join(texts)
+        got = [whole[a:b] for a, b in zip(starts, [*starts[1:], len(whole)])]
+        assert got == [w for t in texts for w in split_words(t)]
+    encoder = token_files.worker_encoder(PATH)
+    expected = [encoder.library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(p, encoder.kind).tolist() for p in encoder.encode(texts)] == expected
+
+
+def test_a_word_is_looked_up_once_for_texts_side_by_side(monkeypatch):
+    """Not once for each time it occurs: that takes most of the time."""
+    asked = []
+
+    class Counting(token_files.Words):
+        def __getitem__(self, word):
+            asked.append(word)
+            return super().__getitem__(word)
+
+    monkeypatch.setattr(token_files, "Words", Counting)
+    encoder = token_files.Encoder(PATH)
+    encoder.encode(["one and one and one again, one and"] * 50)
+    assert len(asked) <= 12 and len(set(asked)) == len(asked)
+
+
 def test_words_are_encoded_as_in_their_texts(library, monkeypatch):
     """Also where words at hand are thrown away in between, and with other kinds of vocabulary."""
     monkeypatch.setattr(token_files, "KEPT_WORDS", 40)
