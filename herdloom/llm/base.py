@@ -156,6 +156,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Have Spark remove the shuffle files of finished jobs now: it does once the driver collects its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def discard(df: DataFrame) -> None:
+    """Remove the files of a ``stored`` frame that nothing reads any more, and shuffle files of finished jobs."""
+    context = df.sparkSession.sparkContext
+    for folder in {file.rpartition("/")[0] for file in df.inputFiles()}:
+        path = context._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+    release_shuffles(df.sparkSession)
+
+
 def id_remainder(column: str, divisor: int):
     """crc32 of the id written as text, modulo ``divisor``; NULL without an id."""
     return F.pmod(F.crc32(F.col(column).cast("string")), F.lit(divisor))

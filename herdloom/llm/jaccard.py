@@ -4,8 +4,10 @@ Sets r and s with Jaccard similarity of at least p percent differ in at most D(r
 (|r| + |s|) (100 - p) / (100 + p) elements. Hash ranges cut the universe into segments, as many as the
 size band of the smaller set needs; each difference spoils one segment, so of any D + 1 segments of r one
 at least has the same subset in s. Where D is at most 1 the whole set and all sets with one element less
-do instead. Among its segments every set then picks the D + 1 whose subsets fewest other sets have: if
-none of those has company, the set has no partner at all. What remains is verified on full sets.
+do instead. Among its segments every set then picks the D + 1 whose subsets are rarest: if none of those
+has company, the set has no partner at all. As all sets go by one order, the first subset in it that two
+partners share is among the picks of both, so a line that many texts have joins only those that are little
+else. What remains is verified on full sets.
 
 Equal sets are one class from the start, and classes of candidates are compared block by block, so that a
 large group of copies is never spelled out in pairs.
@@ -26,6 +28,7 @@ from pyspark.sql import functions as F
 from herdloom.llm.base import (
     SLICE_ROWS,
     arrow_schema,
+    discard,
     free_name,
     key_filter,
     map_batches,
@@ -33,6 +36,7 @@ from herdloom.llm.base import (
     passes,
     prepare,
     release,
+    release_shuffles,
     stored,
     texts,
 )
@@ -46,7 +50,7 @@ FLUSH = 150_000
 #: Classes of a signature that a task sends to its bucket at a time.
 KNOWN = 2
 #: Classes of a block and elements of their sets, on average; candidates are compared within pairs of blocks.
-BLOCK, BLOCK_ELEMENTS = 256, 1 << 19
+BLOCK, BLOCK_ELEMENTS = 512, 1 << 19
 #: Bytes of sets that a task compares, on average, but for single pairs of blocks.
 TASK_BYTES = 16 << 20
 #: Standard deviations that keep the number of subsets of a set above what it needs.
@@ -216,8 +220,8 @@ def sets_of(df: DataFrame, percent: int, id_column: str, text_column: str) -> Da
 def signatures(df: DataFrame, text_column: str, percent: int, buckets: int) -> DataFrame:
     """(bucket, signs, classes, bands): packed signatures of the distinct sets of each task.
 
-    A set that a task has met before is not signed again, so a group of copies costs a set per task. Of a
-    signature, only the first two classes that a task holds at a time go to its bucket. They tell it all it
+    A set that a task has met before is not signed again, so a group of copies costs a set per task; one so
+    small that only equal sets are similar is not signed at all. Of a signature, only the first two classes that a task holds at a time go to its bucket. They tell it all it
     needs; the others are known to be in company and go, spread by class, to groups below 0. So the share
     of a group of near copies in a bucket grows with the tasks, not with the group.
     """
@@ -263,7 +267,7 @@ def signatures(df: DataFrame, text_column: str, percent: int, buckets: int) -> D
                 for text in texts(batch.slice(at, SLICE_ROWS), text_column):
                     items = shingle_set(text)
                     key = class_id(items)
-                    if not len(items) or key in met:
+                    if key in met or not most_different(len(items), largest_partner(len(items), percent), percent):
                         continue
                     met.add(key)
                     for band, _ in grades.roles(len(items)):
@@ -286,11 +290,11 @@ def sign_name(short: np.ndarray, bucket) -> np.ndarray:
 
 
 def shared_signatures(packed: DataFrame) -> DataFrame:
-    """(class, band, sign, others): signatures that at least two classes have, one row per class.
+    """(class, band, sign): signatures that at least two classes have, one row per class, more for copies.
 
     ``sign`` keeps 32 bits within a bucket: a chance match adds a candidate and loses none.
     """
-    ddl = "class bigint, band int, sign bigint, others bigint"
+    ddl = "class bigint, band int, sign bigint"
     schema = arrow_schema(ddl)
 
     def collide(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
@@ -300,7 +304,7 @@ def shared_signatures(packed: DataFrame) -> DataFrame:
             for c, kind in (("signs", np.int64 if bucket < 0 else np.uint32), ("classes", np.int64), ("bands", np.uint8))
         )
         if bucket < 0:
-            arrays = [classes, bands.astype(np.int32), signs, np.full(len(signs), KNOWN)]
+            arrays = [classes, bands.astype(np.int32), signs]
             return pa.Table.from_arrays([pa.array(a) for a in arrays], schema=schema)
         order = np.lexsort((classes, signs))
         signs, classes, bands = signs[order], classes[order], bands[order]
@@ -308,10 +312,9 @@ def shared_signatures(packed: DataFrame) -> DataFrame:
         signs, classes, bands = signs[fresh], classes[fresh], bands[fresh]
         starts = np.flatnonzero(np.append(True, signs[1:] != signs[:-1]))
         count = np.diff(np.append(starts, len(signs)))
-        others = np.repeat(count, count) - 1
-        keep = others > 0
+        keep = np.repeat(count, count) > 1
         sign = sign_name(signs[keep], bucket)
-        arrays = [classes[keep], bands[keep].astype(np.int32), sign, others[keep]]
+        arrays = [classes[keep], bands[keep].astype(np.int32), sign]
         return pa.Table.from_arrays([pa.array(a) for a in arrays], schema=schema)
 
     return packed.groupBy("bucket").applyInArrow(collide, ddl)
@@ -320,26 +323,26 @@ def shared_signatures(packed: DataFrame) -> DataFrame:
 def candidate_edges(classes: DataFrame, shared: DataFrame) -> DataFrame:
     """(class, pivot): stars that join all classes which may be partners.
 
-    Of the signatures of a class in a band, those of no other class are free; it needs D + 1, and takes
-    of the others those that fewest classes share, as far as known. A class with D + 1 free ones is out. All classes left that have
-    a signature which one of them took are joined to the least of them.
+    Of the signatures of a class in a band, those of no other class are free; it needs D + 1, and takes of the
+    others the rarest. A class with D + 1 free ones is out. The order is the same for all classes, so the first
+    signature that two partners share is taken by both: at most D of either's own come before it. Classes that
+    took one signature are joined to the least of them.
     """
     roles = classes.select("class", F.explode(F.arrays_zip("bands", "missing")).alias("role"))
     roles = roles.select("class", F.col("role.bands").cast("int").alias("band"), F.col("role.missing").alias("missing"))
     own = W.partitionBy("class", "band")
-    # Tasks that met copies of one set may each have sent its signatures; the rows of a class are put
-    # together once, for this grouping, the window and the join alike.
-    once = shared.repartition("class", "band").groupBy("class", "band", "sign").agg(F.max("others").alias("others"))
+    # Tasks that met copies of one set may each have sent its signatures, so ``rows`` may exceed the classes
+    # of a signature: all the order needs is that it is one number for all of them. The rows of a class are
+    # put together once, for this grouping, the window and the join alike.
+    often = shared.groupBy("sign").agg(F.count("*").alias("rows"))
+    once = shared.join(often, "sign").repartition("class", "band").groupBy("class", "band", "sign").agg(F.max("rows").alias("rows"))
     ranked = once.withColumns(
-        {"total": F.count("*").over(own), "place": F.row_number().over(own.orderBy("others", "sign"))}
+        {"total": F.count("*").over(own), "place": F.row_number().over(own.orderBy("rows", "sign"))}
     ).join(roles, ["class", "band"])
-    need = F.col("missing") + F.col("total")
-    left = stored(ranked.filter(need > 0).select("class", "sign", (F.col("place") <= need).alias("taken")), "join-left")
-    groups = left.groupBy("sign").agg(
-        F.min("class").alias("pivot"), F.max("class").alias("last"), F.max("taken").alias("taken")
-    )
-    groups = groups.filter(F.col("taken") & (F.col("pivot") < F.col("last"))).select("sign", "pivot")
-    return left.join(groups, "sign").filter(F.col("class") != F.col("pivot")).select("class", "pivot").distinct()
+    taken = stored(ranked.filter(F.col("place") <= F.col("missing") + F.col("total")).select("class", "sign"), "join-taken")
+    groups = taken.groupBy("sign").agg(F.min("class").alias("pivot"), F.max("class").alias("last"))
+    groups = groups.filter(F.col("pivot") < F.col("last")).select("sign", "pivot")
+    return taken.join(groups, "sign").filter(F.col("class") != F.col("pivot")).select("class", "pivot").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -543,12 +546,16 @@ def _labelled(df: DataFrame, id_column: str, text_column: str, percent: int) ->
     # A role of a set has one signature more than elements at most.
     most = classes.agg(F.sum((F.col("n") + 1) * F.size("bands"))).first()[0] or 0
     buckets = min(1 << 24, max(BUCKETS, most // BUCKET_SIGNATURES))
-    shared = shared_signatures(signatures(df, text_column, percent, buckets))
-    clusters = components(candidate_edges(classes, shared))
+    shared = stored(shared_signatures(signatures(df, text_column, percent, buckets)), "join-shared")
+    release_shuffles(df.sparkSession)
+    candidates = candidate_edges(classes, shared)
+    discard(shared)
+    clusters = components(candidates)
     wanted = classes.join(clusters.withColumnsRenamed({"node": "class", "label": "cluster"}), "class")
     wanted = stored(wanted.select("class", "rep", "cluster"), "join-wanted")
     found = stored(candidate_sets(df, wanted, id_column, text_column), "join-found")
     edges = stored(verified_edges(found, percent), "join-links")
+    discard(found)
     rest = rest_edges(df, classes, percent, id_column, text_column)
     named = components(edges if rest is None else edges.union(rest)).withColumnRenamed("node", "class")
     labelled = classes.join(named, "class", "left").select("class", F.coalesce("label", "class").alias("label"), "least_id")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import collections
+import os
 import random
 import re
 import zlib
@@ -153,6 +154,46 @@ def test_join_equals_plain_join(docs, words):
     assert rows_of(got, "doc_id", "n_shingles", "component_id") == plain_join(rows)
 
 
+def _clusters(monkeypatch):
+    """Classes of each cluster that comes to be compared, as lists, filled by a join."""
+    found, original = [], jaccard.verified_edges
+
+    def verified(sets, percent):
+        found.append(sorted(r["count"] for r in sets.groupBy("cluster").count().collect()))
+        return original(sets, percent)
+
+    monkeypatch.setattr(jaccard, "verified_edges", verified)
+    return found
+
+
+@pytest.mark.parametrize("size", [50, 400])
+def test_a_line_that_many_texts_have_joins_no_candidates(docs, monkeypatch, size):
+    """Near copies with the line stay a cluster of their own beside texts that are little else, which form one."""
+    rnd, line = random.Random(size), " ".join(f"line{i}" for i in range(size // 5))
+    own = lambda n: " ".join(f"w{rnd.randrange(10**6)}" for _ in range(n))
+    rows = [f"{text} {line}{end}" for text in (own(size) for _ in range(20)) for end in ("", " and")]
+    rows = list(enumerate(rows + [f"{line} {own(3)}" for _ in range(10)]))
+    clusters = _clusters(monkeypatch)
+    got = jaccard.link(docs(*rows))
+    assert rows_of(got, "doc_id", "n_shingles", "component_id") == plain_join(rows)
+    assert clusters == [[2] * 20 + [10]]
+
+
+def test_texts_that_only_equal_ones_resemble_are_no_candidates(docs, monkeypatch):
+    rows = list(enumerate([f"short{i // 2} text" for i in range(20)] + [f"now six words of number {i}" for i in range(20)]))
+    clusters = _clusters(monkeypatch)
+    assert rows_of(jaccard.link(docs(*rows)), "doc_id", "n_shingles", "component_id") == plain_join(rows)
+    assert clusters == [[]]
+
+
+def test_files_that_are_read_no_more_are_removed(spark):
+    frame = base.stored(spark.range(10).repartition(2), "test-discard")
+    folder = frame.inputFiles()[0].rpartition("/")[0].removeprefix("file://")
+    assert os.path.exists(folder)
+    base.discard(frame)
+    assert not os.path.exists(folder)
+
+
 @pytest.mark.parametrize("limit", [("BLOCK", 16), ("BLOCK_ELEMENTS", 1_500)])
 def test_join_of_a_large_group_in_blocks(docs, monkeypatch, limit):
     monkeypatch.setattr(jaccard, *limit)
