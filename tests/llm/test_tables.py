@@ -179,6 +179,16 @@ def test_a_line_that_many_texts_have_joins_no_candidates(docs, monkeypatch, size
     assert clusters == [[2] * 20 + [10]]
 
 
+def test_one_of_each_pair_with_a_common_line_stays(docs, monkeypatch):
+    rnd, line = random.Random(7), " ".join(f"line{i}" for i in range(12))
+    texts = [" ".join(f"w{rnd.randrange(10**6)}" for _ in range(n)) for n in [60] * 12 + [3] * 8]
+    rows = [(i, f"{text} {line}", None, "a") for i, text in enumerate(texts)]
+    rows += [(100 + i, f"{text} {line} and", None, "b") for i, text in enumerate(texts[:12])]
+    clusters = _clusters(monkeypatch)
+    assert rows_of(jaccard.keep_one(docs(*rows)), "doc_id", "text", "source") == sorted([(r[0], r[1], r[3]) for r in rows[:20]], key=repr)
+    assert clusters == [[2] * 12 + [8]]
+
+
 def test_texts_that_only_equal_ones_resemble_are_no_candidates(docs, monkeypatch):
     rows = list(enumerate([f"short{i // 2} text" for i in range(20)] + [f"now six words of number {i}" for i in range(20)]))
     clusters = _clusters(monkeypatch)
